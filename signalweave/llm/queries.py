@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import hilbert, ogg
+from . import hilbert, ngram_join, ogg
 
 QUERIES = {
     "op6_hilbert_shards": hilbert.op6_hilbert_shards,
+    "op9_ngram_jaccard_join": ngram_join.op9_ngram_jaccard_join,
     "op10_ogg_media": ogg.op10_ogg_media,
 }
 
