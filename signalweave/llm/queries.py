@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import hilbert, ngram_join, ogg
+from . import hilbert, mixing, ngram_join, ogg, secrets, warc_zip
 
 QUERIES = {
+    "op4_warc_zip": warc_zip.op4_warc_zip,
+    "op5_mix_sources": mixing.op5_mix_sources,
     "op6_hilbert_shards": hilbert.op6_hilbert_shards,
+    "op7_secret_scans": secrets.op7_secret_scans,
     "op9_ngram_jaccard_join": ngram_join.op9_ngram_jaccard_join,
     "op10_ogg_media": ogg.op10_ogg_media,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_warc_zip": warc_zip.OP4_SQL}
