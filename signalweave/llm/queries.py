@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import hilbert, mixing, ngram_join, ogg, secrets, warc_zip
+from . import chat, hilbert, mixing, ngram_join, ogg, secrets, warc_zip
 
 QUERIES = {
+    "op1_chat_formatting": chat.op1_chat_formatting,
     "op4_warc_zip": warc_zip.op4_warc_zip,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_hilbert_shards": hilbert.op6_hilbert_shards,
@@ -13,4 +14,7 @@ QUERIES = {
     "op10_ogg_media": ogg.op10_ogg_media,
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_warc_zip": warc_zip.OP4_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_chat_formatting": chat.OP1_SQL,
+    "op4_warc_zip": warc_zip.OP4_SQL,
+}
