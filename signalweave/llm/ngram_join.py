@@ -249,9 +249,9 @@ def _block_pairs(df: DataFrame, blocks: str) -> DataFrame:
 
 def _paths(reps: DataFrame, first: int, last: int, threshold: float, small: int) -> tuple[DataFrame, DataFrame]:
     """Leaves (bucket, size, key) of runs first .. last-1, and (key, deficit): what their depth beyond 1 costs in log misses."""
-    run = F.explode(F.sequence(F.lit(first), F.lit(last - 1)))
-    paths = reps.filter("n > 0").select("key", "tokens", run.alias("run"))
-    paths = paths.select("key", "tokens", F.xxhash64("run", F.expr("element_at(tokens, run + 1)")).alias("path"), F.lit(None).cast("long").alias("parent"))
+    # The first step is hashed before rows are multiplied, so that signatures stay behind; only sets of large buckets fetch theirs.
+    roots = F.expr(f"transform(sequence({first}, {last - 1}), r -> xxhash64(r, element_at(tokens, r + 1)))")
+    paths = reps.filter("n > 0").select("key", F.explode(roots).alias("path"), F.lit(None).cast("long").alias("parent"))
     leaves, deficits = [], []
     depth = 1
     while True:
@@ -268,6 +268,8 @@ def _paths(reps: DataFrame, first: int, last: int, threshold: float, small: int)
         rest = at.filter(~stop)
         if rest.isEmpty():
             break
+        if depth == 1:
+            rest = rest.join(reps.select("key", "tokens"), "key")
         token = F.expr(f"element_at(tokens, cast(pmod(xxhash64(path, {depth}), {POSITIONS}) + 1 as int))")
         paths = rest.select("key", "tokens", F.xxhash64("path", token).alias("path"), F.col("c").alias("parent"))
         depth += 1
@@ -320,7 +322,8 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     load = cand.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / small), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     cand = cand.join(load, "root").withColumn("low", F.coalesce("low", F.lit(-(1 << 63))))
     texts = rows.withColumn("low", F.coalesce("doc_id", F.lit(-(1 << 63)))).select("key", "low", "text")
-    one = texts.join(cand, ["key", "low"]).dropDuplicates(["key"]).select("root", "blocks", "key", "copies", "text")
+    # Sorted merge at every size: neither side has a bound that would allow a broadcast.
+    one = texts.join(cand.hint("merge"), ["key", "low"]).dropDuplicates(["key"]).select("root", "blocks", "key", "copies", "text")
     sets = one.mapInArrow(_shingled(words), "root binary, blocks int, key binary, copies long, shingles array<long>")
     spread = _block_pairs(sets, "blocks").select("root", "lo", "hi", "block", "key", "copies", "shingles")
     links = stored(spread.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi").mapInArrow(_verify(threshold), "key binary, root binary, links long"), "links")
