@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, hilbert, mixing, ngram_join, ogg, secrets, toxicity, warc_zip
+from . import chat, hilbert, mixing, ngram_join, ogg, secrets, spm, toxicity, warc_zip
 
 QUERIES = {
     "op1_chat_formatting": chat.op1_chat_formatting,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_hilbert_shards": hilbert.op6_hilbert_shards,
     "op7_secret_scans": secrets.op7_secret_scans,
+    "op8_sentencepiece": spm.op8_sentencepiece,
     "op9_ngram_jaccard_join": ngram_join.op9_ngram_jaccard_join,
     "op10_ogg_media": ogg.op10_ogg_media,
 }
