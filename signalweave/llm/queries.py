@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat, hilbert, mixing, ngram_join, ogg, secrets, spm, toxicity, warc_zip
+from . import chat, fingerprints, hilbert, mixing, ngram_join, ogg, secrets, spm, toxicity, warc_zip
 
 QUERIES = {
     "op1_chat_formatting": chat.op1_chat_formatting,
+    "op2_fingerprints": fingerprints.op2_fingerprints,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_warc_zip": warc_zip.op4_warc_zip,
     "op5_mix_sources": mixing.op5_mix_sources,
