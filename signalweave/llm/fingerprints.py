@@ -33,10 +33,9 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(F.filter(F.split(text, _PARAGRAPH), lambda p: p != ""), lambda p: F.xxhash64(p)))
 
 
-def _slot(k: Column, j: int | Column, cells: int | Column) -> Column:
+def _slot(k: Column, j: int, cells: int) -> Column:
     """Cell of digest k in subtable j: 21 bits of the digest for each subtable."""
-    shift = F.shiftright(k, 21 * j) if isinstance(j, int) else F.expr("0")
-    return F.pmod(shift.bitwiseAND(F.lit(0x1FFFFF)), F.lit(cells) if isinstance(cells, int) else cells).cast("int")
+    return F.pmod(F.shiftright(k, 21 * j).bitwiseAND(F.lit(0x1FFFFF)), F.lit(cells)).cast("int")
 
 
 def sketch(keys: Column, cells: int = CELLS) -> Column:

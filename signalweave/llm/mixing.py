@@ -182,5 +182,17 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return taken.join(F.broadcast(per), F.col("source").eqNullSafe(F.col("__s")), "left").select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def mixed(docs: DataFrame, text_col: str = "text", source_col: str = "source", repeats: int = REPEATS, seed: int = 0) -> DataFrame:
+    """``docs`` as the mix takes them: rows that it leaves out are gone, rows that it repeats are there as often.
+
+    A row that is to give a part of its words is there as a whole. Rows without words are kept: they cost nothing. The order
+    within a source is by a hash of all columns. Texts are not shuffled, but for those in the hash bin at the cut.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("__doc"), F.col(source_col).cast("string").alias("__source"), word_count(text_or_empty(text_col)).alias("__size"), F.xxhash64(*docs.columns).alias("__row"))
+    taken, _ = mix(rows, F.array("__source"), size="__size", ids=("__row",), repeats=repeats, seed=seed)
+    times = F.when(F.col("__size") == 0, 1).otherwise(F.ceil(F.col("taken") / F.greatest(F.col("__size"), F.lit(1)))).cast("int")
+    return taken.select("__doc", F.explode(F.array_repeat(F.lit(0), times))).select("__doc.*")
+
+
 def op5_mix_sources(spark, sf_dir: str) -> DataFrame:
     return mix_documents(read_table(spark, sf_dir, "documents")).drop("source")

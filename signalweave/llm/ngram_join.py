@@ -283,7 +283,7 @@ def _paths(reps: DataFrame, first: int, last: int, threshold: float, small: int)
 
 
 def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL, small: int = SMALL) -> DataFrame:
-    """One row per row of ``docs``: doc_id, class_id, n_links, copies.
+    """One row per row of ``docs``: doc_id, class_id, n_links, copies, text_key.
 
     Two rows are linked if their texts are equal or their shingle sets have a Jaccard similarity of at least
     ``threshold``; ``n_links`` counts the other rows linked to this one, ``copies`` the rows of equal text (itself
@@ -334,7 +334,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     least = in_group.groupBy("root").agg(F.min("low").alias("class_id"))
     classes = in_group.join(least, "root").select(F.col("node").alias("key"), "class_id").join(counts, "key", "left")
     info = reps.select("key", "low", "copies").join(classes, "key", "left").select("key", "copies", F.when(F.col("class_id").isNull(), F.col("low")).otherwise(F.col("class_id")).alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return feats.select("doc_id", "key").join(info, "key").select("doc_id", "class_id", "n_links", "copies")
+    return feats.select("doc_id", "key").join(info, "key").select("doc_id", "class_id", "n_links", "copies", F.col("key").alias("text_key"))
 
 
 def _shingled(words: int):
@@ -352,11 +352,24 @@ def _shingled(words: int):
     return run
 
 
-def keep_one(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without the rows whose id is not its class's class_id; rows that share that id and text are one row then."""
-    keep = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(keep, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+def keep_one(docs: DataFrame, links: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each class of ``jaccard_links``: the one whose id is the class_id.
+
+    Rows are told apart by id and text, so an id that two texts share is no reason to drop either. Rows that repeat both are
+    one row afterwards; only where there are such rows is the table grouped.
+    """
+    key = F.unhex(text_key(text_or_empty(text_col)))
+    gone = links.filter(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__i"), F.col("text_key").alias("__k")).distinct()
+    marked = docs.withColumn("__key", key)
+    kept = marked.join(gone, (F.col("__key") == F.col("__k")) & F.col(id_col).cast("long").eqNullSafe(F.col("__i")), "left_anti")
+    repeated = links.filter(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("copies") > 1)).groupBy("doc_id", "text_key").count().filter("count > 1")
+    if not repeated.isEmpty():
+        again = repeated.select(F.col("doc_id").alias("__i"), F.col("text_key").alias("__k"))
+        same = (F.col("__key") == F.col("__k")) & F.col(id_col).cast("long").eqNullSafe(F.col("__i"))
+        once = kept.join(again, same, "left_semi").groupBy("__key", F.col(id_col).alias("__id")).agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*", "__key").select(*marked.columns)
+        kept = kept.join(again, same, "left_anti").unionByName(once)
+    return kept.drop("__key")
 
 
 def op9_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
-    return jaccard_links(read_table(spark, sf_dir, "documents"))
+    return jaccard_links(read_table(spark, sf_dir, "documents")).drop("text_key")

@@ -206,15 +206,18 @@ def _scored(model: Model):
     return run
 
 
-def score_column(model: Model, text: Column) -> Column:
-    """Score of a text column as a pandas UDF, for use in filters."""
-    import pandas as pd
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose text scores under 0.5, with all their columns; fitted on ``labels`` of rows not held out."""
+    model = train(docs, labels)
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        return texts.fillna("").map(model.score)
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text")
+            for lo in range(0, batch.num_rows, 256):
+                clean = [model.score(t or "") < 0.5 for t in texts.slice(lo, 256).to_pylist()]
+                yield batch.slice(lo, 256).filter(pa.array(clean))
 
-    return scored(text)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
