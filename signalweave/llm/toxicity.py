@@ -162,7 +162,7 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic is not null").filter(~held_out(F.col("doc_id")))
     marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = marks.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("p")).first()
-    prior = min(max((counts["p"] + 0.5) / (counts["n"] + 1), 1e-3), 0.5)
+    prior = min(max(counts["p"] / max(counts["n"], 1), 1e-3), 0.5)
     order = F.xxhash64("doc_id", F.lit(17))
     chosen = marks.filter("toxic = 1").select("doc_id").orderBy(order, "doc_id").limit(max_positive).withColumn("positive", F.lit(1))
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").filter(~held_out(F.col("doc_id")))
