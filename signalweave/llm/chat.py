@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table, text_or_empty
+from .common import lean, read_table, text_or_empty
 
 Message = dict[str, str]
 Template = Callable[[list[Message]], str]
@@ -157,7 +157,7 @@ def format_conversations(turns: DataFrame, template: Template = render, roles: t
     """
     rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), text_or_empty("role").alias("role"), text_or_empty("text").alias("text"))
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
-    return rows.mapInArrow(_formatted(template, roles), "conv_id long, formatted string, roles array<string>, spans array<int>, loss array<int>, rewrites array<int>")
+    return rows.mapInArrow(lean(_formatted(template, roles)), "conv_id long, formatted string, roles array<string>, spans array<int>, loss array<int>, rewrites array<int>")
 
 
 def _digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,13 +2,37 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def lean(run: Callable) -> Callable:
+    """A batch function that gives its memory back to the system when its task ends: workers live on for other stages."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterable) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            import pyarrow as pa
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library; there is nothing to trim then
+                pass
+
+    return wrapped
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, read_table, stored, text_key, text_or_empty
+from .common import components, lean, read_table, stored, text_key, text_or_empty
 
 #: Words in a shingle and the least similarity of a link.
 WORDS, THRESHOLD = 5, 0.8
@@ -293,7 +293,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     rows = rows.select("doc_id", F.unhex(text_key(F.col("text"))).alias("key"), "text")
-    feats = stored(rows.mapInArrow(_featurise(words), "doc_id long, key binary, n int, sketch binary, tokens array<int>"), "features")
+    feats = stored(rows.mapInArrow(lean(_featurise(words)), "doc_id long, key binary, n int, sketch binary, tokens array<int>"), "features")
     per = feats.groupBy("key").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("tokens").alias("tokens"))
     reps = stored(per, "texts")
 
@@ -306,7 +306,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         sized = leaves.withColumn("blocks", F.ceil(F.col("c") / small).cast("int"))
         wide = _block_pairs(sized.join(reps.select("key", "n", "sketch"), "key"), "blocks").select("path", "lo", "hi", "key", "n", "sketch")
         # Each pair of blocks is a group of at most about 2 * small rows, wherever it lands.
-        found = wide.repartition("path", "lo", "hi").sortWithinPartitions("path", "lo", "hi").mapInArrow(_brute(threshold, AGREE), "a binary, b binary")
+        found = wide.repartition("path", "lo", "hi").sortWithinPartitions("path", "lo", "hi").mapInArrow(lean(_brute(threshold, AGREE)), "a binary, b binary")
         edges = found if edges is None else edges.unionByName(found)
         ran = until
         if deficits is None:
@@ -324,9 +324,9 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = rows.withColumn("low", F.coalesce("doc_id", F.lit(-(1 << 63)))).select("key", "low", "text")
     # Sorted merge at every size: neither side has a bound that would allow a broadcast.
     one = texts.join(cand.hint("merge"), ["key", "low"]).dropDuplicates(["key"]).select("root", "blocks", "key", "copies", "text")
-    sets = one.mapInArrow(_shingled(words), "root binary, blocks int, key binary, copies long, shingles array<long>")
+    sets = one.mapInArrow(lean(_shingled(words)), "root binary, blocks int, key binary, copies long, shingles array<long>")
     spread = _block_pairs(sets, "blocks").select("root", "lo", "hi", "block", "key", "copies", "shingles")
-    links = stored(spread.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi").mapInArrow(_verify(threshold), "key binary, root binary, links long"), "links")
+    links = stored(spread.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi").mapInArrow(lean(_verify(threshold)), "key binary, root binary, links long"), "links")
 
     counts = links.groupBy("key").agg(F.sum("links").alias("links"))
     groups = components(links.select(F.col("key").alias("a"), F.col("root").alias("b")))

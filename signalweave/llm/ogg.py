@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table, text_or_empty
+from .common import lean, read_table, text_or_empty
 
 FRAME = 576
 RATE = 8000
@@ -206,7 +206,7 @@ def text_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     ddl = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    return rows.mapInArrow(_store_and_read, ddl)
+    return rows.mapInArrow(lean(_store_and_read), ddl)
 
 
 def op10_ogg_media(spark, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table, text_or_empty
+from .common import lean, read_table, text_or_empty
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -28,9 +28,9 @@ _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 #: Characters of a batch given to the library at once, and threads of a worker.
 BATCH_CHARS, THREADS = 1_000_000, 2
 #: Characters whose distinct words are gathered together.
-COLUMN_CHARS = 8_000_000
+COLUMN_CHARS = 4_000_000
 #: Words kept with their ids between batches.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 450_000
 
 
 def _varint(b: bytes, i: int) -> tuple[int, int]:
@@ -299,7 +299,7 @@ def sp_encode(docs: DataFrame, model_path: str = MODEL, keep_ids: bool = True, v
         raw = f.read()
     ddl = "doc_id long, n_chars long, n_tokens long, ids_sha256 string, round_trip boolean, parity boolean" + ", ids array<int>" * keep_ids
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
-    return rows.mapInArrow(_encoded(raw, keep_ids, verify), ddl)
+    return rows.mapInArrow(lean(_encoded(raw, keep_ids, verify)), ddl)
 
 
 def op8_sentencepiece(spark, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table, stored, text_key, text_or_empty
+from .common import lean, read_table, stored, text_key, text_or_empty
 
 #: The classifier is fitted on at most so many positive and unlabelled texts, chosen by a hash of the id, and so many features.
 MAX_POSITIVE, MAX_UNLABELLED, MAX_WORDS = 4000, 12000, 4096
@@ -73,7 +73,7 @@ class Model:
 
     def margin(self, text: str) -> float:
         words, known, g = words_of(text), self.known, self.bias
-        if len(known) > 300_000:
+        if len(known) > 100_000:
             known.clear()
         begun: Counter[str] = Counter()
         for w in words:
@@ -170,7 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     sample = chosen.join(others, "doc_id", "full").select("doc_id", F.coalesce("positive", F.lit(0)).alias("positive"), F.coalesce("unlabelled", F.lit(0)).alias("unlabelled"))
     # At most max_positive + max_unlabelled ids: a bounded broadcast.
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text")).join(F.broadcast(sample), "doc_id")
-    rows = rows.select("positive", "unlabelled", text_key(F.col("text")).alias("key"), "text").mapInArrow(_tokenise, "positive int, unlabelled int, key string, words array<string>")
+    rows = rows.select("positive", "unlabelled", text_key(F.col("text")).alias("key"), "text").mapInArrow(lean(_tokenise), "positive int, unlabelled int, key string, words array<string>")
     texts = stored(rows.groupBy("key").agg(F.max("positive").alias("positive"), F.max("unlabelled").alias("unlabelled"), F.first("words").alias("words")), "sample")
     n = texts.agg(F.coalesce(F.sum("positive"), F.lit(0)).alias("p"), F.coalesce(F.sum("unlabelled"), F.lit(0)).alias("u")).first()
     if not n["p"] or not n["u"]:
@@ -217,7 +217,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 clean = [model.score(t or "") < 0.5 for t in texts.slice(lo, 256).to_pylist()]
                 yield batch.slice(lo, 256).filter(pa.array(clean))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -228,7 +228,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     model = train(docs, labels)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id").cast("long")).alias("held_out"), text_or_empty("text").alias("text"))
-    return rows.mapInArrow(_scored(model), "doc_id long, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(lean(_scored(model)), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def op3_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table, scratch_dir, stored, text_or_empty
+from .common import lean, read_table, scratch_dir, stored, text_or_empty
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 #: Payloads under this size are never revisits.
@@ -291,14 +291,14 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 
 def write_archives(plan: DataFrame, folder: str, limit: int = ARCHIVE, zip64: bool = False) -> DataFrame:
     """Writes packages of about ``limit`` bytes to ``folder`` and returns the list of them (path, n, bytes)."""
-    return stored(plan.mapInArrow(_writer(folder, limit, zip64), "path string, n long, bytes long"), "manifest")
+    return stored(plan.mapInArrow(lean(_writer(folder, limit, zip64)), "path string, n long, bytes long"), "manifest")
 
 
 def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
     """Records of the packages named in ``manifest.path``: page_id, url, payload_bytes, payload_digest, record_type, refers_to, and the payload of responses if asked for."""
     runs = manifest.select("path").repartition("path").mapInArrow(_locate, "path string, at long, length long, n long")
     ddl = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * payloads
-    return runs.repartition("path", "at").mapInArrow(_range_read(payloads), ddl)
+    return runs.repartition("path", "at").mapInArrow(lean(_range_read(payloads)), ddl)
 
 
 def op4_warc_zip(spark, sf_dir: str) -> DataFrame:
