@@ -48,7 +48,7 @@ def month_day(month: Column, dom: Column, as_of: date) -> Column:
 
 def per_hour(count: Column, since: Column, now: Column) -> Column:
     """Count per hour since a time; the age is one hour at least."""
-    hours = (now.cast("timestamp").cast("double") - since.cast("timestamp").cast("double")) / 3600
+    hours = (F.unix_micros(now.cast("timestamp")) - F.unix_micros(since.cast("timestamp"))).cast("double") / 3_600_000_000
     return count / F.greatest(hours, F.lit(1.0))
 
 

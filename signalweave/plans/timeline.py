@@ -122,7 +122,7 @@ def state_baseline(spark, sf_dir):
     "window_diff",
     """WITH o AS (SELECT user_id, list_sort(list(event_id)) AS keys, user_id % 11 = 0 AS failed, CASE WHEN user_id % 7 = 0 THEN 'site' ELSE 'portal' END AS route FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-12' GROUP BY user_id),
 p AS (SELECT user_id, list_sort(list(event_id)) AS old FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-05' AND user_id % 13 <> 0 GROUP BY user_id),
-j AS (SELECT o.*, p.old, 'portal' AS old_route, len(list_filter(o.keys, k -> NOT list_contains(p.old, k))) AS fresh, len(list_filter(o.keys, k -> list_contains(p.old, k))) AS common FROM o LEFT JOIN p USING (user_id)),
+j AS (SELECT o.*, p.old, 'portal' AS old_route, len(list_filter(o.keys, lambda k: NOT list_contains(p.old, k))) AS fresh, len(list_filter(o.keys, lambda k: list_contains(p.old, k))) AS common FROM o LEFT JOIN p USING (user_id)),
 s AS (SELECT *, CASE WHEN failed THEN 'FAILED' WHEN old IS NULL THEN 'BASELINE' WHEN route <> old_route THEN 'BASELINE_ROUTE_CHANGED' WHEN common = 0 THEN 'POSSIBLE_GAP' WHEN fresh > 0 THEN 'NEW' ELSE 'NO_NEW' END AS status FROM j)
 SELECT user_id, status, CASE WHEN status IN ('NEW', 'NO_NEW') THEN fresh END AS n_new, CASE WHEN failed THEN old ELSE keys END AS kept_keys FROM s""",
 )
@@ -226,7 +226,7 @@ def month_day_rollover(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", dates.month_day((k % 12 + 1).cast("int"), (k % 31 + 1).cast("int"), date(2024, 3, 15)).alias("full_date"))
 
 
-@query("per_hour_rate", "SELECT event_id, value / greatest(CAST(epoch_us(TIMESTAMP '2024-01-20 00:00:00') - epoch_us(ts) AS DOUBLE) / 1000000 / 3600, 1.0) AS per_hour FROM events WHERE ts < TIMESTAMP '2024-01-20 00:00:00'")
+@query("per_hour_rate", "SELECT event_id, value / greatest(CAST(epoch_us(TIMESTAMP '2024-01-20 00:00:00') - epoch_us(ts) AS DOUBLE) / 3600000000, 1.0) AS per_hour FROM events WHERE ts < TIMESTAMP '2024-01-20 00:00:00'")
 def per_hour_rate(spark, sf_dir):
     at = F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
     return table(spark, sf_dir, "events").filter(F.col("ts") < at).select("event_id", dates.per_hour(F.col("value"), F.col("ts"), at).alias("per_hour"))
