@@ -29,10 +29,11 @@ def union_first(*parts: DataFrame, key: Sequence[str]) -> DataFrame:
     for i, p in enumerate(parts):
         p = p.withColumn("__part", F.lit(i))
         out = p if out is None else out.unionByName(p, allowMissingColumns=True)
-    least = out.groupBy(*key).agg(F.min("__part").alias("__least"))
-    cond = [out[k].eqNullSafe(least[k]) for k in key]
-    kept = out.join(least, cond, "inner").filter(F.col("__part") == F.col("__least")).select(*[out[c] for c in out.columns if c != "__part"])
-    return kept
+    least = out.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(key)]).agg(F.min("__part").alias("__least"))
+    same = F.col("__part") == F.col("__least")
+    for i, k in enumerate(key):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    return out.join(least, same).select(*[c for c in out.columns if c != "__part"])
 
 
 def id_contract(expected: DataFrame, given: DataFrame, key: str) -> DataFrame:

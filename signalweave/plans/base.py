@@ -34,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales lines as (industry, area, yr, q, amount, okey, supp, part, hour-free ship day); amounts are exact decimals."""
+    """Sales lines as (industry, area, yr, q, amount, okey, supp, part, ship day); amounts are exact decimals."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate", "l_returnflag")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")

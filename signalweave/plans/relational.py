@@ -30,7 +30,7 @@ def ledger_precedence_join(spark, sf_dir):
     return joins.with_precedence(b, o, ["c_custkey"], ["segment", "name"])
 
 
-@query("human_label_join", "SELECT d.doc_id, source, quality, toxic, l.doc_id IS NOT NULL AS reviewed FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id")
+@query("human_label_join", "SELECT d.doc_id, source, CAST(quality AS BIGINT) AS quality, CAST(toxic AS BIGINT) AS toxic, l.doc_id IS NOT NULL AS reviewed FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id")
 def human_label_join(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", "source").join(table(spark, sf_dir, "labels").withColumn("reviewed", F.lit(True)), "doc_id", "left").select("doc_id", "source", "quality", "toxic", F.coalesce("reviewed", F.lit(False)).alias("reviewed"))
 
@@ -86,9 +86,9 @@ def registry_cap_violations(spark, sf_dir):
     return joins.cap_violations(r, caps, "level", "value", ["none", "partial", "full"])
 
 
-@query("foreign_key_check", "SELECT l_orderkey, l_linenumber, l_suppkey FROM lineitem WHERE l_suppkey % 50 = 7 AND NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = l_suppkey AND s_acctbal > 0)")
+@query("foreign_key_check", "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_suppkey FROM lineitem WHERE l_suppkey % 50 = 7 AND NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = l_suppkey AND s_acctbal > 4000)")
 def foreign_key_check(spark, sf_dir):
-    s = table(spark, sf_dir, "supplier").filter("s_acctbal > 0").select("s_suppkey")
+    s = table(spark, sf_dir, "supplier").filter("s_acctbal > 4000").select("s_suppkey")
     return table(spark, sf_dir, "lineitem").filter("l_suppkey % 50 = 7").join(s, F.col("s_suppkey") == F.col("l_suppkey"), "left_anti").select("l_orderkey", "l_linenumber", "l_suppkey")
 
 
@@ -388,7 +388,7 @@ def rule_violations(spark, sf_dir):
     return gates.violations(_orders(spark, sf_dir), "o_orderkey", {"STATUS_DOMAIN": s.isin("F", "O"), "PRICE_FLOOR": F.col("o_totalprice") >= 1000, "CONDITIONAL": (s != "F") | (F.col("o_orderpriority") != "5-LOW")})
 
 
-@query("unique_key_violations", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+@query("unique_key_violations", "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
 def unique_key_violations(spark, sf_dir):
     return gates.duplicates(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 

@@ -57,13 +57,13 @@ def latest_common_period(spark, sf_dir):
     return ops.latest_common(a.join(prior, ["yr", "q"], "left_semi"), b, ["yr", "q"]).select("yr", "q", (F.col("yr") - 1).alias("prior_yr"))
 
 
-@query("last_wins_cells", f"WITH {FACTS} SELECT industry, area, yr, CAST(amount AS DOUBLE) AS amount, okey, line FROM facts QUALIFY row_number() OVER (PARTITION BY industry, area, yr ORDER BY okey DESC, line DESC, amount DESC) = 1")
+@query("last_wins_cells", f"WITH {FACTS} SELECT industry, area, yr, CAST(amount AS DOUBLE) AS amount, okey, CAST(line AS BIGINT) AS line FROM facts QUALIFY row_number() OVER (PARTITION BY industry, area, yr ORDER BY okey DESC, line DESC, amount DESC) = 1")
 def last_wins_cells(spark, sf_dir):
     f = facts(spark, sf_dir).select("industry", "area", "yr", F.col("amount").cast("double").alias("amount"), "okey", "line")
     return ops.last_wins(f, ["industry", "area", "yr"], ["okey", "line", "amount"])
 
 
-@query("first_wins_cells", f"WITH {FACTS} SELECT industry, area, yr, CAST(amount AS DOUBLE) AS amount, okey, line FROM facts QUALIFY row_number() OVER (PARTITION BY industry, area, yr ORDER BY okey, line, amount) = 1")
+@query("first_wins_cells", f"WITH {FACTS} SELECT industry, area, yr, CAST(amount AS DOUBLE) AS amount, okey, CAST(line AS BIGINT) AS line FROM facts QUALIFY row_number() OVER (PARTITION BY industry, area, yr ORDER BY okey, line, amount) = 1")
 def first_wins_cells(spark, sf_dir):
     f = facts(spark, sf_dir).select("industry", "area", "yr", F.col("amount").cast("double").alias("amount"), "okey", "line")
     return ops.first_wins(f, ["industry", "area", "yr"], ["okey", "line", "amount"])
@@ -234,7 +234,7 @@ def weekday_balanced_mean(spark, sf_dir):
     return ops.weekday_balanced(e, ["event_type", "band"], "d", "v")
 
 
-@query("hour_bands", f"SELECT CAST(hour(ts) AS INT) AS h, band, count(*) AS n FROM events JOIN {_BAND_SQL} ON hour(ts) BETWEEN lo AND hi GROUP BY ALL")
+@query("hour_bands", f"SELECT hour(ts) AS h, band, count(*) AS n FROM events JOIN {_BAND_SQL} ON hour(ts) BETWEEN lo AND hi GROUP BY ALL")
 def hour_bands(spark, sf_dir):
     from ..functions.dates import band
 
