@@ -25,8 +25,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
-#: Characters of a batch given to the library at once, and threads of a worker.
-BATCH_CHARS, THREADS = 1_000_000, 2
+#: Characters and texts of a batch given to the library at once, and threads of a worker.
+BATCH_CHARS, BATCH_TEXTS, THREADS = 1_000_000, 10_000, 2
 #: Characters whose distinct words are gathered together.
 COLUMN_CHARS = 4_000_000
 #: Words kept with their ids between batches.
@@ -147,12 +147,12 @@ def tokenizer_of(raw: bytes, threads: int = THREADS):
     return _made[key]
 
 
-def batches_of(texts: list[str], chars: int = BATCH_CHARS) -> Iterator[list[str]]:
-    """Consecutive texts of about ``chars`` characters together; a longer text is alone."""
+def batches_of(texts: list[str], chars: int = BATCH_CHARS, most: int = BATCH_TEXTS) -> Iterator[list[str]]:
+    """Consecutive texts, up to ``most``, of about ``chars`` characters together; a longer text is alone."""
     held: list[str] = []
     n = 0
     for t in texts:
-        if held and n + len(t) > chars:
+        if held and (n + len(t) > chars or len(held) >= most):
             yield held
             held, n = [], 0
         held.append(t)
