@@ -297,7 +297,7 @@ def missing_context_fields(spark, sf_dir):
     return context.missing_fields(d, {"quality": F.col("quality"), "text": F.substring("text", 1, 3)}).select("doc_id", "missing", "context")
 
 
-@query("disposition_counts", "SELECT o_orderkey, 5 AS warned, CASE WHEN o_orderkey % 700 <= 500 THEN o_orderkey % 700 END AS dismissed FROM orders")
+@query("disposition_counts", "SELECT o_orderkey, CAST(5 AS BIGINT) AS warned, CASE WHEN o_orderkey % 700 <= 500 THEN o_orderkey % 700 END AS dismissed FROM orders")
 def disposition_counts(spark, sf_dir):
     t = F.concat(F.lit("warned 3, dismissed "), (F.col("o_orderkey") % 700).cast("string"), F.lit("; warned 5"))
     return table(spark, sf_dir, "orders").select("o_orderkey", context.disposition_counts(t, ["warned", "dismissed", "other"]).alias("counts")).select("o_orderkey", F.col("counts")["warned"].alias("warned"), F.col("counts")["dismissed"].alias("dismissed"))
