@@ -9,11 +9,10 @@ from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _SKIPPED = {"script", "style", "noscript", "template"}
 _BLOCKS = {"p", "div", "li", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "td", "th", "table", "section", "article", "header", "footer", "nav", "main", "br", "title", "body"}
-VISIBLE = T.StructType().add("kind", "string").add("pos", "int").add("tag", "string").add("text", "string").add("href", "string").add("table_no", "int").add("row_no", "int").add("cell_no", "int")
+VISIBLE = "kind string, pos int, tag string, text string, href string, table_no int, row_no int, cell_no int"
 
 
 class VisibleParser(HTMLParser):

@@ -28,13 +28,6 @@ class PagedReader(DataSourceReader):
         self.per_task = int(options.get("pagesPerPartition", 10))
         self.fields = fields
 
-    def pushFilters(self, filters) -> Iterator:
-        for f in filters:
-            if isinstance(f, EqualTo) and f.attribute == ("period",):
-                self.periods = [p for p in self.periods if p == f.value]
-            else:
-                yield f
-
     def _page(self, key: str, period: str, page: int) -> dict | None:
         name = os.path.join(self.root, f"{key}-{period}-{page}.json")
         if not os.path.exists(name):
@@ -65,8 +58,23 @@ class PagedReader(DataSourceReader):
                 yield (part.key, part.period, p, "ok", *[None if r.get(f) is None else str(r[f]) for f in self.fields])
 
 
+class PushingReader(PagedReader):
+    """Takes an equality on the period into the requests; other filters are left to Spark."""
+
+    def pushFilters(self, filters) -> Iterator:
+        for f in filters:
+            if isinstance(f, EqualTo) and f.attribute == ("period",):
+                self.periods = [p for p in self.periods if p == f.value]
+            else:
+                yield f
+
+
 class PagedSource(DataSource):
-    """format("paged_api"): path, keys, fields, and periods, pageSize, cap, pagesPerPartition if wanted."""
+    """format("paged_api"): path, keys, fields, and periods, pageSize, cap, pagesPerPartition if wanted.
+
+    With ``push`` set to true, filters on the period choose the requests; the session must allow it by
+    spark.sql.python.filterPushdown.enabled.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -76,4 +84,5 @@ class PagedSource(DataSource):
         return "source string, period string, page int, status string, " + ", ".join(f"{f} string" for f in self.options["fields"].split(","))
 
     def reader(self, schema) -> PagedReader:
-        return PagedReader(self.options, self.options["fields"].split(","))
+        kind = PushingReader if self.options.get("push", "false") == "true" else PagedReader
+        return kind(self.options, self.options["fields"].split(","))

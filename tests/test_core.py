@@ -247,7 +247,9 @@ def test_paged_source(spark, tmp_path):
     df = spark.read.format("paged_api").options(path=str(tmp_path), keys="sales", periods="20231,20241", fields="a,b", pageSize="2", pagesPerPartition="1").load()
     got = [(r["period"], r["page"], r["status"], r["a"]) for r in df.orderBy("period", "page", "a").collect()]
     assert got == [("20231", 1, "ok", "10"), ("20231", 1, "ok", "11"), ("20231", 2, "error", None), ("20231", 3, "ok", "30"), ("20241", 1, "ok", "10"), ("20241", 1, "ok", "11"), ("20241", 2, "ok", "20")]
-    assert df.filter("period = '20241'").count() == 3
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    pushed = spark.read.format("paged_api").options(path=str(tmp_path), keys="sales", periods="20231,20241", fields="a,b", pageSize="2", push="true").load().filter("period = '20241'")
+    assert pushed.count() == 3 and "20231" not in str(pushed.select("period").distinct().collect())
 
 
 def test_sinks(spark, tmp_path):
