@@ -13,22 +13,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def trim() -> None:
+    """Gives freed memory of this process back to the system."""
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library; there is nothing to trim then
+        pass
+
+
 def lean(run: Callable) -> Callable:
-    """A batch function that gives its memory back to the system when its task ends: workers live on for other stages."""
+    """A batch function that gives its memory back when its task ends: workers live on for other stages."""
 
     @functools.wraps(run)
     def wrapped(batches: Iterable) -> Iterator:
         try:
             yield from run(batches)
         finally:
-            import pyarrow as pa
-
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
-            except (OSError, AttributeError):  # another C library; there is nothing to trim then
-                pass
+            trim()
 
     return wrapped
 
@@ -98,4 +103,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if now == seen:
             break
         seen = now
+    else:
+        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return cur.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node").unionByName(cur.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -242,11 +242,32 @@ def _verify(threshold: float):
 
 def _block_pairs(df: DataFrame, blocks: str) -> DataFrame:
     """Each row once for every pair of blocks that its own block is in; ``block`` is its block of ``blocks``."""
-    df = df.withColumn("block", F.pmod(F.xxhash64("key"), F.col(blocks)).cast("int"))
-    df = df.withColumn("other", F.explode(F.sequence(F.lit(0), (F.col(blocks) - 1).cast("int"))))
+    df = df.withColumn("block", F.pmod(F.xxhash64("key"), F.col(blocks)))
+    return _with_others(df.withColumn("others", F.sequence(F.lit(0).cast("long"), (F.col(blocks) - 1).cast("long"))))
+
+
+def _with_others(df: DataFrame) -> DataFrame:
+    df = df.withColumn("other", F.explode("others")).drop("others")
     return df.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
 
 
+def _in_blocks(cand: DataFrame, threshold: float, small: int) -> DataFrame:
+    """``cand`` (root, key, n, ...) with ``block``, and ``others``: the blocks of its class that may hold sets similar to its own.
+
+    Sets of similarity t have sizes within a factor of t, so with sizes in bands of that factor only the same and the next
+    bands are compared. A band is divided by hash into blocks of bounded counts and bounded shingles.
+    """
+    # A little wider than the factor, so that rounding never puts a pair two bands apart.
+    band = F.floor(F.log(F.col("n").cast("double")) / (-math.log(threshold) * 1.000001)).cast("long")
+    cand = cand.withColumn("band", band)
+    load = cand.groupBy("root", "band").agg(F.greatest(F.ceil(F.count(F.lit(1)) / small), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("long").alias("k"))
+    near = load.select("root", F.explode(F.array(*[F.struct((F.col("band") + d).alias("band"), F.col("band").alias("of"), "k") for d in (-1, 0, 1)])).alias("x")).select("root", "x.*")
+    codes = F.transform(F.sequence(F.lit(0).cast("long"), F.col("k") - 1), lambda h: F.col("of") * (1 << 32) + h)
+    around = near.groupBy("root", "band").agg(F.flatten(F.collect_list(codes)).alias("others"), F.max(F.when(F.col("of") == F.col("band"), F.col("k"))).alias("k")).filter("k is not null")
+    joined = cand.join(around, ["root", "band"])
+    return joined.withColumn("block", F.col("band") * (1 << 32) + F.pmod(F.xxhash64("key"), F.col("k"))).drop("band", "k")
+
+
 def _paths(reps: DataFrame, first: int, last: int, threshold: float, small: int) -> tuple[DataFrame, DataFrame]:
     """Leaves (bucket, size, key) of runs first .. last-1, and (key, deficit): what their depth beyond 1 costs in log misses."""
     # The first step is hashed before rows are multiplied, so that signatures stay behind; only sets of large buckets fetch theirs.
@@ -319,13 +340,12 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     cand = components(edges)
     cand = stored(cand.join(reps.select("key", "low", "copies", "n"), cand["node"] == F.col("key")).select("key", "root", "low", "copies", "n"), "candidates")
-    load = cand.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / small), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    cand = cand.join(load, "root").withColumn("low", F.coalesce("low", F.lit(-(1 << 63))))
+    cand = _in_blocks(cand, threshold, small).withColumn("low", F.coalesce("low", F.lit(-(1 << 63))))
     texts = rows.withColumn("low", F.coalesce("doc_id", F.lit(-(1 << 63)))).select("key", "low", "text")
     # Sorted merge at every size: neither side has a bound that would allow a broadcast.
-    one = texts.join(cand.hint("merge"), ["key", "low"]).dropDuplicates(["key"]).select("root", "blocks", "key", "copies", "text")
-    sets = one.mapInArrow(lean(_shingled(words)), "root binary, blocks int, key binary, copies long, shingles array<long>")
-    spread = _block_pairs(sets, "blocks").select("root", "lo", "hi", "block", "key", "copies", "shingles")
+    one = texts.join(cand.hint("merge"), ["key", "low"]).dropDuplicates(["key"]).select("root", "block", "others", "key", "copies", "text")
+    sets = one.mapInArrow(lean(_shingled(words)), "root binary, block long, others array<long>, key binary, copies long, shingles array<long>")
+    spread = _with_others(sets).select("root", "lo", "hi", "block", "key", "copies", "shingles")
     links = stored(spread.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi").mapInArrow(lean(_verify(threshold)), "key binary, root binary, links long"), "links")
 
     counts = links.groupBy("key").agg(F.sum("links").alias("links"))
@@ -338,16 +358,16 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def _shingled(words: int):
-    schema = pa.schema([("root", pa.binary()), ("blocks", pa.int32()), ("key", pa.binary()), ("copies", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    schema = pa.schema([("root", pa.binary()), ("block", pa.int64()), ("others", pa.list_(pa.int64())), ("key", pa.binary()), ("copies", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                sets = [shingle_set(t, words) for t in part.column(4).to_pylist()]
+                sets = [shingle_set(t, words) for t in part.column(5).to_pylist()]
                 ends = np.cumsum([0, *(len(s) for s in sets)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.binary()), part.column(1), part.column(2).cast(pa.binary()), part.column(3), lists], schema=schema)
+                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.binary()), part.column(1), part.column(2).cast(schema.types[2]), part.column(3).cast(pa.binary()), part.column(4), lists], schema=schema)
 
     return run
 

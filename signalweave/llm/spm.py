@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, read_table, text_or_empty
+from .common import lean, read_table, text_or_empty, trim
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -284,6 +284,7 @@ def _encoded(raw: bytes, keep_ids: bool, verify: bool):
                 if keep_ids:
                     cols.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32, copy=False))))
                 yield pa.RecordBatch.from_arrays(cols, schema=schema)
+            trim()
 
     return run
 
