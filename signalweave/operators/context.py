@@ -55,6 +55,28 @@ def first_rule_match(df: DataFrame, rules: DataFrame, text: str, order: str, sub
     return df.join(F.broadcast(listed)).withColumn(out, F.get(hits, F.lit(0))[out]).drop("__rules")
 
 
+def speakers(df: DataFrame, key: Sequence[str], at: str, text: str, mark: str = r"[○●◯*]", name: str = r"[\w.-]+(?: [\w.-]+)?", parts: int = 4) -> DataFrame:
+    """``speaker``: the name after a mark and before a colon, put together from up to ``parts`` consecutive rows; the shortest
+    join that matches is taken; null where none does."""
+    w = W.partitionBy(*key).orderBy(at)
+    out = None
+    for n in range(1, parts + 1):
+        joined = F.concat_ws(" ", *[F.col(text) if i == 0 else F.lead(text, i).over(w) for i in range(n)])
+        got = F.regexp_extract(joined, rf"^\s*{mark}\s*({name})\s*:", 1)
+        got = F.when(got != "", got)
+        out = got if out is None else F.coalesce(out, got)
+    return df.withColumn("speaker", out)
+
+
+def transcript_parts(df: DataFrame, id_col: str, text: str, mark: str = r"\n", name: str = r"^([A-Za-zÀ-ɏ]+)[ .,]", letters: str = r"\p{L}", least_parts: int = 2, least_letters: int = 200) -> DataFrame:
+    """Parts of transcripts split at a mark: (id, pos, speaker, part); transcripts with too few parts or letters are left out."""
+    t = df.select(F.col(id_col), F.filter(F.split(F.col(text), mark), lambda p: F.trim(p) != "").alias("parts"), F.regexp_count(F.col(text), F.lit(letters)).alias("__n"))
+    ok = t.filter((F.size("parts") >= least_parts) & (F.col("__n") >= least_letters))
+    p = ok.select(id_col, F.posexplode("parts").alias("pos", "part"))
+    got = F.regexp_extract("part", name, 1)
+    return p.select(id_col, "pos", F.when(got != "", got).alias("speaker"), "part")
+
+
 def missing_fields(df: DataFrame, required: dict[str, Column], name: str = "missing") -> DataFrame:
     """``missing``: labels of required fields that are null or empty; ``context``: PASS without any, else HOLD."""
     gaps = F.array_compact(F.array(*[F.when(F.coalesce(F.trim(c.cast("string")), F.lit("")) == "", F.lit(n)) for n, c in required.items()]))

@@ -45,6 +45,20 @@ def same_issue(a: dict[str, Column], b: dict[str, Column]) -> Column:
     return F.when(a["doc"] == b["doc"], within).otherwise(across)
 
 
+def near_duplicate_pair(a: dict[str, Column], b: dict[str, Column], least: float = 0.66) -> Column:
+    """The full near-duplicate predicate as a column. Keys: key, tokens, markers, families, page, values.
+
+    One key contains the other; or two topic markers are shared; or a family is shared on the same page or with a shared value;
+    or the overlap coefficient reaches ``least``.
+    """
+    from ..functions.text import overlap
+
+    common = lambda k: F.size(F.array_intersect(a[k], b[k]))
+    contained = (F.length(a["key"]) > 0) & (F.length(b["key"]) > 0) & (F.contains(a["key"], b["key"]) | F.contains(b["key"], a["key"]))
+    related = (common("families") > 0) & ((a["page"] == b["page"]) | (common("values") > 0))
+    return contained | (common("markers") >= 2) | related | (overlap(a["tokens"], b["tokens"]) >= least)
+
+
 def _overlap(a: frozenset, b: frozenset) -> float:
     return len(a & b) / min(len(a), len(b)) if a and b else 0.0
 

@@ -369,3 +369,24 @@ SELECT id, CASE WHEN n IN (SELECT n FROM kk) THEN 'KEPT' WHEN EXISTS (SELECT 1 F
 def unique_family_issue_cap(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 7).alias("f"), F.col("o_orderpriority").alias("i"), (-F.col("o_totalprice")).alias("p"))
     return sim.unique_with_reasons(o, ["p", "id"], "f", "i", "id", 2)
+
+
+@query("speaker_recognition", "WITH t AS (SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN '* ' || role ELSE ': ' || left(text, 5) END AS x FROM conversations) SELECT conv_id, turn, CASE WHEN turn % 2 = 0 AND lead(x) OVER w IS NOT NULL THEN substr(x, 3) END AS speaker FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn)")
+def speaker_recognition(spark, sf_dir):
+    even = F.col("turn") % 2 == 0
+    t = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.when(even, F.concat(F.lit("* "), "role")).otherwise(F.concat(F.lit(": "), F.substring("text", 1, 5))).alias("x"))
+    return context.speakers(t, ["conv_id"], "turn", "x").select("conv_id", "turn", "speaker")
+
+
+@query("transcript_split", r"WITH s AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda p: trim(p) <> '') AS parts, len(regexp_extract_all(text, '\p{L}')) AS n FROM documents), e AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) - 1 AS pos FROM s WHERE len(parts) >= 2 AND n >= 200) SELECT doc_id, pos, nullif(regexp_extract(part, '^([A-Za-zÀ-ɏ]+)[ .,]', 1), '') AS speaker, part FROM e")
+def transcript_split(spark, sf_dir):
+    return context.transcript_parts(_docs(spark, sf_dir), "doc_id", "text")
+
+
+@query("near_duplicate_predicate")
+def near_duplicate_predicate(spark, sf_dir):
+    d = _tokens(spark, sf_dir).withColumns({"markers": txt.matched_terms(F.col("key"), ["license", "copyright", "version"]), "families": F.array("lang")})
+    pairs = sim.token_pairs(d, "doc_id", "tokens", 0.3, common=20).select("a", "b")
+    side = lambda p: d.select(F.col("doc_id").alias(p), *[F.col(c).alias(f"{p}_{c}") for c in ("key", "tokens", "markers", "families", "source", "n_chars")])
+    cols = lambda p: {"key": F.col(f"{p}_key"), "tokens": F.col(f"{p}_tokens"), "markers": F.col(f"{p}_markers"), "families": F.col(f"{p}_families"), "page": F.col(f"{p}_source"), "values": F.array(f"{p}_n_chars")}
+    return pairs.join(side("a"), "a").join(side("b"), "b").filter(sim.near_duplicate_pair(cols("a"), cols("b"))).select("a", "b")
