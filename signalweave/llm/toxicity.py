@@ -111,7 +111,7 @@ class _Rows:
         return np.bincount(self.col, weights=d[self.row], minlength=self.width)
 
 
-def fit_nnpu(positive: list[list[int]], unlabelled: list[list[int]], width: int, prior: float, steps: int = 400, rate: float = 0.1, decay: float = 1e-5, beta: float = 0.0) -> tuple[np.ndarray, float]:
+def fit_nnpu(positive: list[list[int]], unlabelled: list[list[int]], width: int, prior: float, steps: int = 600, rate: float = 0.1, decay: float = 1e-6, beta: float = 0.0) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise the non-negative risk with the sigmoid loss, by Adam on all rows."""
     p, u = _Rows(positive, width), _Rows(unlabelled, width)
     theta = np.zeros(width + 1)
