@@ -46,7 +46,8 @@ def exclusive_quartile(df: DataFrame, value: str, group: Sequence[str] = (), sha
     """The exclusive quantile of positive values: position (n + 1) * share, interpolated; the neighbours are clamped to the
     ends, so few values can extrapolate. Null for fewer than two values.
 
-    Ranks come from counts of distinct values, not of rows: partial sums keep the shuffle at the number of distinct values.
+    Ranks come from counts of distinct values, not of rows: partial sums keep the shuffle at the number of distinct values. A group's
+    distinct values are ordered in one task, so this is for measures of cells; round or group finer values first.
     """
     counts = df.filter(F.col(value) > 0).groupBy(*group, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c"))
     w = W.partitionBy(*(group or [F.lit(0)])).orderBy("v")

@@ -24,16 +24,13 @@ def sibling_counts(df: DataFrame, entity: str, kinds: dict[str, Column]) -> Data
     return df.groupBy(entity).agg(*[F.count_if(c).alias(n) for n, c in kinds.items()])
 
 
-def token_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tokens: str, least_shared: int = 2, least_score: int = 5, k: int = 2, most: int = 8, common: int | None = None) -> DataFrame:
+def token_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tokens: str, least_shared: int = 2, least_score: int = 5, k: int = 2, most: int = 8) -> DataFrame:
     """Best ``k`` right rows of each left row by shared tokens: score is the sum of min(length + 1, ``most``).
 
-    Tokens are exploded and joined by token, never row by row. ``common``: tokens in more right rows than this are left out
-    of the join; they are known by counting, and scores then are of the other tokens only.
+    Tokens are exploded and joined by token, never row by row; give tokens without stop words.
     """
     a = left.select(F.col(left_id).alias("l"), F.explode(F.array_distinct(tokens)).alias("t"))
     b = right.select(F.col(right_id).alias("r"), F.explode(F.array_distinct(tokens)).alias("t"))
-    if common is not None:
-        b = b.join(b.groupBy("t").count().filter(F.col("count") <= common).select("t"), "t", "left_semi")
     pairs = a.join(b, "t").groupBy("l", "r").agg(F.count(F.lit(1)).alias("shared"), F.sum(F.least(F.length("t") + 1, F.lit(most))).alias("score"))
     good = pairs.filter((F.col("shared") >= least_shared) & (F.col("score") >= least_score))
     top = good.withColumn("rank", F.row_number().over(W.partitionBy("l").orderBy(F.desc("score"), F.asc("r")))).filter(F.col("rank") <= k)

@@ -154,7 +154,10 @@ def isolated(df: DataFrame, key: str, schema: str, work: Callable[[dict], dict])
 
 
 def numbered_review_problems(df: DataFrame, ordinal: str, key: Sequence[str], labels: Sequence[str], label: str, day: str) -> DataFrame:
-    """(line, problem) of a review sheet: unknown label, bad date, repeated key (at its later lines). The header is line 1."""
+    """(line, problem) of a review sheet: unknown label, bad date, repeated key (at its later lines). The header is line 1.
+
+    A sheet is made by people and small; for anything larger give a ``line`` column, and no single ordered pass is made.
+    """
     lines = df.withColumn("line", F.row_number().over(W.partitionBy(F.lit(0)).orderBy(ordinal)) + 1) if "line" not in df.columns else df
     nth = F.row_number().over(W.partitionBy(*key).orderBy("line"))
     problem = F.when(~F.col(label).isin(*labels), "LABEL").when(F.col(day).try_cast("date").isNull(), "DATE").when(nth > 1, "REPEATED")

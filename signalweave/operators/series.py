@@ -129,7 +129,10 @@ def series_append(series: DataFrame, snapshot: DataFrame, key: Sequence[str], at
 
 
 def retain_newest(df: DataFrame, key: Sequence[str], order: Sequence[Column], keep: int) -> DataFrame:
-    return df.withColumn("__r", F.row_number().over(W.partitionBy(*(key or [F.lit(0)])).orderBy(*order))).filter(F.col("__r") <= keep).drop("__r")
+    """The first ``keep`` rows of each key by ``order``; of the whole table without a key, by a distributed top-k."""
+    if not key:
+        return df.orderBy(*order).limit(keep)
+    return df.withColumn("__r", F.row_number().over(W.partitionBy(*key).orderBy(*order))).filter(F.col("__r") <= keep).drop("__r")
 
 
 def merge_counters(stored: DataFrame, delta: DataFrame, key: Sequence[str], counters: Sequence[str]) -> DataFrame:

@@ -14,20 +14,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def token_pairs(df: DataFrame, id_col: str, tokens: str, least_overlap: float, common: int | None = None) -> DataFrame:
-    """(a, b, shared, jaccard, overlap) of pairs with a < b that share a token and reach ``least_overlap`` (of the smaller set).
+def token_pairs(df: DataFrame, id_col: str, tokens: str, least_overlap: float) -> DataFrame:
+    """(a, b, shared, jaccard, overlap) of all pairs with a < b whose overlap coefficient is ``least_overlap`` or more.
 
-    ``common``: tokens in more rows than this do not make pairs (they still count in the sizes and in the intersection).
+    Exact, by a prefix filter: the smaller set must share that part of its tokens, so among its rarest tokens, one more than
+    may be missing, at least one is shared. Only these are joined with the tokens of sets that are as large or larger.
     """
-    sets = df.select(F.col(id_col).alias("id"), F.array_distinct(tokens).alias("t"))
-    rows = sets.select("id", F.explode("t").alias("tok"))
-    if common is not None:
-        rows = rows.join(rows.groupBy("tok").count().filter(F.col("count") <= common).select("tok"), "tok", "left_semi")
-    pairs = rows.alias("x").join(rows.alias("y"), (F.col("x.tok") == F.col("y.tok")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    j = pairs.join(sets.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").join(sets.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
-    shared = F.size(F.array_intersect("ta", "tb"))
-    out = j.select("a", "b", shared.alias("shared"), (shared / F.size(F.array_union("ta", "tb"))).alias("jaccard"), (shared / F.least(F.size("ta"), F.size("tb"))).alias("overlap"))
-    return out.filter(F.col("overlap") >= least_overlap)
+    sets = df.select(F.col(id_col).alias("id"), F.array_distinct(tokens).alias("t")).filter(F.size("t") > 0).withColumn("n", F.size("t"))
+    rows = sets.select("id", "n", F.explode("t").alias("tok"))
+    freq = rows.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    shared_tokens = rows.join(freq, "tok")
+    # Tokens of one text alone are the rarest, so they take the first places of its prefix without being joined.
+    alone = rows.groupBy("id", "n").agg(F.count(F.lit(1)).alias("all")).join(shared_tokens.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("by_df")), "id")
+    room = F.col("n") - F.ceil(F.col("n") * least_overlap - 1e-9) + 1 - (F.col("n") - F.size("by_df"))
+    small = alone.filter(room > 0).select(F.col("id").alias("x"), F.col("n").alias("nx"), F.explode(F.slice("by_df", F.lit(1), room.cast("int"))).alias("e")).select("x", "nx", F.col("e.tok").alias("tok"))
+    large = shared_tokens.select(F.col("id").alias("y"), F.col("n").alias("ny"), "tok")
+    met = small.join(large, "tok").filter((F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    j = met.join(sets.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").join(sets.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
+    j = j.withColumn("shared", F.size(F.array_intersect("ta", "tb"))).filter(F.col("shared") / F.least(F.size("ta"), F.size("tb")) >= least_overlap)
+    return j.select("a", "b", "shared", (F.col("shared") / (F.size("ta") + F.size("tb") - F.col("shared"))).alias("jaccard"), (F.col("shared") / F.least(F.size("ta"), F.size("tb"))).alias("overlap"))
 
 
 def same_issue(a: dict[str, Column], b: dict[str, Column]) -> Column:

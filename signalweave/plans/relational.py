@@ -86,10 +86,10 @@ def registry_cap_violations(spark, sf_dir):
     return joins.cap_violations(r, caps, "level", "value", ["none", "partial", "full"])
 
 
-@query("foreign_key_check", "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_suppkey FROM lineitem WHERE l_suppkey % 50 = 7 AND NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = l_suppkey AND s_acctbal > 4000)")
+@query("foreign_key_check", "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_suppkey FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = l_suppkey AND s_acctbal > 4000)")
 def foreign_key_check(spark, sf_dir):
     s = table(spark, sf_dir, "supplier").filter("s_acctbal > 4000").select("s_suppkey")
-    return table(spark, sf_dir, "lineitem").filter("l_suppkey % 50 = 7").join(s, F.col("s_suppkey") == F.col("l_suppkey"), "left_anti").select("l_orderkey", "l_linenumber", "l_suppkey")
+    return table(spark, sf_dir, "lineitem").join(s, F.col("s_suppkey") == F.col("l_suppkey"), "left_anti").select("l_orderkey", "l_linenumber", "l_suppkey")
 
 
 # --- selection
@@ -123,12 +123,12 @@ def union_first_wins(spark, sf_dir):
 
 @query(
     "id_contract",
-    """WITH e AS (SELECT c_custkey AS id FROM customer WHERE c_custkey <= 300), g AS (SELECT o_custkey AS id FROM orders WHERE o_orderkey <= 400), n AS (SELECT id, count(*) AS c FROM g GROUP BY id)
+    """WITH e AS (SELECT c_custkey AS id FROM customer WHERE c_acctbal > 2000), g AS (SELECT o_custkey AS id FROM orders WHERE o_orderpriority = '1-URGENT'), n AS (SELECT id, count(*) AS c FROM g GROUP BY id)
 SELECT coalesce(e.id, n.id) AS id, CASE WHEN e.id IS NULL THEN 'UNKNOWN' WHEN n.id IS NULL THEN 'MISSING' ELSE 'DUPLICATE' END AS problem FROM e FULL JOIN n ON e.id = n.id WHERE e.id IS NULL OR n.id IS NULL OR c > 1""",
 )
 def id_contract(spark, sf_dir):
-    e = table(spark, sf_dir, "customer").filter("c_custkey <= 300").select(F.col("c_custkey").alias("id"))
-    g = _orders(spark, sf_dir).filter("o_orderkey <= 400").select(F.col("o_custkey").alias("id"))
+    e = table(spark, sf_dir, "customer").filter("c_acctbal > 2000").select(F.col("c_custkey").alias("id"))
+    g = _orders(spark, sf_dir).filter("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("id"))
     return sel.id_contract(e, g, "id")
 
 
@@ -211,11 +211,11 @@ def cross_lane_selection(spark, sf_dir):
 
 @query(
     "family_collapse",
-    """WITH d AS (SELECT d.doc_id, md5(left(text, 40)) AS family, n_chars, l.doc_id IS NOT NULL AS reviewed FROM documents d LEFT JOIN labels l USING (doc_id)), p AS (SELECT * FROM d WHERE NOT reviewed AND family NOT IN (SELECT family FROM d WHERE reviewed))
+    """WITH d AS (SELECT d.doc_id, md5(split_part(text, chr(10), 1)) AS family, n_chars, l.doc_id IS NOT NULL AS reviewed FROM documents d LEFT JOIN labels l USING (doc_id)), p AS (SELECT * FROM d WHERE NOT reviewed AND family NOT IN (SELECT family FROM d WHERE reviewed))
 SELECT doc_id, reviewed FROM d WHERE reviewed UNION ALL SELECT doc_id, reviewed FROM (SELECT *, row_number() OVER (PARTITION BY family ORDER BY n_chars DESC, doc_id) AS r FROM p) WHERE r = 1""",
 )
 def family_collapse(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", F.md5(F.substring("text", 1, 40).cast("binary")).alias("family"), "n_chars")
+    d = table(spark, sf_dir, "documents").select("doc_id", F.md5(F.substring_index("text", "\n", 1).cast("binary")).alias("family"), "n_chars")
     d = d.join(table(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("r")), "doc_id", "left").withColumn("reviewed", F.coalesce("r", F.lit(False))).drop("r")
     done = d.filter("reviewed")
     pending = d.filter("not reviewed").join(done.select("family").distinct(), "family", "left_anti")
@@ -314,12 +314,12 @@ def precision_evaluation(spark, sf_dir):
 
 @query(
     "editorial_gate",
-    f"""WITH {_REV}, g AS (SELECT source, count(*) AS n, count(quality) AS reviewed, CAST(count(quality) AS DOUBLE) / count(*) AS completion, CASE WHEN count(quality) > 0 THEN CAST(count(*) FILTER (quality = 1) AS DOUBLE) / count(quality) END AS useful, CASE WHEN count(quality) > 0 THEN CAST(count(*) FILTER (toxic = 1) AS DOUBLE) / count(quality) END AS noise FROM r WHERE doc_id % 5 <> 0 OR quality IS NOT NULL GROUP BY source)
+    f"""WITH {_REV}, g AS (SELECT source, count(*) AS n, count(quality) AS reviewed, CAST(count(quality) AS DOUBLE) / count(*) AS completion, CASE WHEN count(quality) > 0 THEN CAST(count(*) FILTER (quality = 1) AS DOUBLE) / count(quality) END AS useful, CASE WHEN count(quality) > 0 THEN CAST(count(*) FILTER (toxic = 1) AS DOUBLE) / count(quality) END AS noise FROM r GROUP BY source)
 SELECT source, completion, useful, noise, CASE WHEN NOT (completion >= 0.4 AND reviewed >= least(10, n)) THEN 'INSUFFICIENT' WHEN useful >= 0.35 AND noise <= 0.5 THEN 'DEEPEN' WHEN useful >= 0.15 THEN 'AUXILIARY' ELSE 'STOP' END AS verdict FROM g""",
 )
 def editorial_gate(spark, sf_dir):
     n, seen = F.count(F.lit(1)), F.count("quality")
-    g = _reviewed(spark, sf_dir).filter("doc_id % 5 <> 0 or quality is not null").groupBy("source").agg(n.alias("n"), seen.alias("reviewed"), (seen.cast("double") / n).alias("completion"), num.ratio(F.count_if(F.col("quality") == 1).cast("double"), seen).alias("useful"), num.ratio(F.count_if(F.col("toxic") == 1).cast("double"), seen).alias("noise"))
+    g = _reviewed(spark, sf_dir).groupBy("source").agg(n.alias("n"), seen.alias("reviewed"), (seen.cast("double") / n).alias("completion"), num.ratio(F.count_if(F.col("quality") == 1).cast("double"), seen).alias("useful"), num.ratio(F.count_if(F.col("toxic") == 1).cast("double"), seen).alias("noise"))
     return g.select("source", "completion", "useful", "noise", gates.editorial_verdict(F.col("completion") * 2, F.col("reviewed"), F.col("n"), F.col("useful"), F.col("noise")).alias("verdict"))
 
 
@@ -371,11 +371,11 @@ def cluster_readiness(spark, sf_dir):
 
 @query(
     "group_merge_for_review",
-    "SELECT conv_id, list_slice(list_distinct_ordered, 1, 3) AS anchors, n_turns, roles FROM (SELECT conv_id, list(left(text, 40) ORDER BY turn) AS list_distinct_ordered, count(*) AS n_turns, list_sort(list(DISTINCT role)) AS roles FROM conversations WHERE role = 'user' GROUP BY conv_id)",
+    "SELECT conv_id, list_slice(list_distinct_ordered, 1, 3) AS anchors, n_turns, roles FROM (SELECT conv_id, list(text ORDER BY turn) AS list_distinct_ordered, count(*) AS n_turns, list_sort(list(DISTINCT role)) AS roles FROM conversations WHERE role = 'user' GROUP BY conv_id)",
 )
 def group_merge_for_review(spark, sf_dir):
     c = table(spark, sf_dir, "conversations").filter("role = 'user'")
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("turn", F.substring("text", 1, 40).alias("t")))), lambda x: x["t"])
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("turn", F.col("text").alias("t")))), lambda x: x["t"])
     return c.groupBy("conv_id").agg(F.slice(ordered, 1, 3).alias("anchors"), F.count(F.lit(1)).alias("n_turns"), F.array_sort(F.collect_set("role")).alias("roles"))
 
 
@@ -420,12 +420,12 @@ def set_cover_proof(spark, sf_dir):
 
 @query(
     "decision_recording",
-    "WITH d AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'KEEP' WHEN o_orderkey % 3 = 1 THEN 'DROP' ELSE 'WHAT' END AS decision FROM orders WHERE o_orderkey <= 900), q AS (SELECT o_orderkey AS id FROM orders WHERE o_orderkey BETWEEN 200 AND 2000), p AS (SELECT o_orderkey AS id FROM orders WHERE o_orderkey <= 300) SELECT id, decision FROM d WHERE decision IN ('KEEP', 'DROP') AND id IN (SELECT id FROM q) AND id NOT IN (SELECT id FROM p) ORDER BY id DESC LIMIT 200",
+    "WITH d AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'KEEP' WHEN o_orderkey % 3 = 1 THEN 'DROP' ELSE 'WHAT' END AS decision FROM orders), q AS (SELECT o_orderkey AS id FROM orders WHERE o_orderstatus = 'O'), p AS (SELECT o_orderkey AS id FROM orders WHERE o_orderpriority = '5-LOW') SELECT id, decision FROM d WHERE decision IN ('KEEP', 'DROP') AND id IN (SELECT id FROM q) AND id NOT IN (SELECT id FROM p) ORDER BY id DESC LIMIT 200",
 )
 def decision_recording(spark, sf_dir):
-    o = _orders(spark, sf_dir).select(F.col("o_orderkey").alias("id"))
-    d = o.filter("id <= 900").withColumn("decision", F.when(F.col("id") % 3 == 0, "KEEP").when(F.col("id") % 3 == 1, "DROP").otherwise("WHAT"))
-    good = d.filter(F.col("decision").isin("KEEP", "DROP")).join(o.filter("id between 200 and 2000"), "id", "left_semi").join(o.filter("id <= 300"), "id", "left_anti")
+    o = _orders(spark, sf_dir).select(F.col("o_orderkey").alias("id"), "o_orderstatus", "o_orderpriority")
+    d = o.select("id").withColumn("decision", F.when(F.col("id") % 3 == 0, "KEEP").when(F.col("id") % 3 == 1, "DROP").otherwise("WHAT"))
+    good = d.filter(F.col("decision").isin("KEEP", "DROP")).join(o.filter("o_orderstatus = 'O'"), "id", "left_semi").join(o.filter("o_orderpriority = '5-LOW'"), "id", "left_anti")
     return good.orderBy(F.desc("id")).limit(200)
 
 

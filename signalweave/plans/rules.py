@@ -162,23 +162,23 @@ def keyed_upsert_tail(spark, sf_dir):
     return rules.keyed_upsert(part(1999), part(2000), "id", [F.desc("v"), F.asc("id")], 50)
 
 
-@query("document_identity", "WITH a AS (SELECT doc_id, source, sha256(text) AS h FROM documents WHERE doc_id % 2 = 0), b AS (SELECT doc_id, source, sha256(text) AS h FROM documents WHERE doc_id % 2 = 1) SELECT doc_id FROM b WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.doc_id = b.doc_id) AND NOT EXISTS (SELECT 1 FROM a WHERE a.source = b.source AND a.h = b.h)")
+@query("document_identity", "WITH a AS (SELECT doc_id, source, sha256(text) AS h FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)), b AS (SELECT doc_id, source, sha256(text) AS h FROM documents) SELECT doc_id FROM b WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.doc_id = b.doc_id) AND NOT EXISTS (SELECT 1 FROM a WHERE a.source = b.source AND a.h = b.h)")
 def document_identity(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "source", F.sha2(F.col("text"), 256).alias("h"))
-    a, b = d.filter("doc_id % 2 = 0"), d.filter("doc_id % 2 = 1")
+    a, b = d.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi"), d
     return b.join(a.select("doc_id"), "doc_id", "left_anti").join(a.select("source", "h"), ["source", "h"], "left_anti").select("doc_id")
 
 
-@query("external_grouping_checked", "SELECT c_custkey AS id, CASE WHEN c_custkey < 30 THEN 'g' || CAST(c_custkey // 3 AS VARCHAR) ELSE 'single-' || CAST(c_custkey AS VARCHAR) END AS \"group\" FROM customer WHERE c_custkey BETWEEN 3 AND 60")
+@query("external_grouping_checked", "WITH m AS (SELECT c_custkey AS id, c_custkey // 3 AS g FROM customer WHERE (c_custkey // 3) % 2 = 1 OR c_custkey % 3 = 0), n AS (SELECT g, count(*) AS c FROM m GROUP BY g HAVING count(*) >= 2), k AS (SELECT id, g FROM m JOIN n USING (g)) SELECT c_custkey AS id, coalesce('g' || CAST(g AS VARCHAR), 'single-' || CAST(c_custkey AS VARCHAR)) AS \"group\" FROM customer LEFT JOIN k ON k.id = c_custkey")
 def external_grouping_checked(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").filter("c_custkey between 3 and 60").select(F.col("c_custkey").alias("id"))
-    g = c.withColumn("g", F.concat(F.lit("g"), F.floor(F.col("id") / 3).cast("string"))).filter("id < 30 or id % 3 = 0").groupBy("g").agg(F.collect_list("id").alias("members"), F.min("id").alias("rep"))
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    g = c.withColumn("g", F.concat(F.lit("g"), F.floor(F.col("id") / 3).cast("string"))).filter("floor(id / 3) % 2 = 1 or id % 3 = 0").groupBy("g").agg(F.collect_list("id").alias("members"), F.min("id").alias("rep"))
     return rules.validated_groups(g, c, "g", "id", "rep")
 
 
-@query("headline_copies_quote", r"WITH t AS (SELECT doc_id, list_distinct(list_filter(regexp_extract_all(lower(left(text, 60)), '([0-9A-Za-zÀ-ɏ가-힣]{2,})', 1), lambda t: NOT regexp_matches(t, '^[0-9]+$'))) AS h, list_distinct(list_filter(regexp_extract_all(lower(left(text, 55)), '([0-9A-Za-zÀ-ɏ가-힣]{2,})', 1), lambda t: NOT regexp_matches(t, '^[0-9]+$'))) AS q FROM documents) SELECT doc_id, CASE WHEN len(h) > 0 THEN CAST(len(list_intersect(h, q)) AS DOUBLE) / len(h) > 0.9 ELSE FALSE END AS copies FROM t")
+@query("headline_copies_quote", r"WITH t AS (SELECT doc_id, list_distinct(list_filter(regexp_extract_all(lower(split_part(text, chr(10), 1)), '([0-9A-Za-zÀ-ɏ가-힣]{2,})', 1), lambda t: NOT regexp_matches(t, '^[0-9]+$'))) AS h, list_distinct(list_filter(regexp_extract_all(lower(split_part(text, chr(10), 2)), '([0-9A-Za-zÀ-ɏ가-힣]{2,})', 1), lambda t: NOT regexp_matches(t, '^[0-9]+$'))) AS q FROM documents) SELECT doc_id, CASE WHEN len(h) > 0 THEN CAST(len(list_intersect(h, q)) AS DOUBLE) / len(h) > 0.9 ELSE FALSE END AS copies FROM t")
 def headline_copies_quote(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", txt.copies_quote(F.substring("text", 1, 60), F.substring("text", 1, 55)).alias("copies"))
+    return table(spark, sf_dir, "documents").select("doc_id", txt.copies_quote(F.split_part("text", F.lit("\n"), F.lit(1)), F.split_part("text", F.lit("\n"), F.lit(2))).alias("copies"))
 
 
 @query("archetype_promotion", "WITH c AS (SELECT doc_id, CASE WHEN contains(lower(text), 'licensed') THEN 'official' WHEN contains(text, '|') THEN 'table' ELSE 'other' END AS base, CASE WHEN contains(text, 'the ') THEN 1 ELSE 0 END + CASE WHEN contains(text, 'and ') THEN 1 ELSE 0 END + CASE WHEN contains(text, 'of ') THEN 1 ELSE 0 END AS hits FROM documents) SELECT doc_id, CASE WHEN base = 'other' AND hits >= 2 THEN 'explained' ELSE base END AS archetype FROM c")
@@ -253,30 +253,30 @@ def observation_contract(spark, sf_dir):
     return gates.violations(n, "source", {"TOO_MANY": F.col("n") <= 20, "REPEATED_BODY": F.col("u") == F.col("n")})
 
 
-@query("speech_type", "WITH w AS (SELECT conv_id, turn, string_agg(left(text, 30), '') OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 120 PRECEDING AND CURRENT ROW) AS near FROM conversations), x AS (SELECT *, replace(lower(near), ' ', '') AS n FROM w) SELECT conv_id, turn, CASE WHEN contains(n, 'thatthe') THEN 'QUESTION' WHEN contains(n, 'andthe') THEN 'REPORT' ELSE 'STATEMENT' END AS speech FROM x")
+@query("speech_type", "WITH w AS (SELECT conv_id, turn, string_agg(text, '') OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 120 PRECEDING AND CURRENT ROW) AS near FROM conversations), x AS (SELECT *, replace(lower(near), ' ', '') AS n FROM w) SELECT conv_id, turn, CASE WHEN contains(n, 'thatthe') THEN 'QUESTION' WHEN contains(n, 'andthe') THEN 'REPORT' ELSE 'STATEMENT' END AS speech FROM x")
 def speech_type(spark, sf_dir):
     w = W.partitionBy("conv_id").orderBy("turn").rowsBetween(-120, 0)
-    near = F.replace(F.lower(F.array_join(F.collect_list(F.substring("text", 1, 30)).over(w), "")), F.lit(" "), F.lit(""))
+    near = F.replace(F.lower(F.array_join(F.collect_list("text").over(w), "")), F.lit(" "), F.lit(""))
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", near.alias("n")).select("conv_id", "turn", txt.first_rule([(F.contains("n", F.lit("thatthe")), "QUESTION"), (F.contains("n", F.lit("andthe")), "REPORT")], "STATEMENT").alias("speech"))
 
 
-@query("latest_subject", "SELECT conv_id, arg_max(left(text, 60), turn) FILTER (role = 'user' AND length(text) <= 180) AS subject, count(*) AS n FROM conversations GROUP BY conv_id")
+@query("latest_subject", "SELECT conv_id, arg_max(text, turn) FILTER (role = 'user' AND length(text) <= 180) AS subject, count(*) AS n FROM conversations GROUP BY conv_id")
 def latest_subject(spark, sf_dir):
     ok = (F.col("role") == "user") & (F.length("text") <= 180)
-    return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.max_by(F.when(ok, F.substring("text", 1, 60)), F.when(ok, F.col("turn"))).alias("subject"), F.count(F.lit(1)).alias("n"))
+    return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.max_by(F.when(ok, F.col("text")), F.when(ok, F.col("turn"))).alias("subject"), F.count(F.lit(1)).alias("n"))
 
 
-@query("audit_card_gate", "WITH c AS (SELECT d.doc_id, n_chars > 300 AND quality IS NOT NULL AND toxic IS NOT NULL AND (quality = 1 OR n_chars > 3000) AS ready, left(text, 40) AS finding FROM documents d LEFT JOIN labels USING (doc_id)) SELECT doc_id, CASE WHEN coalesce(ready, FALSE) THEN 'READY' ELSE 'HOLD' END AS state, CASE WHEN ready THEN finding END AS finding FROM c")
+@query("audit_card_gate", "WITH c AS (SELECT d.doc_id, n_chars > 300 AND quality IS NOT NULL AND toxic IS NOT NULL AND (quality = 1 OR n_chars > 3000) AS ready, split_part(text, chr(10), 1) AS finding FROM documents d LEFT JOIN labels USING (doc_id)) SELECT doc_id, CASE WHEN coalesce(ready, FALSE) THEN 'READY' ELSE 'HOLD' END AS state, CASE WHEN ready THEN finding END AS finding FROM c")
 def audit_card_gate(spark, sf_dir):
     d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     ready = F.coalesce((F.col("n_chars") > 300) & F.col("quality").isNotNull() & F.col("toxic").isNotNull() & ((F.col("quality") == 1) | (F.col("n_chars") > 3000)), F.lit(False))
-    return d.select("doc_id", F.when(ready, "READY").otherwise("HOLD").alias("state"), F.when(ready, F.substring("text", 1, 40)).alias("finding"))
+    return d.select("doc_id", F.when(ready, "READY").otherwise("HOLD").alias("state"), F.when(ready, F.substring_index("text", "\n", 1)).alias("finding"))
 
 
-@query("selected_lead_match", "SELECT d.doc_id FROM documents d WHERE EXISTS (SELECT 1 FROM documents l WHERE l.doc_id % 10 = 0 AND l.source = d.source AND l.lang = d.lang AND contains(d.text, left(l.text, 30)))")
+@query("selected_lead_match", "SELECT d.doc_id FROM documents d WHERE EXISTS (SELECT 1 FROM documents l JOIN labels b ON b.doc_id = l.doc_id AND b.quality = 1 WHERE l.source = d.source AND l.lang = d.lang AND contains(d.text, split_part(l.text, chr(10), 1)))")
 def selected_lead_match(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
-    lead = d.filter("doc_id % 10 = 0").select(F.col("source").alias("s"), F.col("lang").alias("l"), F.substring("text", 1, 30).alias("anchor"))
+    lead = d.join(table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id"), "doc_id", "left_semi").select(F.col("source").alias("s"), F.col("lang").alias("l"), F.substring_index("text", "\n", 1).alias("anchor"))
     return d.join(lead, (F.col("source") == F.col("s")) & (F.col("lang") == F.col("l")) & F.contains("text", "anchor"), "left_semi").select("doc_id")
 
 

@@ -130,15 +130,15 @@ def token_sets(spark, sf_dir):
 
 @query(
     "shared_token_matches",
-    r"""WITH b AS (SELECT item_id, unnest(list_distinct(regexp_extract_all(lower(left(text, 300)), '([a-z]{6,})', 1))) AS t FROM benchmark), d AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(left(text, 300)), '([a-z]{6,})', 1))) AS t FROM documents),
-r AS (SELECT t FROM d GROUP BY t HAVING count(*) <= 60), p AS (SELECT item_id, doc_id, count(*) AS shared, CAST(sum(least(length(b.t) + 1, 8)) AS BIGINT) AS score FROM b JOIN d ON b.t = d.t WHERE b.t IN (SELECT t FROM r) GROUP BY ALL)
+    r"""WITH b AS (SELECT item_id, unnest(list_distinct(regexp_extract_all(lower(text), '([a-z]{6,})', 1))) AS t FROM benchmark), d AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '([a-z]{6,})', 1))) AS t FROM documents),
+p AS (SELECT item_id, doc_id, count(*) AS shared, CAST(sum(least(length(b.t) + 1, 8)) AS BIGINT) AS score FROM b JOIN d ON b.t = d.t GROUP BY ALL)
 SELECT item_id, doc_id, shared, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM p WHERE shared >= 2 AND score >= 5 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 2""",
 )
 def shared_token_matches(spark, sf_dir):
     def toks(df, i):
-        return df.select(i, F.regexp_extract_all(F.lower(F.substring("text", 1, 300)), F.lit("([a-z]{6,})"), F.lit(1)).alias("t"))
+        return df.select(i, F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{6,})"), F.lit(1)).alias("t"))
 
-    return joins.token_matches(toks(table(spark, sf_dir, "benchmark"), "item_id"), toks(_docs(spark, sf_dir), "doc_id"), "item_id", "doc_id", "t", common=60)
+    return joins.token_matches(toks(table(spark, sf_dir, "benchmark"), "item_id"), toks(_docs(spark, sf_dir), "doc_id"), "item_id", "doc_id", "t")
 
 
 @query(
@@ -152,37 +152,37 @@ def keyword_document_search(spark, sf_dir):
 
 @query(
     "lead_exclusion",
-    r"""WITH c AS (SELECT page_id, regexp_replace(url, '\?.*$', '') AS u, regexp_replace(lower(left(html, 120)), '[^0-9a-z가-힣]', '', 'g') AS k FROM pages), l AS (SELECT u, left(k, 30) AS lk FROM c WHERE page_id % 3 = 0)
+    r"""WITH c AS (SELECT page_id, regexp_replace(url, '\?.*$', '') AS u, regexp_replace(lower(regexp_extract(html, '<title>([^<]*)', 1)), '[^0-9a-z가-힣]', '', 'g') AS k FROM pages), l AS (SELECT u, k AS lk FROM c WHERE page_id % 3 = 0)
 SELECT page_id FROM c WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.u = c.u AND length(lk) > 0 AND contains(c.k, lk))""",
 )
 def lead_exclusion(spark, sf_dir):
-    c = table(spark, sf_dir, "pages").select("page_id", F.regexp_replace("url", r"\?.*$", "").alias("u"), F.substring("html", 1, 120).alias("anchor"), F.lit("").alias("title"))
-    leads = c.filter("page_id % 3 = 0").select("u", F.substring(txt.key_of(F.col("anchor")), 1, 30).alias("anchor"), "title")
+    c = table(spark, sf_dir, "pages").select("page_id", F.regexp_replace("url", r"\?.*$", "").alias("u"), F.regexp_extract("html", "<title>([^<]*)", 1).alias("anchor"), F.lit("").alias("title"))
+    leads = c.filter("page_id % 3 = 0").select("u", "anchor", "title")
     return joins.exclude_leads(c, leads, "u", "anchor", "title").select("page_id")
 
 
 @query(
     "jaccard_token_pairs",
-    r"""WITH s AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(left(text, 400)), '([a-zà-ɏ]{5,})', 1)) AS t FROM documents), e AS (SELECT doc_id, unnest(t) AS k FROM s), r AS (SELECT k FROM e GROUP BY k HAVING count(*) <= 20),
-p AS (SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM e x JOIN e y ON x.k = y.k AND x.doc_id < y.doc_id WHERE x.k IN (SELECT k FROM r)),
-j AS (SELECT a, b, len(list_intersect(x.t, y.t)) AS shared, len(x.t) AS na, len(y.t) AS nb FROM p JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b)
+    r"""WITH s AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(text), '([a-zà-ɏ]{5,})', 1)) AS t FROM documents), e AS (SELECT doc_id, unnest(t) AS k, len(t) AS n FROM s),
+j AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared, any_value(x.n) AS na, any_value(y.n) AS nb FROM e x JOIN e y ON x.k = y.k AND x.doc_id < y.doc_id GROUP BY ALL)
 SELECT a, b, shared, CAST(shared AS DOUBLE) / (na + nb - shared) AS jaccard, CAST(shared AS DOUBLE) / least(na, nb) AS overlap FROM j WHERE CAST(shared AS DOUBLE) / least(na, nb) >= 0.66""",
 )
 def jaccard_token_pairs(spark, sf_dir):
-    t = _docs(spark, sf_dir).select("doc_id", F.regexp_extract_all(F.lower(F.substring("text", 1, 400)), F.lit("([a-zà-ɏ]{5,})"), F.lit(1)).alias("t"))
-    return sim.token_pairs(t, "doc_id", "t", 0.66, common=20)
+    t = _docs(spark, sf_dir).select("doc_id", F.regexp_extract_all(F.lower("text"), F.lit("([a-zà-ɏ]{5,})"), F.lit(1)).alias("t"))
+    return sim.token_pairs(t, "doc_id", "t", 0.66)
 
 
 @query("title_match_pairs")
 def title_match_pairs(spark, sf_dir):
-    d = _docs(spark, sf_dir).select("doc_id", F.substring(txt.squash(F.col("text")), 1, 80).alias("title")).withColumn("block", txt.key_of(F.substring("title", 1, 24)))
-    a, b = d.select(F.col("doc_id").alias("a"), F.col("title").alias("ta"), "block"), d.select(F.col("doc_id").alias("b"), F.col("title").alias("tb"), "block")
-    return a.join(b, "block").filter("a < b").filter(txt.titles_match(F.col("ta"), F.col("tb"))).select("a", "b")
+    d = _docs(spark, sf_dir).select("doc_id", F.substring_index("text", "\n", 1).alias("title"))
+    pairs = sim.token_pairs(d.select("doc_id", txt.tokens(F.col("title")).alias("t")), "doc_id", "t", 0.5).select("a", "b")
+    a, b = d.select(F.col("doc_id").alias("a"), F.col("title").alias("ta")), d.select(F.col("doc_id").alias("b"), F.col("title").alias("tb"))
+    return pairs.join(a, "a").join(b, "b").filter(txt.titles_match(F.col("ta"), F.col("tb"))).select("a", "b")
 
 
-@query("stemmed_relevance", r"WITH t AS (SELECT doc_id, list_distinct(list_transform(regexp_extract_all(lower(left(text, 200)), '([a-z]{2,})', 1), lambda w: regexp_replace(w, '^(.{3,}?)(?:ing|ed|ly|s)$', '\1'))) AS s FROM documents) SELECT doc_id, CAST(coalesce(list_sum(list_transform(list_intersect(s, ['the', 'there', 'ther', 'and']), lambda w: least(length(w) + 1, 8))), 0) AS BIGINT) AS relevance FROM t")
+@query("stemmed_relevance", r"WITH t AS (SELECT doc_id, list_distinct(list_transform(regexp_extract_all(lower(text), '([a-z]{2,})', 1), lambda w: regexp_replace(w, '^(.{3,}?)(?:ing|ed|ly|s)$', '\1'))) AS s FROM documents) SELECT doc_id, CAST(coalesce(list_sum(list_transform(list_intersect(s, ['the', 'there', 'ther', 'and']), lambda w: least(length(w) + 1, 8))), 0) AS BIGINT) AS relevance FROM t")
 def stemmed_relevance(spark, sf_dir):
-    words = F.regexp_extract_all(F.lower(F.substring("text", 1, 200)), F.lit("([a-z]{2,})"), F.lit(1))
+    words = F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{2,})"), F.lit(1))
     roots = F.array_distinct(F.transform(words, lambda w: txt.stem(w, ["ing", "ed", "ly", "s"])))
     return _docs(spark, sf_dir).select("doc_id", txt.shared_weight(roots, F.array(*map(F.lit, ["the", "there", "ther", "and"]))).alias("relevance"))
 
@@ -239,11 +239,11 @@ def speaker_carry_forward(spark, sf_dir):
     return carry_forward(c, ["conv_id"], "turn", F.when(F.col("role") != "assistant", F.col("role")), "speaker", 120).select("conv_id", "turn", "speaker")
 
 
-@query("neighbour_context", "SELECT conv_id, turn, concat_ws(' · ', lag(left(text, 20)) OVER w, left(text, 20), lead(left(text, 20)) OVER w) AS context FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)")
+@query("neighbour_context", "SELECT conv_id, turn, concat_ws(' · ', lag(text) OVER w, text, lead(text) OVER w) AS context FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)")
 def neighbour_context(spark, sf_dir):
     from ..operators.series import neighbours
 
-    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.substring("text", 1, 20).alias("t"))
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("t"))
     return neighbours(c, ["conv_id"], "turn", "t").select("conv_id", "turn", "context")
 
 
@@ -254,19 +254,19 @@ def topic_start(spark, sf_dir):
 
 @query(
     "local_evidence",
-    "WITH s AS (SELECT conv_id, turn, left(text, 15) AS t, CAST(sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS session FROM conversations) SELECT conv_id, turn, session, array_to_string(list(t) OVER (PARTITION BY conv_id, session ORDER BY turn ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING), ' ') AS evidence FROM s",
+    "WITH s AS (SELECT conv_id, turn, text AS t, CAST(sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS session FROM conversations) SELECT conv_id, turn, session, array_to_string(list(t) OVER (PARTITION BY conv_id, session ORDER BY turn ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING), ' ') AS evidence FROM s",
 )
 def local_evidence(spark, sf_dir):
-    c = context.with_sessions(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.substring("text", 1, 15).alias("t")), ["conv_id"], "turn", F.col("role") == "user")
+    c = context.with_sessions(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.col("text").alias("t")), ["conv_id"], "turn", F.col("role") == "user")
     return context.local_evidence(c, ["conv_id"], "turn", "t", "session").select("conv_id", "turn", "session", "evidence")
 
 
 @query(
     "wrapped_rows_joined",
-    "WITH s AS (SELECT conv_id, turn, left(text, 10) AS t, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS island FROM conversations) SELECT conv_id, CAST(island AS BIGINT) AS island, string_agg(t, ' ' ORDER BY turn) AS line, count(*) AS n_lines FROM s WHERE island > 0 GROUP BY ALL",
+    "WITH s AS (SELECT conv_id, turn, text AS t, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS island FROM conversations) SELECT conv_id, CAST(island AS BIGINT) AS island, string_agg(t, ' ' ORDER BY turn) AS line, count(*) AS n_lines FROM s WHERE island > 0 GROUP BY ALL",
 )
 def wrapped_rows_joined(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.substring("text", 1, 10).alias("t"))
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.col("text").alias("t"))
     return context.joined_islands(c, ["conv_id"], "turn", "t", F.col("role") == "user")
 
 
@@ -331,8 +331,9 @@ def measurement_extraction(spark, sf_dir):
 
 
 def _tokens(spark, sf_dir):
-    d = _docs(spark, sf_dir).select("doc_id", "source", "lang", "n_chars", txt.tokens(F.substring("text", 1, 400)).alias("tokens"), txt.key_of(F.substring("text", 1, 200)).alias("key"))
-    return d
+    """Documents with the tokens and the key of their headline, the first line."""
+    line = F.substring_index("text", "\n", 1)
+    return _docs(spark, sf_dir).select("doc_id", "source", "lang", "n_chars", txt.tokens(line).alias("tokens"), txt.key_of(line).alias("key"))
 
 
 @query("greedy_near_dup_top")
@@ -353,7 +354,7 @@ def leader_clusters(spark, sf_dir):
 @query("same_issue_pairs")
 def same_issue_pairs(spark, sf_dir):
     d = _tokens(spark, sf_dir)
-    pairs = sim.token_pairs(d, "doc_id", "tokens", 0.3, common=20).select("a", "b")
+    pairs = sim.token_pairs(d, "doc_id", "tokens", 0.3).select("a", "b")
     side = lambda p: d.select(F.col("doc_id").alias(p), F.col("source").alias(f"{p}_doc"), F.col("lang").alias(f"{p}_kind"), F.col("tokens").alias(f"{p}_t"))
     cols = lambda p: {"doc": F.col(f"{p}_doc"), "kind": F.col(f"{p}_kind"), "headline": F.slice(f"{p}_t", 1, 12), "structure": F.col(f"{p}_t"), "affected": F.slice(f"{p}_t", 1, 30)}
     return pairs.join(side("a"), "a").join(side("b"), "b").filter(sim.same_issue(cols("a"), cols("b"))).select("a", "b")
@@ -386,7 +387,7 @@ def transcript_split(spark, sf_dir):
 @query("near_duplicate_predicate")
 def near_duplicate_predicate(spark, sf_dir):
     d = _tokens(spark, sf_dir).withColumns({"markers": txt.matched_terms(F.col("key"), ["license", "copyright", "version"]), "families": F.array("lang")})
-    pairs = sim.token_pairs(d, "doc_id", "tokens", 0.3, common=20).select("a", "b")
+    pairs = sim.token_pairs(d, "doc_id", "tokens", 0.3).select("a", "b")
     side = lambda p: d.select(F.col("doc_id").alias(p), *[F.col(c).alias(f"{p}_{c}") for c in ("key", "tokens", "markers", "families", "source", "n_chars")])
     cols = lambda p: {"key": F.col(f"{p}_key"), "tokens": F.col(f"{p}_tokens"), "markers": F.col(f"{p}_markers"), "families": F.col(f"{p}_families"), "page": F.col(f"{p}_source"), "values": F.array(f"{p}_n_chars")}
     return pairs.join(side("a"), "a").join(side("b"), "b").filter(sim.near_duplicate_pair(cols("a"), cols("b"))).select("a", "b")
