@@ -1,6 +1,6 @@
 """Similarity, greedy selection and clustering of texts.
 
-Pairs come from shared tokens only. Operators that are sequential by nature work on one group at a time (a lane, a page, a
+Pairs come from shared tokens, shared grams of keys, or classes. Operators that are sequential by nature work on one group at a time (a lane, a page, a
 block); their order inside a group is total, so results do not depend on partitions. Greedy selection keeps at most
 ``limit`` rows and streams over the rest, in sorted order, so a group of any size passes through in bounded memory.
 """
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,6 +65,104 @@ def near_duplicate_pair(a: dict[str, Column], b: dict[str, Column], least: float
     return contained | (common("markers") >= 2) | related | (overlap(a["tokens"], b["tokens"]) >= least)
 
 
+#: Lengths in bytes of the grams by which contained keys are found, and the bits of the bitmap of those looked for.
+_GRAMS, _BITS = (1, 2, 4, 8, 16), 26
+
+
+def _grams(key: bytes) -> dict[int, np.ndarray]:
+    """By length, a 64-bit hash of the gram at each position."""
+    h, p, out = np.frombuffer(key, np.uint8).astype(np.uint64), 0x9E3779B97F4A7C15, {}
+    for q in _GRAMS:
+        if len(key) < q:
+            break
+        if q > 1:
+            h, p = h[: len(h) - q // 2] + h[q // 2 :] * np.uint64(p), p * p % 2**64
+        x = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(q * 0xA0761D6478BD642F % 2**64)
+        out[q] = x ^ (x >> np.uint64(29))
+    return out
+
+
+def contained_pairs(df: DataFrame, id_col: str, key: str) -> DataFrame:
+    """(short, long): ids of all pairs of rows whose keys differ and where one key contains the other. Keys are not empty and distinct.
+
+    Exact: each key looks for one gram of its own, the one in the fewest keys of four spread over it, among the grams of all
+    keys (bytes of UTF-8, where substrings are the same); what is found is compared. A bitmap of fixed size keeps grams that
+    nobody looks for from being written; a gram with the same hash as another only adds a comparison.
+    """
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(key).alias("key"))
+
+    def wanted(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            ids, grams = [], []
+            for i, k in zip(frame["id"], frame["key"]):
+                at = list(_grams(k.encode()).values())[-1]
+                own = np.unique(at[[0, (len(at) - 1) // 3, 2 * (len(at) - 1) // 3, len(at) - 1]])
+                ids.append(np.full(len(own), i, np.int64))
+                grams.append(own)
+            if ids:
+                yield pd.DataFrame({"short": np.concatenate(ids), "gram": np.concatenate(grams).view(np.int64)})
+
+    looked = rows.mapInPandas(wanted, "short long, gram long")
+    place = F.shiftrightunsigned("gram", 64 - _BITS) + 1
+    maps = looked.groupBy(F.bitmap_bucket_number(place).alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("m")).collect()
+    bits = np.zeros(2 ** (_BITS - 3), np.uint8)
+    for r in maps:
+        bits[(r["n"] - 1) * 4096 : r["n"] * 4096] = np.frombuffer(r["m"], np.uint8)
+
+    def there(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            ids, grams = [], []
+            for i, k in zip(frame["id"], frame["key"]):
+                for x in _grams(k.encode()).values():
+                    b = x >> np.uint64(64 - _BITS)
+                    own = np.unique(x[(bits[b >> np.uint64(3)] >> (b & np.uint64(7)).astype(np.uint8)) & 1 == 1])
+                    ids.append(np.full(len(own), i, np.int64))
+                    grams.append(own)
+            if ids:
+                yield pd.DataFrame({"long": np.concatenate(ids), "gram": np.concatenate(grams).view(np.int64)})
+
+    found = rows.mapInPandas(there, "long long, gram long")
+    rare = looked.join(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "gram").groupBy("short").agg(F.min(F.struct("n", "gram"))["gram"].alias("gram"))
+    met = rare.join(found, "gram").filter(F.col("short") != F.col("long")).select("short", "long")
+    near = met.join(rows.select(F.col("id").alias("short"), F.col("key").alias("ks")), "short").join(rows.select(F.col("id").alias("long"), F.col("key").alias("kl")), "long")
+    return near.filter(F.contains("kl", "ks")).select("short", "long")
+
+
+def near_duplicate_links(df: DataFrame, id_col: str, least: float = 0.66) -> DataFrame:
+    """(branch, class, a, b): all pairs for which ``near_duplicate_pair`` holds, without expanding classes into pairs.
+
+    ``df`` has key, tokens, markers, families, page and values. Rows with a class state that ``a`` is a member of it, and any two members of
+    one branch and class are near duplicates: ``key`` and ``tokens`` (equal ones; the class is the smallest id), ``markers`` (two of them),
+    ``page`` (with a family) and ``value`` (with a family). Rows without a class are pairs a < b: ``contained`` of classes ``key`` and
+    ``overlap`` of classes ``tokens``, each class standing for its members by its smallest id, a single row by itself.
+    """
+    d = df.withColumn("id", F.col(id_col).cast("long"))
+
+    def members(rows: DataFrame, branch: str, label: str | None = None) -> DataFrame:
+        """Of (id, c), the classes with two members or more."""
+        n = rows.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.min("id").cast("string").alias("first")).filter("n > 1")
+        return rows.join(n, "c").select(F.lit(branch).alias("branch"), F.col(label or "first").alias("class"), F.col("id").alias("a"), F.lit(None).cast("long").alias("b"))
+
+    def firsts(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("c").agg(F.min("id").alias("id")).select("id")
+
+    pair = lambda x, y: F.concat_ws(" + ", x, y)
+    m, fam = F.array_sort(F.array_distinct("markers")), F.array_distinct("families")
+    keys = d.filter(F.length("key") > 0).select("id", F.sha2("key", 256).alias("c"))
+    sets = d.filter(F.size("tokens") > 0).select("id", F.sha2(F.array_join(F.array_sort(F.array_distinct("tokens")), " "), 256).alias("c"))
+    twos = d.select("id", F.explode(F.flatten(F.transform(m, lambda x, i: F.transform(F.slice(m, i + 2, F.size(m)), lambda y: pair(x, y))))).alias("c"))
+    families = d.select("id", "page", "values", F.explode(fam).alias("f"))
+    pages = families.filter("page is not null").select("id", pair(F.col("f"), F.col("page").cast("string")).alias("c"))
+    values = families.select("id", "f", F.explode(F.array_distinct("values")).alias("v")).filter("v is not null").select("id", pair(F.col("f"), F.col("v").cast("string")).alias("c"))
+    out = members(keys, "key").unionByName(members(sets, "tokens"))
+    for rows, branch in ((twos, "markers"), (pages, "page"), (values, "value")):
+        out = out.unionByName(members(rows, branch, "c"))
+    link = lambda pairs, branch, x, y: pairs.select(F.lit(branch).alias("branch"), F.lit(None).cast("string").alias("class"), F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+    contained = contained_pairs(d.join(firsts(keys), "id", "left_semi"), "id", "key")
+    overlapping = token_pairs(d.join(firsts(sets), "id", "left_semi"), "id", "tokens", least)
+    return out.unionByName(link(contained, "contained", "short", "long")).unionByName(link(overlapping, "overlap", "a", "b"))
+
+
 def _overlap(a: frozenset, b: frozenset) -> float:
     return len(a & b) / min(len(a), len(b)) if a and b else 0.0
 

@@ -384,10 +384,10 @@ def transcript_split(spark, sf_dir):
     return context.transcript_parts(_docs(spark, sf_dir), "doc_id", "text")
 
 
+def _near_duplicate_fields(spark, sf_dir):
+    return _tokens(spark, sf_dir).select("doc_id", "key", "tokens", txt.matched_terms(F.col("key"), ["license", "copyright", "version"]).alias("markers"), F.array("lang").alias("families"), F.col("source").alias("page"), F.array("n_chars").alias("values"))
+
+
 @query("near_duplicate_predicate")
 def near_duplicate_predicate(spark, sf_dir):
-    d = _tokens(spark, sf_dir).withColumns({"markers": txt.matched_terms(F.col("key"), ["license", "copyright", "version"]), "families": F.array("lang")})
-    pairs = sim.token_pairs(d, "doc_id", "tokens", 0.3).select("a", "b")
-    side = lambda p: d.select(F.col("doc_id").alias(p), *[F.col(c).alias(f"{p}_{c}") for c in ("key", "tokens", "markers", "families", "source", "n_chars")])
-    cols = lambda p: {"key": F.col(f"{p}_key"), "tokens": F.col(f"{p}_tokens"), "markers": F.col(f"{p}_markers"), "families": F.col(f"{p}_families"), "page": F.col(f"{p}_source"), "values": F.array(f"{p}_n_chars")}
-    return pairs.join(side("a"), "a").join(side("b"), "b").filter(sim.near_duplicate_pair(cols("a"), cols("b"))).select("a", "b")
+    return sim.near_duplicate_links(_near_duplicate_fields(spark, sf_dir), "doc_id")

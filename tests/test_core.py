@@ -313,3 +313,49 @@ def test_entry_point(spark):
     q, s = e.queries(), e.oracle_sql()
     assert set(s) <= set(q) and len(q) > 100
     assert e.entry(spark).count() > 0
+
+
+def expanded(links):
+    """All pairs that the rows of near_duplicate_links state."""
+    groups, out = {}, set()
+    for r in links:
+        if r["class"] is not None:
+            groups.setdefault((r["branch"], r["class"]), set()).add(r["a"])
+    for ids in groups.values():
+        out |= {(a, b) for a in ids for b in ids if a < b}
+    of = {"contained": "key", "overlap": "tokens"}
+    for r in links:
+        if r["class"] is None:
+            x, y = (groups.get((of[r["branch"]], str(r[c])), {r[c]}) for c in "ab")
+            out |= {(min(a, b), max(a, b)) for a in x for b in y}
+    return out
+
+
+def all_near_duplicates(df, i):
+    fields = ["key", "tokens", "markers", "families", "page", "values"]
+    x, y = (df.select(F.col(i).alias(p), *[F.col(c).alias(f"{p}_{c}") for c in fields]) for p in "ab")
+    a, b = ({c: F.col(f"{p}_{c}") for c in fields} for p in "ab")
+    return {(r["a"], r["b"]) for r in x.crossJoin(y).filter("a < b").filter(similarity.near_duplicate_pair(a, b)).select("a", "b").collect()}
+
+
+def test_near_duplicate_predicate_against_all_pairs(spark):
+    from signalweave.plans.texts import _near_duplicate_fields
+
+    got = expanded(plans.QUERIES["near_duplicate_predicate"](spark, SF).collect())
+    assert got == all_near_duplicates(_near_duplicate_fields(spark, SF), "doc_id")
+
+
+def test_near_duplicate_links_of_each_branch(spark):
+    import random
+
+    rng = random.Random(3)
+    keys = ["", "a", "ab", "cab", "abcab", "가나", "x가나다y", "q" * 15, "q" * 16, "q" * 17, "0123456789abcdefghij" * 3]
+    keys += ["".join(rng.choice("ab가") for _ in range(rng.randrange(1, 40))) for _ in range(60)]
+    pick = lambda xs, n: [x for x in xs if rng.random() < n]
+    rows = [(i, k, pick("abcdefghijkl", 0.2), pick(["m", "n", "o"], 0.2), pick(["f", "g"], 0.2), rng.choice("pqrs"), pick([1, 2, 3, 4], 0.2)) for i, k in enumerate([*keys, *keys[:20]])]
+    df = spark.createDataFrame(rows, "id long, key string, tokens array<string>, markers array<string>, families array<string>, page string, values array<int>")
+    links = similarity.near_duplicate_links(df, "id").collect()
+    assert expanded(links) == all_near_duplicates(df, "id")
+    assert {r["branch"] for r in links} == {"key", "tokens", "markers", "page", "value", "contained", "overlap"}
+    for r in links:
+        assert r["class"] is not None or r["a"] < r["b"]
