@@ -22,7 +22,8 @@ HEX = r"[0-9a-f]+"
 #: Parts that are no finding by themselves.
 IDENTIFIER = r"""(?i:client_?id|user(?:name)?|login|account|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}"""
 ENDPOINT = r"(?i:https?|postgres(?:ql)?|mysql|redis|amqp|mongodb)://[A-Za-z0-9._~:@/?#&=%+-]+"
-WEAK = r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/]{0,39}[0-9])(?=[A-Za-z0-9+/]{0,39}[A-Z])(?=[A-Za-z0-9+/]{0,39}[a-z])[A-Za-z0-9+/]{20,64}(?![A-Za-z0-9+/=_-])"
+#: A maximal run of 20 characters or more with base64 padding; ``_weak`` tests the character classes on all of it.
+WEAK = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}"
 
 #: Two control characters that mark a match. In the text they are first replaced by a third, which no pattern matches.
 _OPEN, _SHUT, _OTHER = "\u0001", "\u0002", "\u0003"
@@ -67,6 +68,11 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
+def _weak(p: Column) -> Column:
+    """Whether a run has a digit, a capital and a small letter."""
+    return p.rlike("[0-9]") & p.rlike("[A-Z]") & p.rlike("[a-z]")
+
+
 def _near(a: Column, b: Column, scope: int) -> Column:
     return (a["start"] <= b["stop"] + scope) & (b["start"] <= a["stop"] + scope)
 
@@ -101,7 +107,7 @@ def scan(docs: DataFrame, text_col: str = "text", scope: int = SCOPE) -> DataFra
         {
             "__ids": spans(F.col("__text"), IDENTIFIER, "part_id", 3),
             "__ends": spans(F.col("__text"), ENDPOINT, "part_endpoint", 4),
-            "__weak": spans(F.col("__text"), WEAK, "part_secret", 5),
+            "__weak": spans(F.col("__text"), WEAK, "part_secret", 5, _weak),
         }
     )
     df = df.withColumn("secret_base", F.array_sort(F.concat("__assign", "__access", "__hex")))

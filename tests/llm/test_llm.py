@@ -317,6 +317,26 @@ def test_weak_parts_count_only_together(spark):
     assert {r["doc_id"]: r["t"] for r in df.collect()}[1] == "[SECRET] [SECRET]"
 
 
+def test_weak_secrets_of_any_length_and_alphabet(spark):
+    import base64
+
+    rng = random.Random(12)
+    keys = []
+    while len(keys) < 60:
+        n, code = rng.choice([16, 20, 30, 31, 32, 48, 60, 64, 200]), rng.choice([base64.b64encode, base64.urlsafe_b64encode])
+        k = code(rng.randbytes(n)).decode()
+        k = k.rstrip("=") if rng.random() < 0.3 else k
+        if all(re.search(c, k) for c in ("[0-9]", "[A-Z]", "[a-z]")) and not re.search("AKIA|[0-9a-f]{24}", k):
+            keys.append(k)
+    late = "g" * 60 + "H" * 30 + "7"
+    keys += [late, late + "=="]
+    assert {44, 88} <= {len(k) for k in keys}
+    texts = [f"login: bob {k} end" for k in keys] + [f"login: bob sig={k}" for k in keys] + [f"login: bob {'g' * 40}", "login: bob " + "aB3" * 6]
+    got = {r["doc_id"]: [texts[r["doc_id"]][s["start"] : s["stop"]] for s in r["secret_spans"] if s["kind"] == "part_secret"] for r in secrets.scan(docs_of(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == ([keys[i % len(keys)]] if i < 2 * len(keys) else []), t
+
+
 # --- 8 SentencePiece
 
 
