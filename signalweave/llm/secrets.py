@@ -22,8 +22,10 @@ HEX = r"[0-9a-f]+"
 #: Parts that are no finding by themselves.
 IDENTIFIER = r"""(?i:client_?id|user(?:name)?|login|account|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}"""
 ENDPOINT = r"(?i:https?|postgres(?:ql)?|mysql|redis|amqp|mongodb)://[A-Za-z0-9._~:@/?#&=%+-]+"
+#: What stands before the last @ of an endpoint's authority; a password may hold a slash.
+USERINFO = r"^[A-Za-z]+://(?:[^/?#@]*:[^?#]*|[^/?#]*)@"
 #: A maximal run of 20 characters or more with base64 padding; ``_weak`` tests the character classes on all of it.
-WEAK = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}"
+WEAK = r"(?:(?<![A-Za-z0-9+/_-])(?!(?<=:)//)|(?<=://))[A-Za-z0-9+/_-]{20,}+={0,2}"
 
 #: Two control characters that mark a match. In the text they are first replaced by a third, which no pattern matches.
 _OPEN, _SHUT, _OTHER = "\u0001", "\u0002", "\u0003"
@@ -81,9 +83,26 @@ def _overlap(a: Column, b: Column) -> Column:
     return (a["start"] < b["stop"]) & (b["start"] < a["stop"])
 
 
-def linked_parts(weak: Column, ids: Column, ends: Column, taken: Column, scope: int) -> Column:
-    """Weak secrets outside ``taken`` with an identifier or endpoint in scope, and those identifiers and endpoints."""
-    free = F.filter(weak, lambda w: ~F.exists(taken, lambda t: _overlap(t, w)) & ~F.exists(ends, lambda e: _overlap(e, w)))
+def secret_places(text: Column, ends: Column) -> Column:
+    """Spans of each endpoint's userinfo and of its query and fragment; they may be empty."""
+
+    def place(e: Column, start: Column, stop: Column) -> Column:
+        return F.struct((e["start"] + start).cast("int").alias("start"), (e["start"] + stop).cast("int").alias("stop"))
+
+    def both(e: Column) -> Column:
+        url = F.substring(text, e["start"] + 1, e["stop"] - e["start"])
+        tail = F.regexp_extract(url, r"[?#].*$", 0)
+        return F.array(place(e, F.lit(0), F.length(F.regexp_extract(url, USERINFO, 0))), place(e, F.length(url) - F.length(tail), F.length(url)))
+
+    return F.flatten(F.transform(ends, both))
+
+
+def linked_parts(weak: Column, ids: Column, ends: Column, taken: Column, places: Column, scope: int) -> Column:
+    """Weak secrets outside ``taken`` with an identifier or endpoint in scope, and those identifiers and endpoints.
+
+    Of those inside an endpoint only the ones in ``places`` count; they are linked to it.
+    """
+    free = F.filter(weak, lambda w: ~F.exists(taken, lambda t: _overlap(t, w)) & (~F.exists(ends, lambda e: _overlap(e, w)) | F.exists(places, lambda s: _overlap(s, w))))
     hits = F.filter(free, lambda w: F.exists(F.concat(ids, ends), lambda p: _near(p, w, scope)))
     partners = F.filter(F.concat(ids, ends), lambda p: ~F.exists(taken, lambda t: _overlap(t, p)) & F.exists(hits, lambda w: _near(p, w, scope)))
     return F.concat(hits, partners)
@@ -110,11 +129,12 @@ def scan(docs: DataFrame, text_col: str = "text", scope: int = SCOPE) -> DataFra
             "__weak": spans(F.col("__text"), WEAK, "part_secret", 5, _weak),
         }
     )
+    df = df.withColumn("__places", F.when(F.size("__weak") > 0, secret_places(F.col("__text"), F.col("__ends"))))
     df = df.withColumn("secret_base", F.array_sort(F.concat("__assign", "__access", "__hex")))
     with_access = F.concat("__ids", "__access")
-    more = F.when(F.size("__weak") > 0, linked_parts(F.col("__weak"), with_access, F.col("__ends"), F.col("secret_base"), scope)).otherwise(F.array().cast(_SPAN))
+    more = F.when(F.size("__weak") > 0, linked_parts(F.col("__weak"), with_access, F.col("__ends"), F.col("secret_base"), F.col("__places"), scope)).otherwise(F.array().cast(_SPAN))
     df = df.withColumn("secret_spans", F.array_sort(F.concat(F.col("secret_base"), more)))
-    return df.drop("__text", "__assign", "__access", "__hex", "__ids", "__ends", "__weak")
+    return df.drop("__text", "__assign", "__access", "__hex", "__ids", "__ends", "__weak", "__places")
 
 
 def redacted(text: Column, found: Column, mask: str = "[SECRET]") -> Column:

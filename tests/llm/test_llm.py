@@ -337,6 +337,19 @@ def test_weak_secrets_of_any_length_and_alphabet(spark):
         assert got[i] == ([keys[i % len(keys)]] if i < 2 * len(keys) else []), t
 
 
+def test_weak_secrets_inside_endpoints(spark):
+    weak = "aB3dE6gH9jK2mN5pQ8sT"
+    urls = [f"postgres://svc:{weak}@db.example/x", f"redis://{weak}@h.example", f"https://h.example/x?sig={weak}&y=1", f"amqp://u:aB3/{weak}@h.example/v"]
+    texts = [f"see {u} now" for u in urls] + [f"see https://h.example/{weak}/x now", f"https://{weak}.example/x"]
+    got = {r["doc_id"]: [(s["kind"], texts[r["doc_id"]][s["start"] : s["stop"]]) for s in r["secret_spans"]] for r in secrets.scan(docs_of(spark, texts)).collect()}
+    for i, u in enumerate(urls):
+        assert got[i] == [("part_endpoint", u), ("part_secret", weak if i < 3 else f"aB3/{weak}")], u
+    assert got[4] == [] and got[5] == []
+    df = secrets.scan(docs_of(spark, texts)).select("doc_id", secrets.redacted(F.col("text"), F.col("secret_spans")).alias("t"))
+    masked = {r["doc_id"]: r["t"] for r in df.collect()}
+    assert all(masked[i] == "see [SECRET] now" for i in range(len(urls)))
+
+
 # --- 8 SentencePiece
 
 
