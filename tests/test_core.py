@@ -359,3 +359,15 @@ def test_near_duplicate_links_of_each_branch(spark):
     assert {r["branch"] for r in links} == {"key", "tokens", "markers", "page", "value", "contained", "overlap"}
     for r in links:
         assert r["class"] is not None or r["a"] < r["b"]
+
+
+def test_texts_behind_a_common_first_line_are_told_apart(spark, tmp_path):
+    body = lambda i: " ".join(f"w{i}x{chr(97 + j)}" for j in range(20))
+    rows = [(i, f"one common first line\n{body(i)}", "en", f"s{i % 2}", 2000 - i) for i in range(4)] + [(4, f"another beginning\n{body(0)}", "en", "s1", 1500)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    run = lambda q: plans.QUERIES[q](spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: r["leader"] for r in run("leader_clusters")} == {0: 0, 1: 1, 2: 2, 3: 3, 4: 0}
+    assert {r["doc_id"] for r in run("greedy_near_dup_top")} == {0, 1, 2, 3, 4}
+    assert {r["doc_id"] for r in run("page_quota_selection")} == {0, 1, 2, 3, 4}
+    assert {(r["a"], r["b"]) for r in run("same_issue_pairs")} == {(0, 2), (1, 3), (0, 4)}
+    assert {(r["a"], r["b"]) for r in run("near_duplicate_predicate") if r["class"] is None} == {(0, 4)}
