@@ -175,7 +175,15 @@ def jaccard_token_pairs(spark, sf_dir):
 @query("title_match_pairs")
 def title_match_pairs(spark, sf_dir):
     d = _docs(spark, sf_dir).select("doc_id", F.substring_index("text", "\n", 1).alias("title"))
-    pairs = sim.token_pairs(d.select("doc_id", txt.tokens(F.col("title")).alias("t")), "doc_id", "t", 0.5).select("a", "b")
+    words = sim.token_pairs(d.select("doc_id", txt.tokens(F.col("title")).alias("t")), "doc_id", "t", 0.5).select("a", "b")
+    # Equal and contained keys need no common token; shorter keys than 12 never match.
+    k = d.select("doc_id", txt.key_of(F.col("title")).alias("key")).filter(F.length("key") >= 12)
+    first = k.groupBy("key").agg(F.min("doc_id").alias("id"))
+    member = k.join(first, "key").select("id", "doc_id")
+    x, y = member.select(F.col("id").alias("short"), F.col("doc_id").alias("x")), member.select(F.col("id").alias("long"), F.col("doc_id").alias("y"))
+    equal = x.join(y, F.col("short") == F.col("long")).filter("x < y").select("x", "y")
+    held = sim.contained_pairs(first, "id", "key").join(x, "short").join(y, "long").select("x", "y")
+    pairs = words.union(equal.union(held).select(F.least("x", "y"), F.greatest("x", "y"))).distinct()
     a, b = d.select(F.col("doc_id").alias("a"), F.col("title").alias("ta")), d.select(F.col("doc_id").alias("b"), F.col("title").alias("tb"))
     return pairs.join(a, "a").join(b, "b").filter(txt.titles_match(F.col("ta"), F.col("tb"))).select("a", "b")
 

@@ -371,3 +371,14 @@ def test_texts_behind_a_common_first_line_are_told_apart(spark, tmp_path):
     assert {r["doc_id"] for r in run("page_quota_selection")} == {0, 1, 2, 3, 4}
     assert {(r["a"], r["b"]) for r in run("same_issue_pairs")} == {(0, 2), (1, 3), (0, 4)}
     assert {(r["a"], r["b"]) for r in run("near_duplicate_predicate") if r["class"] is None} == {(0, 4)}
+
+
+def test_title_match_pairs_against_all_pairs(spark, tmp_path):
+    titles = ["2024 1234 5678 90", "20241234567890", "2024-1234-5678-901", "new library opens", "newlibrary opens", "newlibraryopens now", "the new library opens", "far too short", "1 2 3", "123"]
+    d = spark.createDataFrame([(i, f"{t}\nbody {i}") for i, t in enumerate(titles)], "doc_id long, text string")
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    got = [(r["a"], r["b"]) for r in plans.QUERIES["title_match_pairs"](spark, str(tmp_path)).collect()]
+    t = spark.createDataFrame(list(enumerate(titles)), "id long, t string")
+    x, y = (t.select(F.col("id").alias(p), F.col("t").alias(f"t{p}")) for p in "ab")
+    want = {(r["a"], r["b"]) for r in x.crossJoin(y).filter("a < b").filter(text.titles_match(F.col("ta"), F.col("tb"))).collect()}
+    assert sorted(got) == sorted(want) and {(0, 1), (0, 2), (3, 4)} <= want
