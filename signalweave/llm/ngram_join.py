@@ -19,14 +19,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, lean, read_table, stored, text_key, text_or_empty
+from .common import Scratch, components, fresh, join_uneven, lean, read_table, stored, text_key, text_or_empty
 
 #: Words in a shingle and the least similarity of a link.
 WORDS, THRESHOLD = 5, 0.8
 #: Bytes of a sketch; the first POSITIONS signature positions can be sampled by the tree.
 SKETCH, POSITIONS = 128, 64
-#: Sets in a bucket or block that one task compares by brute force, and shingles in a block of the exact step.
-SMALL, BLOCK_SHINGLES = 1000, 400_000
+#: Sets in a bucket that is brute-forced; sets and, in the exact step, shingles in a block. Pairs of blocks are dealt to tasks.
+SMALL, BLOCK, BLOCK_SHINGLES = 1000, 300, 200_000
+#: Rows with signatures in a file of a written table.
+TEXTS_A_FILE = 20_000
 #: A child with this share of its parent's sets stops the splitting.
 DENSE = 0.75
 #: Chance that a pair at the threshold meets in some bucket.
@@ -205,9 +207,13 @@ def exact_links(sets: list[np.ndarray], sizes: np.ndarray, threshold: float) ->
     np.bitwise_or.at(bits, (rows, cols >> 6), np.uint64(1) << (cols & 63).astype(np.uint64))
     for i in range(m - 1):
         fit = np.flatnonzero(np.minimum(sizes[i + 1 :], sizes[i]) >= threshold * np.maximum(sizes[i + 1 :], sizes[i]) - 1e-9) + i + 1
-        if len(fit):
-            both = np.bitwise_count(bits[fit] & bits[i]).sum(axis=1, dtype=np.int64)
-            yield i, fit[both >= threshold * (sizes[fit] + sizes[i] - both) - 1e-9]
+        linked = []
+        for at in range(0, len(fit), 256):
+            some = fit[at : at + 256]
+            both = np.bitwise_count(bits[some] & bits[i]).sum(axis=1, dtype=np.int64)
+            linked.append(some[both >= threshold * (sizes[some] + sizes[i] - both) - 1e-9])
+        if linked:
+            yield i, np.concatenate(linked)
 
 
 _LINKS = pa.schema([("key", pa.binary()), ("root", pa.binary()), ("links", pa.int64())])
@@ -268,8 +274,8 @@ def _in_blocks(cand: DataFrame, threshold: float, small: int) -> DataFrame:
     return joined.withColumn("block", F.col("band") * (1 << 32) + F.pmod(F.xxhash64("key"), F.col("k"))).drop("band", "k")
 
 
-def _paths(reps: DataFrame, first: int, last: int, threshold: float, small: int) -> tuple[DataFrame, DataFrame]:
-    """Leaves (bucket, size, key) of runs first .. last-1, and (key, deficit): what their depth beyond 1 costs in log misses."""
+def _paths(reps: DataFrame, n: int, first: int, last: int, threshold: float, small: int, tmp: Scratch) -> tuple[DataFrame, DataFrame | None]:
+    """Leaves (bucket, size, key) of runs first .. last-1 over ``reps`` (``n`` at most), and (key, deficit): what their depth beyond 1 costs in log misses."""
     # The first step is hashed before rows are multiplied, so that signatures stay behind; only sets of large buckets fetch theirs.
     roots = F.expr(f"transform(sequence({first}, {last - 1}), r -> xxhash64(r, element_at(tokens, r + 1)))")
     paths = reps.filter("n > 0").select("key", F.explode(roots).alias("path"), F.lit(None).cast("long").alias("parent"))
@@ -277,7 +283,7 @@ def _paths(reps: DataFrame, first: int, last: int, threshold: float, small: int)
     depth = 1
     while True:
         met = paths.groupBy("path").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-        at = stored(paths.join(met, "path", "left") if depth > 1 else paths.join(met, "path"), "paths")
+        at = tmp.stored(paths.join(met, "path", "left") if depth > 1 else paths.join(met, "path"), "paths", rows=n * (last - first))
         if depth > 1:
             lost = math.log(1 - threshold**depth) - math.log(1 - threshold)
             stop = F.col("c").isNull() | (F.col("c") <= small) | (F.col("c") >= DENSE * F.col("parent"))
@@ -303,58 +309,74 @@ def _paths(reps: DataFrame, first: int, last: int, threshold: float, small: int)
     return union, cost
 
 
-def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL, small: int = SMALL) -> DataFrame:
+def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL, small: int = SMALL, positions: int = POSITIONS) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id, n_links, copies, text_key.
 
     Two rows are linked if their texts are equal or their shingle sets have a Jaccard similarity of at least
     ``threshold``; ``n_links`` counts the other rows linked to this one, ``copies`` the rows of equal text (itself
     included), ``class_id`` is the least doc_id among rows connected by links. Null texts count as empty. Texts without
     words are linked to equal texts only. Null ids are never a class_id unless a class has no other. Other columns are
-    not read. An empty table gives no rows. Each link between different texts is found with chance ``recall`` at least.
+    not read. An empty table gives no rows. Each link between different texts is found with chance ``recall`` at least:
+    sets whose paths are so deep that all sampled runs fall short of it are compared within their buckets of depth 1.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     rows = rows.select("doc_id", F.unhex(text_key(F.col("text"))).alias("key"), "text")
+    tmp = Scratch(docs.sparkSession)
     feats = stored(rows.mapInArrow(lean(_featurise(words)), "doc_id long, key binary, n int, sketch binary, tokens array<int>"), "features")
+    n_rows = feats.count()
     per = feats.groupBy("key").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("tokens").alias("tokens"))
-    reps = stored(per, "texts")
+    reps = stored(per, "texts", rows=n_rows, each=TEXTS_A_FILE)
 
     edges, cost, active, ran = None, None, reps, 0
     need = math.log(1 - recall)
     step = math.ceil(need / math.log(1 - threshold))
-    while ran < POSITIONS:
-        until = min(ran + step, POSITIONS)
-        leaves, deficits = _paths(active, ran, until, threshold, small)
-        sized = leaves.withColumn("blocks", F.ceil(F.col("c") / small).cast("int"))
+    block = min(small, BLOCK)
+
+    def met(leaves: DataFrame) -> DataFrame:
+        sized = leaves.withColumn("blocks", F.ceil(F.col("c") / block).cast("int"))
         wide = _block_pairs(sized.join(reps.select("key", "n", "sketch"), "key"), "blocks").select("path", "lo", "hi", "key", "n", "sketch")
-        # Each pair of blocks is a group of at most about 2 * small rows, wherever it lands.
-        found = wide.repartition("path", "lo", "hi").sortWithinPartitions("path", "lo", "hi").mapInArrow(lean(_brute(threshold, AGREE)), "a binary, b binary")
+        # Each pair of blocks is a group of about 2 * block rows at most, wherever it lands.
+        return wide.repartition("path", "lo", "hi").sortWithinPartitions("path", "lo", "hi").mapInArrow(lean(_brute(threshold, AGREE)), "a binary, b binary")
+
+    while True:
+        until = min(ran + step, positions)
+        leaves, deficits = _paths(active, n_rows, ran, until, threshold, small, tmp)
+        found = met(leaves)
         edges = found if edges is None else edges.unionByName(found)
         ran = until
         if deficits is None:
             break
         cost = deficits if cost is None else cost.unionByName(deficits)
         short = cost.groupBy("key").agg(F.sum("deficit").alias("d")).filter(F.col("d") + ran * math.log(1 - threshold) > need)
-        active = stored(reps.join(short.select("key"), "key", "left_semi"), "active")
+        active = tmp.stored(reps.join(short.select("key"), "key", "left_semi"), "active", rows=n_rows, each=TEXTS_A_FILE)
         if active.isEmpty():
             break
+        if ran == positions:
+            # No position is left to sample: buckets of depth 1 are compared whole, and ``step`` of them reach the recall.
+            whole, _ = _paths(active, n_rows, 0, step, threshold, 1 << 62, tmp)
+            edges = edges.unionByName(met(whole))
+            break
 
     cand = components(edges)
-    cand = stored(cand.join(reps.select("key", "low", "copies", "n"), cand["node"] == F.col("key")).select("key", "root", "low", "copies", "n"), "candidates")
-    cand = _in_blocks(cand, threshold, small).withColumn("low", F.coalesce("low", F.lit(-(1 << 63))))
+    tmp.clear()
+    cand = tmp.stored(cand.join(reps.select("key", "low", "copies", "n"), cand["node"] == F.col("key")).select("key", "root", "low", "copies", "n"), "candidates", rows=n_rows)
+    blocks = _in_blocks(cand, threshold, block).withColumn("low", F.coalesce("low", F.lit(-(1 << 63))))
     texts = rows.withColumn("low", F.coalesce("doc_id", F.lit(-(1 << 63)))).select("key", "low", "text")
     # Sorted merge at every size: neither side has a bound that would allow a broadcast.
-    one = texts.join(cand.hint("merge"), ["key", "low"]).dropDuplicates(["key"]).select("root", "block", "others", "key", "copies", "text")
+    one = texts.join(blocks.hint("merge"), ["key", "low"]).dropDuplicates(["key"]).select("root", "block", "others", "key", "copies", "text")
     sets = one.mapInArrow(lean(_shingled(words)), "root binary, block long, others array<long>, key binary, copies long, shingles array<long>")
     spread = _with_others(sets).select("root", "lo", "hi", "block", "key", "copies", "shingles")
     links = stored(spread.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi").mapInArrow(lean(_verify(threshold)), "key binary, root binary, links long"), "links")
+    tmp.clear()
 
     counts = links.groupBy("key").agg(F.sum("links").alias("links"))
     groups = components(links.select(F.col("key").alias("a"), F.col("root").alias("b")))
     in_group = groups.join(reps.select(F.col("key").alias("node"), "low"), "node")
     least = in_group.groupBy("root").agg(F.min("low").alias("class_id"))
-    classes = in_group.join(least, "root").select(F.col("node").alias("key"), "class_id").join(counts, "key", "left")
-    info = reps.select("key", "low", "copies").join(classes, "key", "left").select("key", "copies", F.when(F.col("class_id").isNull(), F.col("low")).otherwise(F.col("class_id")).alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return feats.select("doc_id", "key").join(info, "key").select("doc_id", "class_id", "n_links", "copies", F.col("key").alias("text_key"))
+    classes = join_uneven(in_group, least, "root").select(F.col("node").alias("key"), "class_id").join(counts, "key", "left")
+    info = reps.select("key", "low", "copies").join(classes, "key", "left")
+    info = info.select("key", "copies", F.when(F.col("class_id").isNull(), F.col("low")).otherwise(F.col("class_id")).alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    return join_uneven(feats.select("doc_id", "key"), info, "key").select("doc_id", "class_id", "n_links", "copies", F.col("key").alias("text_key"))
 
 
 def _shingled(words: int):
@@ -376,19 +398,21 @@ def keep_one(docs: DataFrame, links: DataFrame, id_col: str = "doc_id", text_col
     """``docs`` with one row of each class of ``jaccard_links``: the one whose id is the class_id.
 
     Rows are told apart by id and text, so an id that two texts share is no reason to drop either. Rows that repeat both are
-    one row afterwards; only where there are such rows is the table grouped.
+    one row afterwards: the least by all columns; only where there are such rows is the table grouped. Null ids and texts
+    are values like others. All columns stay, whatever their names.
     """
+    k, i, t, r = (fresh(docs.columns, x) for x in ("key", "id", "text_key", "row"))
     key = F.unhex(text_key(text_or_empty(text_col)))
-    gone = links.filter(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__i"), F.col("text_key").alias("__k")).distinct()
-    marked = docs.withColumn("__key", key)
-    kept = marked.join(gone, (F.col("__key") == F.col("__k")) & F.col(id_col).cast("long").eqNullSafe(F.col("__i")), "left_anti")
+    gone = links.filter(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias(i), F.col("text_key").alias(t)).distinct()
+    marked = docs.withColumn(k, key)
+    same = (F.col(k) == F.col(t)) & F.col(id_col).cast("long").eqNullSafe(F.col(i))
+    kept = marked.join(gone, same, "left_anti")
     repeated = links.filter(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("copies") > 1)).groupBy("doc_id", "text_key").count().filter("count > 1")
     if not repeated.isEmpty():
-        again = repeated.select(F.col("doc_id").alias("__i"), F.col("text_key").alias("__k"))
-        same = (F.col("__key") == F.col("__k")) & F.col(id_col).cast("long").eqNullSafe(F.col("__i"))
-        once = kept.join(again, same, "left_semi").groupBy("__key", F.col(id_col).alias("__id")).agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*", "__key").select(*marked.columns)
+        again = repeated.select(F.col("doc_id").alias(i), F.col("text_key").alias(t))
+        once = kept.join(again, same, "left_semi").groupBy(k, F.col(id_col).alias(i)).agg(F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias(r)).select(f"{r}.*", k).select(*(F.col(f"`{c}`") for c in marked.columns))
         kept = kept.join(again, same, "left_anti").unionByName(once)
-    return kept.drop("__key")
+    return kept.drop(k)
 
 
 def op9_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

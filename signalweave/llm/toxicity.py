@@ -171,7 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     # At most max_positive + max_unlabelled ids: a bounded broadcast.
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text")).join(F.broadcast(sample), "doc_id")
     rows = rows.select("positive", "unlabelled", text_key(F.col("text")).alias("key"), "text").mapInArrow(lean(_tokenise), "positive int, unlabelled int, key string, words array<string>")
-    texts = stored(rows.groupBy("key").agg(F.max("positive").alias("positive"), F.max("unlabelled").alias("unlabelled"), F.first("words").alias("words")), "sample")
+    texts = stored(rows.groupBy("key").agg(F.max("positive").alias("positive"), F.max("unlabelled").alias("unlabelled"), F.first("words").alias("words")), "sample", rows=max_positive + max_unlabelled, each=1000)
     n = texts.agg(F.coalesce(F.sum("positive"), F.lit(0)).alias("p"), F.coalesce(F.sum("unlabelled"), F.lit(0)).alias("u")).first()
     if not n["p"] or not n["u"]:
         return Model({}, float(np.log(prior / (1 - prior))))
@@ -207,7 +207,11 @@ def _scored(model: Model):
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text scores under 0.5, with all their columns; fitted on ``labels`` of rows not held out."""
+    """The rows of ``docs`` whose text scores under 0.5, with all their columns; fitted on ``labels`` of rows not held out.
+
+    Null texts count as empty; repeated rows and null ids are judged like others. An empty table, or one without positive
+    labels, loses nothing.
+    """
     model = train(docs, labels)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
