@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, read_table, text_or_empty
+from .common import lean, read_table, small_table, text_or_empty
 
 Message = dict[str, str]
 Template = Callable[[list[Message]], str]
@@ -175,7 +175,7 @@ def _digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def op1_chat_formatting(spark, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
-    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    extra = small_table(spark, [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     made = format_conversations(turns).select("conv_id", "formatted", "loss", "rewrites")
     return made.mapInArrow(_digest, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_rewrites long")

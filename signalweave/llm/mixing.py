@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import read_table, stored, text_or_empty
+from .common import read_table, small_table, stored, text_or_empty
 
 #: The weights that sources get in turn, and the most a document is repeated.
 WEIGHTS, REPEATS = (5, 2, 1), 3
@@ -113,13 +113,15 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
-def mix(rows: DataFrame, sources: list[str] | Column, size: str = "size", ids: Sequence[str] = ("doc_id",), weights: dict | None = None, repeats: int = REPEATS, seed: int = 0) -> tuple[DataFrame, list[dict]]:
+def mix(rows: DataFrame, sources: list[str] | Column, size: str = "size", ids: Sequence[str] = ("doc_id",), weights: dict | None = None, repeats: int = REPEATS, seed: int = 0, wide: bool = False) -> tuple[DataFrame, list[dict]]:
     """``rows`` with ``pattern`` (the sorted distinct sources of the row) and ``taken`` (long), and the report of each source.
 
     ``sources`` is an array column of names; null is a source of its own, put last. ``weights`` by name; without it
     sources in code-point order weigh 5, 2, 1 in turn. A row's ``taken`` is at most ``repeats`` times its size; rows of size
-    0 take 0. The last seeded row of a pattern gives just the words that are missing. Only per-pattern sums (at most MAX_PATTERNS rows) reach the driver. Which rows take one more repetition
-    is decided by a hash of ``ids`` and the seed: reruns agree, and rows equal in all ``ids`` and size are interchangeable.
+    0 take 0. The last seeded row of a pattern gives just the words that are missing. Only per-pattern sums (at most
+    MAX_PATTERNS rows) reach the driver. Which rows take one more repetition is decided by a hash of ``ids`` and the seed:
+    reruns agree, and rows equal in all ``ids`` and size are interchangeable. With ``wide`` only ids and sizes go through the
+    order of the bin at the cut, and the rows of that bin fetch their share by a join.
     """
     names = F.array_sort(F.array_distinct(F.transform(sources, lambda s: F.when(s.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), s)))))
     rows = rows.withColumn("__key", names)
@@ -145,7 +147,7 @@ def mix(rows: DataFrame, sources: list[str] | Column, size: str = "size", ids: S
     report = [{"source": n[1:] if n[0] == "0" else None, "size": sizes[i], "target": goal[i], "flow": got[i]} for i, n in enumerate(order)]
     plan = [(list(k), words, min(sum(x.values()) // words, repeats) if words else 0, sum(x.values())) for (k, words), x in zip(sums, sent, strict=True)]
     spark = rows.sparkSession
-    plan_df = spark.createDataFrame([(k, int(b), int(f - b * words)) for k, words, b, f in plan], "__key array<string>, __base long, __rest long")
+    plan_df = small_table(spark, [(k, int(b), int(f - b * words)) for k, words, b, f in plan], "__key array<string>, __base long, __rest long")
 
     joined = rows.join(F.broadcast(plan_df), "__key")
     joined = joined.withColumn("__h", F.xxhash64(F.lit(seed), *[F.col(i) for i in ids], F.col(size)))
@@ -159,7 +161,19 @@ def mix(rows: DataFrame, sources: list[str] | Column, size: str = "size", ids: S
     at_cut = (F.col("__rest") > 0) & F.col("__bin").eqNullSafe(F.col("__cut"))
     order_by = [F.col("__h"), *[F.col(i) for i in ids], F.col(size)]
     before = F.coalesce(F.sum(size).over(W.partitionBy("__key").orderBy(*order_by).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    edge = joined.filter(at_cut).withColumn("__more", F.greatest(F.lit(0), F.least(F.col(size), F.col("__rest") - F.col("__before") - before)))
+    more = F.greatest(F.lit(0), F.least(F.col(size), F.col("__rest") - F.col("__before") - before))
+    edge = joined.filter(at_cut)
+    if wide:
+        # Equal rows are numbered, so that each finds a share of its own.
+        edge = edge.withColumn("__nth", F.row_number().over(W.partitionBy("__key", "__h", *ids, size).orderBy(F.lit(0))))
+        same = ["__key", "__h", *ids, size, "__nth"]
+        share = edge.select(*same, more.alias("__more")).select(*(F.col(c).alias(f"__at_{i}") for i, c in enumerate(same)), "__more")
+        found = F.lit(True)
+        for i, c in enumerate(same):
+            found = found & F.col(c).eqNullSafe(F.col(f"__at_{i}"))
+        edge = edge.join(share, found).drop("__nth", *(f"__at_{i}" for i in range(len(same))))
+    else:
+        edge = edge.withColumn("__more", more)
     whole = (F.col("__rest") > 0) & (F.col("__cut").isNull() | (F.col("__bin") < F.col("__cut")))
     plain = joined.filter(~at_cut).withColumn("__more", F.when(whole, F.col(size)).otherwise(0))
     both = edge.unionByName(plain)
@@ -178,18 +192,20 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # Words are counted once; what follows reads three narrow columns.
     taken, report = mix(stored(rows, "sizes"), F.array("source"), repeats=repeats, seed=seed)
     spark = docs.sparkSession
-    per = spark.createDataFrame([(r["source"], int(r["size"]), float(r["target"])) for r in report], "__s string, source_size long, target double")
+    per = small_table(spark, [(r["source"], int(r["size"]), float(r["target"])) for r in report], "__s string, source_size long, target double")
     return taken.join(F.broadcast(per), F.col("source").eqNullSafe(F.col("__s")), "left").select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
 def mixed(docs: DataFrame, text_col: str = "text", source_col: str = "source", repeats: int = REPEATS, seed: int = 0) -> DataFrame:
     """``docs`` as the mix takes them: rows that it leaves out are gone, rows that it repeats are there as often.
 
-    A row that is to give a part of its words is there as a whole. Rows without words are kept: they cost nothing. The order
-    within a source is by a hash of all columns. Texts are not shuffled, but for those in the hash bin at the cut.
+    A row that is to give a part of its words is there as a whole. Rows without words are kept: they cost nothing. Null texts
+    have no words, null sources are one source, an empty table gives no rows, and all columns stay, whatever their names. The
+    order within a source is by a hash of all columns. Texts are not shuffled, but for those in the hash bin at the cut, which
+    are dealt by that hash.
     """
     rows = docs.select(F.struct(*docs.columns).alias("__doc"), F.col(source_col).cast("string").alias("__source"), word_count(text_or_empty(text_col)).alias("__size"), F.xxhash64(*docs.columns).alias("__row"))
-    taken, _ = mix(rows, F.array("__source"), size="__size", ids=("__row",), repeats=repeats, seed=seed)
+    taken, _ = mix(rows, F.array("__source"), size="__size", ids=("__row",), repeats=repeats, seed=seed, wide=True)
     times = F.when(F.col("__size") == 0, 1).otherwise(F.ceil(F.col("taken") / F.greatest(F.col("__size"), F.lit(1)))).cast("int")
     return taken.select("__doc", F.explode(F.array_repeat(F.lit(0), times))).select("__doc.*")
 

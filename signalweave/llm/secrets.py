@@ -112,29 +112,30 @@ def _joined(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
-def scan(docs: DataFrame, text_col: str = "text", scope: int = SCOPE) -> DataFrame:
-    """Every row of ``docs`` with ``secret_base`` and ``secret_spans``: sorted arrays of (start, rank, stop, kind).
+def scan(docs: DataFrame, text_col: str = "text", scope: int = SCOPE, names: tuple[str, str] = ("secret_base", "secret_spans")) -> DataFrame:
+    """Every row of ``docs`` with two columns of ``names``: sorted arrays of (start, rank, stop, kind).
 
     Base spans are in both; spans of parts that only count together are in the second. Null texts count as empty and
-    have none. Columns of ``docs`` named like the two new ones are replaced.
+    have none. All other columns stay, whatever their names; those of ``docs`` that are named like the two new ones are replaced.
     """
-    text = unmarked(text_or_empty(text_col))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in {n.lower() for n in names}]
     # Spans are computed in projections of their own, so that each is evaluated once.
-    df = docs.withColumn("__text", text)
-    df = df.withColumns({f"__{k}": c for k, c in base_spans(F.col("__text")).items()})
+    df = docs.select(F.struct(F.lit(0).alias("__none"), *kept).alias("doc"), unmarked(text_or_empty(text_col)).alias("text"))
+    df = df.withColumns(base_spans(F.col("text")))
     df = df.withColumns(
         {
-            "__ids": spans(F.col("__text"), IDENTIFIER, "part_id", 3),
-            "__ends": spans(F.col("__text"), ENDPOINT, "part_endpoint", 4),
-            "__weak": spans(F.col("__text"), WEAK, "part_secret", 5, _weak),
+            "ids": spans(F.col("text"), IDENTIFIER, "part_id", 3),
+            "ends": spans(F.col("text"), ENDPOINT, "part_endpoint", 4),
+            "weak": spans(F.col("text"), WEAK, "part_secret", 5, _weak),
         }
     )
-    df = df.withColumn("__places", F.when(F.size("__weak") > 0, secret_places(F.col("__text"), F.col("__ends"))))
-    df = df.withColumn("secret_base", F.array_sort(F.concat("__assign", "__access", "__hex")))
-    with_access = F.concat("__ids", "__access")
-    more = F.when(F.size("__weak") > 0, linked_parts(F.col("__weak"), with_access, F.col("__ends"), F.col("secret_base"), F.col("__places"), scope)).otherwise(F.array().cast(_SPAN))
-    df = df.withColumn("secret_spans", F.array_sort(F.concat(F.col("secret_base"), more)))
-    return df.drop("__text", "__assign", "__access", "__hex", "__ids", "__ends", "__weak", "__places")
+    df = df.withColumn("places", F.when(F.size("weak") > 0, secret_places(F.col("text"), F.col("ends"))))
+    df = df.withColumn("base", F.array_sort(F.concat("assign", "access", "hex")))
+    with_access = F.concat("ids", "access")
+    more = F.when(F.size("weak") > 0, linked_parts(F.col("weak"), with_access, F.col("ends"), F.col("base"), F.col("places"), scope)).otherwise(F.array().cast(_SPAN))
+    df = df.withColumn("all", F.array_sort(F.concat(F.col("base"), more)))
+    fields = [F.col(f"doc.`{c}`") for c in docs.columns if c.lower() not in {n.lower() for n in names}]
+    return df.select(*fields, F.col("base").alias(names[0]), F.col("all").alias(names[1]))
 
 
 def redacted(text: Column, found: Column, mask: str = "[SECRET]") -> Column:

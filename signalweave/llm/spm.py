@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding on the tokenizers library.
 
 The model file's protobuf is parsed here; normaliser, metaspace marker, scores, byte fallback and decoder are rebuilt as a
-``tokenizers`` pipeline, for unigram and for BPE models. Batches are encoded by the library's threads. Parity with the
-sentencepiece library is verified text by text, and each text is decoded again.
+``tokenizers`` pipeline, for unigram and for BPE models. Batches are encoded by the library's threads. Ids are verified
+against the sentencepiece library and decoded again: where no piece goes over a space, by distinct word and, for one text in
+WHOLE, as the whole text; otherwise every text as a whole.
 """
 
 from __future__ import annotations
@@ -26,11 +27,13 @@ SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 #: Characters and texts of a batch given to the library at once, and threads of a worker.
-BATCH_CHARS, BATCH_TEXTS, THREADS = 1_000_000, 10_000, 2
+BATCH_CHARS, BATCH_TEXTS, THREADS = 250_000, 10_000, 2
 #: Characters whose distinct words are gathered together.
-COLUMN_CHARS = 4_000_000
-#: Words kept with their ids between batches.
-KEPT_WORDS = 450_000
+COLUMN_CHARS = 1_500_000
+#: Bytes of words and their ids that are kept between batches.
+KEPT_BYTES = 16_000_000
+#: Of the texts that are encoded by words, one in so many (by a digest of its ids) is verified as a whole too.
+WHOLE = 64
 
 
 def _varint(b: bytes, i: int) -> tuple[int, int]:
@@ -165,8 +168,8 @@ class Codec:
     """Encodes and decodes texts, and verifies the rebuilt pipeline against the sentencepiece library.
 
     Where no piece goes over a space, words are encoded apart: each distinct word is encoded, verified and decoded once
-    while it is kept, and a text's ids are its words' ids in order. Texts with runs of spaces, or with the marker itself, and other
-    models are handled as whole texts.
+    while it is kept, and a text's ids are its words' ids in order; one such text in WHOLE is also encoded, verified and
+    decoded as a whole. Texts with runs of spaces, or with the marker itself, and other models are handled as whole texts.
     """
 
     def __init__(self, raw: bytes, verify: bool = True):
@@ -187,10 +190,12 @@ class Codec:
 
     def _known(self, words: pa.Array) -> np.ndarray:
         """Numbers of distinct words among those kept; new ones are encoded, verified and decoded first."""
-        if len(self.words) > KEPT_WORDS:
+        if self.words.nbytes + self.ids.nbytes + self.starts.nbytes + self.sizes.nbytes > KEPT_BYTES:
             self._forget()
-        number = pc.index_in(words, self.words)
-        new = words.filter(number.is_null())
+        number = pc.fill_null(pc.index_in(words, self.words), -1).to_numpy().astype(np.int64)
+        unknown = number < 0
+        new = words.filter(pa.array(unknown))
+        number[unknown] = len(self.words) + np.arange(len(new))
         ids, ok, same = [], [self.agrees], [self.returns]
         for some in batches_of(new.to_pylist()):
             x, a, b = self.encode(some)
@@ -203,7 +208,7 @@ class Codec:
         self.ids = np.concatenate([self.ids, np.array([i for x in ids for i in x], np.int32)])
         self.agrees, self.returns = np.concatenate(ok), np.concatenate(same)
         self.words = pa.concat_arrays([self.words, new])
-        return pc.index_in(words, self.words).to_numpy()
+        return number
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], np.ndarray, np.ndarray]:
         """Of each text: its ids, whether they agree with sentencepiece (true without verification), whether they decode to it."""
@@ -242,6 +247,18 @@ class Codec:
         arrays = [parts[i] for i in range(n)]
         return np.concatenate([np.empty(0, np.int32), *arrays]), np.cumsum([0, *map(len, arrays)]), agree, back
 
+    def verify_whole(self, texts: pa.Array, ids: np.ndarray, ends: np.ndarray, agree: np.ndarray, back: np.ndarray, rows: list[int]) -> None:
+        """Encodes ``rows`` as whole texts; where ids differ from those given, ``agree`` and ``back`` turn false."""
+        at = 0
+        for some in batches_of(texts.take(pa.array(rows, pa.int64())).to_pylist()):
+            whole, ok, same = self.encode(some)
+            for k, x in enumerate(whole):
+                i = rows[at + k]
+                equal = np.array_equal(ids[ends[i] : ends[i + 1]], np.array(x, np.int32))
+                agree[i] &= equal and ok[k]
+                back[i] &= equal and same[k]
+            at += len(some)
+
     def _words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         lists = pc.split_pattern(texts, " ")
         coded = lists.flatten().dictionary_encode()
@@ -273,11 +290,14 @@ def _encoded(raw: bytes, keep_ids: bool, verify: bool):
                 texts = batch.column(1).slice(lo, hi - lo)
                 ids, ends, agree, back = codec.encode_column(texts)
                 raw_ids = ids.astype("<i4", copy=False)
+                digests = [hashlib.sha256(raw_ids[a:b].tobytes()) for a, b in zip(ends, ends[1:])]
+                if verify and codec.by_word:
+                    codec.verify_whole(texts, ids, ends, agree, back, [i for i, d in enumerate(digests) if d.digest()[0] % WHOLE == 0])
                 cols = [
                     batch.column(0).slice(lo, hi - lo),
                     pc.utf8_length(texts).cast(pa.int64()),
                     pa.array(np.diff(ends).astype(np.int64)),
-                    pa.array([hashlib.sha256(raw_ids[a:b].tobytes()).hexdigest() for a, b in zip(ends, ends[1:])]),
+                    pa.array([d.hexdigest() for d in digests]),
                     pa.array(back),
                     pa.array(agree),
                 ]
@@ -292,7 +312,8 @@ def _encoded(raw: bytes, keep_ids: bool, verify: bool):
 def sp_encode(docs: DataFrame, model_path: str = MODEL, keep_ids: bool = True, verify: bool = True) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_chars, n_tokens, ids_sha256, round_trip, parity, and the ids if asked for.
 
-    ids_sha256 is of the ids as little-endian 32-bit integers. Null texts count as empty, and empty texts have no tokens.
+    ids_sha256 is of the ids as little-endian 32-bit integers. ``parity`` and ``round_trip`` are verified as ``Codec`` says:
+    by distinct words, and by whole texts for one text in WHOLE and for all that words can't be encoded apart. Null texts count as empty, and empty texts have no tokens.
     The model file is read by the driver and sent with the task; executors need the libraries only. Other columns are
     not read. No shuffle: texts are encoded where they are read.
     """
