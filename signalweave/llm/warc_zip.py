@@ -21,13 +21,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, read_table, scratch_dir, stored, text_or_empty
+from .common import HOT, lean, read_table, scratch_dir, stored, text_or_empty
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 #: Payloads under this size are never revisits.
 LEAST = 100
 #: An archive is closed at about this many bytes; readers take runs of about RUN bytes.
 ARCHIVE, RUN = 16 << 20, 2 << 20
+#: The most that a reading task gets on average.
+READ_BYTES = 128 << 20
 _BIG32, _BIG16 = 0xFFFFFFFF, 0xFFFF
 
 
@@ -127,9 +129,9 @@ def member_start(read: Callable[[int, int], bytes], member: Member) -> int:
 # --- WARC
 
 
-def record(rec_type: str, page: str, url: str, digest: str, payload: bytes, refers_to: str | None) -> bytes:
-    """One WARC record, compressed by itself. A revisit has the HTTP header only, with the full payload's length."""
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+def record(rec_type: str, page: str, url: str, digest: str, size: int, payload: bytes, refers_to: str | None) -> bytes:
+    """One WARC record, compressed by itself. A revisit has the HTTP header only, with the ``size`` of the full payload."""
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http if rec_type == "revisit" else http + payload
     head = [
         "WARC/1.1",
@@ -148,23 +150,24 @@ def record(rec_type: str, page: str, url: str, digest: str, payload: bytes, refe
     return z.compress(raw) + z.flush()
 
 
-def records(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(header fields, block) of each record in a run of gzip members."""
-    while raw:
-        z = zlib.decompressobj(31)
+def read_record(raw: bytes) -> tuple[dict[str, str], bytes]:
+    """(header fields, block) of the record in one gzip member."""
+    z = zlib.decompressobj(31)
+    try:
         plain = z.decompress(raw)
-        if not z.eof:
-            raise ZipError("cut record")
-        raw = z.unused_data
-        head, _, rest = plain.partition(b"\r\n\r\n")
-        lines = head.decode("utf-8", "replace").split("\r\n")
-        if not lines[0].startswith("WARC/"):
-            raise ZipError("not a WARC record")
-        fields = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-        n = int(fields["content-length"])
-        if len(rest) != n + 4:
-            raise ZipError("bad record length")
-        yield fields, rest[:n]
+    except zlib.error as e:
+        raise ZipError(f"damaged record: {e}") from None
+    if not z.eof or z.unused_data:
+        raise ZipError("a record does not end where the index says")
+    head, _, rest = plain.partition(b"\r\n\r\n")
+    lines = head.decode("utf-8", "replace").split("\r\n")
+    if not lines[0].startswith("WARC/"):
+        raise ZipError("not a WARC record")
+    fields = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+    n = int(fields["content-length"])
+    if len(rest) != n + 4:
+        raise ZipError("bad record length")
+    return fields, rest[:n]
 
 
 def _page_of(urn: str | None) -> int | None:
@@ -207,7 +210,7 @@ def _writer(folder: str, limit: int, zip64: bool):
                 for r in batch.slice(lo, 64).to_pylist():
                     page = "none" if r["page_id"] is None else str(r["page_id"])
                     refers = None if r["refers_to"] is None else str(r["refers_to"])
-                    body = record(r["record_type"], page, r["url"], r["digest"], r["payload"].encode("utf-8", "replace"), refers)
+                    body = record(r["record_type"], page, r["url"], r["digest"], r["size"], (r["payload"] or "").encode("utf-8", "replace"), refers)
                     index.append(f"{data.tell()} {len(body)} {page}\n")
                     data.write(body)
                     if data.tell() >= limit:
@@ -218,31 +221,57 @@ def _writer(folder: str, limit: int, zip64: bool):
     return run
 
 
+_RUNS = pa.schema([("path", pa.string()), ("at", pa.int64()), ("lengths", pa.list_(pa.int64())), ("pages", pa.list_(pa.int64())), ("problem", pa.string())])
+
+
+def _index_of(path: str) -> tuple[int, list[tuple[int, int, int | None]]]:
+    """Where the data member of an archive begins, and (offset in it, length, page) of its records."""
+    fs, name = _open_fs(path)
+    with fs.open_input_file(name) as f:
+        read = lambda at, n: f.read_at(n, at)
+        members = {m.name: m for m in directory(read, f.size())}
+        if DATA not in members or INDEX not in members:
+            raise ZipError("no data or no index")
+        start, index = member_start(read, members[DATA]), members[INDEX]
+        raw = read(member_start(read, index), index.size)
+    if zlib.crc32(raw) != index.crc:
+        raise ZipError("bad checksum of the index")
+    lines = [line.split() for line in raw.decode().splitlines()]
+    return start, [(int(at), int(n), None if page == "none" else int(page)) for at, n, page in lines]
+
+
 def _locate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From archives, runs of records as (path, offset, length, n)."""
+    """From archives, runs of records: path, offset, and the length and page of each; of an unreadable archive what is wrong."""
     for batch in batches:
         for path in batch.column(0).to_pylist():
-            fs, name = _open_fs(path)
-            with fs.open_input_file(name) as f:
-                read = lambda at, n, f=f: f.read_at(n, at)
-                members = {m.name: m for m in directory(read, f.size())}
-                start = member_start(read, members[DATA])
-                index = members[INDEX]
-                raw = read(member_start(read, index), index.size)
-                if zlib.crc32(raw) != index.crc:
-                    raise ZipError(f"bad checksum of the index in {path}")
-            runs: list[list[int]] = []
-            for line in raw.decode().splitlines():
-                at, n = map(int, line.split()[:2])
-                if runs and runs[-1][0] + runs[-1][1] == at and runs[-1][1] < RUN:
-                    runs[-1][1] += n
-                    runs[-1][2] += 1
-                else:
-                    runs.append([at, n, 1])
-            yield pa.RecordBatch.from_pydict({"path": pa.array([path] * len(runs), pa.string()), "at": pa.array([start + r[0] for r in runs], pa.int64()), "length": pa.array([r[1] for r in runs], pa.int64()), "n": pa.array([r[2] for r in runs], pa.int64())})
-
-
-_READ = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
+            runs: list[tuple[int, list, list]] = []
+            problem = None
+            try:
+                start, records = _index_of(path)
+                held = RUN
+                for at, n, page in records:
+                    if held >= RUN or runs[-1][0] + sum(runs[-1][1]) != start + at:
+                        runs.append((start + at, [], []))
+                        held = 0
+                    runs[-1][1].append(n)
+                    runs[-1][2].append(page)
+                    held += n
+            except (ZipError, OSError, ValueError, struct.error) as e:
+                runs, problem = [(0, [], [])], f"{path.rpartition('/')[2]}: {e}"
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(([path] * len(runs), *map(list, zip(*runs)), [problem] * len(runs)) if runs else [[]] * 5, _RUNS.types, strict=True)], schema=_RUNS)
+
+
+_READ = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("problem", pa.string()), ("payload", pa.binary())])
+
+
+def _row_of(raw: bytes) -> tuple:
+    fields, block = read_record(raw)
+    http, _, payload = block.partition(b"\r\n\r\n")
+    size = int(next(x for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")).partition(b":")[2])
+    digest = fields["warc-payload-digest"].partition(":")[2]
+    if fields["warc-type"] == "response" and (len(payload) != size or hashlib.sha256(payload).hexdigest() != digest):
+        raise ZipError("a payload does not have its digest")
+    return _page_of(fields["warc-record-id"]), fields["warc-target-uri"], size, digest, fields["warc-type"], _page_of(fields.get("warc-refers-to")), None, payload
 
 
 def _range_read(payloads: bool):
@@ -251,21 +280,25 @@ def _range_read(payloads: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                fs, name = _open_fs(r["path"])
-                with fs.open_input_file(name) as f:
-                    raw = f.read_at(r["length"], r["at"])
                 rows: list[list] = [[] for _ in schema]
-                for fields, block in records(raw):
-                    http, _, payload = block.partition(b"\r\n\r\n")
-                    size = int(next(x for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")).partition(b":")[2])
-                    digest = fields["warc-payload-digest"].partition(":")[2]
-                    if fields["warc-type"] == "response" and (len(payload) != size or hashlib.sha256(payload).hexdigest() != digest):
-                        raise ZipError(f"payload of {fields['warc-record-id']} does not have its digest")
-                    row = (_page_of(fields["warc-record-id"]), fields["warc-target-uri"], size, digest, fields["warc-type"], _page_of(fields.get("warc-refers-to")), payload)
+
+                def put(row: tuple, rows=rows) -> None:
                     for c, v in zip(rows, row, strict=False):
                         c.append(v)
-                if len(rows[0]) != r["n"]:
-                    raise ZipError("the index and the records disagree")
+
+                if r["problem"]:
+                    put((None, None, None, None, None, None, r["problem"], None))
+                else:
+                    fs, name = _open_fs(r["path"])
+                    with fs.open_input_file(name) as f:
+                        raw = memoryview(f.read_at(sum(r["lengths"]), r["at"]))
+                    at = 0
+                    for n, page in zip(r["lengths"], r["pages"], strict=True):
+                        try:
+                            put(_row_of(bytes(raw[at : at + n])))
+                        except (ZipError, ValueError, KeyError, StopIteration) as e:
+                            put((page, None, None, None, None, None, f"{name.rpartition('/')[2]} at {r['at'] + at}: {e}", None))
+                        at += n
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, schema.types, strict=True)], schema=schema)
 
     return run
@@ -275,18 +308,22 @@ def _range_read(payloads: bool):
 
 
 def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", text_col: str = "html") -> DataFrame:
-    """page_id, url, payload, digest, record_type, refers_to of every row.
+    """page_id, url, payload (null for revisits), size, digest, record_type, refers_to of every row.
 
     Of rows with equal payloads of LEAST bytes or more, that with the least page_id is the response and others revisit it;
     rows that repeat that id and payload are responses too. A null id is never the least, unless all are null: then all are
     responses. Null payloads and urls count as empty.
     """
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), text_or_empty(url_col).alias("url"), text_or_empty(text_col).alias("payload"))
-    rows = rows.withColumn("digest", F.sha2(F.col("payload"), 256))
-    least = rows.filter(F.octet_length("payload") >= LEAST).groupBy("digest").agg(F.min("page_id").alias("least"))
-    joined = rows.join(least, "digest", "left")
+    payload = text_or_empty(text_col)
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), text_or_empty(url_col).alias("url"), payload.alias("payload"), F.octet_length(payload).cast("long").alias("size"), F.sha2(payload, 256).alias("digest"))
+    least = rows.filter(F.col("size") >= LEAST).groupBy("digest").agg(F.min("page_id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1 and least is not null")
+    # Fewer than HOT payloads have more rows than this: they are told by broadcast, and their revisits leave the payload behind.
+    limit = max(100, pages.count() // HOT)
+    hot = F.broadcast(least.filter(F.col("n") > limit).drop("n"))
+    frequent = rows.join(hot, "digest")
+    others = rows.join(F.broadcast(hot.select("digest")), "digest", "left_anti").join(least.filter(F.col("n") <= limit).drop("n"), "digest", "left")
     revisit = F.col("least").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("least"))
-    return joined.select("page_id", "url", "payload", "digest", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("least")).alias("refers_to"))
+    return frequent.unionByName(others).select("page_id", "url", F.when(~revisit, F.col("payload")).alias("payload"), "size", "digest", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("least")).alias("refers_to"))
 
 
 def write_archives(plan: DataFrame, folder: str, limit: int = ARCHIVE, zip64: bool = False) -> DataFrame:
@@ -295,10 +332,20 @@ def write_archives(plan: DataFrame, folder: str, limit: int = ARCHIVE, zip64: bo
 
 
 def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
-    """Records of the packages named in ``manifest.path``: page_id, url, payload_bytes, payload_digest, record_type, refers_to, and the payload of responses if asked for."""
-    runs = manifest.select("path").repartition("path").mapInArrow(_locate, "path string, at long, length long, n long")
-    ddl = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * payloads
-    return runs.repartition("path", "at").mapInArrow(lean(_range_read(payloads)), ddl)
+    """Records of the packages named in ``manifest`` (path, bytes): page_id, url, payload_bytes, payload_digest, record_type,
+    refers_to, problem, and the payload of responses if asked for.
+
+    ``problem`` is null for a sound record. A damaged record has its page_id and the problem only; a package that can't be
+    read has one row with the problem only. Runs of records are dealt to tasks evenly: at most one a run, else four a core
+    or one for READ_BYTES.
+    """
+    cores = manifest.sparkSession.sparkContext.defaultParallelism
+    total = manifest.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    finders = max(1, min(total["n"], max(4 * cores, total["n"] // 64)))
+    readers = max(1, min(-(-total["bytes"] // RUN), max(4 * cores, total["bytes"] // READ_BYTES)))
+    runs = manifest.select("path").repartition(finders).mapInArrow(_locate, "path string, at long, lengths array<long>, pages array<long>, problem string")
+    ddl = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, problem string" + ", payload binary" * payloads
+    return runs.repartition(readers).mapInArrow(lean(_range_read(payloads)), ddl)
 
 
 def op4_warc_zip(spark, sf_dir: str) -> DataFrame:
@@ -312,6 +359,7 @@ d AS (SELECT page_id, octet_length(encode(t)) AS n, sha256(t) AS h FROM p),
 m AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS least FROM d)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, h AS payload_digest,
        CASE WHEN n >= 100 AND least IS NOT NULL AND page_id IS DISTINCT FROM least THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN n >= 100 AND least IS NOT NULL AND page_id IS DISTINCT FROM least THEN least END AS refers_to
+       CASE WHEN n >= 100 AND least IS NOT NULL AND page_id IS DISTINCT FROM least THEN least END AS refers_to,
+       CAST(NULL AS VARCHAR) AS problem
 FROM m
 """
