@@ -3,29 +3,32 @@
 A paragraph is a line, or a sentence of a line of several. Its 64-bit digest goes into one cell of each of three subtables; a
 cell holds a count, the XOR of digests and the XOR of their checksums. Subtracting the cells of two versions leaves the
 digests that differ; cells that hold one of them are peeled until none is left. Fingerprints have a fixed small size, which
-suffices for small edits; where peeling stops short, both versions are put into larger tables, sized by their paragraphs.
+suffices for small edits. Where peeling stops short it is retried with four times the cells: the digests are dealt by two of
+their bits to four tables, each of which is subtracted and peeled by itself, and so on for those tables that fail again.
 
-Native: higher-order functions build and peel the fingerprints in the row; the larger tables are exploded and summed by
-(bucket, row, cell), which the partitioning of the text shuffle already serves, so cells never move.
+Native: higher-order functions build, subtract and peel all tables in the row, in time proportional to the paragraphs for
+each retry; the only exchange is that which brings a document to its neighbour.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import read_table, text_key, text_or_empty
+from .common import read_table, small_table, text_key, text_or_empty
 
-#: Cells of each of the three subtables of a fingerprint, and rounds of peeling.
-CELLS, ROUNDS = 8, 8
-#: Cells of each subtable of a larger table, for each paragraph of the two versions.
-LARGER = 32
+#: Cells of each of the three subtables (a power of two), and rounds of peeling.
+CELLS, ROUNDS = 8, 10
+#: Retries; each has four times the cells of the one before.
+RETRIES = 9
 #: Rows in a bucket of the id order, and the most buckets (their first rows are kept on the driver).
-BUCKET, MAX_BUCKETS = 1000, 2048
+BUCKET, MAX_BUCKETS = 1000, 65536
 
 _PARAGRAPH = r"\n+|(?<=[.!?])\s+"
-_CELL = "struct<n:int,k:bigint,c:int>"
+_KEY = "struct<k:bigint,m:bigint,c:int>"
 
 
 def digests(text: Column) -> Column:
@@ -33,20 +36,33 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(F.filter(F.split(text, _PARAGRAPH), lambda p: p != ""), lambda p: F.xxhash64(p)))
 
 
-def _slot(k: Column, j: int, cells: int) -> Column:
-    """Cell of digest k in subtable j: 21 bits of the digest for each subtable."""
-    return F.pmod(F.shiftright(k, 21 * j).bitwiseAND(F.lit(0x1FFFFF)), F.lit(cells)).cast("int")
+def _bound(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` evaluated once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def sketch(keys: Column, cells: int = CELLS) -> Column:
-    """The table of a set of digests: subtable 0, then 1 and 2, ``cells`` each."""
+def placed(keys: Column, cells: int = CELLS) -> Column:
+    """Digests with their checksums and, as the set bits of ``m``, their cells: one in each subtable, by 21 bits of the digest each."""
+
+    def one(k: Column) -> Column:
+        m = F.lit(0).cast("long")
+        for j in range(3):
+            slot = F.shiftright(k, 21 * j).bitwiseAND(F.lit(cells - 1)).cast("int") + j * cells
+            m = m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), slot))
+        return F.struct(k.alias("k"), m.alias("m"), F.hash(k).alias("c"))
+
+    return F.transform(keys, one)
 
-    def table(j: int) -> Column:
-        zero = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("k"), F.lit(0).alias("c"))
-        add = lambda s, k: F.struct((s["n"] + 1).alias("n"), s["k"].bitwiseXOR(k).alias("k"), s["c"].bitwiseXOR(F.hash(k)).alias("c"))
-        return F.transform(F.sequence(F.lit(0), F.lit(cells - 1)), lambda i: F.aggregate(F.filter(keys, lambda k: _slot(k, j, cells) == i), zero, add))
 
-    return F.concat(*(table(j) for j in range(3)))
+def _in_cell(x: Column, i: Column) -> Column:
+    return F.call_function("shiftright", x["m"], i).bitwiseAND(F.lit(1)) == 1
+
+
+def sketch(keys: Column, cells: int = CELLS) -> Column:
+    """The table of a set of ``placed`` digests: subtable 0, then 1 and 2, ``cells`` each."""
+    zero = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("k"), F.lit(0).alias("c"))
+    add = lambda s, x: F.struct((s["n"] + 1).alias("n"), s["k"].bitwiseXOR(x["k"]).alias("k"), s["c"].bitwiseXOR(x["c"]).alias("c"))
+    return F.transform(F.sequence(F.lit(0), F.lit(3 * cells - 1)), lambda i: F.aggregate(F.filter(keys, lambda x: _in_cell(x, i)), zero, add))
 
 
 def subtract(a: Column, b: Column) -> Column:
@@ -61,41 +77,63 @@ def peel(cells: Column, size: int = CELLS, rounds: int = ROUNDS) -> Column:
     """
     clear = lambda c: (c["n"] == 0) & (c["k"] == 0) & (c["c"] == 0)
     pure = lambda c: (F.abs(c["n"]) == 1) & (c["c"] == F.hash(c["k"]))
-    start = F.struct(
-        cells.alias("cells"),
-        F.array().cast("array<bigint>").alias("plus"),
-        F.array().cast("array<bigint>").alias("minus"),
-        F.array_distinct(F.transform(F.filter(cells, pure), lambda c: F.struct(c["k"].alias("k"), c["n"].alias("n")))).alias("found"),
-    )
+
+    def found_in(cells: Column) -> Column:
+        signed = F.array_distinct(F.transform(F.filter(cells, pure), lambda c: F.struct(c["k"].alias("k"), c["n"].alias("n"))))
+        return F.transform(signed, lambda f: _bound(F.element_at(placed(F.array(f["k"]), size), 1), lambda x: F.struct(x["k"].alias("k"), x["m"].alias("m"), x["c"].alias("c"), f["n"].alias("n"))))
+
+    def state(cells: Column, plus: Column, minus: Column) -> Column:
+        return F.struct(cells.alias("cells"), plus.alias("plus"), minus.alias("minus"), found_in(cells).alias("found"))
 
     def without(c: Column, i: Column, found: Column) -> Column:
-        def holds(x: Column) -> Column:
-            at = F.lit(False)
-            for j in range(3):
-                at = at | (i == _slot(x["k"], j, size) + j * size)
-            return at
-
-        return F.aggregate(
-            F.filter(found, holds),
-            c,
-            lambda s, x: F.struct((s["n"] - x["n"]).alias("n"), s["k"].bitwiseXOR(x["k"]).alias("k"), s["c"].bitwiseXOR(F.hash(x["k"])).alias("c")),
-        )
+        take = lambda s, x: F.struct((s["n"] - x["n"]).alias("n"), s["k"].bitwiseXOR(x["k"]).alias("k"), s["c"].bitwiseXOR(x["c"]).alias("c"))
+        return F.aggregate(F.filter(found, lambda x: _in_cell(x, i)), c, take)
 
     def step(s: Column, _: Column) -> Column:
-        found = s["found"]
-        left = F.transform(s["cells"], lambda c, i: without(c, i, found))
-        after = F.struct(
-            left.alias("cells"),
-            F.concat(s["plus"], F.transform(F.filter(found, lambda x: x["n"] > 0), lambda x: x["k"])).alias("plus"),
-            F.concat(s["minus"], F.transform(F.filter(found, lambda x: x["n"] < 0), lambda x: x["k"])).alias("minus"),
-            F.array().cast("array<struct<k:bigint,n:int>>").alias("found"),
-        )
-        again = lambda a: F.struct(a["cells"].alias("cells"), a["plus"].alias("plus"), a["minus"].alias("minus"), F.array_distinct(F.transform(F.filter(a["cells"], pure), lambda c: F.struct(c["k"].alias("k"), c["n"].alias("n")))).alias("found"))
-        return F.when(F.size(found) == 0, s).otherwise(F.element_at(F.transform(F.array(after), again), 1))
-
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, step)
-    done = F.transform(F.array(end), lambda s: F.when(F.forall(s["cells"], clear), F.struct(s["plus"].alias("plus"), s["minus"].alias("minus"))))
-    return F.element_at(done, 1)
+        side = lambda sign: F.transform(F.filter(s["found"], lambda x: x["n"] == sign), lambda x: x["k"])
+        left = F.transform(s["cells"], lambda c, i: without(c, i, s["found"]))
+        return F.when(F.size(s["found"]) == 0, s).otherwise(_bound(left, lambda cells: state(cells, F.concat(s["plus"], side(1)), F.concat(s["minus"], side(-1)))))
+
+    none = F.array().cast("array<bigint>")
+    end = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), state(cells, none, none), step)
+    return _bound(end, lambda s: F.when(F.forall(s["cells"], clear), F.struct(s["plus"].alias("plus"), s["minus"].alias("minus"))))
+
+
+def _branch(k: Column, level: Column) -> Column:
+    """Two bits of a digest for each retry; none of them chooses a cell."""
+    return F.call_function("shiftright", k, F.lit(3) + level * 2).bitwiseAND(F.lit(3))
+
+
+def retried(a: Column, b: Column, cells: int = CELLS, retries: int = RETRIES) -> Column:
+    """How many digests of each of two sets of ``placed`` digests are not in the other, as struct (plus, minus, left).
+
+    ``left`` counts the tables that could not be peeled after all retries; plus and minus miss their digests then. Tables
+    that must fail, as their counts differ by more than their cells, are not tried.
+    """
+    pair = f"struct<a:array<{_KEY}>,b:array<{_KEY}>>"
+
+    def split(groups: Column, level: Column) -> Column:
+        part = lambda g, q: F.struct(F.filter(g["a"], lambda x: _branch(x["k"], level) == q).alias("a"), F.filter(g["b"], lambda x: _branch(x["k"], level) == q).alias("b"))
+        return F.flatten(F.transform(groups, lambda g: F.transform(F.sequence(F.lit(0), F.lit(3)), lambda q: part(g, q))))
+
+    def tried(g: Column) -> Column:
+        got = F.when(F.abs(F.size(g["a"]) - F.size(g["b"])) <= 3 * cells, peel(subtract(sketch(g["a"], cells), sketch(g["b"], cells)), cells))
+        return F.struct(g["a"].alias("a"), g["b"].alias("b"), got.alias("d"))
+
+    def step(s: Column, level: Column) -> Column:
+        def count(done: Column, side: str) -> Column:
+            return s[side] + F.aggregate(done, F.lit(0), lambda n, t: n + F.coalesce(F.size(t["d"][side]), F.lit(0)))
+
+        def after(t: Column) -> Column:
+            failed = F.transform(F.filter(t, lambda x: x["d"].isNull()), lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b")))
+            done = F.filter(t, lambda x: x["d"].isNotNull())
+            return F.struct(failed.alias("groups"), count(done, "plus").alias("plus"), count(done, "minus").alias("minus"))
+
+        return F.when(F.size(s["groups"]) == 0, s).otherwise(_bound(F.transform(split(s["groups"], level), tried), after))
+
+    start = F.struct(F.array(F.struct(a.alias("a"), b.alias("b"))).cast(f"array<{pair}>").alias("groups"), F.lit(0).alias("plus"), F.lit(0).alias("minus"))
+    end = F.aggregate(F.sequence(F.lit(0), F.lit(retries - 1)), start, step)
+    return _bound(end, lambda s: F.struct(s["plus"].alias("plus"), s["minus"].alias("minus"), F.size(s["groups"]).alias("left")))
 
 
 def likeness(a: Column, b: Column, only_a: Column, only_b: Column) -> Column:
@@ -110,119 +148,88 @@ def _written(cells: Column) -> Column:
     return F.array_join(F.transform(cells, lambda c: F.concat_ws(":", c["n"].cast("string"), F.lower(F.hex(c["k"])), F.lower(F.hex(c["c"])))), " ")
 
 
+def _bucket(value: Column, bounds: list[int]) -> Column:
+    """How many of the sorted ``bounds`` are greater than ``value``: by a chunk of them, then inside it."""
+    if not bounds:
+        return F.lit(0)
+    step = math.isqrt(len(bounds)) + 1
+    chunks = [bounds[i : i + step] for i in range(0, len(bounds), step)]
+    greater = lambda values: F.size(F.filter(values, lambda b: value < b))
+    later = greater(F.lit([c[0] for c in chunks]).cast("array<bigint>"))
+    # The chunk that begins at or before the value; all chunks after it are greater.
+    at = F.lit(len(chunks)) - later
+    inside = greater(F.element_at(F.lit(chunks).cast("array<array<bigint>>"), at.cast("int")))
+    return F.when(at == 0, F.lit(len(bounds))).otherwise(F.greatest(F.lit(0), F.lit(len(bounds)) - at * step) + inside)
+
+
 def with_next(docs: DataFrame, rows_per_bucket: int = BUCKET) -> DataFrame:
-    """bucket, row, doc_id, text, keys and the next document's text and keys, by descending doc_id; the first follows the last.
+    """doc_id, text, keys and the next document's text and keys, by descending doc_id; the first follows the last.
 
     Ids are cut into buckets at approximate quantiles; each bucket also gets a copy of the first row of the next one,
-    so that the order never passes through one task. Equal ids are in the order of their texts' digests; null ids come last.
+    so that the order never passes through one task. Equal ids are in the order of their texts' digests; null ids come last
+    and are cut into buckets by those digests.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
-    n = docs.count()
-    buckets = max(1, min(n // rows_per_bucket, MAX_BUCKETS))
+    n = rows.agg(F.count("doc_id").alias("ids"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).first()
+    buckets, last = (max(1, min(n[k] // rows_per_bucket, MAX_BUCKETS)) for k in ("ids", "nulls"))
     bounds = sorted({int(b) for b in rows.approxQuantile("doc_id", [i / buckets for i in range(1, buckets)], 0.2 / buckets)}) if buckets > 1 else []
-    at = F.size(F.filter(F.lit(bounds).cast("array<bigint>"), lambda b: F.col("doc_id") < b)) if bounds else F.lit(0)
-    rows = rows.withColumn("bucket", F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(at).cast("int")).withColumn("tie", text_key(F.col("text")))
+    rows = rows.withColumn("tie", text_key(F.col("text")))
+    by_tie = F.floor(F.conv(F.substring("tie", 1, 8), 16, 10).cast("long") * last / (1 << 32))
+    rows = rows.withColumn("bucket", F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1) + by_tie).otherwise(_bucket(F.col("doc_id"), bounds)).cast("int"))
     firsts = rows.groupBy("bucket").agg(F.min(F.struct((-F.col("doc_id")).alias("d"), F.col("tie").alias("t"))).alias("f")).collect()
     firsts = sorted((r["bucket"], r["f"]["d"], r["f"]["t"]) for r in firsts)
     guests = [(p, None if d is None else -d, t, firsts[i - 1][0]) for i, (p, d, t) in enumerate(firsts)]
-    g = docs.sparkSession.createDataFrame(guests, "gb int, gd long, gt string, guest_of int")
+    g = small_table(docs.sparkSession, guests, "gb int, gd long, gt string, guest_of int")
     marked = rows.join(F.broadcast(g), (F.col("bucket") == F.col("gb")) & F.col("doc_id").eqNullSafe(F.col("gd")) & (F.col("tie") == F.col("gt")), "left")
     place = F.when(F.col("guest_of").isNull(), F.array(F.struct(F.col("bucket").alias("b"), F.lit(False).alias("g")))).otherwise(F.array(F.struct(F.col("bucket").alias("b"), F.lit(False).alias("g")), F.struct(F.col("guest_of").alias("b"), F.lit(True).alias("g"))))
-    placed = marked.select("doc_id", "text", "tie", digests(F.col("text")).alias("keys"), F.explode(place).alias("at")).select("doc_id", "text", "tie", "keys", F.col("at.b").alias("bucket"), F.col("at.g").alias("guest"))
+    placed_rows = marked.select("doc_id", "text", "tie", digests(F.col("text")).alias("keys"), F.explode(place).alias("at")).select("doc_id", "text", "tie", "keys", F.col("at.b").alias("bucket"), F.col("at.g").alias("guest"))
     order = W.partitionBy("bucket").orderBy(F.col("guest"), F.col("doc_id").desc_nulls_last(), F.col("tie"))
-    led = placed.withColumn("next", F.lead(F.struct("text", "keys")).over(order)).withColumn("row", F.row_number().over(order))
-    return led.filter(~F.col("guest")).select("bucket", "row", "doc_id", "text", "keys", F.col("next.text").alias("next_text"), F.col("next.keys").alias("next_keys"))
+    led = placed_rows.withColumn("next", F.lead(F.struct("text", "keys")).over(order))
+    return led.filter(~F.col("guest")).select("doc_id", "text", "keys", F.col("next.text").alias("next_text"), F.col("next.keys").alias("next_keys"))
 
 
-def fingerprints(docs: DataFrame, cells: int = CELLS, larger: int = LARGER, rows_per_bucket: int = BUCKET) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, retried.
+def fingerprints(docs: DataFrame, cells: int = CELLS, retries: int = RETRIES, rows_per_bucket: int = BUCKET) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next,
+    retried, compared.
 
     The edited text has the last floor(n/3) code points replaced by the first as many of the next document's text. Likeness is
     the Jaccard similarity of paragraph sets, as recovered from tables; ``retried`` counts the comparisons (0 to 2) that needed
-    larger ones. Should those fail too, the digest sets themselves are compared. Null texts count as empty; texts without
-    paragraphs are alike only to each other. Equal texts have equal fingerprints. Only doc_id and text are read. An empty
-    table gives no rows.
+    larger ones, ``compared`` those that no retry could peel, where the digest sets themselves are compared. Null texts count
+    as empty; texts without paragraphs are alike only to each other. Equal texts have equal fingerprints. Only doc_id and text
+    are read. An empty table gives no rows.
     """
     led = with_next(docs, rows_per_bucket)
     n = F.length("text")
     led = led.withColumn("cut", F.floor(n / 3).cast("int")).withColumn("edited", F.concat(F.expr("substring(text, 1, length(text) - cut)"), F.expr("substring(next_text, 1, cut)")))
-    led = led.select("bucket", "row", "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited"), 256).alias("edited_sha256"), "keys", "next_keys", digests(F.col("edited")).alias("edited_keys"))
+    led = led.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited"), 256).alias("edited_sha256"), "keys", "next_keys", digests(F.col("edited")).alias("edited_keys"))
+    led = led.withColumns({k: placed(F.col(k), cells) for k in ("keys", "edited_keys", "next_keys")})
     led = led.withColumns({"own": sketch(F.col("keys"), cells), "other": sketch(F.col("edited_keys"), cells), "after": sketch(F.col("next_keys"), cells)})
-    led = led.withColumns({"pe": peel(subtract(F.col("own"), F.col("other")), cells), "pn": peel(subtract(F.col("own"), F.col("after")), cells)})
-
-    def of_base(p: str, keys: str) -> Column:
-        plus, minus = F.size(F.col(f"{p}.plus")), F.size(F.col(f"{p}.minus"))
-        sound = F.col(p).isNotNull() & (F.size("keys") - plus == F.size(keys) - minus)
-        return F.when(sound, likeness(F.size("keys"), F.size(keys), plus, minus))
-
-    led = led.withColumns({"near_e": of_base("pe", "edited_keys"), "near_n": of_base("pn", "next_keys"), "fp": _written(F.col("own")), "fpe": _written(F.col("other"))})
-    payload = F.struct("doc_id", "n_chars", "edited_sha256", "fp", "fpe", "near_e", "near_n", "keys", "edited_keys", "next_keys")
-    led = led.select("bucket", "row", payload.alias("doc"), "keys", "edited_keys", "next_keys", F.col("near_e").isNull().alias("retry_e"), F.col("near_n").isNull().alias("retry_n"))
-
-    kind = "struct<which:int,sign:int,k:bigint,doc:" + dict(led.dtypes)["doc"] + ">"
-    none = F.array().cast(f"array<{kind}>")
-    doc_type = dict(led.dtypes)["doc"]
-
-    def items(which: int, sign: int, keys: str, when: str) -> Column:
-        made = F.transform(F.col(keys), lambda k: F.struct(F.lit(which).alias("which"), F.lit(sign).alias("sign"), k.alias("k"), F.lit(None).cast(doc_type).alias("doc")))
-        return F.when(F.col(when), made).otherwise(none)
-
-    whole = F.array(F.struct(F.lit(0).alias("which"), F.lit(0).alias("sign"), F.lit(0).cast("long").alias("k"), F.col("doc").alias("doc")))
-    spread = led.select(
-        "bucket",
-        "row",
-        (F.lit(larger) * (F.size("keys") + F.size("edited_keys"))).alias("se"),
-        (F.lit(larger) * (F.size("keys") + F.size("next_keys"))).alias("sn"),
-        F.explode(F.concat(whole, items(1, 1, "keys", "retry_e"), items(1, -1, "edited_keys", "retry_e"), items(2, 1, "keys", "retry_n"), items(2, -1, "next_keys", "retry_n"))).alias("i"),
-    ).select("bucket", "row", F.col("i.which").alias("which"), F.when(F.col("i.which") == 1, F.col("se")).otherwise(F.col("sn")).alias("s"), F.col("i.sign").alias("sign"), F.col("i.k").alias("k"), F.col("i.doc").alias("doc"))
-    tables = F.when(F.col("which") == 0, F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1), F.lit(2)))
-    spread = spread.select("bucket", "row", "which", "s", "sign", "k", "doc", F.explode(tables).alias("j"))
-    # Every key column of these sums includes the bucket, by which rows are dealt already.
-    cell = F.when(F.col("which") == 0, 0).otherwise(F.expr("cast(pmod(shiftright(k, 21 * j) & 2097151, greatest(s, 1)) as int)"))
-    sums = spread.groupBy("bucket", "row", "which", "j", cell.alias("cell"), "doc").agg(F.sum("sign").alias("n"), F.bit_xor("k").alias("k"), F.bit_xor(F.hash("k")).alias("c"))
-    is_pure = (F.col("which") > 0) & (F.abs("n") == 1) & (F.col("c") == F.hash("k"))
-    first = (F.col("j") == 0) & (F.col("which") > 0)
-    # Of a pure cell its digest; of each comparison the total of subtable 0, which the digests found must add up to.
-    parts = sums.select(
-        "bucket",
-        "row",
-        "which",
-        "doc",
-        F.explode(
-            F.filter(
-                F.array(
-                    F.when(is_pure, F.struct(F.col("k").alias("key"), F.col("n").alias("n"), F.lit(0).alias("total"), F.lit(0).cast("long").alias("x"))),
-                    F.when(first | (F.col("which") == 0), F.struct(F.lit(None).cast("long").alias("key"), F.lit(0).cast("long").alias("n"), F.lit(1).alias("total"), F.when(first, F.col("k")).otherwise(F.lit(0).cast("long")).alias("x"))),
-                ),
-                lambda e: e.isNotNull(),
-            )
-        ).alias("e"),
-    ).select("bucket", "row", "which", "doc", "e.key", "e.n", "e.total", "e.x")
-    keys = parts.groupBy("bucket", "row", "which", "doc", "key", "total").agg(F.max("n").alias("n"), F.bit_xor("x").alias("x"))
-    per = keys.groupBy("bucket", "row", "which", "doc").agg(
-        F.count_if((F.col("total") == 0) & (F.col("n") > 0)).alias("plus"),
-        F.count_if((F.col("total") == 0) & (F.col("n") < 0)).alias("minus"),
-        F.bit_xor(F.when(F.col("total") == 1, F.col("x")).otherwise(F.col("key"))).alias("rest"),
-    )
-    got = lambda w, c: F.max(F.when(F.col("which") == w, F.col(c)))
-    out = per.groupBy("bucket", "row").agg(F.max("doc").alias("doc"), *(got(w, c).alias(f"{c}{w}") for w in (1, 2) for c in ("plus", "minus", "rest")))
-
-    def final(w: int, base: str, keys: str) -> Column:
-        a, b = F.size("doc.keys"), F.size(f"doc.{keys}")
-        plus, minus = F.col(f"plus{w}"), F.col(f"minus{w}")
-        sound = (F.col(f"rest{w}") == 0) & (a - plus == b - minus)
-        direct = likeness(a, b, F.size(F.array_except("doc.keys", f"doc.{keys}")), F.size(F.array_except(f"doc.{keys}", "doc.keys")))
-        return F.when(F.col(f"doc.{base}").isNotNull(), F.col(f"doc.{base}")).when(sound, likeness(a, b, plus, minus)).otherwise(direct)
-
-    return out.select(
-        "doc.doc_id",
-        "doc.n_chars",
-        "doc.edited_sha256",
-        F.col("doc.fp").alias("fingerprint"),
-        F.col("doc.fpe").alias("edited_fingerprint"),
-        final(1, "near_e", "edited_keys").alias("near_edited"),
-        final(2, "near_n", "next_keys").alias("near_next"),
-        (F.col("doc.near_e").isNull().cast("int") + F.col("doc.near_n").isNull().cast("int")).alias("retried"),
+
+    def first(table: str, keys: str) -> Column:
+        got = F.when(F.abs(F.size("keys") - F.size(keys)) <= 3 * cells, peel(subtract(F.col("own"), F.col(table)), cells))
+        return _bound(got, lambda d: F.when(d.isNotNull(), F.struct(F.size(d["plus"]).alias("plus"), F.size(d["minus"]).alias("minus"), F.lit(0).alias("left"))))
+
+    led = led.withColumns({"e": first("other", "edited_keys"), "x": first("after", "next_keys")})
+    led = led.withColumn("retried", F.col("e").isNull().cast("int") + F.col("x").isNull().cast("int"))
+    led = led.withColumns({c: F.coalesce(F.col(c), retried(F.col("keys"), F.col(keys), cells, retries)) for c, keys in (("e", "edited_keys"), ("x", "next_keys"))})
+    sound = lambda c, keys: (F.col(f"{c}.left") == 0) & (F.size("keys") - F.col(f"{c}.plus") == F.size(keys) - F.col(f"{c}.minus"))
+    led = led.withColumns({"sound_e": sound("e", "edited_keys"), "sound_x": sound("x", "next_keys")})
+
+    def near(c: str, keys: str) -> Column:
+        a, b = F.size("keys"), F.size(keys)
+        only = lambda one, two: F.size(F.array_except(F.col(one)["k"], F.col(two)["k"]))
+        return F.when(F.col(f"sound_{c}"), likeness(a, b, F.col(f"{c}.plus"), F.col(f"{c}.minus"))).otherwise(likeness(a, b, only("keys", keys), only(keys, "keys")))
+
+    return led.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        _written(F.col("own")).alias("fingerprint"),
+        _written(F.col("other")).alias("edited_fingerprint"),
+        near("e", "edited_keys").alias("near_edited"),
+        near("x", "next_keys").alias("near_next"),
+        "retried",
+        ((~F.col("sound_e")).cast("int") + (~F.col("sound_x")).cast("int")).alias("compared"),
     )
 
 

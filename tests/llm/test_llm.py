@@ -86,6 +86,7 @@ def test_fingerprints_against_sets(spark, odd):
         assert r["near_next"] == pytest.approx(_jaccard(_paragraphs(t), _paragraphs(nx)))
     assert got[152]["fingerprint"] == got[153]["fingerprint"]
     assert {r["retried"] for r in got.values()} >= {0, 1}
+    assert sum(r["compared"] for r in got.values()) == 0
     assert fingerprints.fingerprints(odd[1], rows_per_bucket=2).count() == len(odd[0])
     assert fingerprints.fingerprints(odd[1].limit(0)).count() == 0
 
@@ -98,13 +99,36 @@ def test_peeling_recovers_both_sides_or_nothing(spark):
         a, b = [rng.getrandbits(63) for _ in range(d)], [rng.getrandbits(63) for _ in range(d // 2)]
         rows.append((both + a, both + b, sorted(a), sorted(b)))
     df = spark.createDataFrame(rows, "a array<long>, b array<long>, pa array<long>, pb array<long>")
-    cut = fingerprints.peel(fingerprints.subtract(fingerprints.sketch(F.col("a")), fingerprints.sketch(F.col("b"))))
+    cut = fingerprints.peel(fingerprints.subtract(*(fingerprints.sketch(fingerprints.placed(F.col(c))) for c in "ab")))
     got = df.select(cut.alias("d"), "pa", "pb").collect()
     done = [r for r in got if r["d"] is not None]
     assert len(done) >= 6 and len(done) < len(got)
     assert all(sorted(r["d"]["plus"]) == r["pa"] and sorted(r["d"]["minus"]) == r["pb"] for r in done)
 
 
+def test_retries_recover_large_differences(spark):
+    rng = random.Random(13)
+    rows = []
+    for d in (0, 1, 30, 200, 3000):
+        both = [rng.getrandbits(64) - (1 << 63) for _ in range(50)]
+        rows.append((both + [rng.getrandbits(64) - (1 << 63) for _ in range(d)], both + [rng.getrandbits(64) - (1 << 63) for _ in range(d // 2)], d))
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>, d int")
+    a, b = (fingerprints.placed(F.col(c)) for c in "ab")
+    got = df.select("d", fingerprints.retried(a, b).alias("r"), fingerprints.retried(a, b, retries=1).alias("one")).collect()
+    assert [(r["r"]["plus"], r["r"]["minus"], r["r"]["left"]) for r in got] == [(r["d"], r["d"] // 2, 0) for r in got]
+    assert got[-1]["one"]["left"] > 0
+
+
+def test_next_documents_over_many_buckets(spark):
+    rng = random.Random(14)
+    ids = [*rng.sample(range(-10_000, 10_000), 300), None, None, None, 5, 5]
+    docs = docs_of(spark, [f"t{i}" for i in range(len(ids))], ids=ids)
+    got = {r["text"]: r["next_text"] for r in fingerprints.with_next(docs, rows_per_bucket=2).collect()}
+    tie = {f"t{i}": hashlib.sha256(f"t{i}".encode()).hexdigest() for i in range(len(ids))}
+    order = sorted(tie, key=lambda t: (ids[int(t[1:])] is None, -(ids[int(t[1:])] or 0), tie[t]))
+    assert got == {a: order[(k + 1) % len(order)] for k, a in enumerate(order)}
+
+
 # --- 3 toxicity
 
 
@@ -166,9 +190,28 @@ def test_warc_round_trip_and_revisits(spark):
             want[(i, len(p), hashlib.sha256(p).hexdigest(), "revisit" if rev else "response", 2 if rev else None)] += 1
         assert Counter((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got) == want
         assert all(hashlib.sha256(r["payload"]).hexdigest() == r["payload_digest"] for r in got if r["record_type"] == "response")
+        assert all(r["problem"] is None for r in got)
     assert warc_zip.read_archives(warc_zip.write_archives(warc_zip.plan_records(df.limit(0)), scratch_dir(spark, "t"))).count() == 0
 
 
+def test_damaged_archives_are_reported(spark, tmp_path):
+    import pathlib
+
+    pages = spark.createDataFrame([(i, "u", f"<p>{i}" + "z" * 3000 + str(i)) for i in range(40)], "page_id long, url string, html string").coalesce(1)
+    made = warc_zip.write_archives(warc_zip.plan_records(pages).coalesce(1), f"file://{tmp_path}/warc", limit=400)
+    paths = [pathlib.Path(r["path"].removeprefix("file://")) for r in made.collect()]
+    assert len(paths) > 3
+    raw = bytearray(paths[0].read_bytes())
+    raw[raw.index(b"\x1f\x8b") + 20] ^= 255
+    paths[0].write_bytes(raw)
+    paths[1].write_bytes(paths[1].read_bytes()[:-30])
+    got = warc_zip.read_archives(made).collect()
+    bad = [r for r in got if r["problem"]]
+    assert sorted(r["page_id"] is None for r in bad) == [False, True] and all(r["payload_digest"] is None for r in bad)
+    per = {r["path"]: r["n"] for r in made.collect()}
+    assert len(got) - len(bad) == sum(n for p, n in per.items() if not p.endswith(paths[1].name)) - 1
+
+
 def test_zip_directory_agrees_with_the_standard_library():
     import io
     import zipfile
@@ -449,6 +492,44 @@ def test_keep_one_keeps_a_document_of_each_class(spark):
     assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted([(2, texts[1]), (1, texts[3]), (None, "x")], key=str)
 
 
+def test_deep_groups_reach_the_recall(spark, monkeypatch):
+    # Half-alike sets: buckets shrink slowly, so that the sampled positions run out and whole buckets are compared.
+    rng = random.Random(15)
+    base = words(rng, 150).split()
+    texts = []
+    for _ in range(120):
+        at = rng.randrange(0, 110)
+        texts.append(" ".join(base[:at] + words(rng, 40).split() + base[at + 40 :]))
+    texts += [t + " end" for t in texts[:20]]
+    calls = []
+    paths = ngram_join._paths
+    monkeypatch.setattr(ngram_join, "_paths", lambda *a: calls.append(a[5]) or paths(*a))
+    got = ngram_join.jaccard_links(docs_of(spark, texts), small=4, positions=8).collect()
+    assert calls[-1] == 1 << 62
+    assert Counter((r["doc_id"], r["class_id"], r["n_links"]) for r in got) == _brute(texts, list(range(len(texts))))
+
+
+def test_components_with_hubs(spark, monkeypatch):
+    from signalweave.llm import common
+
+    rng = random.Random(16)
+    edges = [(0, i) for i in range(1, 500)] + [(900, i) for i in range(500, 899)] + [(i, i + 1) for i in range(1000, 1040)] + [(rng.randrange(2000, 2100), rng.randrange(2000, 2100)) for _ in range(60)]
+    up = {}
+
+    def find(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            a, b = sorted((find(a), find(b)))
+            up[b] = a
+    got = {r["node"]: r["root"] for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: find(x) for x in list(up)}
+    assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_exact_links_are_exact():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 60, 50).astype(np.uint64)) for _ in range(40)]
