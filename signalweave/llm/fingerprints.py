@@ -5,6 +5,7 @@ cell holds a count, the XOR of digests and the XOR of their checksums. Subtracti
 digests that differ; cells that hold one of them are peeled until none is left. Fingerprints have a fixed small size, which
 suffices for small edits. Where peeling stops short it is retried with four times the cells: the digests are dealt by two of
 their bits to four tables, each of which is subtracted and peeled by itself, and so on for those tables that fail again.
+The counts of a failed table tell about how many digests differ; retries that this says would fail are passed over.
 
 Native: higher-order functions build, subtract and peel all tables in the row, in time proportional to the paragraphs for
 each retry; the only exchange is that which brings a document to its neighbour.
@@ -22,13 +23,13 @@ from .common import read_table, small_table, text_key, text_or_empty
 
 #: Cells of each of the three subtables (a power of two), and rounds of peeling.
 CELLS, ROUNDS = 8, 10
-#: Retries; each has four times the cells of the one before.
-RETRIES = 9
+#: Retries; each has four times the cells of the one before. Tables with more differences than this by estimate are not tried.
+RETRIES, FULL = 9, 12
 #: Rows in a bucket of the id order, and the most buckets (their first rows are kept on the driver).
 BUCKET, MAX_BUCKETS = 1000, 65536
 
 _PARAGRAPH = r"\n+|(?<=[.!?])\s+"
-_KEY = "struct<k:bigint,m:bigint,c:int>"
+_KEY = "struct<k:bigint,c:int,s0:int,s1:int,s2:int>"
 
 
 def digests(text: Column) -> Column:
@@ -41,34 +42,37 @@ def _bound(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def placed(keys: Column, cells: int = CELLS) -> Column:
-    """Digests with their checksums and, as the set bits of ``m``, their cells: one in each subtable, by 21 bits of the digest each."""
-
-    def one(k: Column) -> Column:
-        m = F.lit(0).cast("long")
-        for j in range(3):
-            slot = F.shiftright(k, 21 * j).bitwiseAND(F.lit(cells - 1)).cast("int") + j * cells
-            m = m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), slot))
-        return F.struct(k.alias("k"), m.alias("m"), F.hash(k).alias("c"))
-
-    return F.transform(keys, one)
+def _slot(k: Column, j: int, cells: int) -> Column:
+    """The cell of digest k in subtable j, by 21 bits of the digest for each; subtables are numbered through."""
+    return F.shiftright(k, 21 * j).bitwiseAND(F.lit(cells - 1)).cast("int") + j * cells
 
 
-def _in_cell(x: Column, i: Column) -> Column:
-    return F.call_function("shiftright", x["m"], i).bitwiseAND(F.lit(1)) == 1
+def placed(keys: Column, cells: int = CELLS) -> Column:
+    """Digests with their checksums and their three cells."""
+    return F.transform(keys, lambda k: F.struct(k.alias("k"), F.hash(k).alias("c"), *(_slot(k, j, cells).alias(f"s{j}") for j in range(3))))
 
 
 def sketch(keys: Column, cells: int = CELLS) -> Column:
     """The table of a set of ``placed`` digests: subtable 0, then 1 and 2, ``cells`` each."""
     zero = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("k"), F.lit(0).alias("c"))
     add = lambda s, x: F.struct((s["n"] + 1).alias("n"), s["k"].bitwiseXOR(x["k"]).alias("k"), s["c"].bitwiseXOR(x["c"]).alias("c"))
-    return F.transform(F.sequence(F.lit(0), F.lit(3 * cells - 1)), lambda i: F.aggregate(F.filter(keys, lambda x: _in_cell(x, i)), zero, add))
+
+    def table(j: int) -> Column:
+        return F.transform(F.sequence(F.lit(j * cells), F.lit((j + 1) * cells - 1)), lambda i: F.aggregate(F.filter(keys, lambda x: x[f"s{j}"] == i), zero, add))
+
+    return F.concat(*(table(j) for j in range(3)))
 
 
 def subtract(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: F.struct((x["n"] - y["n"]).alias("n"), x["k"].bitwiseXOR(y["k"]).alias("k"), x["c"].bitwiseXOR(y["c"]).alias("c")))
 
 
+def difference(cells: Column, sizes: Column, size: int = CELLS) -> Column:
+    """Estimated number of digests in a difference of tables, by the squares of its counts; ``sizes`` is the sets' difference in size."""
+    squares = F.aggregate(cells, F.lit(0).cast("long"), lambda s, c: s + c["n"].cast("long") * c["n"])
+    return (size * squares / 3 - sizes * sizes) / (size - 1)
+
+
 def peel(cells: Column, size: int = CELLS, rounds: int = ROUNDS) -> Column:
     """(plus, minus) digests recovered from a difference, as a struct of two arrays; null if cells remain.
 
@@ -78,24 +82,32 @@ def peel(cells: Column, size: int = CELLS, rounds: int = ROUNDS) -> Column:
     clear = lambda c: (c["n"] == 0) & (c["k"] == 0) & (c["c"] == 0)
     pure = lambda c: (F.abs(c["n"]) == 1) & (c["c"] == F.hash(c["k"]))
 
-    def found_in(cells: Column) -> Column:
-        signed = F.array_distinct(F.transform(F.filter(cells, pure), lambda c: F.struct(c["k"].alias("k"), c["n"].alias("n"))))
-        return F.transform(signed, lambda f: _bound(F.element_at(placed(F.array(f["k"]), size), 1), lambda x: F.struct(x["k"].alias("k"), x["m"].alias("m"), x["c"].alias("c"), f["n"].alias("n"))))
-
     def state(cells: Column, plus: Column, minus: Column) -> Column:
-        return F.struct(cells.alias("cells"), plus.alias("plus"), minus.alias("minus"), found_in(cells).alias("found"))
+        side = lambda found, sign: F.array_distinct(F.transform(F.filter(found, lambda c: c["n"] == sign), lambda c: c["k"]))
+        both = _bound(F.filter(cells, pure), lambda found: F.struct(side(found, 1).alias("p"), side(found, -1).alias("m")))
+        return F.struct(cells.alias("cells"), plus.alias("plus"), minus.alias("minus"), both.alias("found"))
 
     def without(c: Column, i: Column, found: Column) -> Column:
         take = lambda s, x: F.struct((s["n"] - x["n"]).alias("n"), s["k"].bitwiseXOR(x["k"]).alias("k"), s["c"].bitwiseXOR(x["c"]).alias("c"))
-        return F.aggregate(F.filter(found, lambda x: _in_cell(x, i)), c, take)
+        return F.aggregate(F.filter(found, lambda x: F.call_function("shiftright", x["m"], i).bitwiseAND(F.lit(1)) == 1), c, take)
+
+    def signed(keys: Column, sign: int) -> Column:
+        def one(k: Column) -> Column:
+            m = F.lit(0).cast("long")
+            for j in range(3):
+                m = m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), _slot(k, j, size)))
+            return F.struct(k.alias("k"), m.alias("m"), F.hash(k).alias("c"), F.lit(sign).alias("n"))
+
+        return F.transform(keys, one)
 
     def step(s: Column, _: Column) -> Column:
-        side = lambda sign: F.transform(F.filter(s["found"], lambda x: x["n"] == sign), lambda x: x["k"])
-        left = F.transform(s["cells"], lambda c, i: without(c, i, s["found"]))
-        return F.when(F.size(s["found"]) == 0, s).otherwise(_bound(left, lambda cells: state(cells, F.concat(s["plus"], side(1)), F.concat(s["minus"], side(-1)))))
+        found = s["found"]
+        left = _bound(F.concat(signed(found["p"], 1), signed(found["m"], -1)), lambda f: F.transform(s["cells"], lambda c, i: without(c, i, f)))
+        again = _bound(left, lambda cells: state(cells, F.concat(s["plus"], found["p"]), F.concat(s["minus"], found["m"])))
+        return F.when((F.size(found["p"]) == 0) & (F.size(found["m"]) == 0), s).otherwise(again)
 
     none = F.array().cast("array<bigint>")
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), state(cells, none, none), step)
+    end = _bound(cells, lambda c: F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), state(c, none, none), step))
     return _bound(end, lambda s: F.when(F.forall(s["cells"], clear), F.struct(s["plus"].alias("plus"), s["minus"].alias("minus"))))
 
 
@@ -104,20 +116,23 @@ def _branch(k: Column, level: Column) -> Column:
     return F.call_function("shiftright", k, F.lit(3) + level * 2).bitwiseAND(F.lit(3))
 
 
-def retried(a: Column, b: Column, cells: int = CELLS, retries: int = RETRIES) -> Column:
-    """How many digests of each of two sets of ``placed`` digests are not in the other, as struct (plus, minus, left).
+def retried(a: Column, b: Column, estimate: Column | None = None, cells: int = CELLS, retries: int = RETRIES) -> Column:
+    """How many digests of each of two sets are not in the other, as struct (plus, minus, left); the sets are ``placed`` for ``cells``.
 
-    ``left`` counts the tables that could not be peeled after all retries; plus and minus miss their digests then. Tables
-    that must fail, as their counts differ by more than their cells, are not tried.
+    Each retry deals the digests of every table that is left to four. Where ``estimate`` (of the differences in all) says that
+    tables would have more than FULL, they are dealt on at once. ``left`` counts the tables that could not be peeled after
+    all retries; plus and minus miss their digests then.
     """
     pair = f"struct<a:array<{_KEY}>,b:array<{_KEY}>>"
+    begin = F.lit(0) if estimate is None else F.ceil(F.log2(F.greatest(estimate, F.lit(1.0)) / FULL) / 2).cast("int") - 1
 
     def split(groups: Column, level: Column) -> Column:
         part = lambda g, q: F.struct(F.filter(g["a"], lambda x: _branch(x["k"], level) == q).alias("a"), F.filter(g["b"], lambda x: _branch(x["k"], level) == q).alias("b"))
         return F.flatten(F.transform(groups, lambda g: F.transform(F.sequence(F.lit(0), F.lit(3)), lambda q: part(g, q))))
 
-    def tried(g: Column) -> Column:
-        got = F.when(F.abs(F.size(g["a"]) - F.size(g["b"])) <= 3 * cells, peel(subtract(sketch(g["a"], cells), sketch(g["b"], cells)), cells))
+    def tried(g: Column, level: Column, begin: Column) -> Column:
+        worth = (level >= begin) & (F.abs(F.size(g["a"]) - F.size(g["b"])) <= 3 * cells)
+        got = F.when(worth, peel(subtract(sketch(g["a"], cells), sketch(g["b"], cells)), cells))
         return F.struct(g["a"].alias("a"), g["b"].alias("b"), got.alias("d"))
 
     def step(s: Column, level: Column) -> Column:
@@ -127,11 +142,12 @@ def retried(a: Column, b: Column, cells: int = CELLS, retries: int = RETRIES) ->
         def after(t: Column) -> Column:
             failed = F.transform(F.filter(t, lambda x: x["d"].isNull()), lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b")))
             done = F.filter(t, lambda x: x["d"].isNotNull())
-            return F.struct(failed.alias("groups"), count(done, "plus").alias("plus"), count(done, "minus").alias("minus"))
+            return F.struct(failed.alias("groups"), s["begin"].alias("begin"), count(done, "plus").alias("plus"), count(done, "minus").alias("minus"))
 
-        return F.when(F.size(s["groups"]) == 0, s).otherwise(_bound(F.transform(split(s["groups"], level), tried), after))
+        made = F.transform(split(s["groups"], level), lambda g: tried(g, level, s["begin"]))
+        return F.when(F.size(s["groups"]) == 0, s).otherwise(_bound(made, after))
 
-    start = F.struct(F.array(F.struct(a.alias("a"), b.alias("b"))).cast(f"array<{pair}>").alias("groups"), F.lit(0).alias("plus"), F.lit(0).alias("minus"))
+    start = F.struct(F.array(F.struct(a.alias("a"), b.alias("b"))).cast(f"array<{pair}>").alias("groups"), begin.alias("begin"), F.lit(0).alias("plus"), F.lit(0).alias("minus"))
     end = F.aggregate(F.sequence(F.lit(0), F.lit(retries - 1)), start, step)
     return _bound(end, lambda s: F.struct(s["plus"].alias("plus"), s["minus"].alias("minus"), F.size(s["groups"]).alias("left")))
 
@@ -204,14 +220,17 @@ def fingerprints(docs: DataFrame, cells: int = CELLS, retries: int = RETRIES, ro
     led = led.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited"), 256).alias("edited_sha256"), "keys", "next_keys", digests(F.col("edited")).alias("edited_keys"))
     led = led.withColumns({k: placed(F.col(k), cells) for k in ("keys", "edited_keys", "next_keys")})
     led = led.withColumns({"own": sketch(F.col("keys"), cells), "other": sketch(F.col("edited_keys"), cells), "after": sketch(F.col("next_keys"), cells)})
+    led = led.withColumns({"cut_e": subtract(F.col("own"), F.col("other")), "cut_x": subtract(F.col("own"), F.col("after"))})
+
+    def first(table: str) -> Column:
+        return _bound(peel(F.col(table), cells), lambda d: F.when(d.isNotNull(), F.struct(F.size(d["plus"]).alias("plus"), F.size(d["minus"]).alias("minus"), F.lit(0).alias("left"))))
 
-    def first(table: str, keys: str) -> Column:
-        got = F.when(F.abs(F.size("keys") - F.size(keys)) <= 3 * cells, peel(subtract(F.col("own"), F.col(table)), cells))
-        return _bound(got, lambda d: F.when(d.isNotNull(), F.struct(F.size(d["plus"]).alias("plus"), F.size(d["minus"]).alias("minus"), F.lit(0).alias("left"))))
+    def again(table: str, keys: str) -> Column:
+        return retried(F.col("keys"), F.col(keys), difference(F.col(table), F.size("keys") - F.size(keys), cells), cells, retries)
 
-    led = led.withColumns({"e": first("other", "edited_keys"), "x": first("after", "next_keys")})
+    led = led.withColumns({"e": first("cut_e"), "x": first("cut_x")})
     led = led.withColumn("retried", F.col("e").isNull().cast("int") + F.col("x").isNull().cast("int"))
-    led = led.withColumns({c: F.coalesce(F.col(c), retried(F.col("keys"), F.col(keys), cells, retries)) for c, keys in (("e", "edited_keys"), ("x", "next_keys"))})
+    led = led.withColumns({"e": F.coalesce("e", again("cut_e", "edited_keys")), "x": F.coalesce("x", again("cut_x", "next_keys"))})
     sound = lambda c, keys: (F.col(f"{c}.left") == 0) & (F.size("keys") - F.col(f"{c}.plus") == F.size(keys) - F.col(f"{c}.minus"))
     led = led.withColumns({"sound_e": sound("e", "edited_keys"), "sound_x": sound("x", "next_keys")})
 

@@ -114,7 +114,10 @@ def test_retries_recover_large_differences(spark):
         rows.append((both + [rng.getrandbits(64) - (1 << 63) for _ in range(d)], both + [rng.getrandbits(64) - (1 << 63) for _ in range(d // 2)], d))
     df = spark.createDataFrame(rows, "a array<long>, b array<long>, d int")
     a, b = (fingerprints.placed(F.col(c)) for c in "ab")
-    got = df.select("d", fingerprints.retried(a, b).alias("r"), fingerprints.retried(a, b, retries=1).alias("one")).collect()
+    guess = fingerprints.difference(fingerprints.subtract(*(fingerprints.sketch(fingerprints.placed(F.col(c))) for c in "ab")), F.size("a") - F.size("b"))
+    got = df.select("d", fingerprints.retried(a, b).alias("r"), fingerprints.retried(a, b, retries=1).alias("one"), fingerprints.retried(a, b, guess).alias("g"), guess.alias("guess")).collect()
+    assert [r["g"] for r in got] == [r["r"] for r in got]
+    assert got[0]["guess"] == 0 and got[-1]["guess"] > 500
     assert [(r["r"]["plus"], r["r"]["minus"], r["r"]["left"]) for r in got] == [(r["d"], r["d"] // 2, 0) for r in got]
     assert got[-1]["one"]["left"] > 0
 
