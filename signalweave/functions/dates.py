@@ -17,11 +17,12 @@ def day(x: Column) -> Column:
 
 
 def freshness(cadence: Column, age: Column) -> Column:
-    """FUTURE, FRESH, CARRY, STALE, or UNKNOWN without a date or a known cadence."""
+    """FUTURE, FRESH, CARRY, STALE, or UNKNOWN without a date; an unknown cadence counts as continuous."""
     out = F.when(age.isNull(), "UNKNOWN").when(age < 0, "FUTURE")
     for name, (fresh, carry) in CADENCE.items():
         out = out.when((cadence == name) & (age <= fresh), "FRESH").when((cadence == name) & (age <= carry), "CARRY").when(cadence == name, "STALE")
-    return out.otherwise("UNKNOWN")
+    fresh, carry = CADENCE["continuous"]
+    return out.when(age <= fresh, "FRESH").when(age <= carry, "CARRY").otherwise("STALE")
 
 
 def due_status(due: Column, as_of: date) -> Column:

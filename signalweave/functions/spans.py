@@ -11,28 +11,29 @@ from pyspark.sql import functions as F
 
 
 def chunk_text(text: str, size: int = 12_000, overlap: int = 600, least: int = 120) -> list[str]:
-    """Paragraphs packed up to ``size`` characters, each chunk beginning with the end of the one before; a longer paragraph is
-    cut with the same overlap. Chunks under ``least`` characters are dropped."""
+    """Lines, their white space collapsed, packed up to about ``size`` characters; each chunk begins with the last ``overlap``
+    characters of the one before, so it can be longer than ``size``. A longer line is cut with the same overlap. Chunks under
+    ``least`` characters are dropped."""
     step = max(1, size - overlap)
     pieces: list[str] = []
-    for para in (p.strip() for p in re.split(r"\n+", text)):
-        if not para:
-            continue
-        if len(para) <= size:
-            pieces.append(para)
-        else:
-            pieces += [para[i : i + size] for i in range(0, max(1, len(para) - overlap), step)]
-    chunks, held = [], ""
+    for line in text.splitlines():
+        para = " ".join(line.split())
+        if para:
+            pieces += [para[i : i + size] for i in (range(0, len(para), step) if len(para) > size else (0,))]
+    chunks: list[str] = []
+    held, used = "", 0
     for piece in pieces:
-        if held and len(held) + 1 + len(piece) > size:
+        if held and used + len(piece) + 1 > size:
             chunks.append(held)
-            tail = held[-overlap:] if overlap else ""
-            held = tail + "\n" + piece if tail and len(tail) + 1 + len(piece) <= size else piece
+            held = "\n".join(filter(None, (held[-overlap:] if overlap else "", piece)))
+            used = len(held)
         else:
-            held = held + "\n" + piece if held else piece
+            # A break is counted after every piece, also after the first.
+            held = f"{held}\n{piece}" if held else piece
+            used += len(piece) + 1
     if held:
         chunks.append(held)
-    return [c for c in chunks if len(c) >= least]
+    return [c for c in chunks if len(" ".join(c.split())) >= least]
 
 
 def chunks(x: Column, size: int = 12_000, overlap: int = 600, least: int = 120) -> Column:

@@ -66,3 +66,8 @@ def profile(df: DataFrame, columns: Sequence[str], numeric_share: float = 0.98)
     one = df.agg(*aggs)
     rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}__f").alias("non_empty"), F.col(f"{c}__n").alias("numeric")) for c in columns]))
     return one.select(rows.alias("r")).select("r.*", ((F.col("r.non_empty") > 0) & (F.col("r.numeric") >= numeric_share * F.col("r.non_empty"))).alias("is_numeric"))
+
+
+def collection_status(ok: Column, n: Column) -> Column:
+    """FAILED where the source could not be read, EMPTY where it was read and had nothing, OK otherwise: a failure is no zero."""
+    return F.when(~F.coalesce(ok, F.lit(False)), "FAILED").when(F.coalesce(n, F.lit(0)) == 0, "EMPTY").otherwise("OK")

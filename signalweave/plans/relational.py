@@ -52,11 +52,11 @@ def sibling_events(spark, sf_dir):
 
 @query(
     "temporal_pairs",
-    """WITH p AS (SELECT a.o_custkey, a.o_orderkey AS seed, b.o_orderkey AS candidate, CAST(a.o_orderdate AS DATE) AS da, CAST(b.o_orderdate AS DATE) AS db FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey <> b.o_orderkey WHERE a.o_orderpriority = '1-URGENT' AND year(a.o_orderdate) = 2000 AND year(b.o_orderdate) = 2000)
+    """WITH p AS (SELECT a.o_custkey, a.o_orderkey AS seed, b.o_orderkey AS candidate, CAST(a.o_orderdate AS DATE) AS da, CAST(b.o_orderdate AS DATE) AS db FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey <> b.o_orderkey WHERE a.o_orderpriority = '1-URGENT')
 SELECT seed, candidate, least(da, db) AS earlier, greatest(da, db) AS later, abs(date_diff('day', da, db)) AS gap_days FROM p""",
 )
 def temporal_pairs(spark, sf_dir):
-    o = _orders(spark, sf_dir).filter("year(day) = 2000")
+    o = _orders(spark, sf_dir)
     a = o.filter("o_orderpriority = '1-URGENT'").select("o_custkey", F.col("o_orderkey").alias("seed"), F.col("day").alias("da"))
     b = o.select("o_custkey", F.col("o_orderkey").alias("candidate"), F.col("day").alias("db"))
     return a.join(b, "o_custkey").filter("seed <> candidate").select("seed", "candidate", F.least("da", "db").alias("earlier"), F.greatest("da", "db").alias("later"), F.abs(F.datediff("da", "db")).alias("gap_days"))
@@ -211,11 +211,11 @@ def cross_lane_selection(spark, sf_dir):
 
 @query(
     "family_collapse",
-    """WITH d AS (SELECT d.doc_id, md5(split_part(text, chr(10), 1)) AS family, n_chars, l.doc_id IS NOT NULL AS reviewed FROM documents d LEFT JOIN labels l USING (doc_id)), p AS (SELECT * FROM d WHERE NOT reviewed AND family NOT IN (SELECT family FROM d WHERE reviewed))
+    """WITH d AS (SELECT d.doc_id, md5(text) AS family, n_chars, l.doc_id IS NOT NULL AS reviewed FROM documents d LEFT JOIN labels l USING (doc_id)), p AS (SELECT * FROM d WHERE NOT reviewed AND family NOT IN (SELECT family FROM d WHERE reviewed))
 SELECT doc_id, reviewed FROM d WHERE reviewed UNION ALL SELECT doc_id, reviewed FROM (SELECT *, row_number() OVER (PARTITION BY family ORDER BY n_chars DESC, doc_id) AS r FROM p) WHERE r = 1""",
 )
 def family_collapse(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", F.md5(F.substring_index("text", "\n", 1).cast("binary")).alias("family"), "n_chars")
+    d = table(spark, sf_dir, "documents").select("doc_id", F.md5(F.col("text").cast("binary")).alias("family"), "n_chars")
     d = d.join(table(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("r")), "doc_id", "left").withColumn("reviewed", F.coalesce("r", F.lit(False))).drop("r")
     done = d.filter("reviewed")
     pending = d.filter("not reviewed").join(done.select("family").distinct(), "family", "left_anti")
@@ -371,12 +371,16 @@ def cluster_readiness(spark, sf_dir):
 
 @query(
     "group_merge_for_review",
-    "SELECT conv_id, list_slice(list_distinct_ordered, 1, 3) AS anchors, n_turns, roles FROM (SELECT conv_id, list(text ORDER BY turn) AS list_distinct_ordered, count(*) AS n_turns, list_sort(list(DISTINCT role)) AS roles FROM conversations WHERE role = 'user' GROUP BY conv_id)",
+    """WITH a AS (SELECT conv_id, coalesce(text, '') AS text, min(turn) AS t, count(*) AS n FROM conversations GROUP BY ALL), r AS (SELECT conv_id, list_sort(list(DISTINCT role)) AS roles FROM conversations GROUP BY conv_id)
+SELECT conv_id, list_slice(list(text ORDER BY t, text), 1, 8) AS anchors, CAST(sum(n) AS BIGINT) AS n_turns, CAST(least(count(*), 8) AS BIGINT) AS n_anchors, any_value(roles) AS roles FROM a JOIN r USING (conv_id) GROUP BY conv_id""",
 )
 def group_merge_for_review(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations").filter("role = 'user'")
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("turn", F.col("text").alias("t")))), lambda x: x["t"])
-    return c.groupBy("conv_id").agg(F.slice(ordered, 1, 3).alias("anchors"), F.count(F.lit(1)).alias("n_turns"), F.array_sort(F.collect_set("role")).alias("roles"))
+    """Members of a group merged: the first 8 distinct texts in the order in which they first occur, all members counted, sorted roles."""
+    c = table(spark, sf_dir, "conversations")
+    per = c.groupBy("conv_id", F.coalesce("text", F.lit("")).alias("text")).agg(F.min("turn").alias("t"), F.count(F.lit(1)).alias("n"), F.collect_set("role").alias("r"))
+    anchors = F.slice(F.transform(F.array_sort(F.collect_list(F.struct("t", "text"))), lambda x: x["text"]), 1, 8)
+    merged = per.groupBy("conv_id").agg(anchors.alias("anchors"), F.sum("n").alias("n_turns"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("r")))).alias("roles"))
+    return merged.withColumn("n_anchors", F.size("anchors").cast("long"))
 
 
 @query(
@@ -429,7 +433,13 @@ def decision_recording(spark, sf_dir):
     return good.orderBy(F.desc("id")).limit(200)
 
 
-@query("failed_is_not_zero", "SELECT source, CASE WHEN count(*) FILTER (lang = 'fr') = 0 THEN 'FAILED' ELSE 'OK' END AS status, CASE WHEN count(*) FILTER (lang = 'fr') > 0 THEN count(*) FILTER (lang = 'fr') END AS n FROM documents WHERE n_chars > 3000 GROUP BY source")
+@query(
+    "failed_is_not_zero",
+    """WITH s AS (SELECT source, count(*) FILTER (quality = 1) > 0 AS ok, count(*) FILTER (toxic = 1) AS n FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY source)
+SELECT source, CASE WHEN NOT ok THEN 'FAILED' WHEN n = 0 THEN 'EMPTY' ELSE 'OK' END AS status, CASE WHEN ok THEN n END AS n FROM s""",
+)
 def failed_is_not_zero(spark, sf_dir):
-    n = F.count_if(F.col("lang") == "fr")
-    return table(spark, sf_dir, "documents").filter("n_chars > 3000").groupBy("source").agg(F.when(n == 0, "FAILED").otherwise("OK").alias("status"), F.when(n > 0, n).alias("n"))
+    """A source whose collection failed has no count; one that was read and had nothing has a count of zero."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "source").join(table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"), "doc_id", "left")
+    per = d.groupBy("source").agg((F.count_if(F.col("quality") == 1) > 0).alias("ok"), F.count_if(F.col("toxic") == 1).alias("n"))
+    return per.select("source", gates.collection_status(F.col("ok"), F.col("n")).alias("status"), F.when(F.col("ok"), F.col("n")).alias("n"))

@@ -105,11 +105,11 @@ def briefing_sections(spark, sf_dir):
     return out
 
 
-@query("directory_listed_check", r"WITH d AS (SELECT DISTINCT regexp_replace(lower(url), '\?.*$', '') AS u FROM pages WHERE page_id % 2 = 0) SELECT page_id, CASE WHEN page_id % 10 = 9 THEN 'SOURCE_UNAVAILABLE' WHEN d.u IS NOT NULL THEN 'LISTED' ELSE 'NOT_LISTED' END AS status FROM pages p LEFT JOIN d ON d.u = regexp_replace(lower(p.url), '\?.*$', '')")
+@query("directory_listed_check", r"WITH d AS (SELECT DISTINCT regexp_replace(lower(url), '\?.*$', '') AS u FROM pages WHERE regexp_extract(html, '<title>([^<]*)', 1) <> '') SELECT page_id, CASE WHEN coalesce(html, '') = '' THEN 'SOURCE_UNAVAILABLE' WHEN d.u IS NOT NULL THEN 'LISTED' ELSE 'NOT_LISTED' END AS status FROM pages p LEFT JOIN d ON d.u = regexp_replace(lower(p.url), '\?.*$', '')")
 def directory_listed_check(spark, sf_dir):
-    p = table(spark, sf_dir, "pages").select("page_id", F.regexp_replace(F.lower("url"), r"\?.*$", "").alias("u"))
-    d = p.filter("page_id % 2 = 0").select("u").distinct().withColumn("listed", F.lit(True))
-    return p.join(d, "u", "left").select("page_id", F.when(F.col("page_id") % 10 == 9, "SOURCE_UNAVAILABLE").when(F.col("listed"), "LISTED").otherwise("NOT_LISTED").alias("status"))
+    p = table(spark, sf_dir, "pages").select("page_id", F.regexp_replace(F.lower("url"), r"\?.*$", "").alias("u"), "html")
+    d = p.filter(F.regexp_extract("html", "<title>([^<]*)", 1) != "").select("u").distinct().withColumn("listed", F.lit(True))
+    return p.join(d, "u", "left").select("page_id", F.when(F.coalesce("html", F.lit("")) == "", "SOURCE_UNAVAILABLE").when(F.col("listed"), "LISTED").otherwise("NOT_LISTED").alias("status"))
 
 
 @query("prefix_dimension_lookup", "WITH x AS (SELECT c_custkey, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS code FROM customer), n AS (SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS p, n_name FROM nation WHERE n_regionkey < 3) SELECT c_custkey, n_name FROM x JOIN n ON left(code, 2) = p")
@@ -374,4 +374,4 @@ def isolated_failures(spark, sf_dir):
 def table_digest(spark, sf_dir):
     from ..operators.provenance import table_digest as digest
 
-    return digest(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars"))
+    return digest(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars"))

@@ -152,12 +152,12 @@ def keyword_document_search(spark, sf_dir):
 
 @query(
     "lead_exclusion",
-    r"""WITH c AS (SELECT page_id, regexp_replace(url, '\?.*$', '') AS u, regexp_replace(lower(regexp_extract(html, '<title>([^<]*)', 1)), '[^0-9a-z가-힣]', '', 'g') AS k FROM pages), l AS (SELECT u, k AS lk FROM c WHERE page_id % 3 = 0)
+    r"""WITH c AS (SELECT page_id, regexp_replace(url, '\?.*$', '') AS u, regexp_replace(lower(regexp_extract(html, '<title>([^<]*)', 1)), '[^0-9a-z가-힣]', '', 'g') AS k FROM pages), l AS (SELECT u, k AS lk FROM c WHERE regexp_matches(u, '^https?://[^/]*\.org(/|$)'))
 SELECT page_id FROM c WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.u = c.u AND length(lk) > 0 AND contains(c.k, lk))""",
 )
 def lead_exclusion(spark, sf_dir):
     c = table(spark, sf_dir, "pages").select("page_id", F.regexp_replace("url", r"\?.*$", "").alias("u"), F.regexp_extract("html", "<title>([^<]*)", 1).alias("anchor"), F.lit("").alias("title"))
-    leads = c.filter("page_id % 3 = 0").select("u", "anchor", "title")
+    leads = c.filter(F.col("u").rlike(r"^https?://[^/]*\.org(/|$)")).select("u", "anchor", "title")
     return joins.exclude_leads(c, leads, "u", "anchor", "title").select("page_id")
 
 
@@ -299,10 +299,10 @@ def first_context_rule(spark, sf_dir):
     return context.first_rule_match(_docs(spark, sf_dir), rules, "text", "ord", "subject", "evidence", "rule").select("doc_id", "rule")
 
 
-@query("missing_context_fields", "SELECT d.doc_id, list_filter([CASE WHEN l.quality IS NULL THEN 'quality' END, CASE WHEN trim(left(text, 3)) = '' THEN 'text' END], lambda x: x IS NOT NULL) AS missing, CASE WHEN l.quality IS NULL OR trim(left(text, 3)) = '' THEN 'HOLD' ELSE 'PASS' END AS context FROM documents d LEFT JOIN labels l USING (doc_id)")
+@query("missing_context_fields", "SELECT d.doc_id, list_filter([CASE WHEN l.quality IS NULL THEN 'quality' END, CASE WHEN trim(coalesce(text, '')) = '' THEN 'text' END], lambda x: x IS NOT NULL) AS missing, CASE WHEN l.quality IS NULL OR trim(coalesce(text, '')) = '' THEN 'HOLD' ELSE 'PASS' END AS context FROM documents d LEFT JOIN labels l USING (doc_id)")
 def missing_context_fields(spark, sf_dir):
     d = _docs(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id", "left")
-    return context.missing_fields(d, {"quality": F.col("quality"), "text": F.substring("text", 1, 3)}).select("doc_id", "missing", "context")
+    return context.missing_fields(d, {"quality": F.col("quality"), "text": F.col("text")}).select("doc_id", "missing", "context")
 
 
 @query("disposition_counts", "SELECT o_orderkey, CAST(5 AS BIGINT) AS warned, CASE WHEN o_orderkey % 700 <= 500 THEN o_orderkey % 700 END AS dismissed FROM orders")

@@ -192,7 +192,7 @@ def seen_flag(spark, sf_dir):
     return o.filter(F.year("o_orderdate") == 2000).join(seen, "o_custkey", "left").select("o_orderkey", F.col("known").isNull().alias("is_new"))
 
 
-_FRESH = "CASE WHEN age < 0 THEN 'FUTURE' " + " ".join(f"WHEN cadence = '{c}' AND age <= {a} THEN 'FRESH' WHEN cadence = '{c}' AND age <= {b} THEN 'CARRY' WHEN cadence = '{c}' THEN 'STALE'" for c, (a, b) in dates.CADENCE.items()) + " ELSE 'UNKNOWN' END"
+_FRESH = "CASE WHEN age < 0 THEN 'FUTURE' " + " ".join(f"WHEN cadence = '{c}' AND age <= {a} THEN 'FRESH' WHEN cadence = '{c}' AND age <= {b} THEN 'CARRY' WHEN cadence = '{c}' THEN 'STALE'" for c, (a, b) in dates.CADENCE.items()) + f" WHEN age <= {dates.CADENCE['continuous'][0]} THEN 'FRESH' WHEN age <= {dates.CADENCE['continuous'][1]} THEN 'CARRY' ELSE 'STALE' END"
 _NAMES = ["daily", "continuous", "event", "weekly", "monthly", "quarterly", "never"]
 
 

@@ -24,7 +24,8 @@ class VisibleParser(HTMLParser):
         self.skip, self.held, self.tag = 0, [], "body"
         self.href: str | None = None
         self.anchor: list[str] = []
-        self.table, self.row, self.cell, self.cell_text = -1, -1, -1, None
+        self.tables, self.table, self.row, self.cell, self.cell_text = 0, -1, -1, -1, None
+        self.outer: list[tuple] = []
 
     def _flush(self) -> None:
         text = " ".join("".join(self.held).split())
@@ -39,12 +40,15 @@ class VisibleParser(HTMLParser):
             self._flush()
             self.tag = tag
         if tag == "table":
-            self.table, self.row = self.table + 1, -1
+            # A table inside a cell has its own numbers; the outer table goes on where it was.
+            self.outer.append((self.table, self.row, self.cell, self.cell_text))
+            self.table, self.row, self.cell, self.cell_text = self.tables, -1, -1, None
+            self.tables += 1
         elif tag == "tr":
             self.row, self.cell = self.row + 1, -1
         elif tag in ("td", "th"):
             self.cell, self.cell_text = self.cell + 1, []
-        elif tag == "a":
+        elif tag == "a" and not self.skip:
             self.href, self.anchor = dict(attrs).get("href"), []
 
     def handle_endtag(self, tag: str) -> None:
@@ -53,6 +57,8 @@ class VisibleParser(HTMLParser):
         if tag in ("td", "th") and self.cell_text is not None:
             self.rows.append(("cell", len(self.rows), tag, " ".join("".join(self.cell_text).split()), None, self.table, self.row, self.cell))
             self.cell_text = None
+        if tag == "table" and self.outer:
+            self.table, self.row, self.cell, self.cell_text = self.outer.pop()
         if tag == "a" and self.href is not None:
             self.rows.append(("anchor", len(self.rows), "a", " ".join("".join(self.anchor).split()), self.href, None, None, None))
             self.href = None

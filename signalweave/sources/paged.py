@@ -40,7 +40,10 @@ class PagedReader(DataSourceReader):
         for key in self.keys:
             for period in self.periods:
                 head = self._page(key, period, 1)
-                total = min((head or {}).get("total", 0), self.cap)
+                there = (head or {}).get("total", 0)
+                total = min(there, self.cap)
+                if there > total:
+                    out.append(PageRange(key, period, 0, 0))
                 pages = -(-total // self.size)
                 out += [PageRange(key, period, p, min(p + self.per_task, pages + 1)) for p in range(1, pages + 1, self.per_task)]
                 if not pages:
@@ -48,6 +51,9 @@ class PagedReader(DataSourceReader):
         return out
 
     def read(self, part: PageRange) -> Iterator[tuple]:
+        if not part.last:
+            # The cap cuts this period: a row without values says so.
+            yield (part.key, part.period, 0, "truncated", *[None] * len(self.fields))
         for p in range(part.first, part.last):
             page = self._page(part.key, part.period, p)
             if page is None:

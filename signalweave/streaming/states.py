@@ -48,12 +48,13 @@ def keyed_events(stream: DataFrame, key: str, at: str, ttl_days: int = 0) -> Dat
 def window_changes(stream: DataFrame, source: str, key: str, keep: int = 200) -> DataFrame:
     """Per source and micro-batch: BASELINE for its first window, POSSIBLE_GAP if no key is known, NEW with the count of unseen keys, NO_NEW else.
 
-    The newest ``keep`` keys of a source are its state, as the batch form keeps them.
+    The newest ``keep`` keys of a source are its state, as the batch form keeps them: those of this window first, in the order of
+    its rows, then those of windows before it. A window of more than ``keep`` keys is kept whole.
     """
     rows = stream.select(F.col(source).cast("string").alias("source"), F.col(key).cast("string").alias("k"))
 
     def update(keys: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now = sorted({k for f in frames for k in f["k"]})
+        now = list(dict.fromkeys(k for f in frames for k in f["k"]))
         old = state.get[0].split("\x1f") if state.exists else None
         if old is None:
             status, n = "BASELINE", None
@@ -62,7 +63,8 @@ def window_changes(stream: DataFrame, source: str, key: str, keep: int = 200) ->
         else:
             fresh = set(now) - set(old)
             status, n = ("NEW" if fresh else "NO_NEW"), len(fresh)
-        merged = [*now, *[k for k in old or [] if k not in set(now)]][:keep]
+        here = set(now)
+        merged = [*now, *[k for k in old or [] if k not in here]][: max(keep, len(now))]
         state.update(("\x1f".join(merged),))
         yield pd.DataFrame({"source": [keys[0]], "status": [status], "n_new": pd.array([n], dtype="Int64")})
 
