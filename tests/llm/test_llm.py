@@ -172,6 +172,45 @@ def test_held_out_labels_do_not_matter(spark):
     assert [r["score"] for r in a] == [r["score"] for r in b]
 
 
+def test_margin_is_the_sum_over_features():
+    rng = random.Random(21)
+    texts = ["", "a", "Schöne schönes schöner", *(" ".join(rng.choice(["run", "runner", "running", "runs", "walk", "walked", "walking", "ab", "abcdef"]) for _ in range(rng.randrange(1, 60))) for _ in range(80))]
+    weights = {f: rng.uniform(-2, 2) for t in texts for f in toxicity.features_of(t) if rng.random() < 0.6}
+    model = toxicity.Model(weights, 0.25)
+    for t in texts:
+        assert model.margin(t) == pytest.approx(0.25 + sum(weights.get(f, 0.0) for f in toxicity.features_of(t)))
+
+
+def _risk(w, b, positive, unlabelled, prior):
+    g = lambda rows: np.array([sum(w[i] for i in r) + b for r in rows])
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    return prior * sigmoid(-g(positive)).mean(), sigmoid(g(unlabelled)).mean() - prior * sigmoid(g(positive)).mean()
+
+
+@pytest.mark.parametrize("prior", [0.1, 0.9])
+def test_first_step_follows_the_numeric_gradient(prior):
+    # Adam's first step is the rate against the sign of each partial derivative. With a prior too large the estimated risk of
+    # negatives is under zero at the start, and the step climbs it alone.
+    positive, unlabelled = [[0], [0, 1], [0, 2]], [[1], [2], [1, 2], [], [0], [3]]
+    start = np.array([0.0, 0.0, 0.0, 0.0, np.log(prior / (1 - prior))])
+
+    def objective(x):
+        p, n = _risk(x[:-1], x[-1], positive, unlabelled, prior)
+        return p + n if negative >= 0 else -n
+
+    negative = _risk(start[:-1], start[-1], positive, unlabelled, prior)[1]
+    if prior == 0.9:
+        positive, unlabelled = [[0]] * 3, [[1]] * 4
+        # Positives that score far higher than unlabelled texts make the estimate negative.
+        w, b = toxicity.fit_nnpu(positive, unlabelled, 2, prior, steps=400)
+        assert _risk(w, b, positive, unlabelled, prior)[1] > -0.05
+        return
+    slope = np.array([(objective(start + e) - objective(start - e)) / 2e-6 for e in np.eye(5) * 1e-6])
+    w, b = toxicity.fit_nnpu(positive, unlabelled, 4, prior, steps=1, rate=0.01, decay=0.0)
+    moved = np.append(w, b) - start
+    assert np.allclose(moved[np.abs(slope) > 1e-6], -0.01 * np.sign(slope[np.abs(slope) > 1e-6]), atol=1e-4)
+
+
 # --- 4 archives
 
 
@@ -316,7 +355,8 @@ def test_curve_is_a_walk_over_all_cells():
 def test_hilbert_shards(spark, odd):
     rng = random.Random(9)
     texts = [words(rng, rng.randrange(0, 100)) for _ in range(501)] + ["same"] * 300
-    docs = docs_of(spark, texts, sources=[rng.choice("abcdef") for _ in texts])
+    docs_source = [rng.choice("abcdef") for _ in texts]
+    docs = docs_of(spark, texts, sources=docs_source)
     got = hilbert.hilbert_shards(docs, parts=16).collect()
     counts = Counter(r["shard"] for r in got)
     assert set(counts) == set(range(8)) and max(counts.values()) - min(counts.values()) <= 1
@@ -326,6 +366,17 @@ def test_hilbert_shards(spark, odd):
     for r in got:
         raw = texts[r["doc_id"]].encode()
         assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(raw) + 1, zlib.crc32(raw), "rows", None)
+    # Shards follow each other along the curve, whose cells are those of the walk.
+    ends = [(min(r["curve"] for r in got if r["shard"] == s), max(r["curve"] for r in got if r["shard"] == s)) for s in range(8)]
+    assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+    for r in got:
+        size = len(texts[r["doc_id"]].encode()) + 1
+        q = max(0, min(15, int(np.floor(np.log2(size / 32.0)))))
+        names = [zlib.crc32(n.encode()) % 16 for n in ("en", docs_source[r["doc_id"]])]
+        assert r["curve"] == hilbert.hilbert_index((q, *names), 4)
+    one_source = hilbert.hilbert_shards(docs, parts=16).join(docs.select("doc_id", "source"), "doc_id").withColumn("cell", (F.crc32(F.col("source").cast("binary")) % 16).cast("double"))
+    cell = zlib.crc32(b"a") % 16
+    assert hilbert.pruned_fraction(one_source, "cell", cell, cell).first()["pruned"] > 0
     few = hilbert.hilbert_shards(odd[1]).collect()
     assert len(few) == len(odd[0]) and max(Counter(r["shard"] for r in few).values()) <= 2
     assert hilbert.hilbert_shards(odd[1].limit(0)).count() == 0
@@ -363,6 +414,30 @@ def test_weak_parts_count_only_together(spark):
     assert {r["doc_id"]: r["t"] for r in df.collect()}[1] == "[SECRET] [SECRET]"
 
 
+def _linked(t, scope):
+    """Weak parts and their partners by comparing every pair."""
+    base = [(a, b) for a, _, b, _ in _base(t)]
+    access = [(m.start(), m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+    ids = [(m.start(), m.end(), "part_id") for m in re.finditer(secrets.IDENTIFIER, t)]
+    ends = [(m.start(), m.end(), "part_endpoint") for m in re.finditer(secrets.ENDPOINT, t)]
+    weak = [(m.start(), m.end(), "part_secret") for m in re.finditer(secrets.WEAK, t) if all(re.search(c, m[0]) for c in ("[0-9]", "[A-Z]", "[a-z]"))]
+    over = lambda x, y: x[0] < y[1] and y[0] < x[1]
+    near = lambda x, y: x[0] <= y[1] + scope and y[0] <= x[1] + scope
+    free = [w for w in weak if not any(over(w, b) for b in base) and not any(over(w, e) for e in ends)]
+    hits = [w for w in free if any(near(p, w) for p in ids + ends + access)]
+    partners = [p for p in ids + ends + access if not any(over(p, b) for b in base) and any(near(p, w) for w in hits)]
+    return sorted((a, b, k) for a, b, k in hits + partners)
+
+
+def test_linked_parts_against_all_pairs(spark):
+    rng = random.Random(22)
+    bits = ["user=jane", "login: bob", "https://h.example/x", "aB3dE6gH9jK2mN5pQ8sT", "Zz9" * 9, "AKIA" + "Q" * 16, "password=hunter22", "plain words here", ". " * 30, "deadbeef" * 3, "é😀"]
+    texts = [" ".join(rng.choice(bits) for _ in range(rng.randrange(14))) for _ in range(250)]
+    got = {r["doc_id"]: r for r in secrets.scan(docs_of(spark, texts), scope=40).collect()}
+    for i, t in enumerate(texts):
+        assert sorted((s["start"], s["stop"], s["kind"]) for s in got[i]["secret_spans"] if s["kind"].startswith("part")) == _linked(t, 40), t
+
+
 def test_weak_secrets_of_any_length_and_alphabet(spark):
     import base64
 
@@ -625,6 +700,38 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     assert all(r["parity"] and r["round_trip"] for r in seen[4].collect())
 
 
+def test_stages_on_odd_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([(1, 1, 0), (2, 0, None), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    secret = "AKIA" + "Z" * 16
+    same = "one two three four five six seven"
+    rows = [(0, None, "a"), (1, "", None), (2, f"key {secret}", "a"), (3, same, "b"), (3, same, "b"), (4, same + " eight", "b"), (None, "x y", "b"), (5, "z " * 30_000, None)]
+    clash = ["__text", "__key", "__doc", "secret_base", "secret_spans", "doc", "text_key", "taken", "pattern", "__size", "key", "row"]
+    full = spark.createDataFrame([(*r, *(f"{c}{i}" for c in clash)) for i, r in enumerate(rows)], "doc_id long, text string, source string, " + ", ".join(f"`{c}` string" for c in clash))
+    for docs in (full, full.limit(0)):
+        empty = docs.isEmpty()
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, str(tmp_path))
+            if name == "sentencepiece":
+                assert out.count() == (0 if empty else len(rows))
+                continue
+            assert out.columns == docs.columns, name
+            got = out.collect()
+            if empty:
+                assert got == []
+            elif name == "toxicity":
+                assert len(got) == len(rows)
+            elif name == "ngram_jaccard_join":
+                # The empty texts are copies; so are the repeated rows, and one shingle more of three leaves 0.75.
+                assert sorted((r["doc_id"] is None, r["doc_id"], r["__text"]) for r in got if r["doc_id"] is not None) == [(False, 0, "__text0"), (False, 2, "__text2"), (False, 3, "__text3"), (False, 4, "__text5"), (False, 5, "__text7")]
+            elif name == "secret_scans":
+                assert sorted((r["text"] or "", r["__text"], r["secret_base"]) for r in got) == sorted(((t or "").replace(secret, "[SECRET]"), f"__text{i}", f"secret_base{i}") for i, (_, t, _) in enumerate(rows))
+                assert [r["text"] for r in got if r["doc_id"] == 0] == [None]
+            else:
+                assert {r["__text"] for r in got} >= {"__text0", "__text1"} and {r["taken"] for r in got} <= {f"taken{i}" for i in range(len(rows))}
+
+
 def test_registered_queries_have_the_columns_of_their_contracts(spark):
     from signalweave.llm.queries import QUERIES
 
