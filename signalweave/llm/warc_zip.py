@@ -350,7 +350,9 @@ def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
 
 def op4_warc_zip(spark, sf_dir: str) -> DataFrame:
     manifest = write_archives(plan_records(read_table(spark, sf_dir, "pages")), scratch_dir(spark, "warc"))
-    return read_archives(manifest).drop("url")
+    read = read_archives(manifest)
+    # What was just written must be sound.
+    return read.withColumn("payload_digest", F.when(F.col("problem").isNull(), F.col("payload_digest")).otherwise(F.raise_error("problem"))).drop("url", "problem")
 
 
 OP4_SQL = """
@@ -359,7 +361,6 @@ d AS (SELECT page_id, octet_length(encode(t)) AS n, sha256(t) AS h FROM p),
 m AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS least FROM d)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, h AS payload_digest,
        CASE WHEN n >= 100 AND least IS NOT NULL AND page_id IS DISTINCT FROM least THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN n >= 100 AND least IS NOT NULL AND page_id IS DISTINCT FROM least THEN least END AS refers_to,
-       CAST(NULL AS VARCHAR) AS problem
+       CASE WHEN n >= 100 AND least IS NOT NULL AND page_id IS DISTINCT FROM least THEN least END AS refers_to
 FROM m
 """
