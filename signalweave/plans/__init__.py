@@ -1,6 +1,6 @@
 """Registered queries; importing this package fills the registry."""
 
-from . import relational, rules, tabular, texts, timeline  # noqa: F401
+from . import relational, rules, scoring, tabular, texts, timeline  # noqa: F401
 from .base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
