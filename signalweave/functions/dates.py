@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column
@@ -81,6 +82,35 @@ def latest_date(x: Column, as_of: date, ahead: int = 3) -> Column:
     return F.array_max(F.filter(F.concat(full, month), lambda d: d <= F.date_add(F.lit(as_of), ahead)))
 
 
+def latest_period(x: Column, as_of: date, ahead: int = 3) -> Column:
+    """struct(effective, label) of the latest date or period in a text that is not more than ``ahead`` days after ``as_of``.
+
+    Full dates, years with a month, two-digit years with a month after an apostrophe (of this century) and years alone, separated by
+    ``-``, ``.`` or ``/``. What a longer form has taken is not read again as a shorter one. A period counts as its last day, the one
+    that ``as_of`` lies in as ``as_of``. Of equal days the longer label wins. No such day: not read. Null without any.
+    """
+    at, sep, rest = F.lit(as_of), "[-./]", F.coalesce(x, F.lit(""))
+    full, month, short, year = rf"(?<!\d)(\d{{4}}{sep}\d{{1,2}}{sep}\d{{1,2}})(?!\d)", rf"(?<!\d)(\d{{4}}{sep}\d{{1,2}})(?!\d)", rf"['’](\d{{2}}{sep}\d{{1,2}})(?!\d)", r"(?<!\d)((?:19|20)\d{2})(?!\d)"
+
+    def take(pattern: str, mask: str, before: str, day: Callable[[Column], Column]) -> Column:
+        def one(found: Column) -> Column:
+            parts = F.split(found, sep)
+            filled = F.concat_ws("-", F.concat(F.lit(before), parts[0]), *[F.lpad(F.get(parts, F.lit(i)), 2, "0") for i in range(1, mask.count("-") + 1)])
+            last = day(filled)
+            own = (F.date_format(last, mask) == F.date_format(at, mask)) if mask != "yyyy-MM-dd" else F.lit(False)
+            return F.struct(F.when(own, at).otherwise(last).alias("effective"), filled.alias("label"))
+
+        return F.transform(F.regexp_extract_all(rest, F.lit(pattern), F.lit(1)), one)
+
+    found = [take(full, "yyyy-MM-dd", "", lambda d: d.try_cast("date"))]
+    rest = F.regexp_replace(rest, full, " ")
+    end = lambda m: F.last_day(F.concat(m, F.lit("-01")).try_cast("date"))
+    found += [take(month, "yyyy-MM", "", end), take(short, "yyyy-MM", "20", end)]
+    rest = F.regexp_replace(F.regexp_replace(rest, month, " "), short, " ")
+    found.append(take(year, "yyyy", "", lambda y: F.concat(y, F.lit("-12-31")).try_cast("date")))
+    return F.array_max(F.filter(F.concat(*found), lambda f: f["effective"] <= F.date_add(at, ahead)))
+
+
 def band(hour: Column, bands: dict[str, tuple[int, int]]) -> Column:
     """Names of the hour bands (both ends in) that have the hour: none, one or more."""
     return F.array_compact(F.array(*[F.when(hour.between(lo, hi), F.lit(name)) for name, (lo, hi) in bands.items()]))

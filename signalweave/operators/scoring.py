@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -161,6 +163,43 @@ def keys_anywhere(x: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(raw, lambda k: F.get(F.from_json(F.concat(F.lit("["), k, F.lit("]")), "array<string>"), F.lit(0)))))
 
 
+def seed_rows(df: DataFrame, id_col: str, text_json: str, dates: Sequence[str], urls: Sequence[str], texts: Sequence[str], least: int = 80) -> DataFrame:
+    """(id, path, date, url, text): each object at any depth of a JSON text that has a date, an https address and a text.
+
+    Of ``dates`` and ``urls`` the first key with a fitting value counts; the values of ``texts`` are squashed and joined, once each, and
+    must have ``least`` characters. Text that is no JSON, and null, has no rows. The walk keeps its own stack, so depth is no limit but
+    that of the parser; Arrow batches go through it, one text at a time.
+    """
+    kind = df.schema[id_col].dataType.simpleString()
+
+    def found(raw: str) -> Iterator[tuple[str, str, str, str]]:
+        try:
+            stack = [("$", json.loads(raw))]
+        except (ValueError, RecursionError, TypeError):
+            return
+        while stack:
+            path, v = stack.pop()
+            if isinstance(v, list):
+                stack.extend((f"{path}[{i}]", x) for i, x in enumerate(v))
+            elif isinstance(v, dict):
+                stack.extend((f"{path}.{k}", x) for k, x in v.items())
+                said = {k: " ".join(x.split()) for k, x in v.items() if isinstance(x, str)}
+                day = next((said[k] for k in dates if re.fullmatch(r"\d{4}-\d{2}-\d{2}", said.get(k, ""))), None)
+                url = next((said[k] for k in urls if said.get(k, "").startswith("https://")), None)
+                text = " | ".join(dict.fromkeys(said[k] for k in texts if said.get(k)))
+                if day and url and len(text) >= least:
+                    yield path, day, url, text
+
+    def walk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(i, *r) for i, raw in zip(b.column(0), b.column(1)) for r in found(raw.as_py())]
+            if rows:
+                ids = pa.array([r[0].as_py() for r in rows], b.schema.field(0).type)
+                yield pa.RecordBatch.from_arrays([ids, *[pa.array([r[n] for r in rows], pa.string()) for n in range(1, 5)]], [id_col, "path", "date", "url", "text"])
+
+    return df.select(id_col, text_json).mapInArrow(walk, f"`{id_col}` {kind}, path string, date string, url string, text string")
+
+
 def merged_ledger(ledger: DataFrame, batch: DataFrame, now: Column, days: int = 30) -> DataFrame:
     """A ledger (id, labels, published, first, last) after a batch (id, labels, published) is seen at ``now``.
 

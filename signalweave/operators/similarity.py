@@ -82,27 +82,29 @@ def _grams(key: bytes) -> dict[int, np.ndarray]:
     return out
 
 
-def contained_pairs(df: DataFrame, id_col: str, key: str) -> DataFrame:
-    """(short, long): ids of all pairs of rows whose keys differ and where one key contains the other. Keys are not empty and distinct.
+def contained_in(needles: DataFrame, texts: DataFrame, needle_id: str, text_id: str, key: str) -> DataFrame:
+    """(short, long): the ids of all needles and texts where the ``key`` of the text contains that of the needle.
 
-    Exact: each key looks for one gram of its own, the one in the fewest keys of four spread over it, among the grams of all
-    keys (bytes of UTF-8, where substrings are the same); what is found is compared. A bitmap of fixed size keeps grams that
-    nobody looks for from being written; a gram with the same hash as another only adds a comparison.
+    Ids are of any type; needles should be distinct, empty and null ones match nothing. Exact: each needle looks for one gram of its
+    own, the one in the fewest texts of four spread over it, among the grams of all texts (bytes of UTF-8, where substrings are the
+    same); what is found is compared. A bitmap of fixed size keeps grams that nobody looks for from being written; a gram with the
+    same hash as another only adds a comparison.
     """
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(key).alias("key"))
+    small = needles.select(F.col(needle_id).alias("short"), F.col(key).alias("ks")).filter(F.length("ks") > 0)
+    large = texts.select(F.col(text_id).alias("long"), F.col(key).alias("kl")).filter(F.length("kl") > 0)
 
     def wanted(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            ids, grams = [], []
-            for i, k in zip(frame["id"], frame["key"]):
-                at = list(_grams(k.encode()).values())[-1]
-                own = np.unique(at[[0, (len(at) - 1) // 3, 2 * (len(at) - 1) // 3, len(at) - 1]])
-                ids.append(np.full(len(own), i, np.int64))
+            at, grams = [], []
+            for n, k in enumerate(frame["ks"]):
+                last = list(_grams(k.encode()).values())[-1]
+                own = np.unique(last[[0, (len(last) - 1) // 3, 2 * (len(last) - 1) // 3, len(last) - 1]])
+                at.append(np.full(len(own), n, np.int64))
                 grams.append(own)
-            if ids:
-                yield pd.DataFrame({"short": np.concatenate(ids), "gram": np.concatenate(grams).view(np.int64)})
+            if at:
+                yield pd.DataFrame({"short": frame["short"].to_numpy()[np.concatenate(at)], "gram": np.concatenate(grams).view(np.int64)})
 
-    looked = rows.mapInPandas(wanted, "short long, gram long")
+    looked = small.mapInPandas(wanted, f"short {small.schema['short'].dataType.simpleString()}, gram long")
     place = F.shiftrightunsigned("gram", 64 - _BITS) + 1
     maps = looked.groupBy(F.bitmap_bucket_number(place).alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("m")).collect()
     bits = np.zeros(2 ** (_BITS - 3), np.uint8)
@@ -111,21 +113,26 @@ def contained_pairs(df: DataFrame, id_col: str, key: str) -> DataFrame:
 
     def there(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            ids, grams = [], []
-            for i, k in zip(frame["id"], frame["key"]):
+            at, grams = [], []
+            for n, k in enumerate(frame["kl"]):
                 for x in _grams(k.encode()).values():
                     b = x >> np.uint64(64 - _BITS)
                     own = np.unique(x[(bits[b >> np.uint64(3)] >> (b & np.uint64(7)).astype(np.uint8)) & 1 == 1])
-                    ids.append(np.full(len(own), i, np.int64))
+                    at.append(np.full(len(own), n, np.int64))
                     grams.append(own)
-            if ids:
-                yield pd.DataFrame({"long": np.concatenate(ids), "gram": np.concatenate(grams).view(np.int64)})
+            if at:
+                yield pd.DataFrame({"long": frame["long"].to_numpy()[np.concatenate(at)], "gram": np.concatenate(grams).view(np.int64)})
 
-    found = rows.mapInPandas(there, "long long, gram long")
+    found = large.mapInPandas(there, f"long {large.schema['long'].dataType.simpleString()}, gram long")
     rare = looked.join(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "gram").groupBy("short").agg(F.min(F.struct("n", "gram"))["gram"].alias("gram"))
-    met = rare.join(found, "gram").filter(F.col("short") != F.col("long")).select("short", "long")
-    near = met.join(rows.select(F.col("id").alias("short"), F.col("key").alias("ks")), "short").join(rows.select(F.col("id").alias("long"), F.col("key").alias("kl")), "long")
-    return near.filter(F.contains("kl", "ks")).select("short", "long")
+    met = rare.join(found, "gram").select("short", "long")
+    return met.join(small, "short").join(large, "long").filter(F.contains("kl", "ks")).select("short", "long")
+
+
+def contained_pairs(df: DataFrame, id_col: str, key: str) -> DataFrame:
+    """(short, long): ids of all pairs of rows whose keys differ and where one key contains the other. Keys are not empty and distinct."""
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(key).alias("key"))
+    return contained_in(rows, rows, "id", "id", "key").filter(F.col("short") != F.col("long"))
 
 
 def near_duplicate_links(df: DataFrame, id_col: str, least: float = 0.66) -> DataFrame:

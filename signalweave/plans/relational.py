@@ -314,13 +314,16 @@ def precision_evaluation(spark, sf_dir):
 
 @query(
     "editorial_gate",
-    f"""WITH {_REV}, g AS (SELECT source, count(*) AS n, count(quality) AS reviewed, CAST(count(quality) AS DOUBLE) / count(*) AS completion, CASE WHEN count(quality) > 0 THEN CAST(count(*) FILTER (quality = 1) AS DOUBLE) / count(quality) END AS useful, CASE WHEN count(quality) > 0 THEN CAST(count(*) FILTER (toxic = 1) AS DOUBLE) / count(quality) END AS noise FROM r GROUP BY source)
-SELECT source, completion, useful, noise, CASE WHEN NOT (completion >= 0.4 AND reviewed >= least(10, n)) THEN 'INSUFFICIENT' WHEN useful >= 0.35 AND noise <= 0.5 THEN 'DEEPEN' WHEN useful >= 0.15 THEN 'AUXILIARY' ELSE 'STOP' END AS verdict FROM g""",
+    f"""WITH {_REV}, g AS (SELECT source, count(*) AS n, count(quality) AS reviewed, count(*) FILTER (quality IS NOT NULL OR n_chars < 2000) AS done, count(*) FILTER (quality = 1) AS good, count(*) FILTER (toxic = 1) AS bad FROM r GROUP BY source),
+s AS (SELECT source, n, reviewed, CAST(done AS DOUBLE) / n AS completion, CASE WHEN reviewed > 0 THEN CAST(good AS DOUBLE) / reviewed END AS useful, CASE WHEN reviewed > 0 THEN CAST(bad AS DOUBLE) / reviewed END AS noise FROM g)
+SELECT source, completion, useful, noise, CASE WHEN NOT (completion >= 0.8 AND reviewed >= least(10, n)) THEN 'INSUFFICIENT' WHEN useful >= 0.35 AND noise <= 0.5 THEN 'DEEPEN' WHEN useful >= 0.15 THEN 'AUXILIARY' ELSE 'STOP' END AS verdict FROM s""",
 )
 def editorial_gate(spark, sf_dir):
     n, seen = F.count(F.lit(1)), F.count("quality")
-    g = _reviewed(spark, sf_dir).groupBy("source").agg(n.alias("n"), seen.alias("reviewed"), (seen.cast("double") / n).alias("completion"), num.ratio(F.count_if(F.col("quality") == 1).cast("double"), seen).alias("useful"), num.ratio(F.count_if(F.col("toxic") == 1).cast("double"), seen).alias("noise"))
-    return g.select("source", "completion", "useful", "noise", gates.editorial_verdict(F.col("completion") * 2, F.col("reviewed"), F.col("n"), F.col("useful"), F.col("noise")).alias("verdict"))
+    # Short texts are done without a review.
+    done = F.count_if(F.col("quality").isNotNull() | (F.col("n_chars") < 2000)).cast("double")
+    g = _reviewed(spark, sf_dir).groupBy("source").agg(n.alias("n"), seen.alias("reviewed"), (done / n).alias("completion"), num.ratio(F.count_if(F.col("quality") == 1).cast("double"), seen).alias("useful"), num.ratio(F.count_if(F.col("toxic") == 1).cast("double"), seen).alias("noise"))
+    return g.select("source", "completion", "useful", "noise", gates.editorial_verdict(F.col("completion"), F.col("reviewed"), F.col("n"), F.col("useful"), F.col("noise")).alias("verdict"))
 
 
 @query(
@@ -336,13 +339,13 @@ def scorecard_rates(spark, sf_dir):
 @query(
     "outcome_thresholds",
     f"""WITH {_REV}, g AS (SELECT lang, count(quality) AS docs, CASE WHEN count(quality) > 0 THEN 100.0 * count(*) FILTER (quality = 1) / count(quality) END AS extraction, CASE WHEN count(quality) > 0 THEN 100.0 * count(*) FILTER (toxic = 0) / count(quality) END AS grounding FROM r GROUP BY lang)
-SELECT lang, docs, CAST(extraction AS DOUBLE) AS extraction, CAST(grounding AS DOUBLE) AS grounding, CASE WHEN docs < 12 THEN 'COLLECTING' WHEN extraction >= 80 AND grounding >= 85 THEN 'PASS' WHEN extraction >= 80 OR grounding >= 85 THEN 'REVISE' ELSE 'FAIL' END AS outcome FROM g""",
+SELECT lang, docs, CAST(extraction AS DOUBLE) AS extraction, CAST(grounding AS DOUBLE) AS grounding, CASE WHEN docs < 12 THEN 'COLLECTING' WHEN extraction >= 80 AND grounding >= 90 THEN 'PASS' WHEN extraction >= 80 OR grounding >= 90 THEN 'REVISE' ELSE 'FAIL' END AS outcome FROM g""",
 )
 def outcome_thresholds(spark, sf_dir):
     seen = F.count("quality")
     pct = lambda c: F.when(seen > 0, F.lit(100.0) * F.count_if(c) / seen)
     g = _reviewed(spark, sf_dir).groupBy("lang").agg(seen.alias("docs"), pct(F.col("quality") == 1).alias("extraction"), pct(F.col("toxic") == 0).alias("grounding"))
-    a, b = F.col("extraction") >= 80, F.col("grounding") >= 85
+    a, b = F.col("extraction") >= 80, F.col("grounding") >= 90
     return g.withColumn("outcome", F.when(F.col("docs") < 12, "COLLECTING").when(a & b, "PASS").when(a | b, "REVISE").otherwise("FAIL"))
 
 

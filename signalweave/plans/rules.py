@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions import text as txt
-from ..operators import gates, rules
+from ..operators import gates, rules, similarity
 from .base import query, table
 
 
@@ -42,10 +42,10 @@ def question_contract(spark, sf_dir):
     return rules.questions(o, "o_orderstatus", t, {"kind": F.col("o_orderpriority"), "n": F.col("o_custkey")}, "src").select("o_orderkey", "question", "issues", "grounding")
 
 
-@query("bounded_review_window", "SELECT o_orderkey, o_orderstatus <> 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AND date_diff('day', CAST(o_orderdate AS DATE), DATE '2000-12-31') BETWEEN 0 AND 89 AS open FROM orders")
+@query("bounded_review_window", "SELECT o_orderkey, o_orderstatus <> 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AND o_totalprice > 50000 AND month(o_orderdate) <> 11 AND date_diff('day', CAST(o_orderdate AS DATE), DATE '2000-12-31') BETWEEN 0 AND 89 AND date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-01-15') BETWEEN 0 AND 89 AS open FROM orders")
 def bounded_review_window(spark, sf_dir):
-    age = F.datediff(F.lit("2000-12-31").cast("date"), F.col("day"))
-    return _orders(spark, sf_dir).select("o_orderkey", rules.review_window(F.col("o_orderstatus") == "F", F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "3-MEDIUM"), F.lit(True), F.lit(True), age, age, 90, 89).alias("open"))
+    age, source_age = (F.datediff(F.lit(d).cast("date"), F.col("day")) for d in ("2000-12-31", "2001-01-15"))
+    return _orders(spark, sf_dir).select("o_orderkey", rules.review_window(F.col("o_orderstatus") == "F", F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "3-MEDIUM"), F.col("o_totalprice") > 50000, F.month("day") != 11, age, source_age, 90, 89).alias("open"))
 
 
 @query("review_eligibility", "SELECT d.doc_id, CASE WHEN l.quality IS NOT NULL THEN l.quality = 1 ELSE n_chars > 1000 END AS eligible FROM documents d LEFT JOIN labels l USING (doc_id)")
@@ -276,8 +276,12 @@ def audit_card_gate(spark, sf_dir):
 @query("selected_lead_match", "SELECT d.doc_id FROM documents d WHERE EXISTS (SELECT 1 FROM documents l JOIN labels b ON b.doc_id = l.doc_id AND b.quality = 1 WHERE l.source = d.source AND l.lang = d.lang AND contains(d.text, split_part(l.text, chr(10), 1)))")
 def selected_lead_match(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
-    lead = d.join(table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id"), "doc_id", "left_semi").select(F.col("source").alias("s"), F.col("lang").alias("l"), F.substring_index("text", "\n", 1).alias("anchor"))
-    return d.join(lead, (F.col("source") == F.col("s")) & (F.col("lang") == F.col("l")) & F.contains("text", "anchor"), "left_semi").select("doc_id")
+    lead = d.join(table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id"), "doc_id", "left_semi").select("source", "lang", F.substring_index("text", "\n", 1).alias("anchor")).distinct()
+    anchors = lead.filter("anchor <> ''").select("anchor", F.col("anchor").alias("text")).distinct()
+    hits = similarity.contained_in(anchors, d, "anchor", "doc_id", "text").select(F.col("short").alias("anchor"), F.col("long").alias("doc_id"))
+    # An empty anchor is in every text of its source and language.
+    empty = d.filter("text is not null").join(lead.filter("anchor = ''"), ["source", "lang"], "left_semi").select("doc_id")
+    return hits.join(d.select("doc_id", "source", "lang"), "doc_id").join(lead, ["source", "lang", "anchor"], "left_semi").select("doc_id").union(empty).distinct()
 
 
 @query("page_break_window", "SELECT p_partkey, pos - 1 AS page, part FROM (SELECT p_partkey, unnest(string_split(p_name || chr(12) || p_brand || chr(12) || p_type, chr(12))) AS part, generate_subscripts(string_split(p_name || chr(12) || p_brand || chr(12) || p_type, chr(12)), 1) AS pos FROM part) WHERE pos <= 2")
@@ -319,7 +323,11 @@ def second_review_gate(spark, sf_dir):
     return d.select("doc_id", txt.first_rule([(q.isNull(), "AWAITING_REVIEW"), ((q == 1) & (t == 0), "CONFIRMED"), (q == 1, "DISPUTED")], "REJECTED").alias("review"))
 
 
-@query("queue_schema_exact", "SELECT 'extra' AS problem, 'n_chars' AS \"column\" UNION ALL SELECT 'missing', 'title'")
+@query(
+    "queue_schema_exact",
+    """WITH h AS (SELECT column_name AS c FROM (DESCRIBE documents)), w AS (SELECT unnest(['doc_id', 'text', 'lang', 'source', 'title']) AS c)
+SELECT 'extra' AS problem, c AS "column" FROM h WHERE c NOT IN (SELECT c FROM w) UNION ALL SELECT 'missing', c FROM w WHERE c NOT IN (SELECT c FROM h)""",
+)
 def queue_schema_exact(spark, sf_dir):
     have, want = set(table(spark, sf_dir, "documents").columns), {"doc_id", "text", "lang", "source", "title"}
     rows = [("extra", c) for c in sorted(have - want)] + [("missing", c) for c in sorted(want - have)]

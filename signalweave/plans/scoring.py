@@ -10,7 +10,7 @@ from .base import query, table
 #: What the signals of the cascade are in the synthetic texts: patterns that need no look-around, so that both engines read them alike.
 _PATTERNS = {
     "contact": "@|Ñ",
-    "platform": "zz",
+    "platform": "zzi",
     "instruction": "keit,",
     "dashboard": r"\|",
     "hypothetical": "ieren",
@@ -23,7 +23,7 @@ _PATTERNS = {
     "policy": "ment",
     "observed": "Th",
     "concern": "ando",
-    "speech": "lich",
+    "speech": "liche",
     "table_title": "ung",
     "dataset": "ción|schl",
     "linked": r"\d",
@@ -69,14 +69,14 @@ def content_cascade(spark, sf_dir):
     return ops.analysed(table(spark, sf_dir, "documents"), _signals()).select("doc_id", *_OUT)
 
 
-_SCOPE = {"place": "Wh|Des|Sch", "wider": "tion|heit", "apart": "Ther|keit", "measure": "and|est|qu", "row": "ación: "}
+_SCOPE = {"place": "Th|Des|Sch", "wider": "tion|heit", "apart": "These|keit", "measure": "and|est|qu", "row": "[a-z]ó [a-z]"}
 
 
 @query(
     "scope_classes",
-    r"""SELECT doc_id, CASE WHEN lang = 'fr' THEN 'SOURCE_TRUSTED' WHEN regexp_matches(t, 'ación: ') AND regexp_matches(t, 'tion|heit') THEN 'COMPARISON_WITH_ROW' WHEN regexp_matches(t, 'ación: ') THEN 'VALUE_BOUND'
-WHEN regexp_matches(t, 'tion|heit') AND NOT regexp_matches(t, 'Wh|Des|Sch') THEN 'WIDER_ONLY' WHEN regexp_matches(t, 'Ther|keit') THEN 'UNBOUND'
-WHEN len(list_filter(regexp_split_to_array(t, '[.!?。\n]'), lambda s: regexp_matches(s, 'Wh|Des|Sch') AND regexp_matches(s, '\d|ch') AND regexp_matches(s, 'and|est|qu'))) > 0 THEN 'VALUE_BOUND' ELSE 'UNBOUND' END AS scope FROM (SELECT *, coalesce(text, '') AS t FROM documents)""",
+    r"""SELECT doc_id, CASE WHEN lang = 'fr' THEN 'SOURCE_TRUSTED' WHEN regexp_matches(t, '[a-z]ó [a-z]') AND regexp_matches(t, 'tion|heit') THEN 'COMPARISON_WITH_ROW' WHEN regexp_matches(t, '[a-z]ó [a-z]') THEN 'VALUE_BOUND'
+WHEN regexp_matches(t, 'tion|heit') AND NOT regexp_matches(t, 'Th|Des|Sch') THEN 'WIDER_ONLY' WHEN regexp_matches(t, 'These|keit') THEN 'UNBOUND'
+WHEN len(list_filter(regexp_split_to_array(t, '[.!?。\n]'), lambda s: regexp_matches(s, 'Th|Des|Sch') AND regexp_matches(s, '\d|ch') AND regexp_matches(s, 'and|est|qu'))) > 0 THEN 'VALUE_BOUND' ELSE 'UNBOUND' END AS scope FROM (SELECT *, coalesce(text, '') AS t FROM documents)""",
 )
 def scope_classes(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", ops.scope(F.col("text"), F.col("lang") == "fr", number=r"\d|ch", **_SCOPE).alias("scope"))
@@ -153,7 +153,7 @@ def forbidden_keys_anywhere(spark, sf_dir):
 
 @query(
     "signal_ledger_merge",
-    """WITH old AS (SELECT user_id AS id, list_sort(list(DISTINCT event_type)) AS labels, max(ts) AS published FROM events WHERE ts < TIMESTAMP '2024-01-12' GROUP BY 1), new AS (SELECT user_id AS id, list_sort(list(DISTINCT event_type)) AS labels, max(ts) AS published FROM events WHERE ts >= TIMESTAMP '2024-01-20' AND value > 50 GROUP BY 1)
+    """WITH old AS (SELECT user_id AS id, list_sort(list(DISTINCT event_type)) AS labels, max(ts) AS published FROM events WHERE ts < TIMESTAMP '2024-01-03' AND event_type = 'error' GROUP BY 1), new AS (SELECT user_id AS id, list_sort(list(DISTINCT event_type)) AS labels, max(ts) AS published FROM events WHERE ts >= TIMESTAMP '2024-01-20' AND value > 50 GROUP BY 1)
 SELECT id, list_sort(list_distinct(coalesce(o.labels, []) || coalesce(n.labels, []))) AS labels, coalesce(n.published, o.published) AS published, CASE WHEN o.id IS NULL THEN TIMESTAMP '2024-02-08' ELSE TIMESTAMP '2024-01-12' END AS first, CASE WHEN n.id IS NULL THEN TIMESTAMP '2024-01-12' ELSE TIMESTAMP '2024-02-08' END AS last, o.id IS NULL AS is_new
 FROM old o FULL JOIN new n USING (id) WHERE coalesce(n.published, o.published) >= TIMESTAMP '2024-02-08' - INTERVAL 30 DAY""",
 )
@@ -161,7 +161,7 @@ def signal_ledger_merge(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     at = lambda day: F.lit(f"2024-{day}").cast("timestamp_ntz")
     batch = lambda d: d.groupBy(F.col("user_id").alias("id")).agg(F.collect_set("event_type").alias("labels"), F.max("ts").alias("published"))
-    old = batch(e.filter(F.col("ts") < at("01-12"))).withColumns({"first": at("01-12"), "last": at("01-12")})
+    old = batch(e.filter((F.col("ts") < at("01-03")) & (F.col("event_type") == "error"))).withColumns({"first": at("01-12"), "last": at("01-12")})
     return ops.merged_ledger(old, batch(e.filter((F.col("ts") >= at("01-20")) & (F.col("value") > 50))), at("02-08"))
 
 
@@ -185,3 +185,20 @@ def search_slot_plan(spark, sf_dir):
 @query("run_slots", "SELECT event_id, CASE WHEN hour(ts) < 10 THEN 0 WHEN hour(ts) < 15 THEN 1 ELSE 2 END::BIGINT AS slot FROM events")
 def run_slots(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", ops.slot_of(F.hour("ts")).alias("slot"))
+
+
+@query(
+    "seed_rows_anywhere",
+    r"""WITH p AS (SELECT page_id, url, regexp_replace(html, '<[^>]*>', ' ', 'g') AS body FROM pages), s AS (SELECT page_id, replace(url, 'http://', 'https://') AS url, trim(regexp_replace(body, '\s+', ' ', 'g')) AS text FROM p)
+SELECT page_id, '$.found[0].deep' AS path, '2024-01-05' AS date, url, length(text) AS n FROM s WHERE length(text) >= 80 AND url LIKE 'https://%'
+UNION ALL SELECT page_id, '$', '2024-02-01', url, length(text) FROM s WHERE length(text) >= 80 AND length(url) > 45 AND url LIKE 'https://%'""",
+)
+def seed_rows_anywhere(spark, sf_dir):
+    body = F.regexp_replace("html", "<[^>]*>", " ")
+    text = F.trim(F.regexp_replace(body, r"\s+", " "))
+    url = F.replace("url", F.lit("http://"), F.lit("https://"))
+    inner = F.struct(F.lit("2024-01-05").alias("meeting_date"), url.alias("document_url"), text.alias("text"))
+    short = F.struct(F.lit("2024-01-05").alias("meeting_date"), url.alias("document_url"), F.lit("too short").alias("text"))
+    top = F.struct(F.array(F.struct(inner.alias("deep")), F.struct(short.alias("deep"))).alias("found"), F.when(F.length(url) > 45, "2024-02-01").alias("source_date"), url.alias("url"), text.alias("display_fact"))
+    d = table(spark, sf_dir, "pages").select("page_id", F.to_json(top).alias("j"))
+    return ops.seed_rows(d, "page_id", "j", ("meeting_date", "source_date"), ("document_url", "url"), ("display_fact", "text")).select("page_id", "path", "date", "url", F.length("text").alias("n"))

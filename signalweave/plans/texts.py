@@ -62,15 +62,18 @@ def headline_relevance(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", txt.relevant_reason(F.concat("url", F.lit(" - "), "url"), ["org", "net", "com"]).alias("reason"))
 
 
-@query("quote_grounding", r"WITH q AS (SELECT item_id, left(text, 60) AS quote FROM benchmark) SELECT item_id, doc_id FROM q JOIN documents d ON contains(regexp_replace(d.text, '\s+', '', 'g'), regexp_replace(quote, '\s+', '', 'g')) WHERE length(regexp_replace(quote, '\s+', '', 'g')) BETWEEN 12 AND 100")
+@query(
+    "quote_grounding",
+    r"""WITH q AS (SELECT DISTINCT item_id, regexp_replace(s, '\s+', '', 'g') AS quote FROM (SELECT item_id, unnest(regexp_split_to_array(text, '[.!?\n]')) AS s FROM benchmark)),
+d AS MATERIALIZED (SELECT doc_id, regexp_replace(text, '\s+', '', 'g') AS body FROM documents)
+SELECT item_id, doc_id, count(*) AS quotes FROM q JOIN d ON contains(body, quote) WHERE length(quote) BETWEEN 12 AND 100 GROUP BY ALL""",
+)
 def quote_grounding(spark, sf_dir):
-    q = table(spark, sf_dir, "benchmark").select("item_id", F.substring("text", 1, 60).alias("quote"))
-    d = _docs(spark, sf_dir).select("doc_id", F.regexp_replace("text", r"\s+", "").alias("body"))
-    q = q.withColumn("quote", F.regexp_replace("quote", r"\s+", "")).filter(F.length("quote").between(12, 100))
-    # The benchmark is a fixed small list: one array of quotes, tested per document.
-    listed = q.agg(F.collect_list(F.struct("item_id", "quote")).alias("qs"))
-    hits = d.join(F.broadcast(listed)).select("doc_id", F.explode(F.filter("qs", lambda x: F.contains(F.col("body"), x["quote"]))).alias("h"))
-    return hits.select("h.item_id", "doc_id")
+    q = table(spark, sf_dir, "benchmark").select("item_id", F.explode(F.split("text", r"[.!?\n]")).alias("s"))
+    q = q.select("item_id", F.regexp_replace("s", r"\s+", "").alias("quote")).filter(F.length("quote").between(12, 100)).distinct()
+    d = _docs(spark, sf_dir).select("doc_id", F.regexp_replace("text", r"\s+", "").alias("key"))
+    hits = sim.contained_in(q.select("quote", F.col("quote").alias("key")).distinct(), d, "quote", "doc_id", "key")
+    return hits.join(q, F.col("short") == F.col("quote")).groupBy("item_id", F.col("long").alias("doc_id")).agg(F.count(F.lit(1)).alias("quotes"))
 
 
 @query("claim_numbers_supported", r"WITH c AS (SELECT o_orderkey, o_orderpriority || ' ' || CAST(o_orderkey AS VARCHAR) AS claim, 'quote ' || CAST(o_orderkey AS VARCHAR) AS q FROM orders) SELECT o_orderkey, list_distinct(list_filter(regexp_extract_all(claim, '([0-9]+(?:[.,][0-9]+)*)', 1), lambda n: NOT list_contains(regexp_extract_all(q, '([0-9]+(?:[.,][0-9]+)*)', 1), n))) AS unsupported FROM c")
@@ -214,17 +217,26 @@ def canonical_json_digest(spark, sf_dir):
     return canonical_digest(_docs(spark, sf_dir).select("source", "n_chars", "lang", "doc_id")).select("doc_id", "digest")
 
 
-@query("header_value_rows", "SELECT p_partkey, CAST(p_size AS VARCHAR) AS size, p_brand LIKE '%' AS named FROM part")
+@query("header_value_rows", "SELECT p_partkey, CASE WHEN p_type = 'ECONOMY' THEN CAST(p_size AS VARCHAR) END AS economy, CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) AS price, CASE WHEN p_type = 'ECONOMY' THEN 2 ELSE 1 END::BIGINT AS n FROM part")
 def header_value_rows(spark, sf_dir):
-    row = F.concat(F.lit("size: "), F.col("p_size").cast("string"), F.lit(" · brand: "), F.col("p_brand"), F.lit(" · other: 5"))
-    m = txt.header_values(row, ["size", "brand"])
-    return table(spark, sf_dir, "part").select("p_partkey", m["size"].alias("size"), (F.size(m) == 1).alias("named"))
+    row = F.concat("p_type", F.lit(": "), F.col("p_size").cast("string"), F.lit(" · price: "), F.col("p_retailprice").cast("bigint").cast("string"), F.lit(" · brand: "), F.col("p_brand"))
+    m = txt.header_values(row, ["ECONOMY", "price", "brand"])
+    return table(spark, sf_dir, "part").select("p_partkey", m["ECONOMY"].alias("economy"), m["price"].alias("price"), F.size(m).alias("n"))
 
 
-@query("latest_date_in_text", "SELECT o_orderkey, CASE WHEN CAST(o_orderdate AS DATE) <= DATE '1999-06-04' THEN CAST(o_orderdate AS DATE) END AS latest FROM orders")
+@query(
+    "latest_date_in_text",
+    """WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, o_orderpriority[1] AS form FROM orders),
+e AS (SELECT o_orderkey, CASE form WHEN '1' THEN d WHEN '5' THEN make_date(year(d), 12, 31) ELSE last_day(d) END AS until, CASE form WHEN '1' THEN strftime(d, '%Y-%m-%d') WHEN '5' THEN strftime(d, '%Y') ELSE strftime(d, '%Y-%m') END AS label, form FROM o WHERE form <> '4' OR year(d) >= 2000),
+t AS (SELECT o_orderkey, CASE WHEN form = '5' AND label = '1999' THEN DATE '1999-06-01' WHEN form IN ('2', '3', '4') AND label = '1999-06' THEN DATE '1999-06-01' ELSE until END AS effective, label FROM e)
+SELECT o.o_orderkey, effective AS latest, label FROM o LEFT JOIN t ON t.o_orderkey = o.o_orderkey AND effective <= DATE '1999-06-04'""",
+)
 def latest_date_in_text(spark, sf_dir):
-    t = F.concat(F.lit("on "), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" and 2090-01-01"))
-    return table(spark, sf_dir, "orders").select("o_orderkey", dates.latest_date(t, date(1999, 6, 1)).alias("latest"))
+    d = F.col("o_orderdate")
+    form = {"1": F.date_format(d, "yyyy.M.d"), "2": F.date_format(d, "yyyy-MM"), "3": F.date_format(d, "yyyy/M"), "4": F.concat(F.lit("'"), F.date_format(d, "yy.M")), "5": F.date_format(d, "yyyy")}
+    said = F.coalesce(*[F.when(F.substring("o_orderpriority", 1, 1) == k, v) for k, v in form.items()])
+    found = dates.latest_period(F.concat(F.lit("as of "), said, F.lit(" and 2090-01-01, lot 12345")), date(1999, 6, 1))
+    return table(spark, sf_dir, "orders").select("o_orderkey", found.alias("f")).select("o_orderkey", F.col("f.effective").alias("latest"), "f.label")
 
 
 @query("future_date_guard", "SELECT o_orderkey, CAST(o_orderdate AS DATE) > DATE '2000-12-31' AS future FROM orders")

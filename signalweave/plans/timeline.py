@@ -175,14 +175,14 @@ def budget_remaining(spark, sf_dir):
 
 @query(
     "novelty_consume_selected",
-    """WITH f AS (SELECT o_orderkey, o_totalprice FROM orders WHERE year(o_orderdate) = 2000 AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1999 AND o_custkey IS NOT NULL))
-SELECT o_orderkey, CASE WHEN row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) <= 30 THEN 'QUEUED' ELSE 'OPEN' END AS status FROM f""",
+    """WITH f AS (SELECT o_custkey, max(o_totalprice) AS best FROM orders WHERE year(o_orderdate) = 2000 GROUP BY 1), l AS (SELECT DISTINCT o_custkey FROM orders WHERE year(o_orderdate) = 1999 AND o_custkey IS NOT NULL)
+SELECT o_custkey, CASE WHEN row_number() OVER (ORDER BY best DESC, o_custkey) <= 30 THEN 'QUEUED' ELSE 'OPEN' END AS status FROM f WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.o_custkey = f.o_custkey)""",
 )
 def novelty_consume_selected(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    seen = o.filter(F.year("o_orderdate") == 1999).select("o_custkey").distinct()
-    fresh = o.filter(F.year("o_orderdate") == 2000).join(seen, "o_custkey", "left_anti")
-    return ops.consume_selected(fresh, fresh.limit(0), "o_orderkey", [F.desc("o_totalprice"), F.asc("o_orderkey")], 30).select("o_orderkey", "status")
+    ledger = o.filter(F.year("o_orderdate") == 1999).select("o_custkey")
+    new = o.filter(F.year("o_orderdate") == 2000).groupBy("o_custkey").agg(F.max("o_totalprice").alias("best"))
+    return ops.consume_selected(new, ledger, "o_custkey", [F.desc("best"), F.asc("o_custkey")], 30).select("o_custkey", "status")
 
 
 @query("seen_flag", "SELECT o_orderkey, NOT EXISTS (SELECT 1 FROM orders p WHERE p.o_custkey = o.o_custkey AND year(p.o_orderdate) = 1999) AS is_new FROM orders o WHERE year(o_orderdate) = 2000")
@@ -249,15 +249,20 @@ def artifact_expired(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", dates.expired(F.lit("1998-06-02 00:00:00").cast("timestamp_ntz"), F.col("o_orderdate")).alias("expired"))
 
 
-@query("quota_day", "SELECT CAST(ts - INTERVAL 8 HOUR AS DATE) AS quota_day, count(*) AS n FROM events GROUP BY ALL")
+@query(
+    "quota_day",
+    """WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, make_date(year(o_orderdate), 4, 1) AS april, make_date(year(o_orderdate), 10, 31) AS october FROM orders)
+SELECT o_orderkey, CASE WHEN d > april + CAST((7 - dayofweek(april)) % 7 AS INTEGER) AND d <= october - CAST(dayofweek(october) AS INTEGER) THEN d ELSE d - 1 END AS quota_day FROM o""",
+)
 def quota_day(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy(dates.quota_day(F.col("ts")).alias("quota_day")).agg(F.count(F.lit(1)).alias("n"))
+    # Half past seven in UTC is the same day in summer time, the day before in winter time.
+    at = F.col("o_orderdate") + F.expr("interval 7 hours 30 minutes")
+    return table(spark, sf_dir, "orders").select("o_orderkey", dates.quota_day(at).alias("quota_day"))
 
 
-@query("iso_duration", "SELECT event_id, CAST(event_id % 5 AS BIGINT) * 3600 + CAST(event_id % 60 AS BIGINT) * 60 + CAST(event_id % 59 AS BIGINT) AS seconds FROM events")
+@query("iso_duration", "SELECT event_id, (hour(ts) * 3600 + CASE WHEN event_type = 'view' THEN 0 ELSE minute(ts) * 60 END + second(ts))::BIGINT AS seconds FROM events")
 def iso_duration(spark, sf_dir):
-    k = F.col("event_id")
-    text = F.concat(F.lit("PT"), F.when(k % 5 > 0, F.concat((k % 5).cast("string"), F.lit("H"))).otherwise(""), (k % 60).cast("string"), F.lit("M"), (k % 59).cast("string"), F.lit("S"))
+    text = F.concat(F.date_format("ts", "'PT'H'H'"), F.when(F.col("event_type") == "view", "").otherwise(F.date_format("ts", "m'M'")), F.date_format("ts", "s'S'"))
     return table(spark, sf_dir, "events").select("event_id", dates.iso_seconds(text).alias("seconds"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from signalweave import plans
 from signalweave.functions import dates, numbers, spans, text
-from signalweave.operators import cells, context, gates, joins, provenance, select, series, similarity
+from signalweave.operators import cells, context, gates, joins, provenance, scoring, select, series, similarity
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -385,3 +385,69 @@ def test_title_match_pairs_against_all_pairs(spark, tmp_path):
     x, y = (t.select(F.col("id").alias(p), F.col("t").alias(f"t{p}")) for p in "ab")
     want = {(r["a"], r["b"]) for r in x.crossJoin(y).filter("a < b").filter(text.titles_match(F.col("ta"), F.col("tb"))).collect()}
     assert sorted(got) == sorted(want) and {(0, 1), (0, 2), (3, 4)} <= want
+
+
+def test_cascade_takes_the_first_class_and_nulls_do_not_hold(spark):
+    names = sorted({n for _, _, need, never in scoring.CASCADE for n in (*need, *never)})
+    rows = [(i, {n: True for n in need}, label, status) for i, (label, status, need, _) in enumerate(scoring.CASCADE)]
+    rows += [(100, {n: True for n in names}, "CONTACT_BOILERPLATE", "FAIL"), (101, {}, "REPORTABLE_TEXT", "PASS"), (102, None, "REPORTABLE_TEXT", "PASS")]
+    df = spark.createDataFrame(rows, "id int, m map<string,boolean>, label string, status string")
+    out = scoring.analysed(df, {n: F.col("m")[n] for n in names})
+    assert out.filter("content_class <> label or precheck <> status").count() == 0 and out.count() == len(rows)
+    assert scoring.analysed(df.limit(0), {}).count() == 0
+
+
+def test_scope_states(spark):
+    rows = [("x", True, "SOURCE_TRUSTED"), (None, None, "UNBOUND"), ("area: here all", False, "COMPARISON_WITH_ROW"), ("area: here", False, "VALUE_BOUND"), ("all", False, "WIDER_ONLY"), ("event here 5 cost", False, "UNBOUND"), ("here 5 cost", False, "VALUE_BOUND"), ("here 5. cost", False, "UNBOUND")]
+    df = spark.createDataFrame(rows, "t string, own boolean, want string")
+    got = scoring.scope(F.col("t"), F.col("own"), "here", "all", "event here", "cost", "area: here")
+    assert df.filter(got != F.col("want")).count() == 0
+
+
+def test_capped_lanes_against_a_loop(spark):
+    rows = [(i, i * 7 % 5, None if i % 11 == 0 else f"k{i % 13}", i % 3) for i in range(200)] + [(900, None, "n", None)]
+    df = spark.createDataFrame(rows, "id long, score int, k string, lane int").withColumn("position", F.lit("own"))
+    got = {(r["lane"], r["id"], r["position"]) for r in scoring.capped_lanes(df, {"a": (F.col("lane") == 0, 4), "b": (F.col("lane") >= 1, 7), "none": (F.lit(False), 2)}, "id", "score", "k").collect()}
+    want = set()
+    for lane, ok, cap in (("a", lambda r: r[3] == 0, 4), ("b", lambda r: r[3] is not None and r[3] >= 1, 7)):
+        seen, n = set(), 0
+        for r in sorted(filter(ok, rows), key=lambda r: (-r[1], r[0])):
+            if (r[2] or "") not in seen and n < cap:
+                seen.add(r[2] or "")
+                n += 1
+                want.add((lane, r[0], n))
+    assert got == want
+
+
+def test_keys_and_seed_rows_at_any_depth(spark):
+    texts = ['{"a":{"b":[{"c\\u0041":1}]}, "x" : "y\\": z"}', None, "", "[1]", "{broken"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, j string")
+    assert [r[0] for r in df.orderBy("id").select(scoring.keys_anywhere(F.col("j"))).collect()] == [["a", "b", "cA", "x"], [], [], [], []]
+    deep = json.dumps({"p": [{"date": "2024-01-01", "url": "http://no", "u2": "https://yes", "t": "x" * 80}, {"date": "soon", "url": "https://yes", "t": "y" * 90}, {"date": "2024-01-01", "url": "https://yes", "t": "z"}]})
+    df = df.union(spark.createDataFrame([(9, deep), (None, deep)], df.schema))
+    got = scoring.seed_rows(df, "id", "j", ["date"], ["url", "u2"], ["t", "t"]).orderBy("id").collect()
+    assert [(r["id"], r["path"], r["url"], len(r["text"])) for r in got] == [(None, "$.p[0]", "https://yes", 80), (9, "$.p[0]", "https://yes", 80)]
+
+
+def test_ledger_keeps_labels_and_first_sight(spark):
+    day = lambda n: datetime(2024, 1, n)
+    schema = "id long, labels array<string>, published timestamp, first timestamp, last timestamp"
+    old = spark.createDataFrame([(1, ["b"], day(1), day(2), day(3)), (2, None, day(1), day(2), day(3)), (3, ["x"], None, day(2), day(3))], schema)
+    new = spark.createDataFrame([(1, ["a", "b"], day(9), None, None), (4, [], day(9), None, None), (4, ["q"], day(8), None, None)], schema)
+    got = {r["id"]: (r["labels"], r["published"], r["first"], r["last"], r["is_new"]) for r in scoring.merged_ledger(old, new, F.lit(day(20)), 15).collect()}
+    assert got == {1: (["a", "b"], day(9), day(2), day(20), False), 4: (["q"], day(9), day(20), day(20), True)}
+
+
+def test_periods_in_texts(spark):
+    as_of = date(2024, 3, 5)
+    for text, want in (("2024.3.1 and 2024-02", (date(2024, 3, 1), "2024-03-01")), ("2024-03", (as_of, "2024-03")), ("'23.11", (date(2023, 11, 30), "2023-11")), ("in 2023", (date(2023, 12, 31), "2023")), ("2024", (as_of, "2024")), ("2024-02-31 or 12345 or 2030", None), (None, None), ("", None)):
+        got = one(spark, dates.latest_period(F.lit(text).cast("string"), as_of))[0]
+        assert (got and tuple(got)) == want, text
+
+
+def test_contained_in_against_all_pairs(spark):
+    texts = [(i, "".join(chr(97 + (i * k * k + k) % 3) for k in range(1, 40)) + "é" * (i % 2)) for i in range(60)] + [(90, None), (91, "")]
+    needles = sorted({t[s : s + n] for _, t in texts[:20] for s, n in ((0, 3), (5, 9), (11, 20))} | {"é", "zzz"})
+    n = spark.createDataFrame([(x, x) for x in needles] + [("empty", ""), ("null", None)], "name string, k string")
+    got = {tuple(r) for r in similarity.contained_in(n, spark.createDataFrame(texts, "id long, k string"), "name", "id", "k").collect()}
+    assert got == {(x, i) for x in needles for i, t in texts if t and x in t}
