@@ -8,12 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def cascade(df: DataFrame, checks: Sequence[tuple[str, Column]], passed: str = "PASS", name: str = "gate") -> DataFrame:
-    """``name``: the first check that fails (a null counts as failed), or ``passed``."""
+def first_failure(checks: Sequence[tuple[str, Column]], passed: str = "PASS") -> Column:
+    """The first check that fails (a null counts as failed), or ``passed``."""
     out = F.lit(passed)
     for label, ok in reversed(checks):
         out = F.when(~F.coalesce(ok, F.lit(False)), F.lit(label)).otherwise(out)
-    return df.withColumn(name, out)
+    return out
+
+
+def cascade(df: DataFrame, checks: Sequence[tuple[str, Column]], passed: str = "PASS", name: str = "gate") -> DataFrame:
+    """``name``: the first check that fails (a null counts as failed), or ``passed``."""
+    return df.withColumn(name, first_failure(checks, passed))
 
 
 def blockers(df: DataFrame, checks: Sequence[tuple[str, Column]], name: str = "blockers") -> DataFrame:

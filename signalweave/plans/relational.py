@@ -64,13 +64,14 @@ def temporal_pairs(spark, sf_dir):
 
 @query(
     "freshness_two_sides",
-    """WITH a AS (SELECT l_suppkey AS k, max(CAST(l_shipdate AS DATE)) AS x FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1), b AS (SELECT s_suppkey AS k, max(CAST(l_shipdate AS DATE)) AS y FROM supplier JOIN lineitem ON l_suppkey = s_suppkey WHERE l_returnflag = 'A' AND s_suppkey % 9 <> 0 GROUP BY 1)
+    """WITH a AS (SELECT l_suppkey AS k, max(CAST(l_shipdate AS DATE)) AS x FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1), b AS (SELECT s_suppkey AS k, max(CAST(l_shipdate AS DATE)) AS y FROM supplier JOIN lineitem ON l_suppkey = s_suppkey WHERE l_returnflag = 'A' AND s_acctbal > 2000 GROUP BY 1)
 SELECT coalesce(a.k, b.k) AS supp, x AS day_r, y AS day_a, CASE WHEN y IS NULL THEN 'ONLY_LEFT' WHEN x IS NULL THEN 'ONLY_RIGHT' WHEN x < y THEN 'LEFT_STALE' WHEN x > y THEN 'RIGHT_STALE' ELSE 'BOTH_CURRENT' END AS status FROM a FULL JOIN b ON a.k = b.k""",
 )
 def freshness_two_sides(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("supp"), F.to_date("l_shipdate").alias("d"), "l_returnflag")
     a = li.filter("l_returnflag = 'R'").groupBy("supp").agg(F.max("d").alias("day_r"))
-    b = li.filter("l_returnflag = 'A' and supp % 9 <> 0").groupBy("supp").agg(F.max("d").alias("day_a"))
+    funded = table(spark, sf_dir, "supplier").filter("s_acctbal > 2000").select(F.col("s_suppkey").alias("supp"))
+    b = li.filter("l_returnflag = 'A'").join(funded, "supp", "left_semi").groupBy("supp").agg(F.max("d").alias("day_a"))
     return joins.freshness_sides(a, b, "supp", "day_r", "day_a")
 
 

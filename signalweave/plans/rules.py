@@ -169,10 +169,11 @@ def document_identity(spark, sf_dir):
     return b.join(a.select("doc_id"), "doc_id", "left_anti").join(a.select("source", "h"), ["source", "h"], "left_anti").select("doc_id")
 
 
-@query("external_grouping_checked", "WITH m AS (SELECT c_custkey AS id, c_custkey // 3 AS g FROM customer WHERE (c_custkey // 3) % 2 = 1 OR c_custkey % 3 = 0), n AS (SELECT g, count(*) AS c FROM m GROUP BY g HAVING count(*) >= 2), k AS (SELECT id, g FROM m JOIN n USING (g)) SELECT c_custkey AS id, coalesce('g' || CAST(g AS VARCHAR), 'single-' || CAST(c_custkey AS VARCHAR)) AS \"group\" FROM customer LEFT JOIN k ON k.id = c_custkey")
+@query("external_grouping_checked", "WITH m AS (SELECT c_custkey AS id, c_custkey // 3 AS g FROM customer WHERE c_acctbal > 2000), n AS (SELECT g, count(*) AS c FROM m GROUP BY g HAVING count(*) >= 2), k AS (SELECT id, g FROM m JOIN n USING (g)) SELECT c_custkey AS id, coalesce('g' || CAST(g AS VARCHAR), 'single-' || CAST(c_custkey AS VARCHAR)) AS \"group\" FROM customer LEFT JOIN k ON k.id = c_custkey")
 def external_grouping_checked(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
-    g = c.withColumn("g", F.concat(F.lit("g"), F.floor(F.col("id") / 3).cast("string"))).filter("floor(id / 3) % 2 = 1 or id % 3 = 0").groupBy("g").agg(F.collect_list("id").alias("members"), F.min("id").alias("rep"))
+    customers = table(spark, sf_dir, "customer")
+    c = customers.select(F.col("c_custkey").alias("id"))
+    g = customers.filter("c_acctbal > 2000").select(F.col("c_custkey").alias("id"), F.concat(F.lit("g"), F.floor(F.col("c_custkey") / 3).cast("string")).alias("g")).groupBy("g").agg(F.collect_list("id").alias("members"), F.min("id").alias("rep"))
     return rules.validated_groups(g, c, "g", "id", "rep")
 
 
@@ -216,20 +217,20 @@ def one_signal_per_query(spark, sf_dir):
 
 @query(
     "resumable_chunks",
-    "WITH w AS (SELECT doc_id, n_chars // 1000 + 1 AS n FROM documents), c AS (SELECT doc_id, doc_id % 3 AS next_chunk, doc_id % 5 AS failures FROM documents WHERE doc_id % 2 = 0), j AS (SELECT w.doc_id, n, coalesce(next_chunk, 0) AS k, coalesce(failures, 0) AS f FROM w LEFT JOIN c USING (doc_id)), x AS (SELECT doc_id, n, CASE WHEN f >= 3 THEN k + 1 ELSE k END AS chunk, f >= 3 AS skipped FROM j) SELECT doc_id, chunk, skipped FROM x WHERE chunk < n ORDER BY chunk, doc_id LIMIT 600",
+    "WITH w AS (SELECT doc_id, n_chars // 1000 + 1 AS n FROM documents), c AS (SELECT doc_id, 1 - quality AS next_chunk, 3 * toxic AS failures FROM labels), j AS (SELECT w.doc_id, n, coalesce(next_chunk, 0) AS k, coalesce(failures, 0) AS f FROM w LEFT JOIN c USING (doc_id)), x AS (SELECT doc_id, n, CASE WHEN f >= 3 THEN k + 1 ELSE k END AS chunk, f >= 3 AS skipped FROM j) SELECT doc_id, chunk, skipped FROM x WHERE chunk < n ORDER BY chunk, doc_id LIMIT 600",
 )
 def resumable_chunks(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     w = d.select("doc_id", (F.floor(F.col("n_chars") / 1000) + 1).alias("n"))
-    c = d.filter("doc_id % 2 = 0").select("doc_id", (F.col("doc_id") % 3).alias("next_chunk"), (F.col("doc_id") % 5).alias("failures"))
+    c = table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("next_chunk"), (3 * F.col("toxic")).alias("failures"))
     return rules.next_chunks(w, c, "doc_id", "n", 600)
 
 
-@query("resumable_backfill", "WITH s AS (SELECT s_suppkey AS id FROM supplier), t AS (SELECT s_suppkey AS id, s_suppkey % 3 = 0 AS complete, s_suppkey % 4 + 1 AS next_page, s_suppkey % 50 AS done_lookback FROM supplier WHERE s_suppkey % 5 <> 0) SELECT s.id, CASE WHEN coalesce(complete, FALSE) THEN 1 ELSE coalesce(next_page, 1) END AS page FROM s LEFT JOIN t USING (id) WHERE NOT coalesce(complete, FALSE) OR coalesce(done_lookback, 0) < 30")
+@query("resumable_backfill", "WITH s AS (SELECT s_suppkey AS id FROM supplier), t AS (SELECT s_suppkey AS id, s_suppkey % 3 = 0 AS complete, s_suppkey % 4 + 1 AS next_page, s_suppkey % 50 AS done_lookback FROM supplier WHERE s_acctbal > 1000) SELECT s.id, CASE WHEN coalesce(complete, FALSE) THEN 1 ELSE coalesce(next_page, 1) END AS page FROM s LEFT JOIN t USING (id) WHERE NOT coalesce(complete, FALSE) OR coalesce(done_lookback, 0) < 30")
 def resumable_backfill(spark, sf_dir):
     k = F.col("s_suppkey")
     s = table(spark, sf_dir, "supplier").select(k.alias("id"))
-    t = table(spark, sf_dir, "supplier").filter(k % 5 != 0).select(k.alias("id"), (k % 3 == 0).alias("complete"), (k % 4 + 1).alias("next_page"), (k % 50).alias("done_lookback"))
+    t = table(spark, sf_dir, "supplier").filter("s_acctbal > 1000").select(k.alias("id"), (k % 3 == 0).alias("complete"), (k % 4 + 1).alias("next_page"), (k % 50).alias("done_lookback"))
     return rules.backfill_pages(s, t, "id", 30).select("id", F.col("page").cast("long"))
 
 
@@ -298,13 +299,13 @@ def search_rank_first_nonempty(spark, sf_dir):
     return j.withColumn("rank", F.row_number().over(W.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), F.asc("o_orderkey")))).filter("rank <= 3").select("o_custkey", "o_orderkey", "rank")
 
 
-@query("transport_fallback", "WITH p AS (SELECT s_suppkey AS id, s_acctbal AS v FROM supplier WHERE s_suppkey % 3 <> 0), o AS (SELECT s_suppkey AS id, s_acctbal + 1 AS v FROM supplier WHERE s_suppkey % 4 <> 0) SELECT id, v, 'preferred' AS route FROM p WHERE v >= 2000 UNION ALL SELECT id, v, 'other' FROM o WHERE id NOT IN (SELECT id FROM p WHERE v >= 2000)")
+@query("transport_fallback", "WITH p AS (SELECT s_suppkey AS id, s_acctbal AS v FROM supplier WHERE s_nationkey < 17), o AS (SELECT s_suppkey AS id, s_acctbal + 1 AS v FROM supplier WHERE s_nationkey > 5) SELECT id, v, 'preferred' AS route FROM p WHERE v >= 2000 UNION ALL SELECT id, v, 'other' FROM o WHERE id NOT IN (SELECT id FROM p WHERE v >= 2000)")
 def transport_fallback(spark, sf_dir):
     from ..sources.files import first_available
 
-    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("v"))
-    p = s.filter("id % 3 <> 0").withColumn("stale", F.col("v") < 2000)
-    o = s.filter("id % 4 <> 0").select("id", (F.col("v") + 1).alias("v"))
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("v"), "s_nationkey")
+    p = s.filter("s_nationkey < 17").drop("s_nationkey").withColumn("stale", F.col("v") < 2000)
+    o = s.filter("s_nationkey > 5").select("id", (F.col("v") + 1).alias("v"))
     return first_available(p, o, "id", "stale").select("id", "v", "route")
 
 

@@ -121,7 +121,7 @@ def state_baseline(spark, sf_dir):
 @query(
     "window_diff",
     """WITH o AS (SELECT user_id, list_sort(list(event_id)) AS keys, user_id % 11 = 0 AS failed, CASE WHEN user_id % 7 = 0 THEN 'site' ELSE 'portal' END AS route FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-12' GROUP BY user_id),
-p AS (SELECT user_id, list_sort(list(event_id)) AS old FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-05' AND user_id % 13 <> 0 GROUP BY user_id),
+p AS (SELECT user_id, list_sort(list(event_id)) AS old FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-05' AND event_type = 'purchase' GROUP BY user_id),
 j AS (SELECT o.*, p.old, 'portal' AS old_route, len(list_filter(o.keys, lambda k: NOT list_contains(p.old, k))) AS fresh, len(list_filter(o.keys, lambda k: list_contains(p.old, k))) AS common FROM o LEFT JOIN p USING (user_id)),
 s AS (SELECT *, CASE WHEN failed THEN 'FAILED' WHEN old IS NULL THEN 'BASELINE' WHEN route <> old_route THEN 'BASELINE_ROUTE_CHANGED' WHEN common = 0 THEN 'POSSIBLE_GAP' WHEN fresh > 0 THEN 'NEW' ELSE 'NO_NEW' END AS status FROM j)
 SELECT user_id, status, CASE WHEN status IN ('NEW', 'NO_NEW') THEN fresh END AS n_new, CASE WHEN failed THEN old ELSE keys END AS kept_keys FROM s""",
@@ -130,7 +130,7 @@ def window_diff(spark, sf_dir):
     e = events(spark, sf_dir)
     keys = F.array_sort(F.collect_list("event_id")).alias("keys")
     observed = e.filter("d between '2024-01-05' and '2024-01-12'").groupBy("user_id").agg(keys).withColumns({"failed": F.col("user_id") % 11 == 0, "route": F.when(F.col("user_id") % 7 == 0, "site").otherwise("portal")})
-    prior = e.filter("d between '2024-01-03' and '2024-01-05' and user_id % 13 <> 0").groupBy("user_id").agg(keys).withColumn("route", F.lit("portal"))
+    prior = e.filter("d between '2024-01-03' and '2024-01-05' and event_type = 'purchase'").groupBy("user_id").agg(keys).withColumn("route", F.lit("portal"))
     return ops.window_diff(prior, observed, "user_id")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from signalweave import plans
 from signalweave.functions import dates, numbers, spans, text
-from signalweave.operators import cells, context, gates, joins, provenance, scoring, select, series, similarity
+from signalweave.operators import cells, context, gates, joins, provenance, reviews, scoring, select, series, similarity
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -451,3 +451,69 @@ def test_contained_in_against_all_pairs(spark):
     n = spark.createDataFrame([(x, x) for x in needles] + [("empty", ""), ("null", None)], "name string, k string")
     got = {tuple(r) for r in similarity.contained_in(n, spark.createDataFrame(texts, "id long, k string"), "name", "id", "k").collect()}
     assert got == {(x, i) for x in needles for i, t in texts if t and x in t}
+
+
+def test_states_of_assessments_and_reviews(spark):
+    s = lambda x: F.lit(x).cast("string")
+    state = lambda url="https://a", ev="x" * 15, ctx="y" * 12, ident="1": reviews.input_state([s(ident), s("f")], s(url), s(ev), [s(None), s(ctx)])
+    got = one(spark, state(), state(ident=" "), state(ident=None), state(url="http://a"), state(url=None), state(ev="short"), state(ev=None), state(ctx="short"))
+    assert tuple(got) == ("VALID", "NO_IDENTITY", "NO_IDENTITY", "NO_HTTPS", "NO_HTTPS", "NO_EVIDENCE", "NO_EVIDENCE", "NO_CONTEXT")
+
+    base = dict(fit="HIGH", scale="SYSTEM", stage="ACTUAL", lane="NONE", public=None, basis="b" * 12)
+
+    def review(verdict="KEEP", reason="r" * 12, **changed):
+        return reviews.review_state(s(verdict), reviews.scale_checks(**{k: s(v) for k, v in {**base, **changed}.items()}), [s(reason)])
+
+    risk = dict(stage="DOCUMENTED_RISK", lane="BOTH")
+    got = one(spark, review(), review(verdict=None), review(verdict="NO"), review(fit=None), review(scale="ORDINARY_SINGLE_CASE"), review(stage="SPECULATIVE"), review(**{**risk, "lane": "X"}), review(**risk), review(**risk, public="p" * 20), review(basis="short"), review(reason=None))
+    assert tuple(got) == ("KEEP", "UNREVIEWED", "HOLD", "NO_LOCAL_FIT", "SINGLE_CASE", "SPECULATIVE", "LANE_MISMATCH", "NO_PUBLIC_BASIS", "KEEP", "NO_SCALE_BASIS", "THIN_REASONS")
+
+    def assess(verdict="PROPOSE", conflict=False, quote="words of the evidence", title="A title of its own", q1="Who pays?", q2="Who gains?", path="p" * 12):
+        scale = reviews.scale_checks(**{k: s(v) for k, v in base.items()})
+        return reviews.assessment_state(s(verdict), F.lit(conflict), s(quote), s("The  words of\nthe evidence."), s(title), s("The Headline!"), (s(q1), s(q2)), scale, [s(path)], ["what impact"])
+
+    got = one(spark, assess(), assess(verdict=None), assess(verdict="HOLD"), assess(conflict=True), assess(quote="words not in the text"), assess(quote=None), assess(title="the headline"), assess(q1="what impact?"), assess(q2="Who pays?"), assess(q2="Who"), assess(path=None))
+    assert tuple(got) == ("PROPOSE", "UNASSESSED", "HOLD", "CONTEXT_CONFLICT", "QUOTE", "QUOTE", "TITLE", "QUESTIONS", "QUESTIONS", "QUESTIONS", "NO_PATH")
+    rules = [(["name", "works"], ["does not mean"], ["delay", "late"])]
+    conflict = lambda c, p: reviews.denied_claim(s(c), s(p), rules)
+    assert tuple(one(spark, conflict("name of works does not mean x", "a delay"), conflict("name of works", "a delay"), conflict("name of works does not mean x", None), conflict(None, "late"))) == (True, False, False, False)
+
+
+def test_states_of_answers(spark):
+    s = lambda x: F.lit(x).cast("string")
+    body = "first turn here\nthe second turn says this\nsplit over\ntwo turns"
+
+    def answer(complete=True, verdict="REVIEW", quote="second turn says", question="Which of the two offices pays?", field="f" * 15, check="c" * 12):
+        return reviews.answer_state(F.lit(complete), s(verdict), s(quote), s(body), F.split(s(body), "\n"), s(question), [s(field)], s(check), ["any impact"])
+
+    got = one(spark, answer(), answer(complete=None), answer(verdict=None), answer(verdict="NO_SIGNAL"), answer(verdict="HOLD"), answer(verdict="HOLD", check="no"), answer(quote="never said in here"), answer(quote=None), answer(question="short?"), answer(question="Has it any impact on citizens?"), answer(field=None))
+    assert [tuple(x) for x in got] == [("REVIEW", 1), ("INVALID_SCHEMA", None), ("INVALID_VERDICT", None), ("NO_SIGNAL", None), ("HOLD", 1), ("HOLD", None), ("INVALID_QUOTE", None), ("INVALID_QUOTE", None), ("GENERIC_QUESTION", None), ("GENERIC_QUESTION", None), ("INCOMPLETE_REASONING", None)]
+    across = reviews.answer_state(F.lit(True), s("REVIEW"), s("alpha beta gamma"), s("alpha beta gamma"), F.array(s("alpha"), s(None)), s("q" * 20), [], s(None), [])
+    assert tuple(one(spark, across)[0]) == ("QUOTE_TURN_UNRESOLVED", None)
+
+
+def test_question_parts_take_the_first_rule(spark):
+    rules = [{"domain": "A", "all": ("x", "y"), "parts": ["{subject} 1"] * 5}, {"domain": "A", "evidence": ("z",), "parts": ["2"] * 5}, {"domain": "A", "parts": ["3"] * 5}]
+    s = lambda x: F.lit(x).cast("string")
+    q = lambda d, f, c, subject="S": reviews.question_parts(s(subject), s(d), s(f), s(c), rules, ["d {subject}"] * 5)["verification_question"]
+    assert tuple(one(spark, q("A", "yx", None), q("A", "x", "z"), q("A", "x", None), q("B", "xy", "z"), q(None, None, None, None))) == ("S 1", "2", "3", "d S", "d ")
+
+
+def test_clusters_count_rows_once(spark):
+    cols = "c string, id int, ch string, q boolean, direct boolean, scene boolean, near boolean, at int"
+    rows = [("a", 1, "x", True, True, True, True, 5), ("a", 1, "x", True, True, True, True, 5), ("a", 2, "y", True, False, True, None, 1), ("a", 3, None, False, True, True, True, 0), ("b", 4, "x", True, True, False, False, 1), (None, 5, "x", None, None, None, None, None)]
+    df = spark.createDataFrame(rows, cols)
+    c = F.col
+    got = reviews.cluster_evidence(df, ["c"], "id", "ch", c("q"), c("direct"), c("scene"), c("near"), c("direct"), ~c("q"), c("near"), c("direct")).collect()
+    assert {r["c"]: (r["channels"], r["non_media_channels"], r["scene"], r["advice"], r["readiness"], r["score"]) for r in got} == {"a": (2, 2, 2, 1, "CORROBORATED", 6 + 4 + 1 + 2 - 3 - 1), "b": (1, 1, 0, 0, "LEAD", 3 + 2), None: (1, 0, 0, 0, "HOLD", 0)}
+    chosen = reviews.cluster_selection(df, ["c"], "id", "ch", c("q"), c("direct"), c("scene"), c("near"), c("at")).collect()
+    assert sorted((r["c"], r["reasons"], r["sample"]) for r in chosen) == [("a", [], [1, 2]), ("b", ["CHANNELS", "SCENES", "PLACE"], None)]
+    assert reviews.cluster_selection(df.limit(0), ["c"], "id", "ch", c("q"), c("direct"), c("scene"), c("near"), c("at")).count() == 0
+
+
+def test_outcomes_need_every_bar(spark):
+    names = ["days", "span_days", "documents", "reviews", "ready", "ready_reviews", "attempted", "extracted", "grounded", "startable", "angled", "right_angle", "generic", "critical", "complete"]
+    good = dict(zip(names, (7, 7, 12, 10, 10, 10, 10, 8, 9, 6, 10, 9, 2, 0, 10)))
+    cases = [{}, {"days": 6}, {"reviews": 9}, {"attempted": 0}, {"critical": 1}, {"complete": 9}, {"generic": 3}, {"ready": 0, "ready_reviews": 0}, {"documents": 0}]
+    df = spark.createDataFrame([(i, *{**good, **x}.values()) for i, x in enumerate(cases)], ["i", *names])
+    assert [r["outcome"] for r in reviews.outcome(df).orderBy("i").collect()] == ["ELIGIBLE", "COLLECTING", "AWAITING_REVIEW", "NOT_MET", "NOT_MET", "NOT_MET", "NOT_MET", "AWAITING_REVIEW", "COLLECTING"]
