@@ -91,3 +91,20 @@ def disposition_counts(x: Column, terms: Sequence[str], most: int = 500) -> Colu
         n = F.when(F.size(found) > 0, F.element_at(found, -1)).try_cast("int")
         entries.append(F.struct(F.lit(t).alias("key"), F.when(n <= most, n).alias("value")))
     return F.map_filter(F.map_from_entries(F.array(*entries)), lambda k, v: v.isNotNull())
+
+
+def recent_terms(df: DataFrame, part: Sequence[str], order: Sequence[str], text: Column, terms: dict[str, str], back: int = 120) -> DataFrame:
+    """A boolean column for each of ``terms``: whether the texts of this row and the ``back`` rows before it, joined, have the term in
+    lower case and without blanks, across their ends too. Null texts are empty.
+
+    A window carries each text's verdict and its two ends, as long as a term less one, never the text itself: a match is inside a text,
+    or crosses ends.
+    """
+    x = F.replace(F.lower(F.coalesce(text, F.lit(""))), F.lit(" "), F.lit(""))
+    keep = max(len(t) for t in terms.values()) - 1
+    d = df.withColumn("__x", x)
+    ends = F.when(F.length("__x") <= 2 * keep, F.col("__x")).otherwise(F.concat(F.left("__x", F.lit(keep)), F.lit("\n\n"), F.right("__x", F.lit(keep))))
+    d = d.withColumns({"__ends": ends, **{f"__has_{n}": F.contains("__x", F.lit(t)) for n, t in terms.items()}}).drop("__x")
+    w = W.partitionBy(*part).orderBy(*order).rowsBetween(-back, 0)
+    d = d.withColumns({"__near": F.array_join(F.collect_list("__ends").over(w), ""), **{f"__has_{n}": F.max(f"__has_{n}").over(w) for n in terms}})
+    return d.withColumns({n: F.col(f"__has_{n}") | F.contains("__near", F.lit(t)) for n, t in terms.items()}).drop("__ends", "__near", *[f"__has_{n}" for n in terms])

@@ -217,3 +217,86 @@ def outcome(metrics: DataFrame, least_days: int = 7, least_documents: int = 12)
         .when(met, "ELIGIBLE")
         .otherwise("NOT_MET"),
     )
+
+
+# The longest texts of an assessment, of its evidence, hypotheses and plan.
+TEXT_LIMITS = {"candidate_id": 120, "issue_title": 160, "issue_summary": 800, "structural_mechanism": 800, "editorial_tension": 600, "reasoning_summary": 800}
+REF_LIMITS = {"quote_id": 80, "ref_id": None, "source_id": None, "url": None, "exact_text": 1600}
+STAKE_LIMITS = {"affected_group": 240, "consequence": 600}
+HYPOTHESIS_LIMITS = {"name": 120, "explanation": 600, "discriminating_evidence": 500}
+STEP_LIMITS = {"action": 500, "pass_signal": 400}
+CLAIM_STATES = ("OBSERVED_OR_PUBLISHED", "ATTRIBUTED_CLAIM", "UNRESOLVED")
+
+
+def _texts(limits: Mapping[str, int | None], get) -> Column:
+    """Whether each named text is there and no longer than its limit, its ends trimmed."""
+    size = lambda n: F.length(F.trim(F.coalesce(get(n), F.lit(""))))
+    return _all([(size(n) > 0) if most is None else size(n).between(1, most) for n, most in limits.items()])
+
+
+def assessment_rules(enums: Mapping[str, Sequence[str]], scores: Sequence[str], mandatory: Sequence[str], pass_total: int = 8) -> dict[str, Column]:
+    """Rules of an assessment's columns for ``gates.violations``; a null breaks the rule that reads it.
+
+    Columns: the texts of ``TEXT_LIMITS``, snapshot_id, scope_warning, ``evidence`` (array of structs, ``REF_LIMITS`` and claim_status),
+    ``stake`` (struct, ``STAKE_LIMITS`` and loss_type), ``confirmed`` and ``unverified`` (arrays of struct(text, quote_ids)),
+    ``hypotheses``, ``plan`` (arrays of structs), ``kill_criteria`` (array), ``scores`` (struct of ``scores``), score_total, and
+    agent_role, grounding, verdict, lane. ``enums`` names the values of agent_role, loss_type, source_family, grounding, verdict, lane.
+    """
+    c, is_in = F.col, lambda x, n: x.isin(*enums[n])
+    each = lambda col, f: F.forall(F.coalesce(F.col(col), F.array()), lambda x: F.coalesce(f(x), F.lit(False)))
+    known = F.transform("evidence", lambda r: r["quote_id"])
+    cited = lambda col: each(col, lambda x: (F.length(F.trim(x["text"])) > 0) & (F.size(x["quote_ids"]) > 0) & (F.size(F.array_except(x["quote_ids"], known)) == 0))
+    points = [c(f"scores.{n}") for n in scores]
+    total = sum(points, F.lit(0))
+    passed = c("verdict") == "PASS"
+    return {
+        "TEXTS": _texts(TEXT_LIMITS, F.col),
+        "SNAPSHOT": c("snapshot_id").rlike("^[0-9a-f]{64}$"),
+        "SCOPE_WARNING": c("scope_warning").isNotNull(),
+        "ENUMS": _all([is_in(c(n), n) for n in ("agent_role", "grounding", "verdict", "lane")]),
+        "NO_EVIDENCE": F.size("evidence") > 0,
+        "EVIDENCE": each("evidence", lambda r: _texts(REF_LIMITS, lambda n: r[n]) & r["url"].rlike("^https?://") & r["claim_status"].isin(*CLAIM_STATES)),
+        "QUOTE_IDS": F.size(F.array_distinct(known)) == F.size(known),
+        "STAKE": _texts(STAKE_LIMITS, lambda n: F.col(f"stake.{n}")) & is_in(c("stake.loss_type"), "loss_type"),
+        "FACTS": c("confirmed").isNotNull() & cited("confirmed"),
+        "CLAIMS": c("unverified").isNotNull() & cited("unverified"),
+        "HYPOTHESES": (F.size("hypotheses") >= 2) & each("hypotheses", lambda h: _texts(HYPOTHESIS_LIMITS, lambda n: h[n])),
+        "PLAN": c("plan").isNotNull() & each("plan", lambda s: _texts(STEP_LIMITS, lambda n: s[n]) & is_in(s["source_family"], "source_family")),
+        "KILL_CRITERIA": c("kill_criteria").isNotNull() & each("kill_criteria", lambda k: F.length(F.trim(k)) > 0),
+        "SCORE_RANGE": _all([p.between(0, 2) for p in points]),
+        "SCORE_TOTAL": total == c("score_total"),
+        "PASS_GATE": ~passed | (total >= pass_total) & _all([c(f"scores.{n}") >= 1 for n in mandatory]),
+        "PASS_PLAN": ~passed | (F.size("plan") > 0) & (F.size("kill_criteria") > 0),
+        "CORROBORATION": (c("lane") != "EDITORIAL_PROPOSAL") | (c("grounding") == "G3_INDEPENDENT_CORROBORATION"),
+        "UNGROUNDED": (c("lane") != "VERIFY_TODAY") | (c("grounding") != "G0_UNGROUNDED"),
+        "REJECT": (c("lane") != "REJECT") | (c("verdict") == "FAIL"),
+    }
+
+
+def signal_rules(contexts: Sequence[str] = ("TITLE_ONLY", "BODY_UNAVAILABLE", "BODY_READ")) -> dict[str, Column]:
+    """Rules of a discovery signal: an anchor, a known context, an article where the body was read, no question without a body, nothing
+    assumed and no angle before its review. Columns: id, headline, evidence_types (array), context, question, problem, structural_question, title_options (array)."""
+    empty = lambda n: F.length(F.coalesce(F.col(n), F.lit(""))) == 0
+    read = F.coalesce(F.col("context") == "BODY_READ", F.lit(False))
+    return {
+        "NO_ID": F.col("id").isNotNull() & (F.col("id").cast("string") != ""),
+        "NO_ANCHOR": ~empty("headline") & (F.size("evidence_types") > 0),
+        "CONTEXT": F.col("context").isin(*contexts),
+        "NO_ARTICLE": ~read | F.array_contains("evidence_types", "publisher_article"),
+        "QUESTION_WITHOUT_BODY": read | empty("question"),
+        "PROBLEM_ASSUMED": F.col("problem") == "UNASSESSED",
+        "UNREVIEWED_ANGLE": empty("structural_question") & (F.size(F.coalesce("title_options", F.array().cast("array<string>"))) == 0),
+    }
+
+
+def candidate_rules(required: Sequence[str], generic: Sequence[str]) -> dict[str, Column]:
+    """Rules of an approved candidate: every required text, approval, more than a title, no discovery status, no generic phrase in any of
+    its texts. Columns: ``required``, promotion, context, status."""
+    whole = F.concat_ws("\n", *[F.col(n) for n in required])
+    return {
+        "MISSING": _all([F.length(F.col(n)) > 0 for n in required]),
+        "UNAPPROVED": F.col("promotion") == "APPROVED",
+        "TITLE_ONLY": ~F.coalesce(F.col("context") == "TITLE_ONLY", F.lit(False)),
+        "DISCOVERY_STATUS": ~F.coalesce(F.col("status") == "DISCOVERY_ONLY", F.lit(False)),
+        "GENERIC_PHRASE": ~has(whole, *generic),
+    }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import gates
 from ..operators import reviews as ops
 from .base import query, table
 
@@ -215,3 +216,122 @@ def outcome_metrics(spark, sf_dir):
     span = (F.datediff(F.max("day"), F.min("day")) + 1).cast("long").alias("span_days")
     m = by_day.groupBy("o_custkey").agg(F.count("day").alias("days"), span, F.sum("documents").alias("documents"), *[F.sum(n).alias(n) for n in _COUNTS])
     return ops.outcome(m)
+
+
+def _rules_sql(rules):
+    """(id, rule) of the rules that a row breaks, from conditions that hold where they are kept."""
+    return "unnest(list_filter([" + ", ".join(f"CASE WHEN NOT coalesce({ok}, FALSE) THEN '{n}' END" for n, ok in rules.items()) + "], lambda x: x IS NOT NULL)) AS rule"
+
+
+_ENUMS = {"agent_role": ["en", "de", "es"], "loss_type": ["LOSS"], "source_family": ["src"], "grounding": ["G0_UNGROUNDED", "G1", "G3_INDEPENDENT_CORROBORATION"], "verdict": ["PASS", "FAIL"], "lane": ["REJECT", "EDITORIAL_PROPOSAL", "VERIFY_TODAY", "HOLD"]}
+_SCORES = ("citizen_loss_rights", "competing_hypotheses", "falsification_decision_line", "structure", "locality", "evidence")
+_GIVEN = {
+    "verdict": "CASE WHEN quality = 1 THEN 'PASS' ELSE 'FAIL' END",
+    "lane": "CASE WHEN toxic = 1 THEN 'REJECT' WHEN n_chars > 2000 THEN 'EDITORIAL_PROPOSAL' WHEN n_chars > 1000 THEN 'VERIFY_TODAY' ELSE 'HOLD' END",
+    "grounding": "CASE lang WHEN 'en' THEN 'G3_INDEPENDENT_CORROBORATION' WHEN 'de' THEN 'G0_UNGROUNDED' ELSE 'G1' END",
+    "s1": "CASE WHEN quality = 1 THEN 2 ELSE 0 END",
+    "s2": "CASE WHEN toxic = 0 THEN 1 ELSE 0 END",
+    "s3": "CASE WHEN n_chars > 1000 THEN 2 ELSE 1 END",
+    "s4": "CASE lang WHEN 'es' THEN 3 ELSE 2 END",
+}
+_LONG = "length(trim(coalesce({}, ''))) BETWEEN 1 AND {}"
+
+
+@query(
+    "assessment_violations",
+    f"""WITH {_PIECES}, g AS (SELECT *, {', '.join(f'{e} AS {n}' for n, e in _GIVEN.items())} FROM b)
+SELECT doc_id, """
+    + _rules_sql(
+        {
+            "TEXTS": " AND ".join([_LONG.format("p[1]", 160), _LONG.format("text", 800), _LONG.format("p[3]", 600)]),
+            "SNAPSHOT": "quality IS NOT NULL",
+            "SCOPE_WARNING": "p[2] IS NOT NULL",
+            "ENUMS": "lang IN ('en', 'de', 'es')",
+            "EVIDENCE": _LONG.format("p[2]", 1600) + " AND lang <> 'fr'",
+            "QUOTE_IDS": "source <> 'src1'",
+            "STAKE": _LONG.format("p[4]", 240),
+            "FACTS": _LONG.format("p[5]", 100000),
+            "CLAIMS": "source <> 'src2'",
+            "HYPOTHESES": "p[6] IS NOT NULL AND " + _LONG.format("p[6]", 120),
+            "PLAN": _LONG.format("p[7]", 400),
+            "KILL_CRITERIA": "length(trim(p[8])) > 0",
+            "SCORE_RANGE": "s4 <= 2",
+            "SCORE_TOTAL": "n_chars <= 3000",
+            "PASS_GATE": "verdict <> 'PASS' OR (s1 + s2 + s3 + s4 + 2 >= 8 AND s1 >= 1 AND s2 >= 1 AND s3 >= 1)",
+            "CORROBORATION": "lane <> 'EDITORIAL_PROPOSAL' OR lang = 'en'",
+            "UNGROUNDED": "lane <> 'VERIFY_TODAY' OR lang <> 'de'",
+            "REJECT": "lane <> 'REJECT' OR verdict = 'FAIL'",
+        }
+    )
+    + " FROM g",
+)
+def assessment_violations(spark, sf_dir):
+    lit, p = F.lit, _piece
+    d = _pieces(spark, sf_dir).drop("lane").withColumns({n: F.expr(e) for n, e in _GIVEN.items()})
+    ref = lambda i: F.struct(i.alias("quote_id"), lit("r").alias("ref_id"), lit("s").alias("source_id"), F.when(F.col("lang") == "fr", "ftp://x").otherwise("https://x").alias("url"), p(1).alias("exact_text"), lit("UNRESOLVED").alias("claim_status"))
+    said = lambda t, i: F.array(F.struct(t.alias("text"), F.array(i).alias("quote_ids")))
+    hypothesis = F.struct(p(5).alias("name"), lit("e").alias("explanation"), lit("d").alias("discriminating_evidence"))
+    a = d.select(
+        "doc_id", "verdict", "lane", "grounding",
+        lit("c").alias("candidate_id"), p(0).alias("issue_title"), F.col("text").alias("issue_summary"), lit("m").alias("structural_mechanism"), p(2).alias("editorial_tension"), lit("r").alias("reasoning_summary"),
+        F.when(F.col("quality").isNotNull(), F.sha2("text", 256)).otherwise(F.upper(F.sha2("text", 256))).alias("snapshot_id"),
+        p(1).alias("scope_warning"),
+        F.col("lang").alias("agent_role"),
+        F.array(ref(F.col("source")), ref(lit("src1"))).alias("evidence"),
+        F.struct(p(3).alias("affected_group"), lit("c").alias("consequence"), lit("LOSS").alias("loss_type")).alias("stake"),
+        said(p(4), F.col("source")).alias("confirmed"),
+        said(lit("t"), F.when(F.col("source") == "src2", "none").otherwise(F.col("source"))).alias("unverified"),
+        F.array(hypothesis, hypothesis).alias("hypotheses"),
+        F.array(F.struct(lit("a").alias("action"), p(6).alias("pass_signal"), lit("src").alias("source_family"))).alias("plan"),
+        F.array(p(7)).alias("kill_criteria"),
+        F.struct(*[x.alias(n) for n, x in zip(_SCORES, [*[F.col(f"s{i}") for i in range(1, 5)], lit(1), lit(1)])]).alias("scores"),
+        (F.col("s1") + F.col("s2") + F.col("s3") + F.col("s4") + 2 + F.when(F.col("n_chars") > 3000, 1).otherwise(0)).alias("score_total"),
+    )
+    return gates.violations(a, "doc_id", ops.assessment_rules(_ENUMS, _SCORES, _SCORES[:3]))
+
+
+@query(
+    "signal_violations",
+    f"""WITH {_PIECES} SELECT doc_id, """
+    + _rules_sql(
+        {
+            "NO_ANCHOR": "length(p[1]) > 0 AND quality IS NOT NULL",
+            "CONTEXT": "lang <> 'fr'",
+            "NO_ARTICLE": "lang <> 'en' OR quality = 1",
+            "QUESTION_WITHOUT_BODY": "lang = 'en' OR length(coalesce(p[3], '')) = 0",
+            "PROBLEM_ASSUMED": "quality IS NOT NULL",
+            "UNREVIEWED_ANGLE": "length(coalesce(p[9], '')) = 0 AND n_chars <= 3000",
+        }
+    )
+    + " FROM b",
+)
+def signal_violations(spark, sf_dir):
+    q, lang = F.col("quality"), F.col("lang")
+    kinds = F.when(q == 1, F.array(F.lit("publisher_article"))).when(q.isNotNull(), F.array(F.lit("title"))).otherwise(F.array().cast("array<string>"))
+    d = _pieces(spark, sf_dir).select(
+        "doc_id", F.col("doc_id").alias("id"), _piece(0).alias("headline"), kinds.alias("evidence_types"), F.when(lang == "en", "BODY_READ").when(lang == "fr", "BODY").otherwise("TITLE_ONLY").alias("context"), _piece(2).alias("question"),
+        F.when(q.isNotNull(), "UNASSESSED").alias("problem"), _piece(8).alias("structural_question"), F.when(F.col("n_chars") > 3000, F.array(F.lit("t"))).alias("title_options"),
+    )
+    return gates.violations(d, "doc_id", ops.signal_rules())
+
+
+@query(
+    "candidate_violations",
+    f"""WITH {_PIECES} SELECT doc_id, """
+    + _rules_sql(
+        {
+            "MISSING": "length(p[1]) > 0 AND length(p[2]) > 0 AND length(p[4]) > 0",
+            "UNAPPROVED": "quality = 1",
+            "TITLE_ONLY": "n_chars >= 300",
+            "DISCOVERY_STATUS": "coalesce(toxic, 1) = 0",
+            "GENERIC_PHRASE": "NOT (" + " OR ".join(f"contains(coalesce(p[{i}], ''), '{g}')" for i in (1, 2, 4) for g in _GENERIC) + ")",
+        }
+    )
+    + " FROM b",
+)
+def candidate_violations(spark, sf_dir):
+    d = _pieces(spark, sf_dir).select(
+        "doc_id", _piece(0).alias("title"), _piece(1).alias("question"), _piece(3).alias("test"), F.when(F.col("quality") == 1, "APPROVED").alias("promotion"), F.when(F.col("n_chars") < 300, "TITLE_ONLY").alias("context"),
+        F.when(F.coalesce("toxic", F.lit(1)) == 0, "OPEN").otherwise("DISCOVERY_ONLY").alias("status"),
+    )
+    return gates.violations(d, "doc_id", ops.candidate_rules(["title", "question", "test"], _GENERIC))

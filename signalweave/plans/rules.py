@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions import text as txt
-from ..operators import gates, rules, similarity
+from ..operators import context, gates, rules, similarity
 from .base import query, table
 
 
@@ -256,9 +256,8 @@ def observation_contract(spark, sf_dir):
 
 @query("speech_type", "WITH w AS (SELECT conv_id, turn, string_agg(text, '') OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 120 PRECEDING AND CURRENT ROW) AS near FROM conversations), x AS (SELECT *, replace(lower(near), ' ', '') AS n FROM w) SELECT conv_id, turn, CASE WHEN contains(n, 'thatthe') THEN 'QUESTION' WHEN contains(n, 'andthe') THEN 'REPORT' ELSE 'STATEMENT' END AS speech FROM x")
 def speech_type(spark, sf_dir):
-    w = W.partitionBy("conv_id").orderBy("turn").rowsBetween(-120, 0)
-    near = F.replace(F.lower(F.array_join(F.collect_list("text").over(w), "")), F.lit(" "), F.lit(""))
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", near.alias("n")).select("conv_id", "turn", txt.first_rule([(F.contains("n", F.lit("thatthe")), "QUESTION"), (F.contains("n", F.lit("andthe")), "REPORT")], "STATEMENT").alias("speech"))
+    near = context.recent_terms(table(spark, sf_dir, "conversations"), ["conv_id"], ["turn"], F.col("text"), {"asked": "thatthe", "told": "andthe"})
+    return near.select("conv_id", "turn", txt.first_rule([(F.col("asked"), "QUESTION"), (F.col("told"), "REPORT")], "STATEMENT").alias("speech"))
 
 
 @query("latest_subject", "SELECT conv_id, arg_max(text, turn) FILTER (role = 'user' AND length(text) <= 180) AS subject, count(*) AS n FROM conversations GROUP BY conv_id")

@@ -517,3 +517,51 @@ def test_outcomes_need_every_bar(spark):
     cases = [{}, {"days": 6}, {"reviews": 9}, {"attempted": 0}, {"critical": 1}, {"complete": 9}, {"generic": 3}, {"ready": 0, "ready_reviews": 0}, {"documents": 0}]
     df = spark.createDataFrame([(i, *{**good, **x}.values()) for i, x in enumerate(cases)], ["i", *names])
     assert [r["outcome"] for r in reviews.outcome(df).orderBy("i").collect()] == ["ELIGIBLE", "COLLECTING", "AWAITING_REVIEW", "NOT_MET", "NOT_MET", "NOT_MET", "NOT_MET", "AWAITING_REVIEW", "COLLECTING"]
+
+
+def test_rules_of_assessments(spark):
+    enums = {"agent_role": ["A"], "loss_type": ["L"], "source_family": ["S"], "grounding": ["G0_UNGROUNDED", "G3_INDEPENDENT_CORROBORATION"], "verdict": ["PASS", "FAIL"], "lane": ["REJECT", "VERIFY_TODAY", "EDITORIAL_PROPOSAL"]}
+    ref = {"quote_id": "q", "ref_id": "r", "source_id": "s", "url": "https://x", "exact_text": "t", "claim_status": "UNRESOLVED"}
+    hypothesis, step = {"name": "n", "explanation": "e", "discriminating_evidence": "d"}, {"action": "a", "pass_signal": "p", "source_family": "S"}
+    good = {n: "x" for n in reviews.TEXT_LIMITS} | {
+        "snapshot_id": "0" * 64, "scope_warning": "", "agent_role": "A", "grounding": "G3_INDEPENDENT_CORROBORATION", "verdict": "PASS", "lane": "EDITORIAL_PROPOSAL", "score_total": 8, "scores": {"a": 2, "b": 2, "c": 2, "d": 2},
+        "evidence": [ref], "stake": {"affected_group": "g", "consequence": "c", "loss_type": "L"}, "confirmed": [{"text": "t", "quote_ids": ["q"]}], "unverified": [], "hypotheses": [hypothesis, hypothesis], "plan": [step], "kill_criteria": ["k"],
+    }
+    cases = [
+        ({}, set()),
+        ({"issue_title": "x" * 161}, {"TEXTS"}),
+        ({"snapshot_id": "A" * 64, "scope_warning": None}, {"SNAPSHOT", "SCOPE_WARNING"}),
+        ({"evidence": [ref, ref]}, {"QUOTE_IDS"}),
+        ({"evidence": []}, {"NO_EVIDENCE", "FACTS"}),
+        ({"evidence": [{**ref, "url": "ftp://x"}]}, {"EVIDENCE"}),
+        ({"confirmed": [{"text": "t", "quote_ids": ["none"]}]}, {"FACTS"}),
+        ({"hypotheses": [hypothesis], "kill_criteria": []}, {"HYPOTHESES", "PASS_PLAN"}),
+        ({"scores": {"a": 0, "b": 2, "c": 2, "d": 2}, "score_total": 6}, {"PASS_GATE"}),
+        ({"scores": {"a": 2, "b": 2, "c": 2, "d": 3}, "score_total": 8}, {"SCORE_RANGE", "SCORE_TOTAL"}),
+        ({"grounding": "G0_UNGROUNDED"}, {"CORROBORATION"}),
+        ({"grounding": "G0_UNGROUNDED", "lane": "VERIFY_TODAY"}, {"UNGROUNDED"}),
+        ({"lane": "REJECT"}, {"REJECT"}),
+        ({"agent_role": None}, {"ENUMS"}),
+    ]
+    schema = ", ".join(f"{n} string" for n in [*reviews.TEXT_LIMITS, "snapshot_id", "scope_warning", "agent_role", "grounding", "verdict", "lane"])
+    texts = lambda *names: "array<struct<" + ",".join(f"{n}:string" for n in names) + ">>"
+    facts = "array<struct<text:string,quote_ids:array<string>>>"
+    schema += f", id int, score_total int, scores struct<a:int,b:int,c:int,d:int>, evidence {texts(*ref)}, stake struct<affected_group:string,consequence:string,loss_type:string>, confirmed {facts}, unverified {facts}, hypotheses {texts(*hypothesis)}, plan {texts(*step)}, kill_criteria array<string>"
+    df = spark.createDataFrame([{"id": i, **good, **x} for i, (x, _) in enumerate(cases)], schema)
+    broken = {}
+    for r in gates.violations(df, "id", reviews.assessment_rules(enums, ["a", "b", "c", "d"], ["a"])).collect():
+        broken.setdefault(r["id"], set()).add(r["rule"])
+    assert [broken.get(i, set()) for i in range(len(cases))] == [want for _, want in cases]
+
+
+def test_recent_terms_across_texts(spark):
+    import random
+
+    rng = random.Random(5)
+    rows = [(g, i, rng.choice([None, "", "a", "B", "a b", "ab" * rng.randint(0, 9), "b a c" * rng.randint(1, 5), "cca"])) for g in range(6) for i in range(40)]
+    terms = {"x": "abca", "y": "ccab", "z": "bbb"}
+    df = spark.createDataFrame(rows, "g int, i int, t string")
+    got = {(r["g"], r["i"]): (r["x"], r["y"], r["z"]) for r in context.recent_terms(df, ["g"], ["i"], F.col("t"), terms, back=5).collect()}
+    for g, i, _ in rows:
+        near = "".join((t or "").lower().replace(" ", "") for h, j, t in rows if h == g and i - 5 <= j <= i)
+        assert got[g, i] == tuple(t in near for t in terms.values())
