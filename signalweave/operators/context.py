@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ..functions.text import squash
+from .scoring import has
+
 
 def with_sessions(df: DataFrame, key: Sequence[str], at: str, starts: Column, name: str = "session") -> DataFrame:
     """Number of the session a row is in: it grows at rows where ``starts`` holds; 0 before the first."""
@@ -83,16 +87,35 @@ def missing_fields(df: DataFrame, required: dict[str, Column], name: str = "miss
     return df.withColumn(name, gaps).withColumn("context", F.when(F.size(name) == 0, "PASS").otherwise("HOLD"))
 
 
-def disposition_counts(x: Column, terms: Sequence[str], most: int = 500) -> Column:
-    """Map of term to the number that follows its last mention; numbers over ``most`` are no counts."""
+def disposition_counts(x: Column, terms: Sequence[str], most: int = 500, lines: int = 25) -> Column:
+    """Map of term to the number that follows it, in the last fragment that has one of at most ``most``.
+
+    Fragments are the bracketed pieces of 1 to 180 characters, then the first ``lines`` lines; of a fragment the first mention counts.
+    A null text, and terms without a number, have no entry.
+    """
+    x = F.coalesce(x, F.lit(""))
+    fragments = F.concat(F.regexp_extract_all(x, F.lit(r"[\[【]([^\]】\n]{1,180})[\]】]"), F.lit(1)), F.slice(F.split(x, r"\r\n|\r|\n"), 1, lines))
     entries = []
     for t in terms:
-        found = F.regexp_extract_all(F.lower(x), F.lit(rf"{t}\D{{0,5}}(\d+)"), F.lit(1))
-        n = F.when(F.size(found) > 0, F.element_at(found, -1)).try_cast("int")
-        entries.append(F.struct(F.lit(t).alias("key"), F.when(n <= most, n).alias("value")))
+        after = rf"{re.escape(t)}\s*[(]?\s*(\d{{1,3}})"
+        number = F.transform(fragments, lambda f: F.regexp_extract(f, after, 1).try_cast("int"))  # noqa: B023
+        entries.append(F.struct(F.lit(t).alias("key"), F.try_element_at(F.filter(number, lambda n: n <= most), F.lit(-1)).alias("value")))
     return F.map_filter(F.map_from_entries(F.array(*entries)), lambda k, v: v.isNotNull())
 
 
+def subject_context(df: DataFrame, key: Sequence[str], at: str, text: str, speaker: Column, subject: str, scope: Sequence[str], groups: Sequence[str], most: int = 180) -> DataFrame:
+    """A row for each segment: its ``subject`` (the latest text that no speaker's name opens and that matches the pattern ``subject``, at
+    most ``most`` characters), ``scoped`` (a scope term anywhere in it), ``affected`` (its group terms, in their order), ``missing`` and ``context`` (PASS if nothing is missing).
+
+    One aggregate that combines before the shuffle; no texts are gathered. Ties of ``at`` take the greatest text; null texts say nothing.
+    """
+    x = squash(F.col(text))
+    fits = (x != "") & ~F.coalesce(speaker, F.lit(False)) & x.rlike(subject)
+    d = df.select(*key, F.when(fits, F.struct(F.col(at).alias("at"), F.rtrim(F.substring(x, 1, most)).alias("subject"))).alias("__last"), has(x, *scope).alias("__scoped"), *[has(x, t).alias(f"__g{i}") for i, t in enumerate(groups)])
+    g = d.groupBy(*key).agg(F.max("__last")["subject"].alias("subject"), F.bool_or("__scoped").alias("scoped"), F.array_compact(F.array(*[F.when(F.bool_or(f"__g{i}"), F.lit(t)) for i, t in enumerate(groups)])).alias("affected"))
+    return missing_fields(g, {"subject": F.col("subject"), "scope": F.when(F.col("scoped"), "yes"), "affected": F.array_join("affected", "")})
+
+
 def recent_terms(df: DataFrame, part: Sequence[str], order: Sequence[str], text: Column, terms: dict[str, str], back: int = 120) -> DataFrame:
     """A boolean column for each of ``terms``: whether the texts of this row and the ``back`` rows before it, joined, have the term in
     lower case and without blanks, across their ends too. Null texts are empty.

@@ -300,3 +300,35 @@ def candidate_rules(required: Sequence[str], generic: Sequence[str]) -> dict[str
         "DISCOVERY_STATUS": ~F.coalesce(F.col("status") == "DISCOVERY_ONLY", F.lit(False)),
         "GENERIC_PHRASE": ~has(whole, *generic),
     }
+
+
+def observation_rules(access: Sequence[str], bodies: Sequence[str], date_states: Sequence[str], forbidden: Sequence[str], most: int = 20, excerpt: int = 260) -> dict[str, Column]:
+    """Rules of a thin observation joined with its source's registered maturity, for ``gates.violations``.
+
+    Columns: registered (its maturity, null if unknown), maturity, source_url, access, interpretation, keys (all keys of the payload), and
+    ``records``, an array of struct(id, url, date_state, published, access, body, excerpt). A null breaks the rule that reads it, but for a
+    null source_url and null excerpts.
+    """
+    c = F.col
+    safe = lambda u: u.rlike("^https://[A-Za-z0-9.-]+(/|$)")
+    each = lambda f: F.forall("records", lambda r: F.coalesce(f(r), F.lit(False)))
+    unique = lambda n: F.size(F.array_distinct(F.transform("records", lambda r: r[n]))) == F.size("records")
+    none = F.size("records") == 0
+    return {
+        "UNREGISTERED": c("registered").isNotNull(),
+        "MATURITY": c("maturity") == c("registered"),
+        "SOURCE_URL": c("source_url").isNull() | (c("source_url") == "") | safe(c("source_url")),
+        "ACCESS": c("access").isin(*access),
+        "INTERPRETED": c("interpretation") == "NOT_EVALUATED",
+        "FORBIDDEN_KEYS": F.size(F.array_intersect("keys", F.array(*map(F.lit, forbidden)))) == 0,
+        "TOO_MANY": F.size("records").between(0, most),
+        "FAILED_WITH_RECORDS": (c("access") != "FAILED") | none,
+        "PROBE_WITH_RECORDS": (c("registered") != "L0") | none,
+        "RECORD_ID": each(lambda r: F.trim(r["id"]) != ""),
+        "REPEATED_ID": unique("id"),
+        "RECORD_URL": each(lambda r: safe(r["url"])),
+        "REPEATED_URL": unique("url"),
+        "DATE_STATE": each(lambda r: r["date_state"].isin(*date_states) & ((r["date_state"] != "VERIFIED") | (F.length(F.coalesce(r["published"], F.lit(""))) > 0))),
+        "RECORD_STATE": each(lambda r: r["access"].isin(*access) & r["body"].isin(*bodies)),
+        "EXCERPT": each(lambda r: r["excerpt"].isNull() | (F.length(r["excerpt"]) <= excerpt)),
+    }

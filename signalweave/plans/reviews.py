@@ -335,3 +335,39 @@ def candidate_violations(spark, sf_dir):
         F.when(F.coalesce("toxic", F.lit(1)) == 0, "OPEN").otherwise("DISCOVERY_ONLY").alias("status"),
     )
     return gates.violations(d, "doc_id", ops.candidate_rules(["title", "question", "test"], _GENERIC))
+
+
+@query(
+    "observation_violations",
+    """WITH o AS (SELECT conv_id, count(*) AS n, count(DISTINCT role) AS roles, count(DISTINCT length(text)) AS lengths, max(length(text)) AS longest, bool_or(role = 'system') AS probed, min(length(text)) AS shortest FROM conversations GROUP BY conv_id)
+SELECT conv_id, """
+    + _rules_sql(
+        {
+            "UNREGISTERED": "n > 1",
+            "MATURITY": "n > 1 AND NOT probed",
+            "SOURCE_URL": "longest <= 800",
+            "ACCESS": "shortest > 20",
+            "FORBIDDEN_KEYS": "NOT probed",
+            "PROBE_WITH_RECORDS": "n > 1 AND NOT probed",
+            "REPEATED_ID": "roles = n",
+            "REPEATED_URL": "lengths = n",
+            "DATE_STATE": "shortest >= 40",
+            "RECORD_STATE": "longest <= 1000",
+            "EXCERPT": "longest <= 260",
+        }
+    )
+    + " FROM o",
+)
+def observation_violations(spark, sf_dir):
+    size = F.length("text")
+    record = F.struct(
+        F.col("role").alias("id"), F.concat(F.lit("https://example.org/"), size.cast("string")).alias("url"), F.when(size < 40, "VERIFIED").otherwise("UNKNOWN").alias("date_state"), F.lit(None).cast("string").alias("published"),
+        F.lit("OK").alias("access"), F.when(size > 1000, "GONE").otherwise("READ").alias("body"), F.col("text").alias("excerpt"),
+    )
+    # An observation is the unit of the contract: its records are the turns of one conversation.
+    o = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.collect_list(record).alias("records"), F.max(size).alias("longest"), F.min(size).alias("shortest"), F.bool_or(F.col("role") == "system").alias("probed"))
+    o = o.select(
+        "conv_id", "records", F.when(F.size("records") > 1, F.when(F.col("probed"), "L0").otherwise("L1")).alias("registered"), F.lit("L1").alias("maturity"), F.when(F.col("longest") > 800, "http://example.org").alias("source_url"),
+        F.when(F.col("shortest") > 20, "OK").otherwise("ODD").alias("access"), F.lit("NOT_EVALUATED").alias("interpretation"), F.array(F.when(F.col("probed"), "score").otherwise("records")).alias("keys"),
+    )
+    return gates.violations(o, "conv_id", ops.observation_rules(["OK", "FAILED"], ["READ", "TITLE"], ["VERIFIED", "UNKNOWN"], ["score", "verdict"]))

@@ -317,10 +317,26 @@ def missing_context_fields(spark, sf_dir):
     return context.missing_fields(d, {"quality": F.col("quality"), "text": F.col("text")}).select("doc_id", "missing", "context")
 
 
-@query("disposition_counts", "SELECT o_orderkey, CAST(5 AS BIGINT) AS warned, CASE WHEN o_orderkey % 700 <= 500 THEN o_orderkey % 700 END AS dismissed FROM orders")
+@query(
+    "disposition_counts",
+    """WITH x AS (SELECT l_orderkey, l_returnflag, l_linenumber, CAST(l_quantity AS BIGINT) * 12 AS n FROM lineitem)
+SELECT l_orderkey, max_by(n, l_linenumber * 1000 + n) FILTER (l_returnflag = 'R' AND n <= 500) AS returned, max_by(n, l_linenumber * 1000 + n) FILTER (l_returnflag = 'A' AND n <= 500) AS accepted FROM x GROUP BY l_orderkey""",
+)
 def disposition_counts(spark, sf_dir):
-    t = F.concat(F.lit("warned 3, dismissed "), (F.col("o_orderkey") % 700).cast("string"), F.lit("; warned 5"))
-    return table(spark, sf_dir, "orders").select("o_orderkey", context.disposition_counts(t, ["warned", "dismissed", "other"]).alias("counts")).select("o_orderkey", F.col("counts")["warned"].alias("warned"), F.col("counts")["dismissed"].alias("dismissed"))
+    n = F.col("l_quantity").cast("long") * 12
+    line = F.concat(F.lit("["), "l_returnflag", F.lit(" ("), n.cast("string"), F.lit(")]"))
+    windows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", n.alias("n"), line.alias("line")))), lambda x: x["line"]), "\n").alias("window"))
+    return windows.select("l_orderkey", context.disposition_counts(F.col("window"), ["R", "A"]).alias("c")).select("l_orderkey", F.col("c")["R"].alias("returned"), F.col("c")["A"].alias("accepted"))
+
+
+@query(
+    "subject_context",
+    r"""WITH t AS (SELECT conv_id, turn, role, trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')) AS x FROM conversations), g AS (SELECT conv_id, rtrim(left(max_by(x, turn) FILTER (x <> '' AND role <> 'system' AND regexp_matches(x, '[Tt]ion|heit')), 180)) AS subject, bool_or(contains(x, 'Wh') OR contains(x, 'Th')) AS scoped,
+list_filter([CASE WHEN bool_or(contains(x, 'haha')) THEN 'haha' END, CASE WHEN bool_or(contains(x, 'thth')) THEN 'thth' END], lambda v: v IS NOT NULL) AS affected FROM t GROUP BY conv_id)
+SELECT *, CASE WHEN len(missing) = 0 THEN 'PASS' ELSE 'HOLD' END AS context FROM (SELECT *, list_filter([CASE WHEN subject IS NULL THEN 'subject' END, CASE WHEN NOT scoped THEN 'scope' END, CASE WHEN len(affected) = 0 THEN 'affected' END], lambda v: v IS NOT NULL) AS missing FROM g)""",
+)
+def subject_context(spark, sf_dir):
+    return context.subject_context(table(spark, sf_dir, "conversations"), ["conv_id"], "turn", "text", F.col("role") == "system", "[Tt]ion|heit", ["Wh", "Th"], ["haha", "thth"])
 
 
 @query("turn_suppression")

@@ -565,3 +565,33 @@ def test_recent_terms_across_texts(spark):
     for g, i, _ in rows:
         near = "".join((t or "").lower().replace(" ", "") for h, j, t in rows if h == g and i - 5 <= j <= i)
         assert got[g, i] == tuple(t in near for t in terms.values())
+
+
+def test_dispositions_and_subjects(spark):
+    s = lambda x: F.lit(x).cast("string")
+    late = "\n".join(["x"] * 25 + ["warned 9"])
+    got = one(spark, *[context.disposition_counts(s(t), ["warned", "paid"]) for t in ("[warned (3)]\nwarned 2 then warned 4\r\npaid", "warned 700\n【warned 5】", late, None, "", "warned: 7")])
+    assert [dict(x) for x in got] == [{"warned": 2}, {"warned": 5}, {}, {}, {}, {}]
+    rows = [("a", 1, "the road of the town", False), ("a", 2, "Mayor: the road", True), ("a", 3, None, False), ("a", 4, "pupils  pay", None), ("b", 1, "nothing", False), (None, 1, "a road " + "x" * 200, False)]
+    df = spark.createDataFrame(rows, "k string, i int, t string, sp boolean")
+    found = {r["k"]: r for r in context.subject_context(df, ["k"], "i", "t", F.col("sp"), "road", ["town"], ["pupils", "drivers"]).collect()}
+    assert (found["a"]["subject"], found["a"]["affected"], found["a"]["context"]) == ("the road of the town", ["pupils"], "PASS")
+    assert found["b"]["missing"] == ["subject", "scope", "affected"] and len(found[None]["subject"]) == 180
+    assert context.subject_context(df.limit(0), ["k"], "i", "t", F.col("sp"), "road", ["town"], ["pupils"]).count() == 0
+
+
+def test_rules_of_observations(spark):
+    ok = {"id": "1", "url": "https://x.org/1", "date_state": "UNKNOWN", "published": None, "access": "OK", "body": "READ", "excerpt": None}
+    good = {"registered": "L1", "maturity": "L1", "source_url": None, "access": "OK", "interpretation": "NOT_EVALUATED", "keys": ["records"], "records": [ok]}
+    cases = [
+        ({}, set()), ({"registered": None}, {"UNREGISTERED", "MATURITY", "PROBE_WITH_RECORDS"}), ({"maturity": "L2"}, {"MATURITY"}), ({"source_url": "https://u@x"}, {"SOURCE_URL"}), ({"access": "FAILED"}, {"FAILED_WITH_RECORDS"}), ({"access": "FAILED", "records": []}, set()),
+        ({"interpretation": "DONE"}, {"INTERPRETED"}), ({"keys": ["score"]}, {"FORBIDDEN_KEYS"}), ({"records": [ok, ok]}, {"REPEATED_ID", "REPEATED_URL"}), ({"records": [{**ok, "id": " ", "url": "http://x"}]}, {"RECORD_ID", "RECORD_URL"}),
+        ({"records": [{**ok, "date_state": "VERIFIED"}]}, {"DATE_STATE"}), ({"records": [{**ok, "body": None}]}, {"RECORD_STATE"}), ({"records": [{**ok, "excerpt": "x" * 261}]}, {"EXCERPT"}),
+        ({"records": [{**ok, "id": str(i), "url": f"https://x.org/{i}"} for i in range(21)]}, {"TOO_MANY"}),
+    ]
+    schema = "n int, registered string, maturity string, source_url string, access string, interpretation string, keys array<string>, records array<struct<id:string,url:string,date_state:string,published:string,access:string,body:string,excerpt:string>>"
+    df = spark.createDataFrame([{"n": i, **good, **x} for i, (x, _) in enumerate(cases)], schema)
+    broken = {}
+    for r in gates.violations(df, "n", reviews.observation_rules(["OK", "FAILED"], ["READ"], ["VERIFIED", "UNKNOWN"], ["score"])).collect():
+        broken.setdefault(r["n"], set()).add(r["rule"])
+    assert [broken.get(i, set()) for i in range(len(cases))] == [want for _, want in cases]
