@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, fim, fingerprints, hilbert, mixing, ngram_join, ogg, secrets, spm, toxicity, warc_zip
+from . import chat, fim, fingerprints, hilbert, mixing, ngram_join, ogg, secrets, spm, token_align, toxicity, warc_zip
 
 QUERIES = {
     "op1_chat_formatting": chat.op1_chat_formatting,
@@ -15,11 +15,13 @@ QUERIES = {
     "op8_sentencepiece": spm.op8_sentencepiece,
     "op9_ngram_jaccard_join": ngram_join.op9_ngram_jaccard_join,
     "op10_ogg_media": ogg.op10_ogg_media,
+    "op11_token_alignment": token_align.op11_token_alignment,
     "op13_fill_in_middle": fim.op13_fill_in_middle,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_formatting": chat.OP1_SQL,
     "op4_warc_zip": warc_zip.OP4_SQL,
+    "op11_token_alignment": token_align.op11_token_alignment,
     "op13_fill_in_middle": fim.OP13_SQL,
 }
