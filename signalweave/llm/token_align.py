@@ -4,8 +4,8 @@ Tokens of A and B that overlap in bytes are the edges of a bipartite graph; its
 minimal groups between offsets where both tokenizers end a token. Members of a component whose byte ranges end together are linked.
 Pairs of linked ids are counted over the whole corpus, and each text is told how its links rank in it.
 
-Where both tokenizers cut a text at each single space between other characters, a text is aligned by such segments, and each distinct
-segment once while it is kept. One of two linked tokens is a suffix of the other, so the vocabularies bound the number of pairs.
+Where both tokenizers cut a text at each single space between other characters, texts are aligned by such segments, and each distinct
+segment of a few megabytes of text once. One of two linked tokens is a suffix of the other, so the vocabularies bound the number of pairs.
 """
 
 from __future__ import annotations
@@ -13,10 +13,11 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import os
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,8 @@ from .common import Scratch, lean, read_table, text_or_empty, trim
 from .spm import SPACE, batches_of, parse_model
 
 MODEL_A, MODEL_B = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
-#: Characters of texts handled together, segments kept between batches, and threads of a worker.
-COLUMN_CHARS, KEPT, THREADS = 1_500_000, 120_000, 2
+#: Characters of texts handled together, and threads of a worker.
+COLUMN_CHARS, THREADS = 3_000_000, 2
 #: A space next to another white space character (or at an end) is no cut; such texts are cut with a pattern that looks around.
 _ODD = r"^ | $| [\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -86,131 +87,166 @@ def possible_pairs(a: list[bytes | None], b: list[bytes | None]) -> np.ndarray:
     return np.array(sorted(found), np.int64)
 
 
-def groups_of(a_ends: list[int], b_ends: list[int]) -> list[tuple[list[int], list[int]]]:
-    """Components of the graph whose edges are overlapping tokens: (places of A tokens, places of B tokens), in text order.
+def components(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Union-find over the edges (u, v) of ``n`` nodes, all edges at once: by node, the smallest node of its component.
 
-    Both lists hold the end offsets of tokens that cover the same bytes without gaps. Walking both together meets every overlapping
-    pair once: of the two tokens at hand, the one that ends first (or both) gives way to its successor.
+    Roots of each edge's ends are united, the larger under the smaller, and paths are compressed, until no edge joins two roots.
     """
-    n = len(a_ends)
-    parent = list(range(n + len(b_ends)))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    i = j = 0
-    while i < n and j < len(b_ends):
-        x, y = root(i), root(n + j)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-        x, y = a_ends[i], b_ends[j]
-        i += x <= y
-        j += y <= x
-    members: dict[int, tuple[list[int], list[int]]] = {}
-    for t in range(len(parent)):
-        members.setdefault(root(t), ([], []))[t >= n].append(t - n if t >= n else t)
-    return list(members.values())
-
-
-def links_of(group: tuple[list[int], list[int]], a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int]]:
-    """Of a component's members, the pairs of places whose byte ranges end together."""
-    at = {b_ends[j]: j for j in group[1]}
-    return [(i, at[a_ends[i]]) for i in group[0] if a_ends[i] in at]
-
-
-@dataclass(slots=True)
+    parent = np.arange(n)
+    while len(u):
+        pu, pv = parent[u], parent[v]
+        apart = pu != pv
+        u, v = u[apart], v[apart]
+        np.minimum.at(parent, np.maximum(pu, pv)[apart], np.minimum(pu, pv)[apart])
+        while True:
+            up = parent[parent]
+            if np.array_equal(up, parent):
+                break
+            parent = up
+    return parent
+
+
+def groups_of(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The component number of each A token and of each B token, in text order; tokens that overlap are in one component.
+
+    Both arrays hold the end offsets of tokens that cover the same bytes without gaps. An overlap is an edge; A token i overlaps the B
+    tokens from the first that ends behind its start to the first that does not end before its end, so edges are fewer than tokens.
+    """
+    first = np.searchsorted(b_ends, np.append(0, a_ends)[: len(a_ends)], "right")
+    count = np.searchsorted(b_ends, a_ends, "left") + 1 - first
+    u = np.repeat(np.arange(len(a_ends)), count)
+    v = np.arange(len(u)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
+    parent = components(len(a_ends) + len(b_ends), u, v + len(a_ends))
+    number = np.cumsum(parent == np.arange(len(parent))) - 1
+    return number[parent[: len(a_ends)]], number[parent[len(a_ends) :]]
+
+
+def links_of(a_ends: np.ndarray, b_ends: np.ndarray, a_group: np.ndarray, b_group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places (of A, of B) of the members of one component whose byte ranges end together."""
+    at = np.minimum(np.searchsorted(b_ends, a_ends), len(b_ends) - 1)
+    i = np.flatnonzero((b_ends[at] == a_ends) & (b_group[at] == a_group))
+    return i, at[i]
+
+
+@dataclass
 class Aligned:
-    """A segment's alignment: token counts, groups as text, and the codes of its links; ``good`` if both byte strings equal the text's."""
+    """Alignments of some texts, as columns: counts, the groups' text (or its digest), and the codes of links with their bounds."""
+
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    shown: pa.Array
+    codes: np.ndarray
+    ends: np.ndarray
 
-    good: bool
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: str
-    codes: list[int]
 
+def _starts(sizes: np.ndarray) -> np.ndarray:
+    return np.append(0, np.cumsum(sizes))
 
-_NOTHING = Aligned(False, 0, 0, 0, "", [])
+
+def _gather(flat: np.ndarray, bounds: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the pieces ``index`` of ``flat`` behind each other, their sizes)."""
+    sizes = np.diff(bounds)[index]
+    before = np.cumsum(sizes) - sizes
+    return flat[np.arange(int(sizes.sum())) + np.repeat(bounds[:-1][index] - before, sizes)], sizes
 
 
 class Aligner:
-    """Encodes segments with both tokenizers and aligns their tokens. Special tokens inside texts are plain text to both."""
+    """Encodes texts with both tokenizers and aligns their tokens. Special tokens inside texts are plain text to both."""
 
     def __init__(self, raw_a: bytes, raw_b: bytes):
         import sentencepiece
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
         self.a = Tokenizer.from_str(raw_a.decode("utf-8"))
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=raw_b)
-        self.bytes_a, self.bytes_b = bytes_of_a(raw_a), bytes_of_b(raw_b)
+        bytes_a, bytes_b = bytes_of_a(raw_a), bytes_of_b(raw_b)
+        self.vocab_a, self.vocab_b = (pa.array([x or b"" for x in t], pa.large_binary()) for t in (bytes_a, bytes_b))
+        self.size_a, self.size_b = (np.array([len(x or b"") for x in t], np.int64) for t in (bytes_a, bytes_b))
+        # An id with the sign behind it: within or at the end of A's part of a group, within or at the end of B's.
+        self.written = pa.array([f"{i}{x}" for t, signs in ((bytes_a, ",|"), (bytes_b, ",;")) for i in range(len(t)) for x in signs], pa.large_string())
         spec, model = json.loads(raw_a), parse_model(raw_b)
         pre = spec.get("pre_tokenizer") or {}
         # Segments can be aligned apart if A's pattern starts a word at each such space and no piece of B has the marker after another character.
         splits_a = spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
         splits_b = model.dummy_prefix and model.escape and not (model.suffix_space or model.charsmap or model.collapse) and not any(SPACE in p.lstrip(SPACE) for p, _, t in model.pieces if t in (1, 4))
         self.by_segment = bool(splits_a and splits_b)
-        self.kept: dict[str, Aligned] = {}
-
-    def one(self, text: str, ids_a: list[int], ids_b: list[int]) -> Aligned:
-        want = (" " + text).encode()
-        tokens_a, tokens_b = [self.bytes_a[i] or b"" for i in ids_a], [self.bytes_b[i] or b"" for i in ids_b]
-        if b"".join(tokens_a) != want or b"".join(tokens_b) != want:
-            return _NOTHING
-        a_ends, b_ends = list(accumulate(map(len, tokens_a))), list(accumulate(map(len, tokens_b)))
-        groups = groups_of(a_ends, b_ends)
-        size = len(self.bytes_b)
-        codes = [ids_a[i] * size + ids_b[j] for g in groups for i, j in links_of(g, a_ends, b_ends)]
-        shown = ";".join(",".join(str(ids_a[i]) for i in x) + "|" + ",".join(str(ids_b[j]) for j in y) for x, y in groups)
-        return Aligned(True, len(ids_a), len(ids_b), len(groups), shown, codes)
-
-    def align(self, segments: list[str]) -> list[Aligned]:
-        """Alignments of ``segments``, each encoded by itself."""
-        out: list[Aligned] = []
-        for some in batches_of(segments):
-            a = self.a.encode_batch_fast([" " + t for t in some], add_special_tokens=False)
-            b = self.b.encode(some, num_threads=THREADS)
-            out += [self.one(t, x.ids, y) for t, x, y in zip(some, a, b, strict=True)]
-        return out
-
-    def known(self, segments: list[str]) -> list[Aligned]:
-        """Alignments of distinct ``segments``, computed where they are not kept."""
-        if len(self.kept) > KEPT:
-            self.kept = {}
-        new = [t for t in segments if t not in self.kept]
-        made = dict(zip(new, self.align(new), strict=True))
-        self.kept.update((t, x) for t, x in made.items() if len(t) <= 64)
-        return [made[t] if t in made else self.kept[t] for t in segments]
-
-    def column(self, texts: pa.Array) -> Iterator[Aligned]:
-        """The alignment of each text of a string column without nulls; empty texts have no tokens."""
+
+    def _ids(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For A and for B: (ids of all texts, number of each text's)."""
+        a, b = [], []
+        for some in batches_of(texts):
+            a += [e.ids for e in self.a.encode_batch_fast([" " + t for t in some], add_special_tokens=False)]
+            b += self.b.encode(some, num_threads=THREADS)
+        for lists in (a, b):
+            sizes = np.array([len(x) for x in lists], np.int64)
+            yield np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum())), sizes
+
+    def _good(self, texts: list[str], ids: np.ndarray, sizes: np.ndarray, vocab: pa.Array, lengths: np.ndarray) -> np.ndarray:
+        """Of each text, whether its tokens' bytes are a space and the text."""
+        want = [(" " + t).encode() for t in texts]
+        got = vocab.take(pa.array(ids)).buffers()[2].to_pybytes() if len(ids) else b""
+        ends = _starts(lengths[ids])[_starts(sizes)]
+        if got == b"".join(want) and np.array_equal(np.diff(ends), [len(w) for w in want]):
+            return np.ones(len(texts), bool)
+        return np.array([got[i:j] == w for i, j, w in zip(ends.tolist(), ends[1:].tolist(), want)], bool)
+
+    def align(self, texts: list[str]) -> Aligned:
+        """Alignments of ``texts``, each encoded by itself. Texts whose bytes do not come back have no tokens."""
+        (a, na), (b, nb) = self._ids(texts)
+        good = self._good(texts, a, na, self.vocab_a, self.size_a) & self._good(texts, b, nb, self.vocab_b, self.size_b)
+        if not good.all():
+            a, b = a[np.repeat(good, na)], b[np.repeat(good, nb)]
+            na, nb = na * good, nb * good
+        # One line of bytes for all texts: each ends a token of both, so no component goes over it.
+        a_ends, b_ends = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        ga, gb = groups_of(a_ends, b_ends)
+        i, j = links_of(a_ends, b_ends, ga, gb)
+        last = lambda g: np.append(g[1:] != g[:-1], True)[: len(g)]
+        group_a = np.bincount(ga)
+        group_b = np.bincount(gb)
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + _starts(group_b)[ga]] = 2 * a + last(ga)
+        order[np.arange(len(b)) + _starts(group_a)[gb + 1]] = 2 * len(self.size_a) + 2 * b + last(gb)
+        pieces = self.written.take(pa.array(order))
+        offsets = np.frombuffer(pieces.buffers()[1], np.int64, len(pieces) + 1) if len(pieces) else np.zeros(1, np.int64)
+        bounds = offsets[_starts(na + nb)].astype(np.int64)
+        shown = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(bounds), pieces.buffers()[2] if len(pieces) else pa.py_buffer(b""))
+        of_text = _starts(na)
+        n_links = np.diff(np.searchsorted(i, of_text))
+        n_groups = np.diff(np.append(ga, len(group_a))[of_text]) if len(a) else np.zeros(len(texts), np.int64)
+        return Aligned(na, nb, n_groups, shown, a[i] * len(self.size_b) + b[j], _starts(n_links))
+
+    def _texts(self, lists: pa.Array) -> Aligned:
+        """Alignments of texts given as lists of segments; each distinct segment is aligned once."""
+        coded = lists.flatten().dictionary_encode()
+        found = self.align(coded.dictionary.to_pylist())
+        index, ends = coded.indices.to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        per_text = lambda x: np.diff(_starts(x[index])[ends])
+        good = per_text((found.n_a == 0).astype(np.int64)) == 0
+        sizes = np.diff(ends)
+        index, ends = index[np.repeat(good, sizes)], _starts(sizes * good)
+        shown = found.shown.take(pa.array(index))
+        offsets = np.frombuffer(shown.buffers()[1], np.int64, len(shown) + 1) if len(shown) else np.zeros(1, np.int64)
+        texts = pa.LargeStringArray.from_buffers(len(lists), pa.py_buffer(offsets[ends].astype(np.int64)), shown.buffers()[2] if len(shown) else pa.py_buffer(b""))
+        codes, each = _gather(found.codes, found.ends, index)
+        return Aligned(per_text(found.n_a), per_text(found.n_b), per_text(found.n_groups), texts, codes, _starts(each)[ends])
+
+    def column(self, texts: pa.Array) -> Aligned:
+        """Alignments of a string column without nulls; empty texts have no tokens."""
         odd = np.ones(len(texts), bool)
         if self.by_segment and len(texts):
             odd = pc.or_(pc.match_substring_regex(texts, _ODD), pc.equal(texts, "")).to_numpy(zero_copy_only=False)
-        lists = [None] * len(texts)
-        even = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
-        coded = even.flatten().dictionary_encode()
-        found = self.known(coded.dictionary.to_pylist())
-        index, ends = coded.indices.to_numpy(), even.offsets.to_numpy() - (even.offsets[0].as_py() if len(even) else 0)
-        for k, i in enumerate(np.flatnonzero(~odd)):
-            lists[i] = (found, index[ends[k] : ends[k + 1]])
-        for i in np.flatnonzero(odd):
-            text = texts[int(i)].as_py()
-            parts = [] if text == "" else _CUT.split(text) if self.by_segment else [text]
-            distinct = list(dict.fromkeys(parts))
-            place = {t: n for n, t in enumerate(distinct)}
-            lists[i] = (self.known(distinct), np.array([place[t] for t in parts], np.int64))
-        return (self._joined(*x) for x in lists)
-
-    @staticmethod
-    def _joined(found: list[Aligned], index: np.ndarray) -> Aligned:
-        parts = [found[i] for i in index.tolist()]
-        if not parts or not all(p.good for p in parts):
-            return _NOTHING
-        return Aligned(True, sum(p.n_a for p in parts), sum(p.n_b for p in parts), sum(p.n_groups for p in parts), ";".join([p.groups for p in parts]), list(chain.from_iterable([p.codes for p in parts])))
+        rest = texts.filter(pa.array(odd)).to_pylist()
+        cut = [[] if t == "" else _CUT.split(t) if self.by_segment else [t] for t in rest]
+        both = [self._texts(pc.split_pattern(texts.filter(pa.array(~odd)), " ")), self._texts(pa.array(cut, pa.list_(pa.string())))]
+        place = np.argsort(np.append(np.flatnonzero(~odd), np.flatnonzero(odd)))
+        every = lambda name: np.concatenate([getattr(x, name) for x in both])[place]
+        sizes = np.concatenate([np.diff(x.ends) for x in both])
+        codes, each = _gather(np.concatenate([x.codes for x in both]), _starts(sizes), place)
+        return Aligned(every("n_a"), every("n_b"), every("n_groups"), pa.concat_arrays([x.shown for x in both]).take(pa.array(place)), codes, _starts(each))
 
 
 _DDL = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, codes array<long>"
@@ -229,12 +265,13 @@ def _aligned(raw_a: bytes, raw_b: bytes, keep_groups: bool):
             for lo, hi in zip(cuts, cuts[1:]):
                 if lo == hi:
                     continue
-                rows = []
-                for x in aligner.column(batch.column(1).slice(lo, hi - lo)):
-                    digest = hashlib.sha256(x.groups.encode()).hexdigest() if x.good else ""
-                    rows.append((x.n_a, x.n_b, x.n_groups, len(x.codes), digest, x.codes, *([x.groups] if keep_groups else [])))
-                columns = [pa.array([r[k] for r in rows], schema.field(k + 1).type) for k in range(len(schema) - 1)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *columns], schema=schema)
+                x = aligner.column(batch.column(1).slice(lo, hi - lo))
+                # Each group ends with a semicolon; that of the last one does not belong to the text.
+                groups = pc.utf8_rtrim(x.shown, ";")
+                digests = [hashlib.sha256(t.as_buffer()).hexdigest() if n else "" for t, n in zip(groups, x.n_a.tolist(), strict=True)]
+                counts = [pa.array(n) for n in (x.n_a, x.n_b, x.n_groups, np.diff(x.ends))]
+                codes = pa.ListArray.from_arrays(pa.array(x.ends.astype(np.int32)), pa.array(x.codes))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *counts, pa.array(digests), codes, *([groups.cast(pa.string())] if keep_groups else [])], schema=schema)
             trim()
 
     return run

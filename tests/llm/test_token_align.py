@@ -51,11 +51,23 @@ def test_components_are_the_minimal_groups():
     for _ in range(300):
         n = rng.randrange(1, 25)
         a, b = (sorted({n, *(rng.randrange(1, n + 1) for _ in range(rng.randrange(9)))}) for _ in range(2))
-        groups = ta.groups_of(a, b)
-        cuts = sorted(set(a) & set(b))
-        assert [(a[x[-1]], b[y[-1]]) for x, y in groups] == [(c, c) for c in cuts]
-        assert [i for x, _ in groups for i in x] == list(range(len(a))) and [j for _, y in groups for j in y] == list(range(len(b)))
-        assert [(a[i], b[j]) for g in groups for i, j in ta.links_of(g, a, b)] == [(c, c) for c in cuts]
+        a, b = np.array(a), np.array(b)
+        ga, gb = ta.groups_of(a, b)
+        cuts = np.array(sorted(set(a.tolist()) & set(b.tolist())))
+        assert ga.tolist() == np.searchsorted(cuts, a).tolist() and gb.tolist() == np.searchsorted(cuts, b).tolist()
+        i, j = ta.links_of(a, b, ga, gb)
+        assert a[i].tolist() == b[j].tolist() == cuts.tolist()
+
+
+def test_union_find_against_a_search():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 30, 400):
+        u, v = rng.integers(0, n, (2, n // 2))
+        label = np.arange(n)
+        for _ in range(n):
+            for x, y in zip(u, v):
+                label[label == max(label[x], label[y])] = min(label[x], label[y])
+        assert ta.components(n, u, v).tolist() == label.tolist()
 
 
 def test_query_equals_brute_force(spark, tmp_path):
@@ -81,11 +93,12 @@ def test_segments_align_like_whole_texts_and_pairs_are_bounded():
     aligner = ta.Aligner(raw_a, raw_b)
     some = [t or "" for t in texts()]
     assert aligner.by_segment
-    got = list(aligner.column(pa.array(some)))
-    whole = aligner.align([t for t in some if t])
-    assert [x for x, t in zip(got, some) if t] == whole
+    got, whole = aligner.column(pa.array(some)), aligner.align([t or "\u2581" for t in some])
+    for x in ("n_a", "n_b", "n_groups", "codes", "ends"):
+        assert getattr(got, x).tolist() == getattr(whole, x).tolist(), x
+    assert got.shown.to_pylist() == whole.shown.to_pylist()
     pairs = ta.possible_pairs(ta.bytes_of_a(raw_a), ta.bytes_of_b(raw_b))
-    assert set(c for x in got for c in x.codes) <= set(pairs.tolist())
+    assert set(got.codes.tolist()) <= set(pairs.tolist())
     assert len(pairs) <= sum(len(x or b"") for t in (ta.bytes_of_a(raw_a), ta.bytes_of_b(raw_b)) for x in t)
 
 
