@@ -31,8 +31,10 @@ from .spm import SPACE, batches_of, parse_model
 MODEL_A, MODEL_B = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters of texts handled together, and threads of a worker.
 COLUMN_CHARS, THREADS = 3_000_000, 2
+#: Segments that are encoded in one call.
+JOINED = 64
 #: A space next to another white space character (or at an end) is no cut; such texts are cut with a pattern that looks around.
-_ODD = r"^ | $| [\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
+_ODD = r"^\s|\s$| [\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -130,13 +132,13 @@ def links_of(a_ends: np.ndarray, b_ends: np.ndarray, a_group: np.ndarray, b_grou
 
 @dataclass
 class Aligned:
-    """Alignments of some texts, as columns: counts, the groups' text (or its digest), and the codes of links with their bounds."""
+    """Alignments of some texts, as columns: counts, the groups' text, and the pairs of the links (places in ``possible_pairs``) with their bounds."""
 
     n_a: np.ndarray
     n_b: np.ndarray
     n_groups: np.ndarray
     shown: pa.Array
-    codes: np.ndarray
+    pairs: np.ndarray
     ends: np.ndarray
 
 
@@ -154,7 +156,7 @@ def _gather(flat: np.ndarray, bounds: np.ndarray, index: np.ndarray) -> tuple[np
 class Aligner:
     """Encodes texts with both tokenizers and aligns their tokens. Special tokens inside texts are plain text to both."""
 
-    def __init__(self, raw_a: bytes, raw_b: bytes):
+    def __init__(self, raw_a: bytes, raw_b: bytes, pairs: np.ndarray | None = None):
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -165,6 +167,7 @@ class Aligner:
         bytes_a, bytes_b = bytes_of_a(raw_a), bytes_of_b(raw_b)
         self.vocab_a, self.vocab_b = (pa.array([x or b"" for x in t], pa.large_binary()) for t in (bytes_a, bytes_b))
         self.size_a, self.size_b = (np.array([len(x or b"") for x in t], np.int64) for t in (bytes_a, bytes_b))
+        self.pairs = possible_pairs(bytes_a, bytes_b) if pairs is None else pairs
         # An id with the sign behind it: within or at the end of A's part of a group, within or at the end of B's.
         self.written = pa.array([f"{i}{x}" for t, signs in ((bytes_a, ",|"), (bytes_b, ",;")) for i in range(len(t)) for x in signs], pa.large_string())
         spec, model = json.loads(raw_a), parse_model(raw_b)
@@ -184,22 +187,33 @@ class Aligner:
             sizes = np.array([len(x) for x in lists], np.int64)
             yield np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum())), sizes
 
-    def _good(self, texts: list[str], ids: np.ndarray, sizes: np.ndarray, vocab: pa.Array, lengths: np.ndarray) -> np.ndarray:
-        """Of each text, whether its tokens' bytes are a space and the text."""
-        want = [(" " + t).encode() for t in texts]
+    @staticmethod
+    def _ends(want: list[bytes], ids: np.ndarray, vocab: pa.Array, lengths: np.ndarray) -> np.ndarray | None:
+        """Where the tokens' bytes are those of ``want``, and tokens end wherever one of these does: how many tokens each has, else none."""
         got = vocab.take(pa.array(ids)).buffers()[2].to_pybytes() if len(ids) else b""
-        ends = _starts(lengths[ids])[_starts(sizes)]
-        if got == b"".join(want) and np.array_equal(np.diff(ends), [len(w) for w in want]):
-            return np.ones(len(texts), bool)
-        return np.array([got[i:j] == w for i, j, w in zip(ends.tolist(), ends[1:].tolist(), want)], bool)
-
-    def align(self, texts: list[str]) -> Aligned:
-        """Alignments of ``texts``, each encoded by itself. Texts whose bytes do not come back have no tokens."""
-        (a, na), (b, nb) = self._ids(texts)
-        good = self._good(texts, a, na, self.vocab_a, self.size_a) & self._good(texts, b, nb, self.vocab_b, self.size_b)
-        if not good.all():
-            a, b = a[np.repeat(good, na)], b[np.repeat(good, nb)]
-            na, nb = na * good, nb * good
+        bounds, ends = _starts(np.array([len(w) for w in want], np.int64)), _starts(lengths[ids])
+        at = np.searchsorted(ends, bounds)
+        return np.diff(at) if got == b"".join(want) and np.array_equal(ends[np.minimum(at, len(ends) - 1)], bounds) else None
+
+    def _encoded(self, texts: list[str], joined: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of A, numbers of them, ids of B, numbers) of ``texts``, ``joined`` of them together with spaces between.
+
+        A text whose bytes do not come back has none. Where that happens, or a token goes over an end, texts are halved until they are alone.
+        """
+        (a, _), (b, _) = self._ids([" ".join(texts[i : i + joined]) for i in range(0, len(texts), joined)])
+        want = [(" " + t).encode() for t in texts]
+        na, nb = self._ends(want, a, self.vocab_a, self.size_a), self._ends(want, b, self.vocab_b, self.size_b)
+        if na is not None and nb is not None:
+            return a, na, b, nb
+        if len(texts) == 1:
+            return a[:0], np.zeros(1, np.int64), b[:0], np.zeros(1, np.int64)
+        half = len(texts) // 2
+        parts = self._encoded(texts[:half], joined), self._encoded(texts[half:], joined)
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+    def align(self, texts: list[str], joined: int = 1) -> Aligned:
+        """Alignments of ``texts``. With ``joined``, so many are encoded together: segments without white space at their ends only."""
+        a, na, b, nb = self._encoded(texts, joined)
         # One line of bytes for all texts: each ends a token of both, so no component goes over it.
         a_ends, b_ends = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         ga, gb = groups_of(a_ends, b_ends)
@@ -217,12 +231,12 @@ class Aligner:
         of_text = _starts(na)
         n_links = np.diff(np.searchsorted(i, of_text))
         n_groups = np.diff(np.append(ga, len(group_a))[of_text]) if len(a) else np.zeros(len(texts), np.int64)
-        return Aligned(na, nb, n_groups, shown, a[i] * len(self.size_b) + b[j], _starts(n_links))
+        return Aligned(na, nb, n_groups, shown, np.searchsorted(self.pairs, a[i] * len(self.size_b) + b[j]).astype(np.int32), _starts(n_links))
 
-    def _texts(self, lists: pa.Array) -> Aligned:
+    def _texts(self, lists: pa.Array, joined: int = 1) -> Aligned:
         """Alignments of texts given as lists of segments; each distinct segment is aligned once."""
         coded = lists.flatten().dictionary_encode()
-        found = self.align(coded.dictionary.to_pylist())
+        found = self.align(coded.dictionary.to_pylist(), joined)
         index, ends = coded.indices.to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
         per_text = lambda x: np.diff(_starts(x[index])[ends])
         good = per_text((found.n_a == 0).astype(np.int64)) == 0
@@ -231,8 +245,8 @@ class Aligner:
         shown = found.shown.take(pa.array(index))
         offsets = np.frombuffer(shown.buffers()[1], np.int64, len(shown) + 1) if len(shown) else np.zeros(1, np.int64)
         texts = pa.LargeStringArray.from_buffers(len(lists), pa.py_buffer(offsets[ends].astype(np.int64)), shown.buffers()[2] if len(shown) else pa.py_buffer(b""))
-        codes, each = _gather(found.codes, found.ends, index)
-        return Aligned(per_text(found.n_a), per_text(found.n_b), per_text(found.n_groups), texts, codes, _starts(each)[ends])
+        pairs, each = _gather(found.pairs, found.ends, index)
+        return Aligned(per_text(found.n_a), per_text(found.n_b), per_text(found.n_groups), texts, pairs, _starts(each)[ends])
 
     def column(self, texts: pa.Array) -> Aligned:
         """Alignments of a string column without nulls; empty texts have no tokens."""
@@ -241,24 +255,24 @@ class Aligner:
             odd = pc.or_(pc.match_substring_regex(texts, _ODD), pc.equal(texts, "")).to_numpy(zero_copy_only=False)
         rest = texts.filter(pa.array(odd)).to_pylist()
         cut = [[] if t == "" else _CUT.split(t) if self.by_segment else [t] for t in rest]
-        both = [self._texts(pc.split_pattern(texts.filter(pa.array(~odd)), " ")), self._texts(pa.array(cut, pa.list_(pa.string())))]
+        both = [self._texts(pc.split_pattern(texts.filter(pa.array(~odd)), " "), JOINED), self._texts(pa.array(cut, pa.list_(pa.string())))]
         place = np.argsort(np.append(np.flatnonzero(~odd), np.flatnonzero(odd)))
         every = lambda name: np.concatenate([getattr(x, name) for x in both])[place]
         sizes = np.concatenate([np.diff(x.ends) for x in both])
-        codes, each = _gather(np.concatenate([x.codes for x in both]), _starts(sizes), place)
-        return Aligned(every("n_a"), every("n_b"), every("n_groups"), pa.concat_arrays([x.shown for x in both]).take(pa.array(place)), codes, _starts(each))
+        pairs, each = _gather(np.concatenate([x.pairs for x in both]), _starts(sizes), place)
+        return Aligned(every("n_a"), every("n_b"), every("n_groups"), pa.concat_arrays([x.shown for x in both]).take(pa.array(place)), pairs, _starts(each))
 
 
-_DDL = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, codes array<long>"
+_DDL = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<int>"
 _SHOWN = ", groups string"
 
 
-def _aligned(raw_a: bytes, raw_b: bytes, keep_groups: bool):
-    fields = [("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("codes", pa.list_(pa.int64()))]
+def _aligned(raw_a: bytes, raw_b: bytes, possible: np.ndarray, keep_groups: bool):
+    fields = [("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("pairs", pa.list_(pa.int32()))]
     schema = pa.schema(fields + [("groups", pa.string())] * keep_groups)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(raw_a, raw_b)
+        aligner = Aligner(raw_a, raw_b, possible)
         for batch in batches:
             total = np.cumsum(pc.utf8_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64))
             cuts = [0, *(np.flatnonzero(np.diff(total // COLUMN_CHARS)) + 1).tolist(), batch.num_rows]
@@ -270,23 +284,24 @@ def _aligned(raw_a: bytes, raw_b: bytes, keep_groups: bool):
                 groups = pc.utf8_rtrim(x.shown, ";")
                 digests = [hashlib.sha256(t.as_buffer()).hexdigest() if n else "" for t, n in zip(groups, x.n_a.tolist(), strict=True)]
                 counts = [pa.array(n) for n in (x.n_a, x.n_b, x.n_groups, np.diff(x.ends))]
-                codes = pa.ListArray.from_arrays(pa.array(x.ends.astype(np.int32)), pa.array(x.codes))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *counts, pa.array(digests), codes, *([groups.cast(pa.string())] if keep_groups else [])], schema=schema)
+                pairs = pa.ListArray.from_arrays(pa.array(x.ends.astype(np.int32)), pa.array(x.pairs))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *counts, pa.array(digests), pairs, *([groups.cast(pa.string())] if keep_groups else [])], schema=schema)
             trim()
 
     return run
 
 
 def align_tokens(docs: DataFrame, path_a: str = MODEL_A, path_b: str = MODEL_B, keep_groups: bool = False) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_a, n_b, n_groups, n_links, groups_sha256, codes (of the links), and the groups as text if asked for.
+    """One row per row of ``docs``: doc_id, n_a, n_b, n_groups, n_links, groups_sha256, pairs (the links' places in ``possible_pairs``), and the groups
+    as text if asked for.
 
     A encodes a space and the text, B the text, to which it adds the space. Null and empty texts, and those whose tokens' bytes differ
-    from a space and the text, have no tokens: zeros, an empty digest and no codes. Other columns are not read, a null id stays null, an
+    from a space and the text, have no tokens: zeros, an empty digest and no pairs. Other columns are not read, a null id stays null, an
     empty table stays empty, and repeated rows have equal results. No shuffle: texts are aligned where they are read.
     """
     raw_a, raw_b = _read(path_a), _read(path_b)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
-    return rows.mapInArrow(lean(_aligned(raw_a, raw_b, keep_groups)), _DDL + _SHOWN * keep_groups)
+    return rows.mapInArrow(lean(_aligned(raw_a, raw_b, possible_pairs(bytes_of_a(raw_a), bytes_of_b(raw_b)), keep_groups)), _DDL + _SHOWN * keep_groups)
 
 
 def _read(path: str) -> bytes:
@@ -295,39 +310,37 @@ def _read(path: str) -> bytes:
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:
-    """(code, n): how many links of the corpus hold each id pair; summed in each task before the shuffle."""
-    return aligned.select(F.explode("codes").alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+    """(pair, n): how many links of the corpus hold each id pair; summed in each task before the shuffle."""
+    return aligned.select(F.explode("pairs").alias("pair")).groupBy("pair").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _ranked(pairs: np.ndarray, counts: np.ndarray, best: np.ndarray, names: list[str]):
+def _ranked(counts: np.ndarray, best: np.ndarray, names: list[str]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes = batch.column("codes")
-            at = np.searchsorted(pairs, codes.flatten().to_numpy())
-            ends = codes.offsets.to_numpy() - codes.offsets[0].as_py()
-            total = lambda x: np.diff(np.append(0, np.cumsum(x[at]))[ends])
+            pairs = batch.column("pairs")
+            at, ends = pairs.flatten().to_numpy(), pairs.offsets.to_numpy() - pairs.offsets[0].as_py()
+            total = lambda x: np.diff(_starts(x[at])[ends])
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(total(best)), pa.array(total(counts))], names=[*names, "n_best", "count_sum"])
 
     return run
 
 
 def rank_links(aligned: DataFrame, path_a: str = MODEL_A, path_b: str = MODEL_B) -> DataFrame:
-    """``aligned`` without its codes, with n_best and count_sum.
+    """``aligned`` without its pairs, with n_best and count_sum.
 
     ``aligned`` is read twice and should be a written table. Counts of pairs reach the driver and all tasks: they are at most as many as
     ``possible_pairs``, which depends on the vocabularies alone (some hundred thousand for the given ones), however large the corpus is.
     """
-    size = len(bytes_of_b(_read(path_b)))
-    pairs = possible_pairs(bytes_of_a(_read(path_a)), bytes_of_b(_read(path_b)))
+    b = bytes_of_b(_read(path_b))
+    id_b = possible_pairs(bytes_of_a(_read(path_a)), b) % len(b)
     table = pair_counts(aligned).toArrow()
-    counts = np.zeros(len(pairs), np.int64)
-    counts[np.searchsorted(pairs, table.column("code").to_numpy())] = table.column("n").to_numpy()
-    highest = np.zeros(size, np.int64)
-    np.maximum.at(highest, pairs % size, counts)
-    best = (counts == highest[pairs % size]).astype(np.int64)
-    names = [c for c in aligned.columns if c != "codes"]
-    ddl = ", ".join(f"{n} {t}" for n, t in aligned.drop("codes").dtypes) + ", n_best long, count_sum long"
-    return aligned.mapInArrow(lean(_ranked(pairs, counts, best, names)), ddl)
+    counts = np.zeros(len(id_b), np.int64)
+    counts[table.column("pair").to_numpy()] = table.column("n").to_numpy()
+    highest = np.zeros(len(b), np.int64)
+    np.maximum.at(highest, id_b, counts)
+    names = [c for c in aligned.columns if c != "pairs"]
+    ddl = ", ".join(f"{n} {t}" for n, t in aligned.drop("pairs").dtypes) + ", n_best long, count_sum long"
+    return aligned.mapInArrow(lean(_ranked(counts, (counts == highest[id_b]).astype(np.int64), names)), ddl)
 
 
 def op11_token_alignment(spark, sf_dir: str) -> DataFrame:
