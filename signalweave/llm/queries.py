@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, fim, fingerprints, hilbert, mixing, ngram_join, ogg, secrets, spm, token_align, toxicity, warc_zip
+from . import chat, fim, fingerprints, hilbert, html_tree, mixing, ngram_join, ogg, secrets, spm, token_align, toxicity, warc_zip
 
 QUERIES = {
     "op1_chat_formatting": chat.op1_chat_formatting,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_ngram_jaccard_join": ngram_join.op9_ngram_jaccard_join,
     "op10_ogg_media": ogg.op10_ogg_media,
     "op11_token_alignment": token_align.op11_token_alignment,
+    "op12_html_tree": html_tree.op12_html_tree,
     "op13_fill_in_middle": fim.op13_fill_in_middle,
 }
 
