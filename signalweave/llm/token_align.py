@@ -30,7 +30,7 @@ from .spm import SPACE, batches_of, parse_model
 
 MODEL_A, MODEL_B = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters of texts handled together, and threads of a worker.
-COLUMN_CHARS, THREADS = 3_000_000, 2
+COLUMN_CHARS, THREADS = 1_500_000, 2
 #: Segments that are encoded in one call.
 JOINED = 64
 #: A space next to another white space character (or at an end) is no cut; such texts are cut with a pattern that looks around.
