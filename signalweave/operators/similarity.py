@@ -1,13 +1,8 @@
-"""Similarity, greedy selection and clustering of texts.
-
-Pairs come from shared tokens, shared grams of keys, or classes. Operators that are sequential by nature work on one group at a time (a lane, a page, a
-block); their order inside a group is total, so results do not depend on partitions. Greedy selection keeps at most
-``limit`` rows and streams over the rest, in sorted order, so a group of any size passes through in bounded memory.
-"""
+"""Similarity of texts: pairs come from shared tokens, shared grams of keys, or classes. Greedy selection and clusters: ``greedy``."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -52,17 +47,25 @@ def same_issue(a: dict[str, Column], b: dict[str, Column]) -> Column:
 
 
 def near_duplicate_pair(a: dict[str, Column], b: dict[str, Column], least: float = 0.66) -> Column:
-    """The full near-duplicate predicate as a column. Keys: key, tokens, markers, families, page, values.
+    """The full near-duplicate predicate as a column. Keys: key, tokens, markers, families, page, values, subject, day.
 
-    One key contains the other; or two topic markers are shared; or a family is shared on the same page or with a shared value;
-    or the overlap coefficient reaches ``least``.
+    Both have the same locked subject and a common page or day; or one key contains the other; or two topic markers are shared; or a
+    family is shared on the same page or with a shared value; or the overlap coefficient reaches ``least``. A branch whose keys are not
+    given does not apply; null is no match. Rows with an empty key match nothing by the other branches' terms either where they have none.
     """
     from ..functions.text import overlap
 
     common = lambda k: F.size(F.array_intersect(a[k], b[k]))
-    contained = (F.length(a["key"]) > 0) & (F.length(b["key"]) > 0) & (F.contains(a["key"], b["key"]) | F.contains(b["key"], a["key"]))
-    related = (common("families") > 0) & ((a["page"] == b["page"]) | (common("values") > 0))
-    return contained | (common("markers") >= 2) | related | (overlap(a["tokens"], b["tokens"]) >= least)
+    no = F.lit(False)
+    sure = lambda c: F.coalesce(c, no)
+    page = sure(a["page"] == b["page"]) if "page" in a else no
+    day = sure(a["day"] == b["day"]) if "day" in a else no
+    locked = sure((a["subject"] == b["subject"]) & (F.length(a["subject"]) > 0)) & (page | day) if "subject" in a else no
+    contained = sure((F.length(a["key"]) > 0) & (F.length(b["key"]) > 0) & (F.contains(a["key"], b["key"]) | F.contains(b["key"], a["key"]))) if "key" in a else no
+    marked = sure(common("markers") >= 2) if "markers" in a else no
+    related = sure(common("families") > 0) & (page | (sure(common("values") > 0) if "values" in a else no)) if "families" in a else no
+    alike = sure(overlap(a["tokens"], b["tokens"]) >= least) if "tokens" in a else no
+    return locked | contained | marked | related | alike
 
 
 #: Lengths in bytes of the grams by which contained keys are found, and the bits of the bitmap of those looked for.
@@ -170,111 +173,6 @@ def near_duplicate_links(df: DataFrame, id_col: str, least: float = 0.66) -> Dat
     return out.unionByName(link(contained, "contained", "short", "long")).unionByName(link(overlapping, "overlap", "a", "b"))
 
 
-def _overlap(a: frozenset, b: frozenset) -> float:
-    return len(a & b) / min(len(a), len(b)) if a and b else 0.0
-
-
-def near_duplicate(least: float = 0.66) -> Callable[[pd.Series, pd.Series], bool]:
-    """Containment of keys, or an overlap coefficient of ``least`` or more."""
-
-    def judge(a, b) -> bool:
-        if a.key and b.key and (a.key in b.key or b.key in a.key):
-            return True
-        return _overlap(a.tokens, b.tokens) >= least
-
-    return judge
-
-
-def greedy_top(df: DataFrame, group: str, id_col: str, score: str, key: str, tokens: str, limit: int, least: float = 0.66) -> DataFrame:
-    """(group, id, position): per group the best rows by score (then id) that repeat no chosen key and are no near duplicates of a
-    chosen row, up to ``limit``. Rows arrive sorted, so only the chosen ones are held."""
-    judge = near_duplicate(least)
-    rows = df.select(F.col(group).cast("string").alias("g"), F.col(id_col).cast("long").alias("id"), F.col(score).cast("double").alias("score"), F.coalesce(F.col(key), F.lit("")).alias("key"), F.col(tokens).alias("tokens"))
-    rows = rows.repartition("g").sortWithinPartitions("g", F.desc("score"), "id").select("g", "id", "key", "tokens")
-
-    def pick(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, chosen, keys = None, [], set()
-        for frame in frames:
-            out = []
-            for g, i, k, t in frame.itertuples(index=False, name=None):
-                if g != now:
-                    now, chosen, keys = g, [], set()
-                if len(chosen) >= limit or (k and k in keys):
-                    continue
-                row = _Row(k, frozenset(t if t is not None else ()))
-                if any(judge(row, c) for c in chosen):
-                    continue
-                chosen.append(row)
-                keys.add(k)
-                out.append((g, i, len(chosen)))
-            yield pd.DataFrame(out, columns=["g", "id", "position"])
-
-    return rows.mapInPandas(pick, "g string, id long, position long").withColumnRenamed("g", group).withColumnRenamed("id", id_col)
-
-
-class _Row:
-    __slots__ = ("key", "tokens")
-
-    def __init__(self, key: str, tokens: frozenset):
-        self.key, self.tokens = key, tokens
-
-
-def page_quotas(df: DataFrame, page: str, id_col: str, passed: str, score: str, key: str, tokens: str, n_pass: int = 3, n_held: int = 6) -> DataFrame:
-    """Greedy selection per page with separate quotas for passed and held rows; neither repeats the other."""
-    best = df.select(page, id_col, F.col(passed).cast("boolean").alias("__p"), score, key, tokens)
-    rows = best.select(F.col(page).cast("string").alias("g"), F.col(id_col).cast("long").alias("id"), "__p", F.col(score).cast("double").alias("score"), F.coalesce(F.col(key), F.lit("")).alias("key"), F.col(tokens).alias("tokens"))
-    rows = rows.repartition("g").sortWithinPartitions("g", F.desc("__p"), F.desc("score"), "id")
-    judge = near_duplicate()
-
-    def pick(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, chosen, room = None, [], {}
-        for frame in frames:
-            out = []
-            for g, i, p, _, k, t in frame.itertuples(index=False, name=None):
-                if g != now:
-                    now, chosen, room = g, [], {True: n_pass, False: n_held}
-                p = bool(p)
-                row = _Row(k, frozenset(t if t is not None else ()))
-                if room[p] and not any(judge(row, c) for c in chosen):
-                    chosen.append(row)
-                    room[p] -= 1
-                    out.append((g, i, p))
-            yield pd.DataFrame(out, columns=["g", "id", "passed"])
-
-    return rows.mapInPandas(pick, "g string, id long, passed boolean").withColumnRenamed("g", page).withColumnRenamed("id", id_col)
-
-
-def leader_clusters(df: DataFrame, block: str, id_col: str, order: Sequence[Column], tokens: str, least: float) -> DataFrame:
-    """(id, leader): in the order given, a row joins the first leader of its block whose token set is similar enough (Jaccard), or
-    leads itself. Leaders are found by an index over their tokens, not by comparing with all of them."""
-    rows = df.select(F.col(block).cast("string").alias("g"), F.col(id_col).cast("long").alias("id"), F.array_distinct(tokens).alias("tokens"), *[o.alias(f"o{i}") for i, o in enumerate(order)])
-    rows = rows.repartition("g").sortWithinPartitions("g", *[f"o{i}" for i in range(len(order))], "id").select("g", "id", "tokens")
-
-    def lead(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, leaders, index = None, [], {}
-        for frame in frames:
-            out = []
-            for g, i, t in frame.itertuples(index=False, name=None):
-                if g != now:
-                    now, leaders, index = g, [], {}
-                s = frozenset(t if t is not None else ())
-                shared: dict[int, int] = {}
-                for x in s:
-                    for n in index.get(x, ()):
-                        shared[n] = shared.get(n, 0) + 1
-                found = next((n for n in sorted(shared) if shared[n] / (len(s) + leaders[n][1] - shared[n]) >= least), None)
-                if found is None:
-                    for x in s:
-                        index.setdefault(x, []).append(len(leaders))
-                    leaders.append((i, len(s)))
-                    out.append((i, i))
-                else:
-                    out.append((i, leaders[found][0]))
-            yield pd.DataFrame(out, columns=["id", "leader"])
-
-    return rows.mapInPandas(lead, "id long, leader long").withColumnRenamed("id", id_col)
-
-
 def suppress_neighbours(df: DataFrame, group: str, at: str, score: str, k: int) -> DataFrame:
     """Greedy choice per group of the ``k`` best positions, none next to a chosen one; ties go to the earlier position."""
     rows = df.select(F.col(group).cast("long").alias("g"), F.col(at).cast("long").alias("p"), F.col(score).cast("double").alias("s"))

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from ..functions import dates, spans, text as txt
-from ..operators import context, joins, similarity as sim
+from ..operators import context, greedy, joins, similarity as sim
 from .base import query, table
 
 
@@ -372,19 +372,93 @@ def _tokens(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", "source", "lang", "n_chars", txt.tokens(F.col("text")).alias("tokens"), txt.key_of(F.col("text")).alias("key"), txt.tokens(line).alias("headline"))
 
 
-@query("greedy_near_dup_top")
+# The fields of the near-duplicate predicate in DuckDB: c is kept, d is looked at.
+_FIELDS_SQL = r"""f AS (SELECT doc_id, source, lang, n_chars, regexp_replace(lower(text), '[^0-9a-z가-힣]', '', 'g') AS key,
+  list_distinct(list_filter(regexp_extract_all(lower(text), '([0-9A-Za-zÀ-ɏ가-힣]{2,})', 1), lambda t: NOT regexp_matches(t, '^[0-9]+$'))) AS tokens,
+  list_filter(['license', 'copyright', 'version'], lambda t: contains(lower(text), t)) AS markers,
+  list_filter(['heit', 'ción', 'tion', 'ment'], lambda t: contains(lower(string_split(text, chr(10))[1]), t)) AS families, source AS page, [n_chars] AS vals FROM documents)"""
+_CLASH_SQL = """(length(c.key) > 0 AND length(d.key) > 0 AND (contains(c.key, d.key) OR contains(d.key, c.key))) OR len(list_intersect(c.markers, d.markers)) >= 2
+    OR (len(list_intersect(c.families, d.families)) > 0 AND (c.page = d.page OR len(list_intersect(c.vals, d.vals)) > 0))
+    OR (len(c.tokens) > 0 AND len(d.tokens) > 0 AND CAST(len(list_intersect(c.tokens, d.tokens)) AS DOUBLE) / least(len(c.tokens), len(d.tokens)) >= 0.66)"""
+
+
+def _greedy_sql(rows: str, clash: str, last: str) -> str:
+    """The loop as a recursive query over ``rows`` (lane, doc_id, n, kind, cap, fields): each step keeps the next row of each lane that clashes with none kept."""
+    return f"""WITH RECURSIVE {rows},
+k AS (SELECT lane, 0::BIGINT AS n, [d][1:0] AS held FROM r d QUALIFY row_number() OVER (PARTITION BY lane ORDER BY n) = 1
+  UNION ALL SELECT k.lane, min(d.n), list_append(any_value(k.held), arg_min(d, d.n)) FROM k JOIN r d ON d.lane = k.lane AND d.n > k.n
+  WHERE len(list_filter(k.held, lambda c: c.kind = d.kind)) < d.cap AND len(list_filter(k.held, lambda c: {clash})) = 0 GROUP BY k.lane),
+z AS (SELECT lane, unnest(held) AS d, generate_subscripts(held, 1) AS position FROM k QUALIFY rank() OVER (PARTITION BY lane ORDER BY len(held) DESC) = 1)
+{last}"""
+
+
+def _near_fields() -> dict:
+    line = F.lower(F.substring_index("text", "\n", 1))
+    return {
+        "key": txt.key_of(F.col("text")), "tokens": txt.tokens(F.col("text")), "markers": txt.matched_terms(F.col("text"), ["license", "copyright", "version"]),
+        "families": F.filter(F.array(*map(F.lit, ["heit", "ción", "tion", "ment"])), lambda t: F.contains(line, t)), "page": F.col("source"), "values": F.array("n_chars"),
+    }
+
+
+@query(
+    "greedy_near_dup_top",
+    _greedy_sql(f"{_FIELDS_SQL}, r AS (SELECT *, source AS lane, '' AS kind, 5 AS cap, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS n FROM f)", _CLASH_SQL, "SELECT lane AS source, d.doc_id AS doc_id, position FROM z"),
+)
 def greedy_near_dup_top(spark, sf_dir):
-    return sim.greedy_top(_tokens(spark, sf_dir), "source", "doc_id", "n_chars", "key", "tokens", 5)
+    return greedy.greedy_top(_docs(spark, sf_dir), "source", "doc_id", "n_chars", _near_fields(), 5)
 
 
-@query("page_quota_selection")
+@query(
+    "page_quota_selection",
+    _greedy_sql(
+        f"{_FIELDS_SQL}, r AS (SELECT *, source AS lane, CASE WHEN n_chars > 1000 THEN 'p' ELSE 'h' END AS kind, CASE WHEN n_chars > 1000 THEN 3 ELSE 6 END AS cap, row_number() OVER (PARTITION BY source ORDER BY n_chars > 1000 DESC, n_chars DESC, doc_id) AS n FROM f)",
+        _CLASH_SQL,
+        "SELECT lane AS source, d.doc_id AS doc_id, d.kind = 'p' AS passed FROM z",
+    ),
+)
 def page_quota_selection(spark, sf_dir):
-    return sim.page_quotas(_tokens(spark, sf_dir).withColumn("ok", F.col("n_chars") > 1000), "source", "doc_id", "ok", "n_chars", "key", "tokens")
+    return greedy.page_quotas(_docs(spark, sf_dir).withColumn("ok", F.col("n_chars") > 1000), "source", "doc_id", "ok", "n_chars", _near_fields())
 
 
-@query("leader_clusters")
+# The caps of the fourteen lanes, and whether a lane drops near duplicates or repeated addresses only.
+LANE_CAPS = (3, 3, 2, 5, 5, 8, 5, 5, 4, 4, 4, 2, 5, 5)
+LANE_NEAR = (1, 1, 1, 1, 1, 1, 1, 1, 0, 0, 0, 0, 1, 0)
+_LANE_RULES = ("lang = 'en'", "lang = 'de'", "lang = 'es'", "lang = 'fr'", "n_chars > 2000", "n_chars > 1000", "n_chars < 500", "quality = 1", "quality = 0", "toxic = 1", "toxic = 0 AND quality = 1", "quality IS NULL", "source LIKE '%1'", "lang = 'en' AND n_chars > 800")
+_LANE_ROWS_SQL = " UNION ALL ".join(f"SELECT 'lane{i:02d}' AS lane, {cap} AS cap, {near}::BOOLEAN AS near, * FROM e WHERE {rule}" for i, (rule, cap, near) in enumerate(zip(_LANE_RULES, LANE_CAPS, LANE_NEAR)))
+
+
+@query(
+    "lane_selection",
+    _greedy_sql(
+        f"""{_FIELDS_SQL}, e AS (SELECT f.*, l.quality, l.toxic, CASE WHEN l.quality = 1 THEN left(f.key, 60) ELSE '' END AS subject, f.lang AS day FROM f LEFT JOIN labels l USING (doc_id)),
+u AS ({_LANE_ROWS_SQL}), r AS (SELECT *, '' AS kind, CASE WHEN near THEN key ELSE page END AS rep, row_number() OVER (PARTITION BY lane ORDER BY n_chars DESC, doc_id) AS n FROM u)""",
+        f"(length(c.rep) > 0 AND c.rep = d.rep) OR (d.near AND ((length(c.subject) > 0 AND c.subject = d.subject AND (c.page = d.page OR c.day = d.day)) OR {_CLASH_SQL}))",
+        "SELECT lane, d.doc_id AS doc_id, position FROM z",
+    ),
+)
+def lane_selection(spark, sf_dir):
+    d = _docs(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    made = [F.when(F.expr(rule), F.struct(F.lit(f"lane{i:02d}").alias("lane"), F.lit(cap).alias("cap"), F.lit(bool(near)).alias("near"))) for i, (rule, cap, near) in enumerate(zip(_LANE_RULES, LANE_CAPS, LANE_NEAR))]
+    rows = d.withColumn("l", F.explode(F.array_compact(F.array(*made)))).select("*", "l.lane", "l.cap", "l.near")
+    near = _near_fields()
+    fields = near | {"subject": F.when(F.col("quality") == 1, F.substring(near["key"], 1, 60)), "day": F.col("lang"), "repeat": F.when(F.col("near"), near["key"]).otherwise(F.col("source")), "near": F.col("near")}
+    by_text = greedy.near_clash(near | {"subject": F.lit(""), "day": F.lit("")})
+    clash = lambda a, b: ((F.length(a["repeat"]) > 0) & (a["repeat"] == b["repeat"])) | (a["near"] & by_text(a, b))
+    return greedy.greedy_lanes(rows, "lane", "doc_id", [-F.col("n_chars")], F.col("cap"), fields, clash).select("lane", F.col("id").alias("doc_id"), "position")
+
+
+@query(
+    "leader_clusters",
+    r"""WITH RECURSIVE f AS (SELECT doc_id, lang, n_chars, list_distinct(list_filter(regexp_extract_all(lower(text), '([0-9A-Za-zÀ-ɏ가-힣]{2,})', 1), lambda t: NOT regexp_matches(t, '^[0-9]+$'))) AS t FROM documents),
+o AS (SELECT doc_id, lang, t, len(t) AS size, row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS n FROM f), w AS (SELECT doc_id, lang, size, n, unnest(t) AS tok FROM o),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS na, any_value(y.n) AS nb, any_value(x.lang) AS lang FROM w x JOIN w y ON x.lang = y.lang AND x.tok = y.tok AND x.n < y.n GROUP BY x.doc_id, y.doc_id HAVING CAST(count(*) AS DOUBLE) / (any_value(x.size) + any_value(y.size) - count(*)) >= 0.5),
+k AS (SELECT lang, 0::BIGINT AS n, []::BIGINT[] AS led, []::BIGINT[] AS leaders FROM o GROUP BY lang
+  UNION ALL SELECT lang, n, list_concat(led, coalesce((SELECT list(p.b) FROM p WHERE p.a = doc_id), []::BIGINT[])), list_append(leaders, doc_id) FROM (SELECT k.lang, arg_min(o.doc_id, o.n) AS doc_id, min(o.n) AS n, any_value(k.led) AS led, any_value(k.leaders) AS leaders FROM k JOIN o ON o.lang = k.lang AND o.n > k.n AND NOT list_contains(k.led, o.doc_id) GROUP BY k.lang)),
+l AS (SELECT unnest(leaders) AS leader FROM k QUALIFY rank() OVER (PARTITION BY lang ORDER BY n DESC) = 1)
+SELECT o.doc_id, coalesce((SELECT arg_min(p.a, p.na) FROM p JOIN l ON l.leader = p.a WHERE p.b = o.doc_id AND o.doc_id NOT IN (SELECT leader FROM l)), o.doc_id) AS leader FROM o""",
+)
 def leader_clusters(spark, sf_dir):
-    return sim.leader_clusters(_tokens(spark, sf_dir), "lang", "doc_id", [-F.col("n_chars")], "tokens", 0.5)
+    return greedy.leader_clusters(_tokens(spark, sf_dir), "lang", "doc_id", [-F.col("n_chars")], "tokens", 0.5)
 
 
 @query("same_issue_pairs")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -20,3 +22,17 @@ def session(name: str = "signalweave", **conf: str) -> SparkSession:
     for k, v in (DEFAULTS | {k.replace("__", "."): v for k, v in conf.items()}).items():
         b = b.config(k, v)
     return b.getOrCreate()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df``, computed once and cut off from what it was computed from, in the folder of ``spark.checkpoint.dir``.
+
+    Where that is unset, a local master (one machine, as in tests) gets a temporary folder; anywhere else it is an error.
+    """
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        root = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not root and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(root or tempfile.mkdtemp(prefix="signalweave-"))
+    return df.checkpoint()

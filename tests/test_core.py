@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from signalweave import plans
 from signalweave.functions import dates, numbers, spans, text
-from signalweave.operators import cells, context, gates, joins, provenance, reviews, scoring, select, series, similarity
+from signalweave.operators import cells, context, gates, greedy, joins, provenance, reviews, scoring, select, series, similarity
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -166,9 +166,9 @@ def test_gates_treat_nulls_as_failures(spark):
 def test_sequential_selection(spark):
     rows = [("p", i, s, k, t) for i, s, k, t in [(1, 9.0, "abc", ["a", "b", "c"]), (2, 8.0, "abcd", ["q"]), (3, 7.0, "zzz", ["a", "b", "x"]), (4, 6.0, "yyy", ["m", "n"]), (5, 6.0, "", [])]]
     df = spark.createDataFrame(rows, "g string, id long, s double, k string, t array<string>")
-    got = similarity.greedy_top(df, "g", "id", "s", "k", "t", 3).orderBy("position").collect()
+    got = greedy.greedy_top(df, "g", "id", "s", {"key": F.col("k"), "tokens": F.col("t")}, 3).orderBy("position").collect()
     assert [(r["id"], r["position"]) for r in got] == [(1, 1), (4, 2), (5, 3)]
-    lead = {r["id"]: r["leader"] for r in similarity.leader_clusters(df, "g", "id", [-F.col("s")], "t", 0.5).collect()}
+    lead = {r["id"]: r["leader"] for r in greedy.leader_clusters(df, "g", "id", [-F.col("s")], "t", 0.5).collect()}
     assert lead == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
     turns = spark.createDataFrame([(1, p, float(s)) for p, s in enumerate([5, 9, 8, 1, 7])], "c long, p long, s double")
     assert [(r["p"], r["pick"]) for r in similarity.suppress_neighbours(turns, "c", "p", "s", 3).orderBy("pick").collect()] == [(1, 1), (4, 2)]
