@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions import text as txt
+from ..session import checkpointed
 
 
 def with_precedence(base: DataFrame, over: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -24,15 +25,45 @@ def sibling_counts(df: DataFrame, entity: str, kinds: dict[str, Column]) -> Data
     return df.groupBy(entity).agg(*[F.count_if(c).alias(n) for n, c in kinds.items()])
 
 
+#: Distinct tokens of the left side, or rows of it, up to which they are broadcast; beyond, the same joins shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
 def token_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tokens: str, least_shared: int = 2, least_score: int = 5, k: int = 2, most: int = 8) -> DataFrame:
-    """Best ``k`` right rows of each left row by shared tokens: score is the sum of min(length + 1, ``most``).
+    """Best ``k`` right rows of each left row by shared tokens, then by id: score is the sum of min(length + 1, ``most``). Ids are distinct.
 
-    Tokens are exploded and joined by token, never row by row; give tokens without stop words.
+    Exact, by bounds: of a left row's tokens, the rarest on the right are probed first, as many as it takes to meet some right rows. The
+    ``k``-th best of those gives a score that has to be reached; tokens that are too common are then probed for no new row, if all of
+    them together score less. Scores of the rows that are met come from their whole token sets. Tokens that no left row has
+    are dropped where the right side is read, before anything is shuffled.
     """
-    a = left.select(F.col(left_id).alias("l"), F.explode(F.array_distinct(tokens)).alias("t"))
-    b = right.select(F.col(right_id).alias("r"), F.explode(F.array_distinct(tokens)).alias("t"))
-    pairs = a.join(b, "t").groupBy("l", "r").agg(F.count(F.lit(1)).alias("shared"), F.sum(F.least(F.length("t") + 1, F.lit(most))).alias("score"))
-    good = pairs.filter((F.col("shared") >= least_shared) & (F.col("score") >= least_score))
+    weight = lambda t: F.least(F.length(t) + 1, F.lit(most))
+    a = checkpointed(left.select(F.col(left_id).alias("l"), F.array_distinct(tokens).alias("t")))
+    words = a.select("l", F.explode("t").alias("tok"))
+    vocabulary = checkpointed(words.select("tok").distinct())
+    sized = lambda df, n: F.broadcast(df) if n <= BROADCAST_ROWS else df
+    n_tokens, n_words = vocabulary.count(), words.count()
+    b = right.select(F.col(right_id).alias("r"), F.explode(F.array_distinct(tokens)).alias("tok")).join(sized(vocabulary, n_tokens), "tok")
+    b = checkpointed(b)
+    often = b.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
+    ranked = words.join(sized(often, n_tokens), "tok").groupBy("l").agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("by_df"))
+    # Of each token of a left row: its score, and how much it and all more common ones score together.
+    tails = F.reverse(F.aggregate(F.reverse("by_df"), F.expr("cast(array() as array<struct<df:bigint,tok:string,w:int,tail:int>>)"), lambda acc, e: F.concat(acc, F.array(F.struct(e["df"].alias("df"), e["tok"].alias("tok"), weight(e["tok"]).alias("w"), (F.coalesce(F.try_element_at(acc, F.lit(-1))["tail"], F.lit(0)) + weight(e["tok"])).alias("tail"))))))
+    ranked = ranked.select("l", F.size("by_df").alias("n"), F.posexplode(tails).alias("p", "e"))
+    # Of the tokens that are shared, all but the last few by rarity are probed: a row that shares enough is met by another one.
+    ranked = checkpointed(ranked.filter(F.col("p") <= F.col("n") - least_shared).select("l", "p", "e.df", "e.tok", "e.w", "e.tail"))
+    before = F.coalesce(F.sum("df").over(W.partitionBy("l").orderBy("p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    probes = ranked.withColumn("before", before).filter(F.col("before") < 16 * k)
+    found = sized(probes.select("l", "tok", "w"), n_words).join(b, "tok").groupBy("l", "r").agg(F.sum("w").alias("low"), F.count(F.lit(1)).alias("c"))
+    # Only rows that share enough tokens count towards the k-th best, which rows yet to be met have to reach.
+    kth = found.filter((F.col("c") >= least_shared) & (F.col("low") >= least_score)).withColumn("n", F.row_number().over(W.partitionBy("l").orderBy(F.desc("low"), "r"))).filter(F.col("n") == k).select("l", "low")
+    bound = ranked.join(kth, "l", "left").filter(F.col("tail") >= F.greatest(F.coalesce("low", F.lit(least_score)), F.lit(least_score)))
+    met = checkpointed(sized(bound.select("l", "tok"), n_words).join(b, "tok").select("l", "r").distinct())
+    n_met = met.count()
+    sets = b.join(sized(met.select("r").distinct(), n_met), "r", "left_semi").groupBy("r").agg(F.collect_list("tok").alias("tr"))
+    full = sized(met.join(sized(a.select("l", F.col("t").alias("tl")), n_words), "l"), n_met).join(sets, "r").withColumn("both", F.array_intersect("tl", "tr"))
+    score = F.aggregate("both", F.lit(0).cast("long"), lambda acc, t: acc + weight(t))
+    good = full.select("l", "r", F.size("both").cast("long").alias("shared"), score.alias("score")).filter((F.col("shared") >= least_shared) & (F.col("score") >= least_score))
     top = good.withColumn("rank", F.row_number().over(W.partitionBy("l").orderBy(F.desc("score"), F.asc("r")))).filter(F.col("rank") <= k)
     return top.select(F.col("l").alias(left_id), F.col("r").alias(right_id) if right_id != left_id else F.col("r").alias(f"match_{right_id}"), "shared", "score", "rank")
 

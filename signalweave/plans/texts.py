@@ -166,13 +166,14 @@ def lead_exclusion(spark, sf_dir):
 
 @query(
     "jaccard_token_pairs",
-    r"""WITH s AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(text), '([a-zà-ɏ]{5,})', 1)) AS t FROM documents), e AS (SELECT doc_id, unnest(t) AS k, len(t) AS n FROM s),
-j AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared, any_value(x.n) AS na, any_value(y.n) AS nb FROM e x JOIN e y ON x.k = y.k AND x.doc_id < y.doc_id GROUP BY ALL)
-SELECT a, b, shared, CAST(shared AS DOUBLE) / (na + nb - shared) AS jaccard, CAST(shared AS DOUBLE) / least(na, nb) AS overlap FROM j WHERE CAST(shared AS DOUBLE) / least(na, nb) >= 0.66""",
+    r"""WITH s AS (SELECT doc_id, list_sort(list_distinct(regexp_extract_all(lower(text), '([a-zà-ɏ]{5,})', 1))) AS t FROM documents), c AS (SELECT doc_id, t, min(doc_id) OVER (PARTITION BY t) AS first FROM s WHERE len(t) > 0),
+e AS (SELECT doc_id, unnest(t) AS k, len(t) AS n FROM c WHERE doc_id = first), j AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared, any_value(x.n) AS na, any_value(y.n) AS nb FROM e x JOIN e y ON x.k = y.k AND x.doc_id < y.doc_id GROUP BY ALL)
+SELECT a, b, FALSE AS same, shared, CAST(shared AS DOUBLE) / (na + nb - shared) AS jaccard, CAST(shared AS DOUBLE) / least(na, nb) AS overlap FROM j WHERE CAST(shared AS DOUBLE) / least(na, nb) >= 0.66
+UNION ALL SELECT first, doc_id, TRUE, len(t), 1.0::DOUBLE, 1.0::DOUBLE FROM c WHERE doc_id <> first""",
 )
 def jaccard_token_pairs(spark, sf_dir):
     t = _docs(spark, sf_dir).select("doc_id", F.regexp_extract_all(F.lower("text"), F.lit("([a-zà-ɏ]{5,})"), F.lit(1)).alias("t"))
-    return sim.token_pairs(t, "doc_id", "t", 0.66)
+    return sim.token_links(t, "doc_id", "t", 0.66)
 
 
 @query("title_match_pairs")

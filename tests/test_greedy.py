@@ -130,3 +130,43 @@ def test_predicate_without_some_fields(spark):
     a, b = ({"key": F.lit(x), "subject": F.lit(s), "day": F.lit(d)} for x, s, d in (("abc", "s", "1"), ("zzz", "s", "1")))
     r = spark.range(1).select(similarity.near_duplicate_pair(a, b).alias("x"), similarity.near_duplicate_pair({"key": a["key"]}, {"key": b["key"]}).alias("y")).first()
     assert r["x"] is True and r["y"] is False
+
+
+def test_best_token_matches_against_all_pairs(spark):
+    rng = random.Random(6)
+    from signalweave.operators import joins
+
+    common = ["aaaaaaa", "bbbbbb", "cccccccc"]
+    word = lambda n: "w" * rng.randrange(2, 8) + str(rng.randrange(n))
+    make = lambda n, m: [(i, [w for w in common if rng.random() < 0.6] + [word(40) for _ in range(rng.randrange(m))] if i % 11 else None) for i in range(n)]
+    left, right = make(60, 6), make(300, 12)
+    df = lambda rows, i: spark.createDataFrame(rows, f"{i} long, t array<string>").repartition(4)
+    for k, least_shared, least_score in ((2, 2, 5), (1, 1, 1), (5, 3, 12)):
+        want = set()
+        for i, t in left:
+            scored = []
+            for j, u in right:
+                both = set(t or ()) & set(u or ())
+                s = sum(min(len(w) + 1, 8) for w in both)
+                if len(both) >= least_shared and s >= least_score:
+                    scored.append((-s, j, len(both)))
+            want |= {(i, j, n, -s, r) for r, (s, j, n) in enumerate(sorted(scored)[:k], 1)}
+        got = joins.token_matches(df(left, "l"), df(right, "r"), "l", "r", "t", least_shared, least_score, k)
+        assert {tuple(r) for r in got.select("l", "r", "shared", "score", "rank").collect()} == want
+
+
+@pytest.mark.parametrize("least", [0.3, 0.66, 1.0])
+def test_token_links_against_all_pairs_and_copies_stay_linear(spark, least):
+    rng = random.Random(9)
+    rows = [(i, ["p", "q", "r"]) for i in range(400)] + [(i, rng.sample("abcdefghijklmnopqrst", rng.randrange(0, 14)) if i % 7 else None) for i in range(400, 560)]
+    df = spark.createDataFrame(rows, "id long, t array<string>").repartition(5)
+    got = similarity.token_links(df, "id", "t", least).collect()
+    sets, first = {}, {}
+    for i, t in rows:
+        if t:
+            sets[i] = frozenset(t)
+            first.setdefault(sets[i], i)
+    same = {(first[s], i) for i, s in sets.items() if first[s] != i}
+    reps = sorted(first.values())
+    pairs = {(a, b) for n, a in enumerate(reps) for b in reps[n + 1 :] if len(sets[a] & sets[b]) / min(len(sets[a]), len(sets[b])) >= least}
+    assert {(r["a"], r["b"]) for r in got if r["same"]} == same and {(r["a"], r["b"]) for r in got if not r["same"]} == pairs
