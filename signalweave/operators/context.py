@@ -131,3 +131,78 @@ def recent_terms(df: DataFrame, part: Sequence[str], order: Sequence[str], text:
     w = W.partitionBy(*part).orderBy(*order).rowsBetween(-back, 0)
     d = d.withColumns({"__near": F.array_join(F.collect_list("__ends").over(w), ""), **{f"__has_{n}": F.max(f"__has_{n}").over(w) for n in terms}})
     return d.withColumns({n: F.col(f"__has_{n}") | F.contains("__near", F.lit(t)) for n, t in terms.items()}).drop("__ends", "__near", *[f"__has_{n}" for n in terms])
+
+
+def context_lock(
+    df: DataFrame, key: Sequence[str], at: str, text: str, speaker: Column, boundary: Column, locked: Column, rules: Sequence[tuple[str, Sequence[str], Sequence[str]]], scope: Sequence[str],
+    groups: Sequence[str], subject: str, back: int = 120, near: int = 12, reach: int = 2, last: int = 5, most: int = 180,
+) -> DataFrame:
+    """A row for each chunk where ``locked`` holds: (key, at, speaker, rule, state, subject, affected, missing, context).
+
+    Two scopes are read. Local: the chunk and ``reach`` on both sides. Segment: the chunks from the start of its topic. Both end at
+    chunks that name a ``speaker`` (a name or null) and before those where ``boundary`` holds; the speaker's chunk says nothing itself. A
+    speaker counts for the ``back`` chunks after its own; without one the segment is the ``near`` chunks before.
+
+    ``rule`` is the first of ``rules`` (name, evidence terms, subject terms) with an evidence term in the local scope and a subject term in either; its
+    subject is its name, and the state is LOCKED_LOCAL if a subject term is local, else LOCKED_SEGMENT. Without one it is GENERIC, if the segment has a
+    chunk that fits the pattern ``subject`` (the latest, at most ``most`` characters), and either scope a term of ``scope`` and one of ``groups``
+    (LOCKED_SEGMENT), else UNRESOLVED. What is ``missing`` (a speaker too) makes the state HOLD. ``context`` are the last ``last`` chunks of the
+    segment, other than the chunk's own text, that have a term of the rule, or any without one.
+
+    Terms of all rules are bits of one number, so windows carry numbers and no texts; only the chunks of ``context`` are fetched again.
+    Null and empty texts say nothing; (key, at) is distinct. Chunks that name a speaker are not locked.
+    """
+    x = squash(F.coalesce(F.col(text), F.lit("")))
+    bits = [*[(f"e{i}", e) for i, (_, e, _) in enumerate(rules)], *[(f"s{i}", t) for i, (_, _, t) in enumerate(rules)], ("scope", scope), *[(f"g{i}", [g]) for i, g in enumerate(groups)]]
+    if len(bits) > 62:
+        raise ValueError("at most 62 term lists")
+    place = {n: 1 << i for i, (n, _) in enumerate(bits)}
+    says = F.lit(0).cast("long")
+    for n, terms in bits:
+        says = says + F.when(has(F.col("__x"), *terms), F.lit(place[n]).cast("long")).otherwise(F.lit(0).cast("long"))
+    d = df.select(*key, at, x.alias("__x"), speaker.alias("__name"), F.coalesce(boundary, F.lit(False)).alias("__cut"), F.coalesce(locked, F.lit(False)).alias("__locked"))
+    d = d.withColumn("__says", F.when(F.col("__name").isNull(), says).otherwise(F.lit(0).cast("long")))
+    d = with_sessions(d, key, at, F.col("__name").isNotNull() | F.col("__cut"), "__part")
+    order = lambda *k: W.partitionBy(*key, *k).orderBy(at)
+    said = F.col("__name").isNull() & (F.col("__x") != "")
+    one = F.when(said, F.struct(F.col(at).alias("at"), F.col("__says").alias("says"), F.xxhash64("__x").alias("h")))
+    fits = F.when(said & F.col("__x").rlike(subject), F.rtrim(F.substring("__x", 1, most)))
+    known = F.last("__name", ignorenulls=True).over(order().rowsBetween(-back, 0))
+    frames = {"far": order("__part").rowsBetween(-back, 0), "close": order("__part").rowsBetween(-near, 0)}
+    d = d.withColumns({"speaker": known, "__local": F.bit_or("__says").over(order("__part").rowsBetween(-reach, reach)), "__one": one, "__fits": fits})
+    d = d.withColumns({f"__{n}_{k}": f for n, w in frames.items() for k, f in (("says", F.bit_or("__says").over(w)), ("subject", F.last("__fits", ignorenulls=True).over(w)), ("chunks", F.collect_list("__one").over(w)))})
+    d = d.filter(F.col("__locked") & F.col("__name").isNull())
+    pick = lambda k: F.when(F.col("speaker").isNotNull(), F.col(f"__far_{k}")).otherwise(F.col(f"__close_{k}"))
+    both = F.col("__local").bitwiseOR(pick("says"))
+    on = lambda mask, n: mask.bitwiseAND(F.lit(place[n]).cast("long")) != 0
+    found = F.lit(None).cast("int")
+    for i in reversed(range(len(rules))):
+        found = F.when(on(F.col("__local"), f"e{i}") & on(F.col("__both"), f"s{i}"), F.lit(i)).otherwise(found)
+    d = d.withColumns({"__both": both, "__subject": pick("subject"), "__chunks": pick("chunks")}).withColumn("__rule", found)
+    nth = lambda values: F.get(F.array(*values), F.col("__rule")) if rules else F.lit(None)
+    affected = F.array_compact(F.array(*[F.when(on(F.col("__both"), f"g{i}"), F.lit(g)) for i, g in enumerate(groups)])).cast("array<string>")
+    d = d.withColumns({"__name_of": nth([F.lit(r[0]) for r in rules]).cast("string"), "__here": nth([on(F.col("__local"), f"s{i}") for i in range(len(rules))]).cast("boolean"), "__affected": affected})
+    by_rule = F.col("__rule").isNotNull()
+    gaps = [F.when(F.col("speaker").isNull(), "speaker"), F.when(~by_rule & F.col("__subject").isNull(), "subject"), F.when(~by_rule & ~on(F.col("__both"), "scope"), "scope"), F.when(~by_rule & (F.size("__affected") == 0), "affected")]
+    d = d.withColumn("missing", F.array_compact(F.array(*gaps)))
+    unresolved = F.array_size(F.filter("missing", lambda m: m != "speaker")) > 0
+    terms = nth([F.lit(place[f"e{i}"] + place[f"s{i}"]).cast("long") for i in range(len(rules))])
+    shown = F.filter("__chunks", lambda c: (c["h"] != F.xxhash64("__x")) & (~by_rule | (c["says"].bitwiseAND(F.coalesce(terms.cast("long"), F.lit(0).cast("long"))) != 0)))
+    d = d.withColumn("__shown", F.transform(F.reverse(F.slice(F.reverse(shown), 1, last)), lambda c: c["at"]))
+    out = d.select(
+        *key, at, "speaker",
+        F.when(by_rule, F.col("__name_of")).when(unresolved, "UNRESOLVED").otherwise("GENERIC").alias("rule"),
+        F.when(F.size("missing") > 0, "HOLD").when(F.col("__here"), "LOCKED_LOCAL").otherwise("LOCKED_SEGMENT").alias("state"),
+        F.when(by_rule, F.col("__name_of")).otherwise(F.col("__subject")).alias("subject"), F.col("__affected").alias("affected"), "missing", "__shown",
+    )
+    texts = df.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(key)], F.col(at).alias("__at"), x.alias("__x"))
+    same = F.col("__at") == F.col("__p")
+    for i, k in enumerate(key):
+        same = same & F.col(f"__k{i}").eqNullSafe(F.col(k))
+    names = {k: f"__g{i}" for i, k in enumerate((*key, at))}
+    asked = out.select(*key, at, F.explode("__shown").alias("__p")).join(texts, same)
+    got = asked.groupBy(*[F.col(k).alias(n) for k, n in names.items()]).agg(F.transform(F.array_sort(F.collect_list(F.struct("__at", "__x"))), lambda c: c["__x"]).alias("context"))
+    link = F.lit(True)
+    for k, n in names.items():
+        link = link & F.col(k).eqNullSafe(F.col(n))
+    return out.join(got, link, "left").select(*[c for c in out.columns if c != "__shown"], F.coalesce("context", F.array().cast("array<string>")).alias("context"))

@@ -340,6 +340,36 @@ def subject_context(spark, sf_dir):
     return context.subject_context(table(spark, sf_dir, "conversations"), ["conv_id"], "turn", "text", F.col("role") == "system", "[Tt]ion|heit", ["Wh", "Th"], ["haha", "thth"])
 
 
+# (rule, evidence terms, subject terms) of the context lock below; terms are parameters.
+_LOCK_RULES = [("licence", ["license", "version"], ["copyright", "software"]), ("secret", ["password", "token"], ["key", "heit"]), ("motion", ["tion,", "keit"], ["ción", "heit", "edly"])]
+
+
+def _any_sql(x: str, terms) -> str:
+    return "(" + " OR ".join(f"contains({x}, '{t}')" for t in terms) + ")"
+
+
+@query(
+    "context_lock",
+    rf"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
+c AS (SELECT doc_id, pos, trim(regexp_replace(t, '\s+', ' ', 'g')) AS x, CASE WHEN regexp_matches(t, '^(The|Der|La|De|El|Les|Die) ') THEN regexp_extract(t, '^(\w+)', 1) END AS who, contains(t, '?') OR length(t) < 25 AS cut, regexp_matches(t, '[0-9]|nn|ff|ll') AS locked FROM l),
+p AS (SELECT *, sum(CASE WHEN who IS NOT NULL OR cut THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS part, CASE WHEN who IS NULL AND x <> '' THEN x END AS y, last_value(who IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 120 PRECEDING AND CURRENT ROW) AS speaker FROM c),
+w AS (SELECT *, list(y) OVER (PARTITION BY doc_id, part ORDER BY pos ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS lo, list(y) OVER (PARTITION BY doc_id, part ORDER BY pos ROWS BETWEEN 120 PRECEDING AND CURRENT ROW) AS far, list(y) OVER (PARTITION BY doc_id, part ORDER BY pos ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS close FROM p),
+s AS (SELECT doc_id, pos, x, speaker, list_filter(CASE WHEN speaker IS NULL THEN close ELSE far END, lambda v: v IS NOT NULL) AS seg, array_to_string(list_filter(lo, lambda v: v IS NOT NULL), ' · ') AS loc FROM w WHERE locked AND who IS NULL),
+b AS (SELECT *, array_to_string(seg, ' · ') || ' · ' || loc AS bth FROM s),
+r AS (SELECT *, CASE {' '.join(f"WHEN {_any_sql('loc', e)} AND {_any_sql('bth', t)} THEN '{n}'" for n, e, t in _LOCK_RULES)} END AS rl, list_filter(seg, lambda v: regexp_matches(v, '[Tt]ion|heit'))[-1] AS subj,
+  {_any_sql('bth', ["Wh", "Th", "Un"])} AS scoped, list_filter(['haha', 'thth', 'dado'], lambda g: contains(bth, g)) AS affected FROM b),
+m AS (SELECT *, list_filter([CASE WHEN speaker IS NULL THEN 'speaker' END, CASE WHEN rl IS NULL AND subj IS NULL THEN 'subject' END, CASE WHEN rl IS NULL AND NOT scoped THEN 'scope' END, CASE WHEN rl IS NULL AND len(affected) = 0 THEN 'affected' END], lambda v: v IS NOT NULL) AS missing FROM r),
+f AS (SELECT *, CASE rl {' '.join(f"WHEN '{n}' THEN {_any_sql('loc', t)}" for n, _, t in _LOCK_RULES)} END AS here, list_filter(seg, lambda v: v <> x AND CASE coalesce(rl, '') {' '.join(f"WHEN '{n}' THEN {_any_sql('v', [*e, *t])}" for n, e, t in _LOCK_RULES)} ELSE TRUE END) AS ctx FROM m)
+SELECT doc_id, pos, speaker, coalesce(rl, CASE WHEN len(list_filter(missing, lambda v: v <> 'speaker')) > 0 THEN 'UNRESOLVED' ELSE 'GENERIC' END) AS rule, CASE WHEN len(missing) > 0 THEN 'HOLD' WHEN here THEN 'LOCKED_LOCAL' ELSE 'LOCKED_SEGMENT' END AS state,
+  coalesce(rl, rtrim(left(subj, 180))) AS subject, affected, missing, len(ctx[-5:]) AS n_context, sha256(array_to_string(ctx[-5:], ' · ')) AS context_sha256 FROM f""",
+)
+def context_lock(spark, sf_dir):
+    c = _docs(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "t")).select("doc_id", (F.col("i") + 1).alias("pos"), "t")
+    who = F.when(F.col("t").rlike("^(The|Der|La|De|El|Les|Die) "), F.regexp_extract("t", r"^(\w+)", 1))
+    out = context.context_lock(c, ["doc_id"], "pos", "t", who, F.contains("t", F.lit("?")) | (F.length("t") < 25), F.col("t").rlike("[0-9]|nn|ff|ll"), _LOCK_RULES, ["Wh", "Th", "Un"], ["haha", "thth", "dado"], "[Tt]ion|heit")
+    return out.select("doc_id", "pos", "speaker", "rule", "state", "subject", "affected", "missing", F.size("context").alias("n_context"), F.sha2(F.array_join("context", " · "), 256).alias("context_sha256"))
+
+
 @query("turn_suppression")
 def turn_suppression(spark, sf_dir):
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.length("text").alias("score"))
