@@ -13,6 +13,18 @@ REDACTIONS = (
     (r"\b\d{6}-\d{7}\b", "[ID]"),
     (r"\+?\d[\d .-]{7,}\d", "[PHONE]"),
 )
+#: Words that come before a name, endings of street names, and names of session parameters.
+NAME_LEADS, ROAD_ENDS, SESSION_NAMES = ("제 이름은", "이름:", "이름"), ("로", "길"), ("jsessionid", "dmcsession", "sessionid")
+#: The same with sessions, identity numbers of either form, flats, streets and names: mail, session, identity number, flat, street, name, phone.
+PERSONAL = (
+    (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[EMAIL]"),
+    (rf"(?i)({'|'.join(SESSION_NAMES)})[ ]*[=:][ ]*[\"']?[A-Za-z0-9._~-]+", "$1=[REDACTED]"),
+    (r"\b[0-9]{6}[- ]?[1-4][0-9]{6}\b", "[ID]"),
+    (r"[0-9]+ *동 *[0-9]+ *호", "[ADDRESS]"),
+    (rf"[가-힣A-Za-z0-9]{{1,24}}(?:{'|'.join(ROAD_ENDS)}) *[0-9]+(?:-[0-9]+)?", "[ADDRESS]"),
+    (rf"(?:{'|'.join(NAME_LEADS)}) *[가-힣]{{2,4}}", "[NAME]"),
+    (r"\+?[0-9][0-9 .-]{7,}[0-9]", "[PHONE]"),
+)
 #: Secrets in error texts: addresses first, then key=value pairs.
 ERROR_REDACTIONS = ((r"https?://\S+", "[URL]"), (r"(?i)\b(key|token|secret|password)=[^&\s]+", "$1=[REDACTED]"))
 

@@ -9,6 +9,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
+
 
 def canonical_bytes(value) -> bytes:
     """JSON with sorted keys and no blanks, as UTF-8."""
@@ -58,37 +60,32 @@ def verify_frozen(df: DataFrame, lane: str, manifest: Mapping) -> list[str]:
     return problems
 
 
-def plan_problems(tasks: Sequence[Mapping]) -> list[str]:
-    """Problems of a run plan of tasks (id, depends_on): repeated ids, unknown dependencies, cycles."""
-    ids = [t["id"] for t in tasks]
-    out = [f"repeated id {i}" for i in sorted({i for i in ids if ids.count(i) > 1})]
-    known = set(ids)
-    out += [f"{t['id']} depends on unknown {d}" for t in tasks for d in t.get("depends_on", ()) if d not in known]
-    left = {t["id"]: {d for d in t.get("depends_on", ()) if d in known} for t in tasks}
-    while ready := [i for i, d in left.items() if not d]:
-        for i in ready:
-            del left[i]
-        for d in left.values():
-            d.difference_update(ready)
-    return out + ([f"cycle among {', '.join(sorted(left))}"] if left else [])
+def plan_problems(tasks: DataFrame, plan: str, task: str, needs: str) -> DataFrame:
+    """(plan, task, problem, detail) of run plans, a row for each task with the array of tasks that it needs.
+
+    REPEATED with the number of rows of a task, UNKNOWN with each needed task that its plan lacks, CYCLE for tasks that can never start:
+    those that need themselves, directly or not, and those that need such a one. Tasks that can start are taken away round by round, each a semi join
+    on what is left, as often as the longest chain of tasks has links; paths are never listed. Null arrays need nothing; null plans and tasks are values.
+    """
+    t = tasks.select(F.col(plan).alias("p"), F.col(task).cast("string").alias("a"), F.col(needs).alias("n"))
+    ids = t.groupBy("p", "a").agg(F.count(F.lit(1)).alias("c"))
+    edges = checkpointed(t.select("p", "a", F.explode("n").alias("b")).select("p", "a", F.col("b").cast("string").alias("b")).distinct())
+    known = ids.select(F.col("p").alias("q"), F.col("a").alias("k"))
+    on = F.col("p").eqNullSafe(F.col("q")) & F.col("b").eqNullSafe(F.col("k"))
+    out = [ids.filter("c > 1").select("p", "a", F.lit("REPEATED").alias("problem"), F.col("c").cast("string").alias("detail"))]
+    out.append(edges.join(known, on, "left_anti").select("p", "a", F.lit("UNKNOWN").alias("problem"), F.col("b").alias("detail")))
+    left = checkpointed(edges.join(known, on, "left_semi"))
+    n = left.count()
+    while n:
+        waits = left.select(F.col("p").alias("q"), F.col("a").alias("k")).distinct()
+        left = checkpointed(left.join(waits, on, "left_semi"))
+        before, n = n, left.count()
+        if n == before:
+            break
+    out.append(left.select("p", "a").distinct().select("p", "a", F.lit("CYCLE").alias("problem"), F.lit(None).cast("string").alias("detail")))
+    rows = out[0].unionByName(out[1]).unionByName(out[2])
+    return rows.select(F.col("p").alias(plan), F.col("a").alias(task), "problem", "detail")
 
 
 def plan_digest(tasks: Sequence[Mapping]) -> str:
     return hashlib.sha256(canonical_bytes(list(tasks))).hexdigest()
-
-
-def forbidden_keys(text_json: str, forbidden: Sequence[str]) -> list[str]:
-    """Paths of forbidden keys at any depth of a JSON text."""
-
-    def walk(v, at: str):
-        if isinstance(v, dict):
-            for k, x in v.items():
-                here = f"{at}.{k}"
-                if k in forbidden:
-                    yield here
-                yield from walk(x, here)
-        elif isinstance(v, list):
-            for i, x in enumerate(v):
-                yield from walk(x, f"{at}[{i}]")
-
-    return list(walk(json.loads(text_json), "$"))

@@ -81,24 +81,6 @@ def newest_file(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return files.orderBy(F.desc("modified"), F.desc("path")).limit(1)
 
 
-def tables_in(value, required: Sequence[str], excluded: Sequence[str] = (), at: str = "$") -> list[tuple[str, int]]:
-    """(place, rows) of lists of objects in a JSON value whose first object has all required fields and no excluded one, largest first."""
-    found: list[tuple[str, int]] = []
-
-    def walk(v, here: str) -> None:
-        if isinstance(v, dict):
-            for k, x in v.items():
-                walk(x, f"{here}.{k}")
-        elif isinstance(v, list):
-            if v and isinstance(v[0], dict) and set(required) <= v[0].keys() and not set(excluded) & v[0].keys():
-                found.append((here, len(v)))
-            for i, x in enumerate(v):
-                walk(x, f"{here}[{i}]")
-
-    walk(value, at)
-    return sorted(found, key=lambda x: (-x[1], x[0]))
-
-
 def first_available(preferred: DataFrame, other: DataFrame, key: str, stale: str) -> DataFrame:
     """Rows of ``preferred`` that are not stale; of keys it lacks, or has only stale, the rows of ``other``."""
     good = preferred.filter(~F.coalesce(F.col(stale), F.lit(False))).withColumn("route", F.lit("preferred"))

@@ -202,9 +202,6 @@ def test_provenance(spark, tmp_path):
     (tmp_path / "c.txt").write_text("c")
     got = {(r["name"], r["problem"]) for r in provenance.verify_seal(sealed, provenance.seal_files(spark, str(tmp_path), "*.txt")).collect()}
     assert got == {("a.txt", "CHANGED"), ("c.txt", "ADDED")}
-    assert provenance.plan_problems([{"id": "a", "depends_on": ["b"]}, {"id": "b", "depends_on": ["a", "z"]}, {"id": "a"}]) != []
-    assert provenance.plan_problems([{"id": "a"}, {"id": "b", "depends_on": ["a"]}]) == []
-    assert provenance.forbidden_keys('{"a": [{"secret": 1}], "b": {"c": {"secret": 2}}}', ["secret"]) == ["$.a[0].secret", "$.b.c.secret"]
 
 
 def test_zipped_tables(spark, tmp_path):
@@ -219,7 +216,6 @@ def test_zipped_tables(spark, tmp_path):
     assert files.read_zipped_csv(spark, str(tmp_path / "m.zip"), ["day", "n"], member="202307").count() == 1
     with pytest.raises(ValueError):
         files.decode(b"\xff\xfe\xff", ("utf-8",))
-    assert files.tables_in({"a": [{"x": 1}], "b": [{"x": 1, "y": 2}, {}], "c": [{"x": 1, "y": 1, "area": 0}] * 3}, ["x", "y"], ["area"]) == [("$.b", 2)]
 
 
 def test_pages_and_feeds(spark):
