@@ -9,39 +9,44 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import squash
 
-def chunk_text(text: str, size: int = 12_000, overlap: int = 600, least: int = 120) -> list[str]:
-    """Lines, their white space collapsed, packed up to about ``size`` characters; each chunk begins with the last ``overlap``
-    characters of the one before, so it can be longer than ``size``. A longer line is cut with the same overlap. Chunks under
-    ``least`` characters are dropped."""
-    step = max(1, size - overlap)
-    pieces: list[str] = []
-    for line in text.splitlines():
-        para = " ".join(line.split())
-        if para:
-            pieces += [para[i : i + size] for i in (range(0, len(para), step) if len(para) > size else (0,))]
-    chunks: list[str] = []
-    held, used = "", 0
-    for piece in pieces:
-        if held and used + len(piece) + 1 > size:
-            chunks.append(held)
-            held = "\n".join(filter(None, (held[-overlap:] if overlap else "", piece)))
-            used = len(held)
-        else:
-            # A break is counted after every piece, also after the first.
-            held = f"{held}\n{piece}" if held else piece
-            used += len(piece) + 1
-    if held:
-        chunks.append(held)
-    return [c for c in chunks if len(" ".join(c.split())) >= least]
 
+#: What ends a line: the usual breaks, vertical tab, form feed, the separators of files, groups and records, and Unicode's own.
+LINE_ENDS = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
-def chunks(x: Column, size: int = 12_000, overlap: int = 600, least: int = 120) -> Column:
-    @F.pandas_udf("array<string>")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: chunk_text(t or "", size, overlap, least))
 
-    return run(x)
+def chunks(x: Column, size: int = 12_000, overlap: int = 600, least: int = 120) -> Column:
+    """Overlapping chunks of a text as an array, by offsets into its squashed lines.
+
+    Lines, their white space collapsed and empty ones left out, are joined by line breaks; a line of over ``size`` characters stands as cuts of
+    ``size`` that repeat ``overlap`` of the one before. A chunk begins with the first line that the one before has no room for, and takes lines while it
+    is no longer than ``size`` (the first chunk of a text one less); it has one line at least. In front of it stands what comes ``overlap`` characters before it,
+    which counts towards its length, so a chunk of one line can be longer than ``size``. Chunks of under ``least`` characters are
+    dropped; null and empty texts have none.
+    """
+    step = max(1, size - overlap)
+    lines = F.filter(F.transform(F.split(F.coalesce(x, F.lit("")), LINE_ENDS), squash), lambda t: t != "")
+    cut = lambda t: F.transform(F.sequence(F.lit(1), F.length(t), F.lit(step)), lambda i: t.substr(i, F.lit(size)))
+    pieces = F.flatten(F.transform(lines, lambda t: F.when(F.length(t) > size, cut(t)).otherwise(F.array(t))))
+    front = lambda start: F.greatest(start - overlap - 1, F.lit(0)) if overlap else start
+    # Of the chunk at hand where it begins in the whole; of each chunk where its first line starts. A line ends at the state's ``end``.
+    zero = F.struct(F.lit(-1).alias("end"), F.lit(0).alias("front"), F.array(F.lit(0)).alias("starts"))
+
+    def add(state: Column, piece: Column) -> Column:
+        start, end = state["end"] + 1, state["end"] + 1 + F.length(piece)
+        longer = end - state["front"] + F.when(F.size(state["starts"]) == 1, 1).otherwise(0)
+        full = (longer > size) & (start > F.element_at(state["starts"], -1))
+        return F.struct(end.alias("end"), F.when(full, front(start)).otherwise(state["front"]).alias("front"), F.when(full, F.concat(state["starts"], F.array(start))).otherwise(state["starts"]).alias("starts"))
+
+    def cut_out(whole: Column, starts: Column) -> Column:
+        stop = lambda i: F.coalesce(F.get(starts, i + 1) - 1, F.length(whole))
+        return F.transform(starts, lambda s, i: whole.substr(front(s) + 1, stop(i) - front(s)))
+
+    # The whole and the starts are each computed once: a transform over one struct binds both.
+    bound = F.array(F.struct(F.array_join(pieces, "\n").alias("whole"), F.aggregate(pieces, zero, add)["starts"].alias("starts")))
+    all_of = F.flatten(F.transform(bound, lambda b: cut_out(b["whole"], b["starts"])))
+    return F.filter(all_of, lambda c: F.length(squash(c)) >= F.lit(max(least, 1)))
 
 
 def nearest_span_of(text: str, left: Sequence[str], right: Sequence[str], most: int = 180) -> tuple[int, int] | None:

@@ -87,20 +87,38 @@ def missing_fields(df: DataFrame, required: dict[str, Column], name: str = "miss
     return df.withColumn(name, gaps).withColumn("context", F.when(F.size(name) == 0, "PASS").otherwise("HOLD"))
 
 
-def disposition_counts(x: Column, terms: Sequence[str], most: int = 500, lines: int = 25) -> Column:
-    """Map of term to the number that follows it, in the last fragment that has one of at most ``most``.
+#: The longest bracketed remark, the lines of a text's head, and the greatest count that is believed.
+REMARK_CHARS, HEAD_LINES, MOST_COUNTED = 180, 25, 500
 
-    Fragments are the bracketed pieces of 1 to 180 characters, then the first ``lines`` lines; of a fragment the first mention counts.
-    A null text, and terms without a number, have no entry.
-    """
-    x = F.coalesce(x, F.lit(""))
-    fragments = F.concat(F.regexp_extract_all(x, F.lit(r"[\[【]([^\]】\n]{1,180})[\]】]"), F.lit(1)), F.slice(F.split(x, r"\r\n|\r|\n"), 1, lines))
-    entries = []
-    for t in terms:
-        after = rf"{re.escape(t)}\s*[(]?\s*(\d{{1,3}})"
-        number = F.transform(fragments, lambda f: F.regexp_extract(f, after, 1).try_cast("int"))  # noqa: B023
-        entries.append(F.struct(F.lit(t).alias("key"), F.try_element_at(F.filter(number, lambda n: n <= most), F.lit(-1)).alias("value")))
-    return F.map_filter(F.map_from_entries(F.array(*entries)), lambda k, v: v.isNotNull())
+
+def remarks(line: Column) -> Column:
+    """The bracketed remarks of a line: what stands before each closing bracket and behind the first opening one that is near enough."""
+    before_ends = F.slice(F.split(line, r"[\]】]"), 1, F.size(F.split(line, r"[\]】]")) - 1)
+
+    def inner(part: Column) -> Column:
+        opened = F.split(part, r"[\[【]")
+        tails = F.transform(F.sequence(F.lit(2), F.size(opened)), lambda k: F.array_join(F.slice(opened, k, F.size(opened)), "["))
+        near = F.filter(tails, lambda t: F.length(t).between(1, REMARK_CHARS))
+        return F.when(F.size(opened) > 1, F.get(near, F.lit(0)))
+
+    return F.array_compact(F.transform(before_ends, inner))
+
+
+def count_behind(fragment: Column, term: str) -> Column:
+    """The number of up to three digits that stands behind the first mention of a term that has one, in a bracket or not."""
+    behind = F.slice(F.split(fragment, re.escape(term)), 2, 2_000_000_000)
+    digits = F.transform(behind, lambda t: F.regexp_extract(F.ltrim(F.regexp_replace(F.ltrim(t), r"^\(", "")), r"^\d{1,3}", 0))
+    return F.get(F.filter(digits, lambda d: d != ""), F.lit(0)).cast("int")
+
+
+def disposition_counts(x: Column, terms: Sequence[str], most: int = MOST_COUNTED, lines: int = HEAD_LINES) -> Column:
+    """Map of each term to the count that stands behind it. The text's head counts before its bracketed remarks: of the first ``lines`` lines the last
+    with a count of at most ``most``, else of all remarks the last. A null text, and terms without a count, have no entry."""
+    rows = F.split(F.coalesce(x, F.lit("")), r"\r\n|\r|\n")
+    ranked = F.concat(F.reverse(F.slice(rows, 1, lines)), F.reverse(F.flatten(F.transform(rows, remarks))))
+    best = lambda t: F.get(F.filter(F.transform(ranked, lambda f: count_behind(f, t)), lambda n: n <= most), F.lit(0))
+    made = F.map_from_arrays(F.array(*map(F.lit, terms)), F.array(*map(best, terms)))
+    return F.map_filter(made, lambda k, v: v.isNotNull())
 
 
 def subject_context(df: DataFrame, key: Sequence[str], at: str, text: str, speaker: Column, subject: str, scope: Sequence[str], groups: Sequence[str], most: int = 180) -> DataFrame:

@@ -122,15 +122,37 @@ def test_text_functions(spark):
     assert one(spark, text.copies_quote(s("new bus lines open"), s("the new bus lines open today")))[0] is True
 
 
+def test_chunks_by_offsets(spark):
+    import random
+
+    def whole_and_chunks(t, size, overlap, least):
+        """Chunks as pieces with what they repeat in front, one after the other."""
+        lines = [" ".join(x.split()) for x in t.splitlines()]
+        pieces = [x[i : i + size] for x in lines if x for i in range(0, len(x) if len(x) > size else 1, max(1, size - overlap))]
+        out = []
+        while pieces:
+            front = (out[-1][-overlap:] if overlap else "") if out else ""
+            take = 1
+            text = lambda n: "\n".join([*([front] if front else []), *pieces[:n]])  # noqa: B023, E731
+            while take < len(pieces) and len(text(take + 1)) + (not out) <= size:
+                take += 1
+            out.append(text(take))
+            pieces = pieces[take:]
+        return [c for c in out if len(" ".join(c.split())) >= least]
+
+    rng = random.Random(2)
+    texts = ["\n".join(f"paragraph {i} " + "x" * 80 for i in range(40)), "a" * 60 + "\n" + "b  b" * 20, "c" * 100, "short", "y" * 2000, None, "", " \n\t\n"]
+    texts += ["".join(rng.choice(["ab", "c", " ", "\n", "\r\n", "é", "\u2028", "\x0b", "d" * 30]) for _ in range(rng.randrange(1, 200))) for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    for size, overlap, least in ((500, 50, 20), (80, 20, 10), (50, 10, 1), (40, 0, 5), (30, 29, 1)):
+        got = {r["i"]: r["c"] for r in df.select("i", spans.chunks(F.col("t"), size, overlap, least).alias("c")).collect()}
+        for i, t in enumerate(texts):
+            assert got[i] == whole_and_chunks(t or "", size, overlap, least), (i, size)
+    plan = df.select(spans.chunks(F.col("t")))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+
+
 def test_spans():
-    body = "\n".join(f"paragraph {i} " + "x" * 80 for i in range(40))
-    got = spans.chunk_text(body, 500, 50, 20)
-    assert all(len(c) <= 500 + 51 for c in got) and all(any(p in c for c in got) for p in body.split("\n"))
-    assert all(b.startswith(a[-50:] + "\n") for a, b in zip(got, got[1:]))
-    # The tail stays although tail and piece pass the size; white space inside lines is collapsed; short last pieces stay.
-    assert spans.chunk_text("a" * 60 + "\n" + "b  b" * 20, 80, 20, 10) == ["a" * 60, "a" * 20 + "\n" + "b b" * 20]
-    assert spans.chunk_text("c" * 100, 50, 10, 1) == ["c" * 50, "c" * 10 + "\n" + "c" * 50, "c" * 10 + "\n" + "c" * 20]
-    assert spans.chunk_text("short", 500, 50, 20) == [] and "".join(c[:450] for c in spans.chunk_text("y" * 2000, 500, 50, 20))[:2000].count("y") >= 1800
     t = "fee is due. the long wait ... fee of wait"
     assert t[slice(*spans.nearest_span_of(t, ["fee"], ["wait"]))] == "fee of wait"
     assert spans.nearest_span_of("fee", ["fee"], ["wait"]) is None
@@ -566,8 +588,8 @@ def test_recent_terms_across_texts(spark):
 def test_dispositions_and_subjects(spark):
     s = lambda x: F.lit(x).cast("string")
     late = "\n".join(["x"] * 25 + ["warned 9"])
-    got = one(spark, *[context.disposition_counts(s(t), ["warned", "paid"]) for t in ("[warned (3)]\nwarned 2 then warned 4\r\npaid", "warned 700\n【warned 5】", late, None, "", "warned: 7")])
-    assert [dict(x) for x in got] == [{"warned": 2}, {"warned": 5}, {}, {}, {}, {}]
+    got = one(spark, *[context.disposition_counts(s(t), ["warned", "paid"]) for t in ("[warned (3)]\nwarned 2 then warned 4\r\npaid", "warned 700\n【warned 5】", late, None, "", "warned: 7", "x\n" * 30 + "[a [warned 3] [warned ( 8 )] [" + "y" * 200 + " warned 4] [paid no, paid  12]")])
+    assert [dict(x) for x in got] == [{"warned": 2}, {"warned": 5}, {}, {}, {}, {}, {"warned": 8, "paid": 12}]
     rows = [("a", 1, "the road of the town", False), ("a", 2, "Mayor: the road", True), ("a", 3, None, False), ("a", 4, "pupils  pay", None), ("b", 1, "nothing", False), (None, 1, "a road " + "x" * 200, False)]
     df = spark.createDataFrame(rows, "k string, i int, t string, sp boolean")
     found = {r["k"]: r for r in context.subject_context(df, ["k"], "i", "t", F.col("sp"), "road", ["town"], ["pupils", "drivers"]).collect()}
