@@ -176,20 +176,34 @@ def jaccard_token_pairs(spark, sf_dir):
     return sim.token_links(t, "doc_id", "t", 0.66)
 
 
-@query("title_match_pairs")
+#: The tokens of ``txt.tokens`` in DuckDB.
+_TOKENS_SQL = r"list_distinct(list_filter(regexp_extract_all(lower({x}), '([0-9A-Za-zÀ-ɏ가-힣]{{2,}})', 1), lambda t: NOT regexp_matches(t, '^[0-9]+$')))"
+
+
+@query(
+    "title_match_pairs",
+    rf"""WITH t AS (SELECT doc_id, title, regexp_replace(lower(title), '[^0-9a-z가-힣]', '', 'g') AS k FROM (SELECT doc_id, string_split(text, chr(10))[1] AS title FROM documents)),
+f AS (SELECT min(doc_id) AS id, title, any_value(k) AS k, {_TOKENS_SQL.format(x='title')} AS w FROM t WHERE length(k) >= 12 GROUP BY title), g AS (SELECT k, min(id) AS id FROM f GROUP BY k),
+e AS (SELECT id, unnest(w) AS x FROM f), n AS (SELECT a.id AS a, b.id AS b, count(*) AS c FROM e a JOIN e b ON a.x = b.x AND a.id < b.id GROUP BY ALL)
+SELECT 'title' AS branch, f.id AS a, doc_id AS b FROM t JOIN f USING (title) WHERE doc_id <> f.id UNION ALL SELECT 'key', g.id, f.id FROM f JOIN g USING (k) WHERE f.id <> g.id
+UNION ALL SELECT 'pair', x.id, y.id FROM f x JOIN f y ON x.id < y.id AND x.k <> y.k LEFT JOIN n ON n.a = x.id AND n.b = y.id
+WHERE ((contains(x.k, y.k) OR contains(y.k, x.k)) AND CAST(least(length(x.k), length(y.k)) AS DOUBLE) / greatest(length(x.k), length(y.k)) >= 0.65) OR CAST(coalesce(n.c, 0) AS DOUBLE) / greatest(len(x.w), len(y.w), 1) >= 0.8""",
+)
 def title_match_pairs(spark, sf_dir):
-    d = _docs(spark, sf_dir).select("doc_id", F.substring_index("text", "\n", 1).alias("title"))
-    words = sim.token_pairs(d.select("doc_id", txt.tokens(F.col("title")).alias("t")), "doc_id", "t", 0.5).select("a", "b")
-    # Equal and contained keys need no common token; shorter keys than 12 never match.
-    k = d.select("doc_id", txt.key_of(F.col("title")).alias("key")).filter(F.length("key") >= 12)
-    first = k.groupBy("key").agg(F.min("doc_id").alias("id"))
-    member = k.join(first, "key").select("id", "doc_id")
-    x, y = member.select(F.col("id").alias("short"), F.col("doc_id").alias("x")), member.select(F.col("id").alias("long"), F.col("doc_id").alias("y"))
-    equal = x.join(y, F.col("short") == F.col("long")).filter("x < y").select("x", "y")
-    held = sim.contained_pairs(first, "id", "key").join(x, "short").join(y, "long").select("x", "y")
-    pairs = words.union(equal.union(held).select(F.least("x", "y"), F.greatest("x", "y"))).distinct()
-    a, b = d.select(F.col("doc_id").alias("a"), F.col("title").alias("ta")), d.select(F.col("doc_id").alias("b"), F.col("title").alias("tb"))
-    return pairs.join(a, "a").join(b, "b").filter(txt.titles_match(F.col("ta"), F.col("tb"))).select("a", "b")
+    """(branch, a, b): rows of one title and titles of one key as members of their first, the smallest id; pairs of first rows of titles with different keys. Shorter keys than 12 never match."""
+    d = _docs(spark, sf_dir).select("doc_id", F.substring_index("text", "\n", 1).alias("title")).withColumn("key", txt.key_of(F.col("title"))).filter(F.length("key") >= 12)
+    first = d.groupBy("title").agg(F.min("doc_id").alias("id"), F.first("key").alias("key"))
+    of_key = first.groupBy("key").agg(F.min("id").alias("first"))
+    same_title = d.select("doc_id", "title").join(first.select("title", "id"), "title").filter("doc_id <> id").select(F.lit("title").alias("branch"), F.col("id").alias("a"), F.col("doc_id").alias("b"))
+    same_key = first.join(of_key, "key").filter("id <> first").select(F.lit("key").alias("branch"), F.col("first").alias("a"), F.col("id").alias("b"))
+    words = sim.token_pairs(first.select("id", txt.tokens(F.col("title")).alias("t")), "id", "t", 0.8).select("a", "b")
+    # Contained keys need no common token; each title of a key stands for itself.
+    title = first.join(of_key, "key").select("id", "first")
+    held = sim.contained_pairs(of_key, "first", "key").join(title.select(F.col("first").alias("short"), F.col("id").alias("x")), "short").join(title.select(F.col("first").alias("long"), F.col("id").alias("y")), "long")
+    pairs = words.union(held.select(F.least("x", "y"), F.greatest("x", "y"))).distinct()
+    side = lambda p: first.select(F.col("id").alias(p), F.col("title").alias(f"t{p}"), F.col("key").alias(f"k{p}"))
+    matched = pairs.join(side("a"), "a").join(side("b"), "b").filter((F.col("ka") != F.col("kb")) & txt.titles_match(F.col("ta"), F.col("tb")))
+    return same_title.unionByName(same_key).unionByName(matched.select(F.lit("pair").alias("branch"), "a", "b"))
 
 
 @query("stemmed_relevance", r"WITH t AS (SELECT doc_id, list_distinct(list_transform(regexp_extract_all(lower(text), '([a-z]{2,})', 1), lambda w: regexp_replace(w, '^(.{3,}?)(?:ing|ed|ly|s)$', '\1'))) AS s FROM documents) SELECT doc_id, CAST(coalesce(list_sum(list_transform(list_intersect(s, ['the', 'there', 'ther', 'and']), lambda w: least(length(w) + 1, 8))), 0) AS BIGINT) AS relevance FROM t")
@@ -370,7 +384,14 @@ def context_lock(spark, sf_dir):
     return out.select("doc_id", "pos", "speaker", "rule", "state", "subject", "affected", "missing", F.size("context").alias("n_context"), F.sha2(F.array_join("context", " · "), 256).alias("context_sha256"))
 
 
-@query("turn_suppression")
+@query(
+    "turn_suppression",
+    """WITH RECURSIVE c AS (SELECT conv_id, turn, CAST(length(text) AS DOUBLE) AS s FROM conversations),
+k AS (SELECT conv_id, []::BIGINT[] AS used, NULL::BIGINT AS turn, 0::BIGINT AS pick FROM c GROUP BY conv_id
+  UNION ALL SELECT conv_id, list_append(used, turn), turn, pick + 1 FROM (SELECT k.conv_id, any_value(k.used) AS used, any_value(k.pick) AS pick, arg_max(c.turn, (c.s, -c.turn)) AS turn FROM k JOIN c ON c.conv_id = k.conv_id AND c.s IS NOT NULL
+    WHERE k.pick < 3 AND NOT list_contains(k.used, c.turn) AND NOT list_contains(k.used, c.turn - 1) AND NOT list_contains(k.used, c.turn + 1) GROUP BY k.conv_id))
+SELECT conv_id, turn, pick FROM k WHERE pick > 0""",
+)
 def turn_suppression(spark, sf_dir):
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.length("text").alias("score"))
     return sim.suppress_neighbours(c, "conv_id", "turn", "score", 3)
@@ -492,14 +513,29 @@ def leader_clusters(spark, sf_dir):
     return greedy.leader_clusters(_tokens(spark, sf_dir), "lang", "doc_id", [-F.col("n_chars")], "tokens", 0.5)
 
 
-@query("same_issue_pairs")
+@query(
+    "same_issue_pairs",
+    rf"""WITH d AS (SELECT doc_id, source, lang, list_sort({_TOKENS_SQL.format(x='text')}) AS t, list_sort({_TOKENS_SQL.format(x='string_split(text, chr(10))[1]')}) AS h FROM documents),
+c AS (SELECT *, min(doc_id) OVER (PARTITION BY source, lang, t, h) AS first FROM d WHERE len(t) > 0), f AS (SELECT * FROM c WHERE doc_id = first),
+et AS (SELECT doc_id, unnest(t) AS x FROM f), nt AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM et a JOIN et b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+eh AS (SELECT doc_id, unnest(h) AS x FROM f), nh AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM eh a JOIN eh b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+j AS (SELECT nt.a, nt.b, x.source = y.source AS doc, x.lang = y.lang AS kind, CAST(nt.n AS DOUBLE) / (len(x.t) + len(y.t) - nt.n) AS s, CAST(coalesce(nh.n, 0) AS DOUBLE) / greatest(len(x.h) + len(y.h) - coalesce(nh.n, 0), 1) AS h FROM nt JOIN f x ON x.doc_id = nt.a JOIN f y ON y.doc_id = nt.b LEFT JOIN nh ON nh.a = nt.a AND nh.b = nt.b)
+SELECT a, b, FALSE AS same FROM j WHERE CASE WHEN doc THEN h >= 0.45 OR s >= 0.5 ELSE kind AND s >= 0.55 AND (h >= 0.68 OR s >= 0.68) END
+UNION ALL SELECT first, doc_id, TRUE FROM c WHERE doc_id <> first""",
+)
 def same_issue_pairs(spark, sf_dir):
-    d = _tokens(spark, sf_dir)
-    # Structure and affected are the whole text, so each branch needs a headline of 0.45 or tokens of 0.5; an overlap is never less than a Jaccard similarity.
-    pairs = sim.token_pairs(d, "doc_id", "headline", 0.45).select("a", "b").union(sim.token_pairs(d, "doc_id", "tokens", 0.5).select("a", "b")).distinct()
-    side = lambda p: d.select(F.col("doc_id").alias(p), F.col("source").alias(f"{p}_doc"), F.col("lang").alias(f"{p}_kind"), F.col("headline").alias(f"{p}_h"), F.col("tokens").alias(f"{p}_t"))
+    """(a, b, same): rows with equal source, language and token sets as members of their first, and pairs of first rows. Structure and affected are the whole text."""
+    d = _tokens(spark, sf_dir).filter(F.size("tokens") > 0)
+    d = d.withColumn("c", F.struct("source", "lang", F.array_sort("tokens").alias("t"), F.array_sort("headline").alias("h"))).withColumn("c", F.struct(F.xxhash64("c").alias("x"), F.xxhash64(F.lit(1), "c").alias("y")))
+    first = d.groupBy("c").agg(F.min("doc_id").alias("first"))
+    same = d.select("c", "doc_id").join(first, "c").filter("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"), F.lit(True).alias("same"))
+    one = d.join(first.select(F.col("first").alias("doc_id")), "doc_id", "left_semi")
+    # Each branch needs a headline of 0.45 or tokens of 0.5; an overlap is never less than a Jaccard similarity.
+    pairs = sim.token_pairs(one, "doc_id", "headline", 0.45).select("a", "b").union(sim.token_pairs(one, "doc_id", "tokens", 0.5).select("a", "b")).distinct()
+    side = lambda p: one.select(F.col("doc_id").alias(p), F.col("source").alias(f"{p}_doc"), F.col("lang").alias(f"{p}_kind"), F.col("headline").alias(f"{p}_h"), F.col("tokens").alias(f"{p}_t"))
     cols = lambda p: {"doc": F.col(f"{p}_doc"), "kind": F.col(f"{p}_kind"), "headline": F.col(f"{p}_h"), "structure": F.col(f"{p}_t"), "affected": F.col(f"{p}_t")}
-    return pairs.join(side("a"), "a").join(side("b"), "b").filter(sim.same_issue(cols("a"), cols("b"))).select("a", "b")
+    matched = pairs.join(side("a"), "a").join(side("b"), "b").filter(sim.same_issue(cols("a"), cols("b"))).select("a", "b", F.lit(False).alias("same"))
+    return same.unionByName(matched)
 
 
 @query(
@@ -530,6 +566,16 @@ def _near_duplicate_fields(spark, sf_dir):
     return _tokens(spark, sf_dir).select("doc_id", "key", "tokens", txt.matched_terms(F.col("key"), ["license", "copyright", "version"]).alias("markers"), F.array("lang").alias("families"), F.col("source").alias("page"), F.array("n_chars").alias("values"))
 
 
-@query("near_duplicate_predicate")
+@query(
+    "near_duplicate_predicate",
+    rf"""WITH d AS (SELECT doc_id AS id, regexp_replace(lower(text), '[^0-9a-z가-힣]', '', 'g') AS key, list_sort({_TOKENS_SQL.format(x='text')}) AS t, lang AS f, source AS page, n_chars AS v FROM documents),
+m AS (SELECT *, list_sort(list_filter(['license', 'copyright', 'version'], lambda x: contains(key, x))) AS mk FROM d),
+u AS (SELECT 'key' AS branch, key AS c, id FROM m WHERE length(key) > 0 UNION ALL SELECT 'tokens', array_to_string(t, ' '), id FROM m WHERE len(t) > 0 UNION ALL SELECT 'page', f || ' + ' || page, id FROM m UNION ALL SELECT 'value', f || ' + ' || v, id FROM m
+  UNION ALL SELECT 'markers', mk[1] || ' + ' || mk[2], id FROM m WHERE len(mk) >= 2 UNION ALL SELECT 'markers', mk[1] || ' + ' || mk[3], id FROM m WHERE len(mk) >= 3 UNION ALL SELECT 'markers', mk[2] || ' + ' || mk[3], id FROM m WHERE len(mk) >= 3),
+g AS (SELECT branch, c, min(id) AS first, count(*) AS n FROM u GROUP BY ALL), kf AS (SELECT m.* FROM m JOIN g ON g.branch = 'key' AND g.first = m.id), tf AS (SELECT m.id, t FROM m JOIN g ON g.branch = 'tokens' AND g.first = m.id),
+e AS (SELECT id, unnest(t) AS x, len(t) AS n FROM tf), o AS (SELECT a.id AS a, b.id AS b FROM e a JOIN e b ON a.x = b.x AND a.id < b.id GROUP BY a.id, b.id HAVING CAST(count(*) AS DOUBLE) / least(any_value(a.n), any_value(b.n)) >= 0.66)
+SELECT branch, CASE WHEN branch IN ('key', 'tokens') THEN CAST(first AS VARCHAR) ELSE c END AS class, id AS a, NULL::BIGINT AS b FROM u JOIN g USING (branch, c) WHERE n > 1
+UNION ALL SELECT 'overlap', NULL, a, b FROM o UNION ALL SELECT 'contained', NULL, x.id, y.id FROM kf x JOIN kf y ON x.id < y.id AND (contains(x.key, y.key) OR contains(y.key, x.key))""",
+)
 def near_duplicate_predicate(spark, sf_dir):
     return sim.near_duplicate_links(_near_duplicate_fields(spark, sf_dir), "doc_id")
