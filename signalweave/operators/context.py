@@ -48,11 +48,17 @@ def quoted_turn(turns: DataFrame, quotes: DataFrame, key: str, at: str, text: st
     return first.select(key, quote, F.col(f"r.{at}").alias(at), F.instr(F.col(f"r.{text}"), F.col(quote)).alias("found_at"), tail.alias("before"), F.substring(F.col("r.__next"), 1, after).alias("after"))
 
 
+#: Rules that are tried on each row.
+MOST_RULES = 10_000
+
+
 def first_rule_match(df: DataFrame, rules: DataFrame, text: str, order: str, subject: str, evidence: str, out: str) -> DataFrame:
     """Each row with the label of the first rule (by ``order``) whose subject and evidence terms are both in its text; null if none.
 
-    Rules are a small table; it becomes one constant array, so rows are not multiplied.
+    Rules become one array beside each row, so rows are not multiplied; more than MOST_RULES are refused.
     """
+    if rules.limit(MOST_RULES + 1).count() > MOST_RULES:
+        raise ValueError(f"at most {MOST_RULES} rules")
     listed = rules.agg(F.array_sort(F.collect_list(F.struct(order, subject, evidence, out))).alias("__rules"))
     low = F.lower(F.coalesce(F.col(text), F.lit("")))
     hits = F.filter("__rules", lambda r: F.contains(low, F.lower(r[subject])) & F.contains(low, F.lower(r[evidence])))

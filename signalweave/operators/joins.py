@@ -10,6 +10,7 @@ from pyspark.sql.window import Window as W
 
 from ..functions import text as txt
 from ..session import checkpointed
+from .similarity import contained_in
 
 
 def with_precedence(base: DataFrame, over: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -76,13 +77,35 @@ def exclude_leads(candidates: DataFrame, leads: DataFrame, url: str, anchor: str
     return c.join(k, covered, "left_anti").drop("__a", "__t")
 
 
+#: Search terms up to which a text is looked through for all of them at once; beyond, terms meet texts by their grams.
+MOST_TERMS = 10_000
+
+
 def term_search(docs: DataFrame, terms: DataFrame, doc_id: str, text: str, term: str) -> DataFrame:
-    """Documents with the sorted set of terms they contain, most terms first. The term list is small: it becomes one array."""
-    listed = terms.agg(F.array_sort(F.collect_set(F.lower(term))).alias("__terms"))
-    hits = docs.join(F.broadcast(listed)).select(doc_id, F.filter("__terms", lambda t: F.contains(F.lower(F.col(text)), t)).alias("matched"))
+    """(id, matched, n_matched): documents with the sorted set of terms they contain, whatever the case. Null and empty terms match nothing.
+
+    Up to MOST_TERMS terms become one array beside each text; more of them are joined with the texts by rare grams (``similarity.contained_in``).
+    """
+    low = terms.select(F.lower(term).alias("t")).filter(F.length("t") > 0).distinct()
+    if low.limit(MOST_TERMS + 1).count() <= MOST_TERMS:
+        listed = low.agg(F.array_sort(F.collect_list("t")).alias("__terms"))
+        hits = docs.join(F.broadcast(listed)).select(doc_id, F.filter("__terms", lambda t: F.contains(F.lower(F.col(text)), t)).alias("matched"))
+    else:
+        found = contained_in(low.select("t", F.col("t").alias("k")), docs.select(F.col(doc_id).alias("d"), F.lower(text).alias("k")), "t", "d", "k")
+        hits = found.groupBy(F.col("long").alias(doc_id)).agg(F.array_sort(F.collect_set("short")).alias("matched"))
     return hits.filter(F.size("matched") > 0).withColumn("n_matched", F.size("matched"))
 
 
+def source_search(docs: DataFrame, terms: DataFrame, sources: DataFrame, doc_id: str, text: str, source: str, day: str, since: str, until: str, term: str = "term") -> DataFrame:
+    """(id, source, day, matched, n_matched): what a search for every term at every one of ``sources`` finds, one row for each document.
+
+    Days from ``since`` to ``until`` count, both included; a document without a day is not found. The order of results is most terms first, then by day
+    and id; it is left to the reader. Pairs of terms and sources are never made: documents are first cut down to sources and days.
+    """
+    inside = docs.filter(F.col(day).between(F.lit(since).cast("date"), F.lit(until).cast("date"))).join(sources.select(F.col(source)).distinct(), source, "left_semi")
+    return inside.select(doc_id, source, day).join(term_search(inside, terms, doc_id, text, term), doc_id)
+
+
 def freshness_sides(left: DataFrame, right: DataFrame, key: str, left_day: str, right_day: str) -> DataFrame:
     """Full join of two latest dates: BOTH_CURRENT, LEFT_STALE, RIGHT_STALE, ONLY_LEFT or ONLY_RIGHT."""
     j = left.select(key, F.col(left_day).alias("__l")).join(right.select(key, F.col(right_day).alias("__r")), key, "full")
@@ -93,6 +116,6 @@ def freshness_sides(left: DataFrame, right: DataFrame, key: str, left_day: str,
 def cap_violations(rows: DataFrame, caps: DataFrame, level: str, value: str, order: Sequence[str]) -> DataFrame:
     """Rows whose ordered enum ``value`` is above the cap of their level, or not in the order at all."""
     rank = lambda c: F.array_position(F.array(*map(F.lit, order)), c)
-    j = rows.join(F.broadcast(caps.select(level, F.col("cap").alias("__cap"))), level, "left")
+    j = rows.join(caps.select(level, F.col("cap").alias("__cap")), level, "left")
     problem = F.when(F.col("__cap").isNull(), "UNKNOWN_LEVEL").when(rank(F.col(value)) == 0, "UNKNOWN_VALUE").when(rank(F.col(value)) > rank(F.col("__cap")), "ABOVE_CAP")
     return j.withColumn("problem", problem).drop("__cap").filter("problem is not null")

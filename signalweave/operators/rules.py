@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions import text as txt
+from .numbering import numbered
 
 #: Content checks in order: (class, status, which of the precomputed signals must hold, which must not).
 CONTENT_RULES: tuple[tuple[str, str, tuple[str, ...], tuple[str, ...]], ...] = (
@@ -45,7 +46,7 @@ def questions(df: DataFrame, rule: str, templates: DataFrame, values: dict[str,
     ``templates``: (rule, template, needs array<string>), a small table. ``issues`` lists required evidence that is missing and
     numbers in the question that the source text does not have; grounding is PASS without any.
     """
-    j = df.join(F.broadcast(templates.select(F.col("rule").alias("__rule"), "template", "needs")), F.col(rule) == F.col("__rule"), "left")
+    j = df.join(templates.select(F.col("rule").alias("__rule"), "template", "needs"), F.col(rule) == F.col("__rule"), "left")
     q = F.col("template")
     for name, c in values.items():
         q = F.replace(q, F.lit("{" + name + "}"), F.coalesce(c.cast("string"), F.lit("")))
@@ -154,11 +155,22 @@ def isolated(df: DataFrame, key: str, schema: str, work: Callable[[dict], dict])
 
 
 def numbered_review_problems(df: DataFrame, ordinal: str, key: Sequence[str], labels: Sequence[str], label: str, day: str) -> DataFrame:
-    """(line, problem) of a review sheet: unknown label, bad date, repeated key (at its later lines). The header is line 1.
+    """(line, problem) of a review sheet, the first problem of each line: KEY for an empty part of the key, LABEL for an unknown one, DATE for what is no
+    day, REPEATED for the key of an earlier line without these. The header is line 1.
 
-    A sheet is made by people and small; for anything larger give a ``line`` column, and no single ordered pass is made.
+    A sheet with a ``line`` column keeps its numbers; another is numbered by ``ordinal`` over ranges. A repeated key is found by its first line, a
+    minimum that combines before the shuffle.
     """
-    lines = df.withColumn("line", F.row_number().over(W.partitionBy(F.lit(0)).orderBy(ordinal)) + 1) if "line" not in df.columns else df
-    nth = F.row_number().over(W.partitionBy(*key).orderBy("line"))
-    problem = F.when(~F.col(label).isin(*labels), "LABEL").when(F.col(day).try_cast("date").isNull(), "DATE").when(nth > 1, "REPEATED")
-    return lines.withColumn("problem", problem).filter("problem is not null").select("line", "problem")
+    lines = df if "line" in df.columns else numbered(df, [ordinal], start=2)
+    empty = F.lit(False)
+    for k in key:
+        empty = empty | (F.coalesce(F.trim(F.col(k).cast("string")), F.lit("")) == "")
+    known = F.coalesce(F.upper(F.trim(label)).isin(*labels), F.lit(False))
+    own = F.when(empty, "KEY").when(~known, "LABEL").when(F.col(day).try_cast("date").isNull(), "DATE")
+    lines = lines.withColumn("__own", own)
+    first = lines.filter("__own is null").groupBy(*[F.col(k).alias(f"__{k}") for k in key]).agg(F.min("line").alias("__first"))
+    same = F.lit(True)
+    for k in key:
+        same = same & (F.col(k) == F.col(f"__{k}"))
+    problem = F.coalesce("__own", F.when(F.col("line") > F.col("__first"), "REPEATED"))
+    return lines.join(first, same, "left").withColumn("problem", problem).filter("problem is not null").select("line", "problem")

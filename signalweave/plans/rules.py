@@ -137,10 +137,17 @@ def facet_options(spark, sf_dir):
     return e.groupBy("x.facet", "x.option").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("record_rank", "SELECT doc_id, row_number() OVER (ORDER BY lang = 'en' DESC, n_chars DESC, contains(text, 'the ') DESC, doc_id) AS position FROM documents ORDER BY position LIMIT 120")
+@query(
+    "record_rank",
+    "SELECT doc_id, row_number() OVER (ORDER BY coalesce(quality = 1, FALSE) DESC, lang <> 'en' OR coalesce(toxic = 0, FALSE) DESC, regexp_matches(text, '[0-9]') DESC, source LIKE '%1' DESC, n_chars > 500 DESC, quality IS NOT NULL DESC, len(string_split(text, chr(10))) DESC, length(text) DESC, doc_id) AS position FROM documents LEFT JOIN labels USING (doc_id) ORDER BY position LIMIT 120",
+)
 def record_rank(spark, sf_dir):
-    order = [F.desc(F.col("lang") == "en"), F.desc("n_chars"), F.desc("the"), F.asc("doc_id")]
-    top = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", F.contains("text", F.lit("the ")).alias("the")).orderBy(*order).limit(120)
+    """Eight components: qualified, context, values, fresh, precheck, grounded, score, length; all the greater the better, then the smaller id."""
+    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    parts = [yes(F.col("quality") == 1), (F.col("lang") != "en") | yes(F.col("toxic") == 0), F.col("text").rlike("[0-9]"), F.col("source").like("%1"), F.col("n_chars") > 500, F.col("quality").isNotNull(), F.size(F.split("text", "\n")), F.length("text")]
+    order = [*[F.desc(f"r{i}") for i in range(len(parts))], F.asc("doc_id")]
+    top = d.select("doc_id", *[p.alias(f"r{i}") for i, p in enumerate(parts)]).orderBy(*order).limit(120)
     return top.select("doc_id", F.row_number().over(W.partitionBy(F.lit(0)).orderBy(*order)).alias("position"))
 
 

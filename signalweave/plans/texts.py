@@ -153,14 +153,28 @@ def keyword_document_search(spark, sf_dir):
     return joins.term_search(_docs(spark, sf_dir), t, "doc_id", "text", "term")
 
 
+@query(
+    "keyword_source_search",
+    """WITH d AS (SELECT event_id, event_type, CAST(ts AS DATE) AS day, lower(props) AS x FROM events), t AS (SELECT unnest(['"k": 1', '7}', '"K": 22']) AS term)
+SELECT event_id, event_type, day, list_sort(list(lower(term))) AS matched, count(*) AS n_matched FROM d JOIN t ON contains(x, lower(term)) WHERE event_type IN ('click', 'purchase') AND day BETWEEN DATE '2024-01-03' AND DATE '2024-01-20' GROUP BY ALL""",
+)
+def keyword_source_search(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", "event_type", F.to_date("ts").alias("day"), "props")
+    t = spark.createDataFrame([('"k": 1',), ("7}",), ('"K": 22',), (None,), ("",)], "term string")
+    s = spark.createDataFrame([("click",), ("purchase",), ("click",)], "event_type string")
+    return joins.source_search(e, t, s, "event_id", "props", "event_type", "day", "2024-01-03", "2024-01-20")
+
+
 @query(
     "lead_exclusion",
-    r"""WITH c AS (SELECT page_id, regexp_replace(url, '\?.*$', '') AS u, regexp_replace(lower(regexp_extract(html, '<title>([^<]*)', 1)), '[^0-9a-z가-힣]', '', 'g') AS k FROM pages), l AS (SELECT u, k AS lk FROM c WHERE regexp_matches(u, '^https?://[^/]*\.org(/|$)'))
-SELECT page_id FROM c WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.u = c.u AND length(lk) > 0 AND contains(c.k, lk))""",
+    r"""WITH c AS (SELECT page_id, regexp_replace(url, '\?.*$', '') AS u, regexp_replace(lower(regexp_extract(html, '<title>([^<]*)', 1)), '[^0-9a-z가-힣]', '', 'g') AS k, regexp_replace(lower(regexp_extract(html, '<p>([^<.]{1,40})', 1)), '[^0-9a-z가-힣]', '', 'g') AS t FROM pages), l AS (SELECT u, k AS lk, t AS lt FROM c WHERE regexp_matches(u, '^https?://[^/]*\.org(/|$)') AND length(k) > 30 UNION ALL SELECT u, '', t FROM c WHERE regexp_matches(u, '^https?://[^/]*\.net(/|$)'))
+SELECT page_id FROM c WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.u = c.u AND ((length(lk) > 0 AND contains(c.k, lk)) OR (length(lt) >= 4 AND contains(c.t, lt))))""",
 )
 def lead_exclusion(spark, sf_dir):
-    c = table(spark, sf_dir, "pages").select("page_id", F.regexp_replace("url", r"\?.*$", "").alias("u"), F.regexp_extract("html", "<title>([^<]*)", 1).alias("anchor"), F.lit("").alias("title"))
-    leads = c.filter(F.col("u").rlike(r"^https?://[^/]*\.org(/|$)")).select("u", "anchor", "title")
+    """Leads of one kind have an anchor (the page's title) and a title (the beginning of its first paragraph), those of another a title only."""
+    c = table(spark, sf_dir, "pages").select("page_id", F.regexp_replace("url", r"\?.*$", "").alias("u"), F.regexp_extract("html", "<title>([^<]*)", 1).alias("anchor"), F.regexp_extract("html", "<p>([^<.]{1,40})", 1).alias("title"))
+    at = lambda end: F.col("u").rlike(rf"^https?://[^/]*\.{end}(/|$)")
+    leads = c.filter(at("org") & (F.length(txt.key_of(F.col("anchor"))) > 30)).select("u", "anchor", "title").unionByName(c.filter(at("net")).select("u", F.lit("").alias("anchor"), "title"))
     return joins.exclude_leads(c, leads, "u", "anchor", "title").select("page_id")
 
 

@@ -107,3 +107,37 @@ def test_seven_kinds_of_personal_data(spark):
     }
     df = spark.createDataFrame([(k, v) for k, v in cases.items()], "k string, v string")
     assert {r["k"]: r["got"] for r in df.withColumn("got", txt.redact(F.col("k"), txt.PERSONAL)).collect()} == cases
+
+
+def test_line_numbers_over_ranges(spark):
+    from signalweave.operators import numbering, rules
+
+    rng = random.Random(3)
+    keys = list(range(500))
+    rng.shuffle(keys)
+    df = spark.createDataFrame([(k, "x") for k in keys], "k int, line0 string").repartition(9)
+    assert {r["k"]: r["line"] for r in numbering.numbered(df, ["k"], start=2).collect()} == {k: k + 2 for k in keys}
+    assert numbering.numbered(df.limit(0), ["k"]).count() == 0
+    sheet = [("s", "1", "good", "2024-01-01"), ("s", "1", "bad", "2024-01-01"), ("s", "1", " Good ", "2024-01-01"), ("s", " ", "GOOD", "2024-01-01"), ("s", None, "GOOD", "x"), ("s", "2", None, "2024-01-01"), ("s", "2", "GOOD", "no"), ("s", "2", "GOOD", "2024-01-01"), ("s", "2", "GOOD", "2024-01-02")]
+    rows = spark.createDataFrame([(i, *r) for i, r in enumerate(sheet)], "i int, a string, b string, label string, day string").repartition(4)
+    got = {r["line"]: r["problem"] for r in rules.numbered_review_problems(rows, "i", ["a", "b"], ["GOOD"], "label", "day").collect()}
+    assert got == {3: "LABEL", 4: "REPEATED", 5: "KEY", 6: "KEY", 7: "LABEL", 8: "DATE", 10: "REPEATED"}
+
+
+def test_marginals_fall_short_where_a_class_is_missing(spark):
+    from signalweave.operators import numbering
+
+    df = spark.createDataFrame([("a", 1, "x", 5), ("a", 2, None, None), ("b", None, "x", 2), (None, 1, "y", 1)], "g string, p int, q string, m long")
+    got = {r["g"]: (r["total"], r["p_sum"], r["q_sum"], r["differing"], r["agrees"]) for r in numbering.marginal_sums(df, ["g"], F.col("m"), {"p_sum": F.col("p"), "q_sum": F.col("q")}).collect()}
+    assert got == {"a": (5, 5, 5, [], True), "b": (2, 0, 2, ["p_sum"], False), None: (1, 1, 1, [], True)}
+
+
+def test_many_search_terms_meet_texts_by_grams(spark, monkeypatch):
+    from signalweave.operators import joins
+
+    docs = spark.createDataFrame([(1, "The Red Bus"), (2, "a bus stop"), (3, None), (4, "")], "d long, t string")
+    terms = spark.createDataFrame([("BUS",), ("red b",), ("bus",), ("",), (None,), ("zzz",)], "term string")
+    want = {1: ["bus", "red b"], 2: ["bus"]}
+    for most in (joins.MOST_TERMS, 1):
+        monkeypatch.setattr(joins, "MOST_TERMS", most)
+        assert {r["d"]: r["matched"] for r in joins.term_search(docs, terms, "d", "t", "term").collect()} == want
