@@ -241,3 +241,12 @@ def pipe_set(x: Column) -> Column:
 
 def pipe_join(x: Column) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(x)), "|")
+
+
+def hide_escapes(x: Column) -> Column:
+    """JSON text in which escaped backslashes and quotes are control characters, so that a quote always ends a string and a pattern of plain runs reads it."""
+    return F.replace(F.replace(x, F.lit("\\\\"), F.lit("\x01")), F.lit('\\"'), F.lit("\x02"))
+
+
+def show_escapes(x: Column) -> Column:
+    return F.replace(F.replace(x, F.lit("\x02"), F.lit('\\"')), F.lit("\x01"), F.lit("\\\\"))

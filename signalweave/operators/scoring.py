@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ..functions.text import hide_escapes, show_escapes
+
 # Classes in the order of the checks, their status, the signals that must hold and those that must not.
 CASCADE: tuple[tuple[str, str, tuple[str, ...], tuple[str, ...]], ...] = (
     ("CONTACT_BOILERPLATE", "FAIL", ("contact",), ()),
@@ -158,7 +160,7 @@ def capped_lanes(df: DataFrame, rules: dict[str, tuple[Column, int]], id_col: st
 def keys_anywhere(x: Column) -> Column:
     """Distinct keys at any depth of a JSON text: string tokens, read from the left, that a colon follows; sorted. Invalid JSON gives
     the keys that can be read; null gives none. Escapes in keys are decoded."""
-    tokens = F.regexp_extract_all(F.coalesce(x, F.lit("")), F.lit(r'("(?:[^"\\]|\\.)*"(?:\s*:)?)'), F.lit(1))
+    tokens = F.transform(F.regexp_extract_all(hide_escapes(F.coalesce(x, F.lit(""))), F.lit(r'("[^"]*"(?:\s*:)?)'), F.lit(1)), show_escapes)
     raw = F.transform(F.filter(tokens, lambda t: F.endswith(t, F.lit(":"))), lambda t: F.regexp_replace(t, r"\s*:$", ""))
     return F.array_sort(F.array_distinct(F.transform(raw, lambda k: F.get(F.from_json(F.concat(F.lit("["), k, F.lit("]")), "array<string>"), F.lit(0)))))
 

@@ -90,8 +90,8 @@ def near_duplicate_pair(a: dict[str, Column], b: dict[str, Column], least: float
     return locked | contained | marked | related | alike
 
 
-#: Lengths in bytes of the grams by which contained keys are found, and the bits of the bitmap of those looked for.
-_GRAMS, _BITS = (1, 2, 4, 8, 16), 26
+#: Lengths in bytes of the grams by which contained keys are found, and the most places of the bitmap of those looked for, as a power of two.
+_GRAMS, _MOST_BITS = (1, 2, 4, 8, 16), 30
 
 
 def _grams(key: bytes) -> dict[int, np.ndarray]:
@@ -112,27 +112,31 @@ def contained_in(needles: DataFrame, texts: DataFrame, needle_id: str, text_id:
 
     Ids are of any type; needles should be distinct, empty and null ones match nothing. Exact: each needle looks for one gram of its
     own, the one in the fewest texts of four spread over it, among the grams of all texts (bytes of UTF-8, where substrings are the
-    same); what is found is compared. A bitmap of fixed size keeps grams that nobody looks for from being written; a gram with the
-    same hash as another only adds a comparison.
+    same); what is found is compared. A bitmap with sixteen places for each gram looked for, up to 2^30 (128 MB), keeps other grams from being
+    written, and grams of a length that no needle looks for are not made; a gram with the same hash as another only adds a comparison.
     """
     small = needles.select(F.col(needle_id).alias("short"), F.col(key).alias("ks")).filter(F.length("ks") > 0)
     large = texts.select(F.col(text_id).alias("long"), F.col(key).alias("kl")).filter(F.length("kl") > 0)
 
     def wanted(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            at, grams = [], []
+            at, grams, sizes = [], [], []
             for n, k in enumerate(frame["ks"]):
                 last = list(_grams(k.encode()).values())[-1]
                 own = np.unique(last[[0, (len(last) - 1) // 3, 2 * (len(last) - 1) // 3, len(last) - 1]])
                 at.append(np.full(len(own), n, np.int64))
                 grams.append(own)
+                sizes.append(np.full(len(own), max(q for q in _GRAMS if q <= len(k.encode())), np.int32))
             if at:
-                yield pd.DataFrame({"short": frame["short"].to_numpy()[np.concatenate(at)], "gram": np.concatenate(grams).view(np.int64)})
+                yield pd.DataFrame({"short": frame["short"].to_numpy()[np.concatenate(at)], "gram": np.concatenate(grams).view(np.int64), "size": np.concatenate(sizes)})
 
-    looked = small.mapInPandas(wanted, f"short {small.schema['short'].dataType.simpleString()}, gram long")
-    place = F.shiftrightunsigned("gram", 64 - _BITS) + 1
+    looked = checkpointed(small.mapInPandas(wanted, f"short {small.schema['short'].dataType.simpleString()}, gram long, size int"))
+    known = looked.agg(F.count(F.lit(1)).alias("n"), F.collect_set("size").alias("sizes")).first()
+    width, lengths = min(max((16 * known["n"]).bit_length(), 16), _MOST_BITS), frozenset(known["sizes"])
+    looked = looked.drop("size")
+    place = F.shiftrightunsigned("gram", 64 - width) + 1
     maps = looked.groupBy(F.bitmap_bucket_number(place).alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("m")).collect()
-    bits = np.zeros(2 ** (_BITS - 3), np.uint8)
+    bits = np.zeros(max(2 ** (width - 3), 4096), np.uint8)
     for r in maps:
         bits[(r["n"] - 1) * 4096 : r["n"] * 4096] = np.frombuffer(r["m"], np.uint8)
 
@@ -140,8 +144,10 @@ def contained_in(needles: DataFrame, texts: DataFrame, needle_id: str, text_id:
         for frame in frames:
             at, grams = [], []
             for n, k in enumerate(frame["kl"]):
-                for x in _grams(k.encode()).values():
-                    b = x >> np.uint64(64 - _BITS)
+                for size, x in _grams(k.encode()).items():
+                    if size not in lengths:
+                        continue
+                    b = x >> np.uint64(64 - width)
                     own = np.unique(x[(bits[b >> np.uint64(3)] >> (b & np.uint64(7)).astype(np.uint8)) & 1 == 1])
                     at.append(np.full(len(own), n, np.int64))
                     grams.append(own)

@@ -365,13 +365,9 @@ def html_listing_rows(spark, sf_dir):
 
 @query("html_article_bodies")
 def html_article_bodies(spark, sf_dir):
-    from ..sources.html import article_body
+    from ..sources.html import article_bodies
 
-    @F.pandas_udf("string")
-    def body(s: pd.Series) -> pd.Series:
-        return s.map(lambda h: article_body(h or ""))
-
-    return table(spark, sf_dir, "pages").select("page_id", body("html").alias("body")).select("page_id", F.length("body").alias("n_chars"), F.sha2("body", 256).alias("digest"))
+    return article_bodies(table(spark, sf_dir, "pages")).select("page_id", "basis", F.length("body").alias("n_chars"), F.sha2("body", 256).alias("digest"))
 
 
 @query("isolated_failures", "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, CASE WHEN n_nationkey % 7 = 3 THEN 'FAILED' ELSE 'OK' END AS status, CASE WHEN n_nationkey % 7 <> 3 THEN length(n_name) END AS n FROM nation")

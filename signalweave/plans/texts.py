@@ -239,11 +239,11 @@ def array_subset_test(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", (F.get_json_object("props", "$.k").isNotNull() & (F.size(extra) == 0)).alias("allowed"))
 
 
-@query("canonical_json_digest", """SELECT doc_id, sha256('{"doc_id":' || CAST(doc_id AS VARCHAR) || ',"lang":"' || lang || '","n_chars":' || CAST(n_chars AS VARCHAR) || ',"source":"' || source || '"}') AS digest FROM documents""")
+@query("canonical_json_digest", """SELECT doc_id, sha256('{"doc_id":' || CAST(doc_id AS VARCHAR) || ',"lang":"' || lang || '","n_chars":' || CAST(n_chars AS VARCHAR) || ',"source":"' || source || '","text":' || CAST(to_json(text) AS VARCHAR) || '}') AS digest FROM documents""")
 def canonical_json_digest(spark, sf_dir):
     from ..operators.provenance import canonical_digest
 
-    return canonical_digest(_docs(spark, sf_dir).select("source", "n_chars", "lang", "doc_id")).select("doc_id", "digest")
+    return canonical_digest(_docs(spark, sf_dir).select("text", "source", "n_chars", "lang", "doc_id")).select("doc_id", "digest")
 
 
 @query("header_value_rows", "SELECT p_partkey, CASE WHEN p_type = 'ECONOMY' THEN CAST(p_size AS VARCHAR) END AS economy, CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) AS price, CASE WHEN p_type = 'ECONOMY' THEN 2 ELSE 1 END::BIGINT AS n FROM part")
@@ -321,13 +321,13 @@ def wrapped_rows_joined(spark, sf_dir):
 
 @query(
     "quoted_turn_location",
-    """WITH q AS (SELECT conv_id, substr(text, 5, 12) AS quote FROM conversations WHERE turn = 1 AND length(text) > 30), a AS (SELECT conv_id, turn, text, lag(text) OVER w AS p, lead(text) OVER w AS n FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+    """WITH q AS (SELECT conv_id, substr(text, 3, length(text) - 5) AS quote FROM conversations WHERE length(text) > 30 GROUP BY ALL), a AS (SELECT conv_id, turn, text, lag(text) OVER w AS p, lead(text) OVER w AS n FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
 h AS (SELECT a.*, quote FROM a JOIN q USING (conv_id) WHERE contains(text, quote) QUALIFY row_number() OVER (PARTITION BY conv_id, quote ORDER BY turn) = 1)
 SELECT conv_id, quote, turn, strpos(text, quote) AS found_at, right(p, 450) AS before, left(n, 450) AS after FROM h""",
 )
 def quoted_turn_location(spark, sf_dir):
     c = table(spark, sf_dir, "conversations")
-    q = c.filter("turn = 1 and length(text) > 30").select("conv_id", F.substring("text", 5, 12).alias("quote")).distinct()
+    q = c.filter("length(text) > 30").select("conv_id", F.substring("text", F.lit(3), F.length("text") - 5).alias("quote")).distinct()
     return context.quoted_turn(c, q, "conv_id", "turn", "text", "quote")
 
 
@@ -564,10 +564,10 @@ def unique_family_issue_cap(spark, sf_dir):
     return sim.unique_with_reasons(o, ["p", "id"], "f", "i", "id", 2)
 
 
-@query("speaker_recognition", "WITH t AS (SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN '* ' || role ELSE ': ' || left(text, 5) END AS x FROM conversations) SELECT conv_id, turn, CASE WHEN turn % 2 = 0 AND lead(x) OVER w IS NOT NULL THEN substr(x, 3) END AS speaker FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn)")
+@query("speaker_recognition", "WITH t AS (SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN '* ' || role ELSE ': ' || text END AS x FROM conversations) SELECT conv_id, turn, CASE WHEN turn % 2 = 0 AND lead(x) OVER w IS NOT NULL THEN substr(x, 3) END AS speaker FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn)")
 def speaker_recognition(spark, sf_dir):
     even = F.col("turn") % 2 == 0
-    t = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.when(even, F.concat(F.lit("* "), "role")).otherwise(F.concat(F.lit(": "), F.substring("text", 1, 5))).alias("x"))
+    t = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.when(even, F.concat(F.lit("* "), "role")).otherwise(F.concat(F.lit(": "), "text")).alias("x"))
     return context.speakers(t, ["conv_id"], "turn", "x").select("conv_id", "turn", "speaker")
 
 

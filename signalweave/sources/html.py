@@ -10,6 +10,8 @@ from html.parser import HTMLParser
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import hide_escapes, show_escapes, squash
+
 _SKIPPED = {"script", "style", "noscript", "template"}
 _BLOCKS = {"p", "div", "li", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "td", "th", "table", "section", "article", "header", "footer", "nav", "main", "br", "title", "body"}
 VISIBLE = "kind string, pos int, tag string, text string, href string, table_no int, row_no int, cell_no int"
@@ -87,7 +89,7 @@ def visible_rows(html: str | None) -> list[tuple]:
     return p.rows
 
 
-@F.udtf(returnType=VISIBLE, useArrow=False)
+@F.udtf(returnType=VISIBLE, useArrow=True)
 class HtmlVisible:
     """Table function over a page's source."""
 
@@ -115,24 +117,34 @@ def listing(pages: DataFrame, hosts: Sequence[str], number: str, limit: int = 25
     return first.withColumn("rn", F.row_number().over(W.partitionBy("page_id").orderBy("pos"))).filter(F.col("rn") <= limit).drop("rn")
 
 
-def article_body(html: str, least_json: int = 450, least_meta: int = 120, most: int = 16_000) -> str | None:
-    """Article text: of JSON-LD if it is long enough, else the longest of block text, paragraphs of 25 characters or more, and the description."""
-    for raw in re.findall(r"<script[^>]*application/ld\+json[^>]*>(.*?)</script>", html, flags=re.S | re.I):
-        try:
-            data = json.loads(raw)
-        except ValueError:
-            continue
-        for x in data if isinstance(data, list) else [data]:
-            body = x.get("articleBody") if isinstance(x, dict) else None
-            if isinstance(body, str) and len(body) >= least_json:
-                return body[:most]
-    rows = [r for r in visible_rows(html) if r[0] == "chunk"]
-    whole = " ".join(r[3] for r in rows if r[2] not in ("nav", "header", "footer", "title"))
-    paragraphs = " ".join(r[3] for r in rows if r[2] == "p" and len(r[3]) >= 25)
-    meta = re.search(r'<meta[^>]+name="description"[^>]+content="([^"]*)"', html, flags=re.I)
-    description = meta[1] if meta and len(meta[1]) >= least_meta else ""
-    best = max((paragraphs, whole, description), key=len)
-    return best[:most] or None
+#: The least characters of a body in structured data, of a description and of a paragraph.
+LEAST_JSON, LEAST_META, LEAST_PARAGRAPH = 450, 120, 25
+
+
+def article_bodies(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """(page_id, body, basis) of each page; the whole body, however long.
+
+    STRUCTURED is the first ``articleBody`` of LEAST_JSON characters or more at any depth of the page's JSON-LD. Without one the longest counts of PARAGRAPHS (of
+    LEAST_PARAGRAPH characters or more), TEXT (all blocks outside of navigation, header, footer and title) and DESCRIPTION (the page's own or the one for
+    sharing, of LEAST_META characters or more), the first of these if they are equally long. A page without any has a null body. Only the pieces of a page come
+    from a parser; they are put together by aggregates.
+    """
+    scripts = F.regexp_extract_all(F.coalesce(html_col, F.lit("")), F.lit(r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"), F.lit(1))
+    named = F.regexp_extract_all(hide_escapes(F.array_join(scripts, "\n")), F.lit(r'"articleBody"\s*:\s*("[^"]*")'), F.lit(1))
+    bodies = F.transform(named, lambda v: squash(F.get(F.from_json(F.concat(F.lit("["), show_escapes(v), F.lit("]")), "array<string>"), F.lit(0))))
+    which = r"""(?:property|name)=["'](?:og:description|description)["']"""
+    metas = F.concat(*[F.regexp_extract_all(F.coalesce(html_col, F.lit("")), F.lit(rf"""(?is)<meta[^>]+{p}"""), F.lit(1)) for p in (rf"""{which}[^>]+content=["'](.*?)["']""", rf"""content=["'](.*?)["'][^>]+{which}""")])
+    longest = lambda xs: F.get(F.reverse(F.array_sort(F.transform(xs, lambda t: F.struct(F.length(t).alias("n"), t.alias("t"))))), F.lit(0))["t"]
+    said = longest(F.filter(F.transform(metas, squash), lambda t: F.length(t) >= LEAST_META))
+    told = pages.select(F.col(id_col).alias("page_id"), F.get(F.filter(bodies, lambda t: F.length(t) >= LEAST_JSON), F.lit(0)).alias("structured"), said.alias("description"))
+    joined = lambda keep: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(keep, F.struct("pos", "text")))), lambda x: x["text"]), " ")
+    pieces = visible(pages, id_col, html_col).filter("kind = 'chunk'")
+    read = pieces.groupBy(F.col("page_id").alias("of")).agg(joined(~F.col("tag").isin("nav", "header", "footer", "title")).alias("whole"), joined((F.col("tag") == "p") & (F.length("text") >= LEAST_PARAGRAPH)).alias("paragraphs"))
+    ranked = F.array(*[F.struct(F.length(F.coalesce(c, F.lit(""))).alias("n"), F.lit(-i).alias("i"), F.lit(b).alias("basis"), F.col(c).alias("body")) for i, (c, b) in enumerate((("paragraphs", "PARAGRAPHS"), ("whole", "TEXT"), ("description", "DESCRIPTION")))])
+    best = F.array_max(ranked)
+    both = told.join(read, F.col("page_id").eqNullSafe(F.col("of")), "left").withColumn("best", best)
+    chosen = F.when(F.col("structured").isNotNull(), F.struct(F.lit("STRUCTURED").alias("basis"), F.col("structured").alias("body"))).when(F.col("best.n") > 0, F.struct("best.basis", "best.body"))
+    return both.select("page_id", chosen.alias("c")).select("page_id", "c.body", "c.basis")
 
 
 FEED = "entry array<struct<id:string,title:string,published:string,link:string>>"

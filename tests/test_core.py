@@ -258,7 +258,14 @@ def test_pages_and_feeds(spark):
     assert ("chunk", "One & two") in got and ("cell", "c d") in got and ("anchor", "seven") in got and not any("no" == t for _, t in got)
     assert [(r["sn"], r["text"]) for r in html.listing(df, ["good.org"], r"sn=(\d+)").collect()] == [(7, "seven")]
     ld = '<script type="application/ld+json">' + json.dumps({"articleBody": "w " * 300}) + "</script><p>short</p>"
-    assert html.article_body(ld).startswith("w w") and html.article_body("<p>" + "long text here " * 5 + "</p><nav>menu</nav>").startswith("long")
+    graph = '<script type="application/ld+json">' + json.dumps({"@graph": [{"articleBody": "short"}, {"deep": {"articleBody": 'say "x" \n' + "é " * 9000}}]}) + "</script>"
+    long = "<p>" + "long text here " * 5 + "</p><nav>menu</nav>"
+    meta = lambda a: f"<meta {a}><p>tiny</p>"
+    cases = [ld, graph, long, meta('property="og:description" content="' + "d " * 80 + '"'), meta("content='" + "e " * 80 + "' name='description'"), meta('name="description" content="brief"'), "", None, "<p>" + "x" * 40_000 + "</p>"]
+    bodies = {r["page_id"]: (r["basis"], r["body"]) for r in html.article_bodies(spark.createDataFrame(list(enumerate(cases)), "page_id int, html string")).collect()}
+    assert bodies[0] == ("STRUCTURED", ("w " * 300).strip()) and bodies[1] == ("STRUCTURED", 'say "x" ' + ("é " * 9000).strip())
+    assert bodies[2] == ("PARAGRAPHS", ("long text here " * 5).strip()) and bodies[3] == ("DESCRIPTION", ("d " * 80).strip()) and bodies[4] == ("DESCRIPTION", ("e " * 80).strip())
+    assert bodies[5] == ("TEXT", "tiny") and bodies[6] == bodies[7] == (None, None) and bodies[8] == ("PARAGRAPHS", "x" * 40_000)
     entry = lambda i, t: f"<entry><id>{i}</id><title>{t}</title></entry>"
     feeds = spark.createDataFrame([(1, f"<feed><channel>c</channel>{entry(1, 'a')}{entry(2, 'b')}</feed>"), (2, f"<feed><channel>c</channel>{entry(1, 'a')}{entry(1, 'a')}</feed>"), (3, "<feed><channel>z</channel></feed>")], "id int, xml string")
     assert {r["id"]: r["status"] for r in html.feed_status(feeds, "id", "xml", "c").collect()} == {1: "OK", 2: "PARTIAL_INVALID_ENTRIES", 3: "WRONG_CHANNEL"}
