@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,14 +26,20 @@ def session(name: str = "signalweave", **conf: str) -> SparkSession:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df``, computed once and cut off from what it was computed from, in the folder of ``spark.checkpoint.dir``.
+    """``df``, computed once, written as a table in the folder of ``spark.checkpoint.dir`` and read back: lineage ends there, and lost executors cost nothing before it.
 
-    Where that is unset, a local master (one machine, as in tests) gets a temporary folder; anywhere else it is an error.
+    Where that is unset, a local master (one machine, as in tests) gets a temporary folder; anywhere else it is an error. Tables are deleted when the driver ends.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        root = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not root and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+    spark = df.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.signalweave.tables", None)
+    if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        sc.setCheckpointDir(root or tempfile.mkdtemp(prefix="signalweave-"))
-    return df.checkpoint()
+        root = "file://" + tempfile.mkdtemp(prefix="signalweave-")
+        spark.conf.set("spark.signalweave.tables", root)
+    path = f"{root.rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
