@@ -19,7 +19,10 @@ def _terms(x: Column, groups: Sequence[Sequence[str]]) -> Column:
     """One term of each group is in the text."""
     out = F.lit(True)
     for g in groups:
-        out = out & has(x, *g)
+        one = F.lit(False)
+        for t in g:
+            one = one | F.contains(x, F.lit(t))
+        out = out & one
     return out
 
 
@@ -76,11 +79,13 @@ def branches(x: Column, a: Mapping[str, Column], topics: Sequence[Mapping], temp
 def built_question(text: Column, analysis: Mapping[str, Column], topics: Sequence[Mapping], templates: Mapping[str, str]) -> Column:
     """struct(branch, question, axes, contract, issues, grounding, has_basis) of a record from the first branch of ``branches`` that holds.
 
-    ``analysis`` has the columns ANALYSIS. Issues, in this order: a basis without an anchored fact, each requirement of the contract that the record does
+    ``analysis`` has the columns ANALYSIS, and may have ``numbers``, those of the text. Issues, in this order: a basis without an anchored fact, each requirement of the contract that the record does
     not meet, numbers of the question that the text lacks, and no anchor. Grounding is PASS without any. The record has a basis if it has an anchor or
     can be verified. Null texts are empty, null flags false, null anchors NONE, null arrays empty.
+
+    Many branches read the same text and values: give them as columns of a projection before, not as expressions to be computed for each.
     """
-    x = txt.squash(text)
+    x = F.coalesce(text, F.lit(""))
     a = dict(analysis)
     a["values"], a["axes"] = (F.coalesce(a[k], F.array().cast("array<string>")) for k in ("values", "axes"))
     rows = branches(x, a, topics, templates)
@@ -90,13 +95,14 @@ def built_question(text: Column, analysis: Mapping[str, Column], topics: Sequenc
     claimed = F.coalesce(a["claim"] == "ATTRIBUTED_CLAIM", F.lit(False))
     none = F.coalesce(a["anchor"], F.lit("NONE")) == "NONE"
     usable = F.coalesce(a["usable"], F.lit(False))
+    known = a["numbers"] if "numbers" in a else txt.numbers_in(x)
     strings = lambda xs: F.array(*map(F.lit, xs)) if xs else F.array().cast("array<string>")
 
     def made(i: Column) -> Column:
         ask = _picked(i, [F.when(claimed, F.lit(templates[b["claimed"]])).otherwise(F.lit(templates[b["ask"]])) if b.get("claimed") else F.lit(templates[b["ask"]]) for b in rows])
         axes = _picked(i, [F.when(F.size(a["axes"]) > 0, a["axes"]).otherwise(strings(b["axes"])) if b["own"] else strings(b["axes"]) for b in rows])
         unmet = _picked(i, [F.array_compact(F.array(*[F.when(~F.coalesce(_check(x, a, need), F.lit(False)), F.lit(f"unmet: {label}")) for label, need in b["contract"]])).cast("array<string>") if b["contract"] else strings([]) for b in rows])
-        numbers = txt.unsupported(ask, x)
+        numbers = F.array_except(txt.numbers_in(ask), known)
         first = F.when((~none | usable) & ~F.coalesce(a["facts"], F.lit(False)) & ~usable, F.lit("no anchored fact"))
         odd = F.when(F.size(numbers) > 0, F.concat(F.lit("numbers: "), F.array_join(F.array_sort(numbers), ", ")))
         issues = F.array_compact(F.concat(F.array(first), unmet, F.array(odd, F.when(none & ~usable, F.lit(NO_ANCHOR)))))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import text as txt
 from ..operators import questions as ops
 from .base import SQL, query, table
 from .texts import lane_selection
@@ -63,7 +64,9 @@ SELECT doc_id, branch, question, axes, contract, issues, CASE WHEN len(issues) =
 def question_builder(spark, sf_dir):
     d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     a = {k: F.expr(v) for k, v in _ANALYSIS.items()} | {"values": F.array_distinct(F.regexp_extract_all("text", F.lit("([0-9]+)"), F.lit(1))), "axes": F.when(F.col("source").like("%3"), F.array(F.lit("region"), F.lit("time")))}
-    return d.select("doc_id", ops.built_question(F.col("text"), a, _topics(), _TEMPLATES).alias("q")).select("doc_id", "q.*")
+    known = d.select("doc_id", txt.squash(F.col("text")).alias("x"), *[c.alias(k) for k, c in a.items()]).withColumn("numbers", txt.numbers_in(F.col("x")))
+    a["numbers"] = F.col("numbers")
+    return known.select("doc_id", ops.built_question(F.col("x"), {k: F.col(k) for k in a}, _topics(), _TEMPLATES).alias("q")).select("doc_id", "q.*")
 
 
 _WEIGHTS = {"license": 9, "password": 7, "thth": 3, "heit": 4, "ción": 2, "eaux": 5, "zz": 1}
