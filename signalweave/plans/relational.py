@@ -176,8 +176,10 @@ def overdue_rotation(spark, sf_dir):
 SELECT c_custkey, 'sentinel' AS slot FROM r WHERE rn <= 2 UNION ALL SELECT c_custkey, 'audit' FROM (SELECT c_custkey, row_number() OVER (ORDER BY (c_custkey - 5 + 100000) % 100000) AS o FROM r WHERE rn > 2) WHERE o <= 20""",
 )
 def sentinel_slot_selection(spark, sf_dir):
-    r = table(spark, sf_dir, "customer").select("c_custkey", F.row_number().over(W.partitionBy("c_mktsegment").orderBy("c_acctbal", "c_custkey")).alias("rn"))
-    audit = r.filter("rn > 2").orderBy(F.pmod(F.col("c_custkey") - 5, F.lit(100000))).limit(20).select("c_custkey", F.lit("audit").alias("slot"))
+    key = F.asc_nulls_last("c_custkey")
+    r = table(spark, sf_dir, "customer").select("c_custkey", F.row_number().over(W.partitionBy("c_mktsegment").orderBy(F.asc_nulls_last("c_acctbal"), key)).alias("rn"))
+    # Keys a multiple of 100,000 apart have one place in the audit's cycle; the smaller key comes first, so that the choice is fixed.
+    audit = r.filter("rn > 2").orderBy(((F.col("c_custkey") - 5 + 100000) % 100000).asc_nulls_last(), key).limit(20).select("c_custkey", F.lit("audit").alias("slot"))
     return r.filter("rn <= 2").select("c_custkey", F.lit("sentinel").alias("slot")).unionByName(audit)
 
 
