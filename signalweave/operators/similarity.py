@@ -10,46 +10,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
+from . import setjoin
 
 
-#: Of each set, so many of its rarest tokens more than must be looked at are looked at; as many more must then be shared.
-EXTRA = 8
+def _with_measures(pairs: DataFrame) -> DataFrame:
+    return pairs.select("a", "b", "shared", (F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared"))).alias("jaccard"), (F.col("shared") / F.least("na", "nb")).alias("overlap"))
 
 
 def token_pairs(df: DataFrame, id_col: str, tokens: str, least_overlap: float) -> DataFrame:
-    """(a, b, shared, jaccard, overlap) of all pairs with a < b whose overlap coefficient is ``least_overlap`` or more.
-
-    Exact, by a prefix filter that counts: the smaller set must share that part of its tokens, so of its rarest tokens it shares as many
-    as it must share in all, less those that are not among them. Pairs are counted over these alone, before any set is fetched.
-    """
-    sets = df.select(F.col(id_col).alias("id"), F.array_distinct(tokens).alias("t")).filter(F.size("t") > 0).withColumn("n", F.size("t"))
-    sets = checkpointed(sets)
-    rows = sets.select("id", "n", F.explode("t").alias("tok"))
-    freq = rows.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    shared_tokens = checkpointed(rows.join(freq, "tok"))
-    # Tokens of one text alone are the rarest, so they take the first places of its prefix without being joined.
-    by_df = shared_tokens.groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("by_df"))
-    must = F.ceil(F.col("n") * least_overlap - 1e-9)
-    looked = F.least(F.col("n") - must + 1 + EXTRA, F.col("n"))
-    room = (looked - (F.col("n") - F.size("by_df"))).cast("int")
-    small = by_df.filter(room > 0).select(F.col("id").alias("x"), F.col("n").alias("nx"), (must - F.col("n") + looked).cast("int").alias("must"), F.explode(F.slice("by_df", F.lit(1), room)).alias("e")).select("x", "nx", "must", F.col("e.tok").alias("tok"))
-    large = shared_tokens.select(F.col("id").alias("y"), F.col("n").alias("ny"), "tok")
-    met = small.join(large, "tok").filter((F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))).groupBy("x", "y", "must").agg(F.count(F.lit(1)).alias("c")).filter("c >= must")
-    met = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    j = met.join(sets.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").join(sets.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
-    j = j.withColumn("shared", F.size(F.array_intersect("ta", "tb"))).filter(F.col("shared") / F.least(F.size("ta"), F.size("tb")) >= least_overlap)
-    return j.select("a", "b", "shared", (F.col("shared") / (F.size("ta") + F.size("tb") - F.col("shared"))).alias("jaccard"), (F.col("shared") / F.least(F.size("ta"), F.size("tb"))).alias("overlap"))
+    """(a, b, shared, jaccard, overlap) of all pairs with a < b whose overlap coefficient is ``least_overlap`` or more."""
+    return _with_measures(setjoin.set_pairs(df, id_col, tokens, least_overlap))
 
 
 def token_links(df: DataFrame, id_col: str, tokens: str, least_overlap: float) -> DataFrame:
     """(a, b, same, shared, jaccard, overlap): ``token_pairs`` without expanding copies. Rows with equal token sets are a class: each is
     linked (``same``) to its first, the smallest id, and the first stands for all of them in the pairs of different sets."""
-    d = df.select(F.col(id_col).alias("id"), F.array_sort(F.array_distinct(tokens)).alias("t")).filter(F.size("t") > 0)
-    keyed = checkpointed(d.withColumn("c", F.struct(F.xxhash64("t").alias("x"), F.xxhash64(F.lit(1), "t").alias("y"))))
+    # Stored before anything else is derived, so that texts are searched once.
+    d = checkpointed(df.select(F.col(id_col).cast("long").alias("id"), F.lit(None).cast("string").alias("g"), setjoin.hashed(F.col(tokens)).alias("h"))).filter(F.size("h") > 0)
+    keyed = d.withColumn("c", setjoin.class_of("h"))
     first = keyed.groupBy("c").agg(F.min("id").alias("first"))
-    copies = keyed.select("c", "id", F.size("t").alias("n")).join(first, "c").filter("id <> first")
+    copies = checkpointed(keyed.select("c", "id", F.size("h").alias("n")).join(first, "c").filter("id <> first").select("first", "id", "n"))
     same = copies.select(F.col("first").alias("a"), F.col("id").alias("b"), F.lit(True).alias("same"), F.col("n").alias("shared"), F.lit(1.0).alias("jaccard"), F.lit(1.0).alias("overlap"))
-    others = token_pairs(keyed.join(first.select(F.col("first").alias("id")), "id", "left_semi"), "id", "t", least_overlap)
+    others = _with_measures(setjoin.block_pairs(setjoin.packed(keyed.join(copies.select("id"), "id", "left_anti")), least_overlap))
     return same.unionByName(others.withColumn("same", F.lit(False)).select(same.columns))
 
 
