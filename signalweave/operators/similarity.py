@@ -94,7 +94,7 @@ def contained_in(needles: DataFrame, texts: DataFrame, needle_id: str, text_id:
 
     Ids are of any type; needles should be distinct, empty and null ones match nothing. Exact: each needle looks for one gram of its
     own, the one in the fewest texts of four spread over it, among the grams of all texts (bytes of UTF-8, where substrings are the
-    same); what is found is compared. A bitmap with sixteen places for each gram looked for, up to 2^30 (128 MB), keeps other grams from being
+    same); what is found is compared. A bitmap with 128 places for each gram looked for, up to 2^30 (128 MB), keeps other grams from being
     written, and grams of a length that no needle looks for are not made; a gram with the same hash as another only adds a comparison.
     """
     small = needles.select(F.col(needle_id).alias("short"), F.col(key).alias("ks")).filter(F.length("ks") > 0)
@@ -114,7 +114,7 @@ def contained_in(needles: DataFrame, texts: DataFrame, needle_id: str, text_id:
 
     looked = checkpointed(small.mapInPandas(wanted, f"short {small.schema['short'].dataType.simpleString()}, gram long, size int"))
     known = looked.agg(F.count(F.lit(1)).alias("n"), F.collect_set("size").alias("sizes")).first()
-    width, lengths = min(max((16 * known["n"]).bit_length(), 16), _MOST_BITS), frozenset(known["sizes"])
+    width, lengths = min(max((128 * known["n"]).bit_length(), 16), _MOST_BITS), frozenset(known["sizes"])
     looked = looked.drop("size")
     place = F.shiftrightunsigned("gram", 64 - width) + 1
     maps = looked.groupBy(F.bitmap_bucket_number(place).alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("m")).collect()
@@ -136,7 +136,7 @@ def contained_in(needles: DataFrame, texts: DataFrame, needle_id: str, text_id:
             if at:
                 yield pd.DataFrame({"long": frame["long"].to_numpy()[np.concatenate(at)], "gram": np.concatenate(grams).view(np.int64)})
 
-    found = large.mapInPandas(there, f"long {large.schema['long'].dataType.simpleString()}, gram long")
+    found = checkpointed(large.mapInPandas(there, f"long {large.schema['long'].dataType.simpleString()}, gram long"))
     rare = looked.join(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "gram").groupBy("short").agg(F.min(F.struct("n", "gram"))["gram"].alias("gram"))
     met = rare.join(found, "gram").select("short", "long")
     return met.join(small, "short").join(large, "long").filter(F.contains("kl", "ks")).select("short", "long")
@@ -156,7 +156,9 @@ def near_duplicate_links(df: DataFrame, id_col: str, least: float = 0.66) -> Dat
     ``page`` (with a family) and ``value`` (with a family). Rows without a class are pairs a < b: ``contained`` of classes ``key`` and
     ``overlap`` of classes ``tokens``, each class standing for its members by its smallest id, a single row by itself.
     """
-    d = df.withColumn("id", F.col(id_col).cast("long"))
+    own = {"key": F.when(F.length("key") > 0, F.sha2("key", 256)), "h": setjoin.hashed(F.col("tokens")), "m": F.array_sort(F.array_distinct("markers")), "f": F.array_distinct("families"), "v": F.array_distinct("values")}
+    # Stored, so that texts are read once for all branches; keys themselves are only read to be searched.
+    d = checkpointed(df.select(F.col(id_col).cast("long").alias("id"), F.col("page").cast("string").alias("page"), *[c.alias(n) for n, c in own.items()]))
 
     def members(rows: DataFrame, branch: str, label: str | None = None) -> DataFrame:
         """Of (id, c), the classes with two members or more."""
@@ -167,19 +169,22 @@ def near_duplicate_links(df: DataFrame, id_col: str, least: float = 0.66) -> Dat
         return rows.groupBy("c").agg(F.min("id").alias("id")).select("id")
 
     pair = lambda x, y: F.concat_ws(" + ", x, y)
-    m, fam = F.array_sort(F.array_distinct("markers")), F.array_distinct("families")
-    keys = d.filter(F.length("key") > 0).select("id", F.sha2("key", 256).alias("c"))
-    sets = d.filter(F.size("tokens") > 0).select("id", F.sha2(F.array_join(F.array_sort(F.array_distinct("tokens")), " "), 256).alias("c"))
+    pair = lambda x, y: F.concat_ws(" + ", x, y)
+    m = F.col("m")
+    keys = d.filter("key is not null").select("id", F.col("key").alias("c"))
+    sets = d.filter(F.size("h") > 0).select("id", setjoin.class_of("h").alias("c"))
     twos = d.select("id", F.explode(F.flatten(F.transform(m, lambda x, i: F.transform(F.slice(m, i + 2, F.size(m)), lambda y: pair(x, y))))).alias("c"))
-    families = d.select("id", "page", "values", F.explode(fam).alias("f"))
-    pages = families.filter("page is not null").select("id", pair(F.col("f"), F.col("page").cast("string")).alias("c"))
-    values = families.select("id", "f", F.explode(F.array_distinct("values")).alias("v")).filter("v is not null").select("id", pair(F.col("f"), F.col("v").cast("string")).alias("c"))
+    families = d.select("id", "page", "v", F.explode("f").alias("f"))
+    pages = families.filter("page is not null").select("id", pair(F.col("f"), F.col("page")).alias("c"))
+    values = families.select("id", "f", F.explode("v").alias("v")).filter("v is not null").select("id", pair(F.col("f"), F.col("v").cast("string")).alias("c"))
     out = members(keys, "key").unionByName(members(sets, "tokens"))
     for rows, branch in ((twos, "markers"), (pages, "page"), (values, "value")):
         out = out.unionByName(members(rows, branch, "c"))
     link = lambda pairs, branch, x, y: pairs.select(F.lit(branch).alias("branch"), F.lit(None).cast("string").alias("class"), F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    contained = contained_pairs(d.join(firsts(keys), "id", "left_semi"), "id", "key")
-    overlapping = token_pairs(d.join(firsts(sets), "id", "left_semi"), "id", "tokens", least)
+    texts = checkpointed(df.select(F.col(id_col).cast("long").alias("id"), "key").join(firsts(keys), "id", "left_semi"))
+    contained = contained_pairs(texts, "id", "key")
+    blocks = setjoin.packed(d.join(firsts(sets), "id", "left_semi").select("id", F.lit(None).cast("string").alias("g"), "h"))
+    overlapping = setjoin.block_pairs(blocks, least)
     return out.unionByName(link(contained, "contained", "short", "long")).unionByName(link(overlapping, "overlap", "a", "b"))
 
 
