@@ -7,11 +7,12 @@ their postings, each block meets each other one, and pairs are counted in arrays
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
@@ -19,9 +20,11 @@ from ..session import checkpointed
 #: Tokens are ordered by how often those of their bucket occur; so many buckets are counted.
 BUCKETS = 1 << 18
 #: A block has so many tokens (or one set) and sets at most; so many matches are counted at once.
-TOKENS, SETS, AT_ONCE = 1 << 19, 8192, 1 << 22
+TOKENS, SETS, AT_ONCE = 1 << 19, 8192, 1 << 19
 #: Of each set, up to so many of its rarest tokens more than must be looked at are looked at, one for 16 tokens; as many more must then be shared.
 EXTRA, OF = 8, 16
+#: Bytes of a batch that holds sets or pairs of blocks, which tasks hold more than once.
+BATCH_BYTES = "8m"
 
 #: What two sets of a and b tokens must share, and their similarity if they share s. What must be shared never falls as sets grow.
 NEEDED: dict[str, Callable] = {
@@ -35,6 +38,18 @@ _PARTS = {"ids": np.int64, "n": np.int32, "codes": np.int32, "post": np.uint16,
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("shared", pa.int32()), ("na", pa.int32()), ("nb", pa.int32())])
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches of ``BATCH_BYTES`` go to Python meanwhile; what runs in here must be written in here."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def hashed(tokens: Column) -> Column:
     """The set of a token array as sorted 64-bit hashes."""
     return F.sort_array(F.array_distinct(F.transform(tokens, lambda t: F.xxhash64(t))))
@@ -197,15 +212,22 @@ def _meeting(measure: str, least: float) -> Callable:
     return meet
 
 
-def packed(sets: DataFrame) -> DataFrame:
-    """Blocks of the sets (id long, g string, h array of long): rows of one ``g`` and of similar size lie together. ``sets`` is read twice."""
-    sets = sets.select("id", "g", "h", F.size("h").alias("n")).filter("n > 0 and id is not null")
+def frequencies(sets: DataFrame) -> np.ndarray:
+    """How often tokens of each bucket occur in the sets ``h``; blocks that meet must be packed by the same ones."""
     bucket = F.col("t").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("k")
     counted = sets.select(F.explode("h").alias("t")).groupBy(bucket).agg(F.count(F.lit(1)).alias("c")).toArrow()
     often = np.zeros(BUCKETS, np.int64)
     often[counted.column("k").to_numpy()] = counted.column("c").to_numpy()
+    return often
+
+
+def packed(sets: DataFrame, often: np.ndarray | None = None) -> DataFrame:
+    """Blocks of the sets (id long, g string, h array of long): rows of one ``g`` and of similar size lie together. ``sets`` is read twice, or once if its ``frequencies`` are given."""
+    sets = sets.select("id", "g", "h", F.size("h").alias("n")).filter("n > 0 and id is not null")
+    often = frequencies(sets) if often is None else often
     schema = "id long, g string, lo int, hi int, " + ", ".join(f"{k} binary" for k in _PARTS)
-    return checkpointed(sets.sortWithinPartitions("g", "n").mapInArrow(_packer(often), schema))
+    with _small_batches(sets.sparkSession):
+        return checkpointed(sets.sortWithinPartitions("g", "n").mapInArrow(_packer(often), schema))
 
 
 def block_pairs(blocks: DataFrame, least: float, measure: str = "overlap") -> DataFrame:
@@ -223,6 +245,23 @@ def block_pairs(blocks: DataFrame, least: float, measure: str = "overlap") -> Da
     return both.select(*[f"{k}_{c}" for k in "xy" for c in ("id", *_PARTS)]).mapInArrow(_meeting(measure, least), "a long, b long, shared int, na int, nb int")
 
 
+def near_blocks(blocks: DataFrame, least: float, others: DataFrame | None = None) -> DataFrame:
+    """(a, b, shared): ``block_pairs`` by Jaccard, a and b in any order, for blocks dealt by size: those whose sizes lie too far apart don't meet, and none is shuffled. The pairs are written.
+
+    With ``others``, blocks packed apart by the same frequencies, the pairs of a set of ``blocks`` and one of ``others``, which may be in both.
+    """
+    side = lambda d, k: d.select(*[F.col(c).alias(f"{k}_{c}") for c in blocks.columns])
+    g = lambda k: F.coalesce(F.concat(F.lit("="), f"{k}_g"), F.lit(""))
+    # Blocks of others get other ids.
+    once, ys = (F.col("x_id") <= F.col("y_id"), blocks) if others is None else (F.lit(True), others.withColumn("id", -F.col("id") - 1))
+    near = (F.col("x_hi") >= least * F.col("y_lo") - 1e-9) & (F.col("y_hi") >= least * F.col("x_lo") - 1e-9)
+    tasks = 2 * blocks.sparkSession.sparkContext.defaultParallelism
+    both = side(blocks, "x").coalesce(tasks).join(side(ys, "y"), once & near & (g("x") <= g("y")) & (g("x") >= g("y")))
+    met = both.select(*[f"{k}_{c}" for k in "xy" for c in ("id", *_PARTS)]).mapInArrow(_meeting("jaccard", least), "a long, b long, shared int, na int, nb int")
+    with _small_batches(blocks.sparkSession):
+        return checkpointed(met.select("a", "b", "shared"))
+
+
 def set_pairs(df: DataFrame, id_col: str, tokens: str, least: float, measure: str = "overlap", block: str | None = None) -> DataFrame:
     """``block_pairs`` of the rows' token arrays; rows without tokens match nothing."""
     g = F.lit(None).cast("string") if block is None else F.col(block).cast("string")
